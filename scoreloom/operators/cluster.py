@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -16,12 +15,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoreloom.functions.literals import small_table
+from scoreloom.functions.tiles import SUMS_SCHEMA, tile_pair
 from scoreloom.plans.staging import stage
 
-# The range of k, the restarts and the first seed.
+# The range of k, the restarts, the first seed, and when a fit is
+# done: the squared moves of all centres add up to less than MOVE.
 CLUSTER_COUNTS = (2, 3, 4, 5, 6)
 RESTARTS = 10
 FIRST_SEED = 42
+MAX_ITERATIONS = 300
+MOVE = 1e-4
 
 
 @dataclass(frozen=True)
@@ -45,8 +49,10 @@ def best_fits(
     points = points.select("features", "weight").persist()
 
     def fit(k: int, seed: int) -> Fit:
+        # The centres together move less than MOVE when each moves less than this.
+        tol = math.sqrt(MOVE / k)
         model = KMeans(
-            k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features", weightCol="weight"
+            k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=tol, featuresCol="features", weightCol="weight"
         ).fit(points)
         return Fit(k, model.summary.trainingCost, model)
 
@@ -72,57 +78,6 @@ def label_points(points: DataFrame, fits: Sequence[Fit]) -> DataFrame:
 # --- Silhouette, Euclidean and exact ---------------------------------------
 
 _TILE_ROWS = 4096
-_CHUNK_ROWS = 256
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of the rows of ``a`` to the rows of ``b``."""
-    if a.shape[1] <= 8:
-        square = np.zeros((len(a), len(b)))
-        for d in range(a.shape[1]):
-            square += (a[:, d, None] - b[None, :, d]) ** 2
-    else:
-        square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        np.maximum(square, 0.0, out=square)
-    return np.sqrt(square, out=square)
-
-
-def _members(labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Clusters present, and a rows x clusters matrix holding each row's weight."""
-    present, at = np.unique(labels, return_inverse=True)
-    matrix = np.zeros((len(labels), len(present)))
-    matrix[np.arange(len(labels)), at] = weight
-    return present, matrix
-
-
-def _towards(own: pd.DataFrame, other: pd.DataFrame, sweeps: Sequence[str], same: bool) -> Iterator[pd.DataFrame]:
-    """Per point of ``own``: summed distance to, and weight of, each cluster in ``other``."""
-    a, b = np.stack(own["features"].to_numpy()), np.stack(other["features"].to_numpy())
-    weight = other["weight"].to_numpy(float)
-    clusters = [_members(other[s].to_numpy(), weight) for s in sweeps]
-    joint = np.hstack([m for _, m in clusters])
-    sums = np.empty((len(a), joint.shape[1]))
-    for start in range(0, len(a), _CHUNK_ROWS):
-        block = _distances(a[start : start + _CHUNK_ROWS], b)
-        if same:
-            rows = np.arange(len(block))
-            block[rows, rows + start] = 0.0
-        sums[start : start + _CHUNK_ROWS] = block @ joint
-    column = 0
-    for sweep, (present, matrix) in zip(sweeps, clusters):
-        for cluster, size in zip(present, matrix.sum(0)):
-            yield pd.DataFrame(
-                {
-                    "point": own["point"].to_numpy(),
-                    "weight": own["weight"].to_numpy(),
-                    "sweep": sweep,
-                    "own": own[sweep].to_numpy(),
-                    "cluster": cluster,
-                    "distance": sums[:, column],
-                    "members": size,
-                }
-            )
-            column += 1
 
 
 def _tiles_for(rows: int, slots: int) -> int:
@@ -158,26 +113,15 @@ def euclidean_silhouette(points: DataFrame, sweeps: Sequence[str]) -> DataFrame:
         "*", F.least("tile", "partner").alias("lo"), F.greatest("tile", "partner").alias("hi")
     )
 
-    def tile_pair(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = key
-        first, second = pdf[pdf["tile"] == lo], pdf[pdf["tile"] == hi]
-        parts = []
-        if len(first) and len(second):
-            parts += _towards(first, second, sweeps, lo == hi)
-            if lo != hi:
-                parts += _towards(second, first, sweeps, False)
-        return pd.concat(parts) if parts else pd.DataFrame(columns=fields)
-
-    schema = (
-        "point long, weight double, sweep string, own long, cluster long, distance double, members double"
-    )
-    fields = [f.split()[0] for f in schema.split(", ")]
+    def sums_of(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return tile_pair(*key, rows, sweeps)
+
     # Little data but much work per tile pair: ask for enough tasks outright.
     tasks = min(tiles * (tiles + 1) // 2, 4 * spark.sparkContext.defaultParallelism)
     sums = (
         paired.repartition(tasks, "lo", "hi")
         .groupBy("lo", "hi")
-        .applyInPandas(tile_pair, schema)
+        .applyInPandas(sums_of, SUMS_SCHEMA)
         .repartition("point")
     )
     clusters = sums.groupBy("point", "sweep", "own", "weight", "cluster").agg(
@@ -248,7 +192,8 @@ def sweep_clusters(
         found = {s: squared_silhouette(held, s) for s in sweeps}
     rounded = {f.k: round(found[f"k{f.k}"], 3) for f in fits}
     best = min(fits, key=lambda f: (-rounded[f.k], f.k))
-    table = spark.createDataFrame(
+    table = small_table(
+        spark,
         [(f.k, float(f.cost), rounded[f.k], kind, f is best) for f in fits],
         "k int, cost double, silhouette double, silhouette_kind string, chosen boolean",
     )

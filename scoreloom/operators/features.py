@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
 from scoreloom.functions.expressions import percent_text, round_half_even
+from scoreloom.functions.literals import small_table
 
 
 def standardise(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -50,8 +51,8 @@ def fit_components(normalised: DataFrame, card: Scorecard, k: int = 3, incomplet
 def variance_table(model: PCAModel, spark) -> DataFrame:
     """Rows ``(component, explained)``, the share of total variance."""
     shares = model.explainedVariance.toArray().tolist()
-    return spark.createDataFrame(
-        [(f"PC{i}", s) for i, s in enumerate(shares, 1)], "component string, explained double"
+    return small_table(
+        spark, [(f"PC{i}", s) for i, s in enumerate(shares, 1)], "component string, explained double"
     )
 
 
@@ -63,7 +64,7 @@ def loadings_table(model: PCAModel, card: Scorecard, spark) -> DataFrame:
         for i, m in enumerate(card.metrics)
         for j in range(matrix.shape[1])
     ]
-    return spark.createDataFrame(rows, "component string, metric string, pillar string, loading double")
+    return small_table(spark, rows, "component string, metric string, pillar string, loading double")
 
 
 def pillar_affinity(loadings: DataFrame) -> DataFrame:
@@ -96,7 +97,8 @@ def weight_table(components: DataFrame, card: Scorecard) -> DataFrame:
 
     A pillar that dominates no component gets 0.
     """
-    pillars = components.sparkSession.createDataFrame(
+    pillars = small_table(
+        components.sparkSession,
         [(p.slug, p.label, float(p.weight)) for p in card.pillars],
         "slug string, pillar string, fixed_weight double",
     )

@@ -12,6 +12,7 @@ from scoreloom.functions.expressions import (
     round_half_even,
     score_text,
 )
+from scoreloom.functions.literals import small_table
 from scoreloom.operators.normalise import linear_inputs, min_max_100, universe_bounds
 from scoreloom.operators.rank import bottom_n, top_n, with_position
 
@@ -52,7 +53,8 @@ def metric_detail(entities: DataFrame, card: Scorecard) -> DataFrame:
             )
         )
     )
-    registry = spark.createDataFrame(
+    registry = small_table(
+        spark,
         [(m.column, card.pillar_label(m.pillar), m.label, m.lower_is_better) for m in card.scaled],
         "column string, pillar string, metric_name string, lower_is_better boolean",
     )

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.expressions import round_half_even
+from scoreloom.functions.literals import small_table
 
 _ACCURACY = 10_000
 _MARGIN = 3.0 / _ACCURACY
@@ -104,7 +105,8 @@ def exact_quantiles(
         for b in _brackets(df, columns, probs, whole_below)
     ]
     # One row per metric and probability: as long as the registry, never the data.
-    wanted = spark.createDataFrame(
+    wanted = small_table(
+        spark,
         rows,
         "metric string, prob double, low double, high double, rank long, share double, below long",
     )

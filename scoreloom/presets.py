@@ -54,7 +54,7 @@ SUSTAINABILITY = Scorecard(
 )
 
 CUSTOMER = Scorecard(
-    name="customer",
+    name="account",
     key="customer_key",
     label="customer",
     group="segment",
@@ -84,7 +84,7 @@ CUSTOMER = Scorecard(
         Metric("priority_breadth", "credit", "Priority Breadth", 0.20, "Priority Breadth"),
     ),
     archetypes=(
-        Archetype("Balanced Leaders", (("customer", ">=", 72),)),
+        Archetype("Balanced Leaders", (("account", ">=", 72),)),
         Archetype("Structural Laggards", (("fulfilment", "<", 20), ("commercial", "<", 40))),
         Archetype("Credit-Strong, Fulfilment-Weak", (("credit", ">=", 65), ("fulfilment", "<", 40))),
         Archetype("Fulfilment Focus", (("fulfilment", ">=", 60), ("commercial", "<", 45))),
