@@ -35,15 +35,40 @@ def percentile_table(df: DataFrame, group: str, scores: Sequence[str]) -> DataFr
     return counts.select(group, "measure", "score", round_half_even(share).alias("pct"))
 
 
-def group_percentiles(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame:
-    """Add ``{score}_{group}_pct`` for every score; null score or group gives null."""
-    table = stage(percentile_table(df, group, scores), "percentiles")
-    for score in scores:
-        one = table.where(F.col("measure") == score).select(
-            group, F.col("score").alias(score), F.col("pct").alias(f"{score}_{group}_pct")
+def percentile_lists(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame:
+    """The percentile table folded to one row per group: for every score two
+    parallel lists, distinct values and their percentiles."""
+    table = percentile_table(df, group, scores)
+    folded = table.groupBy(group).agg(
+        *(
+            F.collect_list(F.when(F.col("measure") == s, F.struct("score", "pct"))).alias(f"_{s}")
+            for s in scores
         )
-        df = df.join(one, [group, score], "left")
-    return df
+    )
+    return folded.select(
+        group,
+        *(F.col(f"_{s}.{part}").alias(f"_{s}_{part}") for s in scores for part in ("score", "pct")),
+    )
+
+
+def group_percentiles(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame:
+    """Add ``{score}_{group}_pct`` for every score; null score or group gives null.
+
+    One join on the group serves all scores: by broadcast while the lists are
+    small on disk, else by a shuffle in which a large group can be split, as its
+    other side is a single row.
+    """
+    lists = stage(percentile_lists(df, group, scores), "percentiles")
+
+    def percentile(score: str) -> Column:
+        at = F.array_position(F.col(f"_{score}_score"), F.col(score)).cast("int")
+        return F.element_at(F.col(f"_{score}_pct"), F.nullif(at, F.lit(0)))
+
+    joined = df.join(lists, group, "left")
+    return joined.select(
+        *(df[c] for c in df.columns),
+        *(percentile(s).alias(f"{s}_{group}_pct") for s in scores),
+    )
 
 
 def top_n(df: DataFrame, score: str, key: str, n: int = 5) -> DataFrame:

@@ -3,77 +3,88 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def _cents(column: str):
-    # Money and rates have two decimals; whole numbers add up the same in any order.
-    return F.rint(F.col(column) * 100).cast("long")
-
-
-def _share(count: str) -> F.Column:
-    return F.lit(100.0) * F.col(count) / F.col("lines")
-
-
-def order_metrics(orders: DataFrame) -> DataFrame:
-    """Per-customer figures of the order headers."""
-    return orders.groupBy("o_custkey").agg(
-        F.count(F.when(F.col("o_orderpriority") == "1-URGENT", 1)).alias("urgent_orders"),
-        F.count(F.when(F.col("o_orderstatus") == "P", 1)).alias("pending_orders"),
-        (F.max("o_totalprice") / F.nullif(F.min("o_totalprice"), F.lit(0.0))).alias("price_spread_ratio"),
-        F.countDistinct("o_orderpriority").alias("priority_breadth"),
-    )
-
-
-def line_metrics(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Per-customer figures of the order lines.
-
-    Lines meet their order once, on the order key; strings and dates shrink to
-    numbers before that shuffle. Everything after it is combined map-side, the
-    distinct counts too, so a customer with a large part of all lines costs a
-    few partial rows per task.
-    """
-    lines = lineitem.select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        F.to_date("l_shipdate").alias("shipped"),
-        _cents("l_extendedprice").alias("price"),
-        _cents("l_discount").alias("discount"),
-        _cents("l_tax").alias("tax"),
-        (F.col("l_linestatus") == "F").alias("filled"),
-        (F.col("l_returnflag") == "N").alias("kept"),
-        (F.col("l_returnflag") == "R").alias("returned"),
-    )
-    headers = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("ordered"))
-    totals = (
-        lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("o_custkey").alias("l_custkey"))
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.sum(F.datediff("shipped", "ordered")).alias("lag"),
-            F.count(F.when(F.col("filled"), 1)).alias("filled"),
-            F.count(F.when(F.col("kept"), 1)).alias("kept"),
-            F.count(F.when(F.col("returned"), 1)).alias("returned"),
-            F.sum("price").alias("price"),
-            F.sum("discount").alias("discount"),
-            F.sum("tax").alias("tax"),
-            F.countDistinct("l_partkey").alias("parts"),
-            F.countDistinct("l_suppkey").alias("suppliers"),
-        )
-    )
-    return totals.select(
-        "l_custkey",
-        (F.col("lag") / F.col("lines")).alias("ship_lag_days"),
-        _share("filled").alias("fulfilled_pct"),
-        (F.col("tax") / F.lit(100.0) / F.col("lines")).alias("avg_tax"),
-        _share("kept").alias("kept_pct"),
-        _share("returned").alias("return_pct"),
-        _share("parts").alias("part_diversity_pct"),
-        (F.col("discount") / F.lit(100.0) / F.col("lines")).alias("avg_discount"),
-        (F.col("price") / F.lit(100.0)).alias("revenue"),
-        F.col("suppliers").alias("supplier_breadth"),
-    )
+# Order headers by customer.
+_HEADS = """
+  SELECT o_custkey AS h_custkey,
+    count_if(o_orderpriority = '1-URGENT') AS urgent_orders,
+    count_if(o_orderstatus = 'P') AS pending_orders,
+    max(o_totalprice) / nullif(min(o_totalprice), 0D) AS price_spread_ratio,
+    count(DISTINCT o_orderpriority) AS priority_breadth
+  FROM owned GROUP BY o_custkey
+"""
+
+# Lines add up per order before they meet it, so an order of any length arrives
+# as one row per task and the join is one to one. Money and rates have two
+# decimals: in whole cents they add up the same in any order of the rows.
+_PER_ORDER = """
+  SELECT l_orderkey,
+    count(*) AS lines,
+    count(l_shipdate) AS shipped,
+    sum(unix_date(to_date(l_shipdate))) AS ship_days,
+    count_if(l_linestatus = 'F') AS filled,
+    count_if(l_returnflag = 'N') AS kept,
+    count_if(l_returnflag = 'R') AS returned,
+    sum(bigint(rint(l_extendedprice * 100))) AS price,
+    sum(bigint(rint(l_discount * 100))) AS discount,
+    sum(bigint(rint(l_tax * 100))) AS tax
+  FROM {lineitem} GROUP BY l_orderkey
+"""
+
+_TOTALS = """
+  SELECT o_custkey AS t_custkey,
+    sum(lines) AS lines,
+    sum(ship_days - shipped * unix_date(to_date(o_orderdate))) AS lag,
+    sum(filled) AS filled,
+    sum(kept) AS kept,
+    sum(returned) AS returned,
+    sum(price) / 100D AS price,
+    sum(discount) / 100D AS discount,
+    sum(tax) / 100D AS tax
+  FROM per_order JOIN owned ON l_orderkey = o_orderkey GROUP BY o_custkey
+"""
+
+# Kept apart from the sums: the rows that have to be told apart carry keys only.
+# They spread over customer and part (or supplier), so a customer with a large
+# part of all lines is shared by many tasks.
+_BREADTH = """
+  SELECT o_custkey AS b_custkey,
+    count(DISTINCT l_partkey) AS parts,
+    count(DISTINCT l_suppkey) AS suppliers
+  FROM {lineitem} JOIN owned ON l_orderkey = o_orderkey GROUP BY o_custkey
+"""
+
+# The three aggregates arrive partitioned by customer, so only the customer
+# table itself moves for the large joins.
+_ENTITIES = f"""
+WITH owned AS (SELECT * FROM {{orders}} WHERE o_custkey IS NOT NULL),
+heads AS ({_HEADS}), per_order AS ({_PER_ORDER}), totals AS ({_TOTALS}), breadth AS ({_BREADTH})
+SELECT c_custkey AS customer_key,
+  c_name AS customer,
+  c_mktsegment AS segment,
+  n_name AS country,
+  lag / lines AS ship_lag_days,
+  100D * filled / lines AS fulfilled_pct,
+  tax / lines AS avg_tax,
+  100D * kept / lines AS kept_pct,
+  urgent_orders,
+  100D * returned / lines AS return_pct,
+  100D * parts / lines AS part_diversity_pct,
+  discount / lines AS avg_discount,
+  price AS revenue,
+  pending_orders,
+  c_acctbal AS account_balance,
+  price_spread_ratio,
+  suppliers AS supplier_breadth,
+  CASE WHEN c_acctbal > 0 THEN 1 WHEN c_acctbal IS NOT NULL THEN 0 END AS in_credit,
+  priority_breadth
+FROM {{customer}}
+  LEFT JOIN totals ON c_custkey = t_custkey
+  LEFT JOIN breadth ON c_custkey = b_custkey
+  LEFT JOIN heads ON c_custkey = h_custkey
+  LEFT JOIN {{nation}} ON c_nationkey = n_nationkey
+WHERE c_custkey IS NOT NULL
+"""
 
 
 def customer_entities(
@@ -81,36 +92,10 @@ def customer_entities(
 ) -> DataFrame:
     """One row per customer: identity columns and the fifteen metrics.
 
-    Both aggregates arrive partitioned by customer, so only the customer table
-    itself moves for the two large joins.
+    A customer without orders keeps a row, its order metrics null.
     """
-    owned = orders.where(F.col("o_custkey").isNotNull())
-    return (
-        customer.na.drop(subset=["c_custkey"])
-        .join(line_metrics(lineitem, owned), F.col("c_custkey") == F.col("l_custkey"), "left")
-        .join(order_metrics(owned), F.col("c_custkey") == F.col("o_custkey"), "left")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            F.col("c_custkey").alias("customer_key"),
-            F.col("c_name").alias("customer"),
-            F.col("c_mktsegment").alias("segment"),
-            F.col("n_name").alias("country"),
-            "ship_lag_days",
-            "fulfilled_pct",
-            "avg_tax",
-            "kept_pct",
-            "urgent_orders",
-            "return_pct",
-            "part_diversity_pct",
-            "avg_discount",
-            "revenue",
-            "pending_orders",
-            F.col("c_acctbal").alias("account_balance"),
-            "price_spread_ratio",
-            "supplier_breadth",
-            F.when(F.col("c_acctbal") > 0, 1).when(F.col("c_acctbal").isNotNull(), 0).alias("in_credit"),
-            "priority_breadth",
-        )
+    return customer.sparkSession.sql(
+        _ENTITIES, customer=customer, nation=nation, orders=orders, lineitem=lineitem
     )
 
 
