@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.functions.expressions import round_half_even
+from scoreloom.functions.expressions import col, named, round_half_even
 from scoreloom.functions.literals import small_table
 from scoreloom.operators import marts
 from scoreloom.operators.cluster import (
@@ -72,7 +72,9 @@ def _of_entities(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _rounded(df: DataFrame, columns: list[str], digits: int) -> DataFrame:
-    return df.withColumns({c: round_half_even(F.col(c), digits) for c in columns})
+    return df.selectExpr(
+        *(named(round_half_even(col(c), digits), c) if c in columns else col(c) for c in df.columns)
+    )
 
 
 def load_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,15 +149,13 @@ def _embedding_points(spark: SparkSession, folder: str) -> DataFrame:
 
 def silhouette_exact(spark: SparkSession, folder: str) -> DataFrame:
     found = euclidean_silhouette(_embedding_points(spark, folder), ["label"])
-    return found.select(round_half_even(F.col("silhouette"), 3).alias("silhouette"))
+    return _rounded(found.select("silhouette"), ["silhouette"], 3)
 
 
 def silhouette_squared(spark: SparkSession, folder: str) -> DataFrame:
     points = _embedding_points(spark, folder).withColumn("features", array_to_vector("features"))
     value = squared_silhouette(stage(points, "embedding-points"), "label")
-    return small_table(spark, [(value,)], "silhouette double").select(
-        round_half_even(F.col("silhouette"), 3).alias("silhouette")
-    )
+    return _rounded(small_table(spark, [(value,)], "silhouette double"), ["silhouette"], 3)
 
 
 def kmeans_sweep(entities: DataFrame) -> DataFrame:

@@ -9,22 +9,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
-from scoreloom.functions.expressions import percent_text, round_half_even
+from scoreloom.functions.expressions import col, named, percent_text, round_half_even
 from scoreloom.functions.literals import small_table
 
 
 def standardise(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Mean 0 and population deviation 1 over the whole table; 0 without a spread."""
-    moments = df.agg(
-        *(m for c in columns for m in (F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_dev")))
+    moments = df.selectExpr(
+        *(
+            named(f"{function}({col(c)})", f"{c}_{name}")
+            for c in columns
+            for name, function in (("mean", "avg"), ("dev", "stddev_pop"))
+        )
     )
-    held = df.withColumn("_moments", moments.select(F.struct("*")).scalar())
+    held = df.withColumn("_moments", moments.selectExpr("struct(*)").scalar())
 
-    def z(c: str):
-        mean, dev = F.col(f"_moments.{c}_mean"), F.col(f"_moments.{c}_dev")
-        return F.when(dev == 0, F.col(c) * 0.0).otherwise((F.col(c) - mean) / dev)
+    def z(c: str) -> str:
+        mean, dev = f"_moments.{col(f'{c}_mean')}", f"_moments.{col(f'{c}_dev')}"
+        return f"CASE WHEN {dev} = 0 THEN {col(c)} * 0D ELSE ({col(c)} - {mean}) / {dev} END"
 
-    return held.select(*keep, *(z(c).alias(c) for c in columns))
+    return held.selectExpr(*map(col, keep), *(named(z(c), c) for c in columns))
 
 
 def assemble(df: DataFrame, columns: Sequence[str], incomplete: str = "error") -> DataFrame:
@@ -86,7 +90,7 @@ def component_table(variance: DataFrame, loadings: DataFrame) -> DataFrame:
     """Components with their explained share, in percent and exact, and dominant pillar."""
     return variance.join(dominant_pillars(pillar_affinity(loadings)), "component").select(
         "component",
-        round_half_even(F.col("explained") * 100).alias("explained_variance_pct"),
+        F.expr(named(round_half_even("explained * 100"), "explained_variance_pct")),
         "dominant_pillar",
         "explained",
     )
@@ -112,7 +116,7 @@ def weight_table(components: DataFrame, card: Scorecard) -> DataFrame:
             "slug",
             "pillar",
             "weight",
-            percent_text(F.col("weight")).alias("weight_text"),
+            F.expr(named(percent_text("weight"), "weight_text")),
             "fixed_weight",
         )
     )

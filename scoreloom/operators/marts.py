@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from scoreloom.config import BAND_COLOURS, Scorecard
 from scoreloom.functions.expressions import (
+    col,
     lookup,
     mean_of_rounded,
+    named,
     round_half_even,
     score_text,
+    text,
 )
 from scoreloom.functions.literals import small_table
 from scoreloom.operators.normalise import linear_inputs, min_max_100, universe_bounds
@@ -21,7 +24,7 @@ def _melt_pillars(df: DataFrame, card: Scorecard, ids: list[str]) -> DataFrame:
     """One row per entity and pillar, in one pass over the rows."""
     labels = {p.score: p.label for p in card.pillars}
     long = df.unpivot(ids, card.pillar_scores, "pillar", "pillar_score")
-    return long.withColumn("pillar", lookup(F.col("pillar"), labels))
+    return long.withColumn("pillar", F.expr(lookup("pillar", labels)))
 
 
 def scores_long(scored: DataFrame, card: Scorecard) -> DataFrame:
@@ -39,45 +42,33 @@ def metric_detail(entities: DataFrame, card: Scorecard) -> DataFrame:
     """
     spark = entities.sparkSession
     inputs = linear_inputs(card.scaled)
-    bounds = universe_bounds(entities, inputs).select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.col(f"{c}_lo").alias("lo"),
-                        F.col(f"{c}_hi").alias("hi"),
-                    )
-                    for c in inputs
-                )
-            )
-        )
+    rows = ", ".join(
+        f"struct({text(c)} AS column, {col(f'{c}_lo')} AS lo, {col(f'{c}_hi')} AS hi)" for c in inputs
     )
+    bounds = universe_bounds(entities, inputs).selectExpr(f"inline(array({rows}))")
     registry = small_table(
         spark,
         [(m.column, card.pillar_label(m.pillar), m.label, m.lower_is_better) for m in card.scaled],
         "column string, pillar string, metric_name string, lower_is_better boolean",
     )
     facts = registry.join(bounds, "column")
-    long = entities.select(*card.id_columns, *(x.alias(c) for c, x in inputs.items())).unpivot(
-        card.id_columns, list(inputs), "column", "raw_value"
-    )
-    x, lo, hi = F.col("raw_value"), F.col("lo"), F.col("hi")
-    scaled = F.when(
-        F.col("lower_is_better"), min_max_100(x, lo, hi, invert=True)
-    ).otherwise(min_max_100(x, lo, hi))
-    return long.join(F.broadcast(facts), "column").select(
-        *card.id_columns,
+    long = entities.selectExpr(
+        *map(col, card.id_columns), *(named(x, c) for c, x in inputs.items())
+    ).unpivot(card.id_columns, list(inputs), "column", "raw_value")
+    up, down = (min_max_100("raw_value", "lo", "hi", invert) for invert in (False, True))
+    scaled = f"CASE WHEN lower_is_better THEN {down} ELSE {up} END"
+    return long.join(F.broadcast(facts), "column").selectExpr(
+        *map(col, card.id_columns),
         "pillar",
         "metric_name",
         "raw_value",
-        round_half_even(scaled).alias("normalised_score"),
+        named(round_half_even(scaled), "normalised_score"),
         "lower_is_better",
     )
 
 
 def _averages(card: Scorecard, names: dict[str, str]) -> list:
-    return [round_half_even(mean_of_rounded(F.col(s))).alias(n) for s, n in names.items()]
+    return [F.expr(named(round_half_even(mean_of_rounded(col(s))), n)) for s, n in names.items()]
 
 
 def group_summary(scored: DataFrame, card: Scorecard) -> DataFrame:
@@ -117,8 +108,8 @@ def leaderboard(scored: DataFrame, card: Scorecard) -> DataFrame:
         card.group,
         card.score,
         card.band,
-        lookup(F.col(card.band), BAND_COLOURS).alias("colour"),
-        score_text(F.col(card.score), F.col(card.rating)).alias("score_label"),
+        F.expr(named(lookup(col(card.band), BAND_COLOURS), "colour")),
+        F.expr(named(score_text(col(card.score), col(card.rating)), "score_label")),
     )
     return with_position(rows, [F.desc_nulls_last(card.score), F.asc(card.key)])
 
@@ -128,7 +119,7 @@ def pillar_breakdown(scored: DataFrame, card: Scorecard) -> DataFrame:
     colours = {p.label: p.colour for p in card.pillars}
     return (
         _melt_pillars(scored, card, [card.key, card.label, card.score])
-        .withColumn("colour", lookup(F.col("pillar"), colours))
+        .withColumn("colour", F.expr(lookup("pillar", colours)))
         .orderBy(F.desc_nulls_last(card.score), F.asc(card.key), F.asc("pillar"))
     )
 
@@ -173,7 +164,7 @@ def extremes_radar(scored: DataFrame, card: Scorecard, n: int = 3) -> DataFrame:
     worst = bottom_n(scored.select(*columns), card.score, card.key, n)
     ends = best.withColumn("side", F.lit("top")).unionByName(worst.withColumn("side", F.lit("bottom")))
     return ends.unpivot(["side", card.key, card.label], card.all_scores, "category", "score").withColumn(
-        "category", lookup(F.col("category"), names)
+        "category", F.expr(lookup("category", names))
     )
 
 

@@ -59,16 +59,15 @@ def method_record(
     fiscal_year: int | None = None,
 ) -> DataFrame:
     """Components, derived weights, silhouettes and archetypes in one record."""
-    explained = F.col("explained") * 100
     pca = F.struct(
         components.agg(F.count(F.lit(1))).scalar().alias("n_components"),
-        components.agg(round_half_even(F.sum("explained") * 100)).scalar().alias("total_variance_explained_pct"),
+        components.selectExpr(round_half_even("sum(explained) * 100")).scalar().alias("total_variance_explained_pct"),
         _as_map(weights, "pillar", F.col("weight_text")).alias("derived_weights"),
         F.struct(*(F.lit(f"{p.weight * 100:.1f}%").alias(p.label) for p in card.pillars)).alias("vs_hardcoded"),
         _as_map(
             components,
             "component",
-            F.struct(round_half_even(explained).alias("explained_pct"), "dominant_pillar"),
+            F.expr(f"struct({round_half_even('explained * 100')} AS explained_pct, dominant_pillar)"),
         ).alias("component_breakdown"),
     )
     chosen = sweep.where("chosen")

@@ -8,66 +8,69 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from scoreloom.config import Metric, Scorecard
+from scoreloom.functions.expressions import col, named
 
 _BOUNDS = "_bounds"
 
 
-def scaling_input(metric: Metric, linear: bool = False) -> Column:
+def scaling_input(metric: Metric, linear: bool = False) -> str:
     """The value that gets scaled; ``linear`` ignores the metric's log transform."""
-    x = F.col(metric.column).cast("double")
-    return F.log1p(x) if metric.log1p and not linear else x
+    x = f"double({col(metric.column)})"
+    return f"log1p({x})" if metric.log1p and not linear else x
 
 
-def universe_bounds(df: DataFrame, inputs: Mapping[str, Column]) -> DataFrame:
+def universe_bounds(df: DataFrame, inputs: Mapping[str, str]) -> DataFrame:
     """One row with the minimum and maximum of every input."""
-    ends = []
-    for name, x in inputs.items():
-        ends += [F.min(x).alias(f"{name}_lo"), F.max(x).alias(f"{name}_hi")]
-    return df.agg(*ends)
+    return df.selectExpr(
+        *(
+            named(f"{end}({x})", f"{name}_{suffix}")
+            for name, x in inputs.items()
+            for end, suffix in (("min", "lo"), ("max", "hi"))
+        )
+    )
 
 
-def with_bounds(df: DataFrame, inputs: Mapping[str, Column]) -> DataFrame:
+def with_bounds(df: DataFrame, inputs: Mapping[str, str]) -> DataFrame:
     """Attach the universe bounds to every row as one struct column."""
-    bounds = universe_bounds(df, inputs).select(F.struct("*")).scalar()
+    bounds = universe_bounds(df, inputs).selectExpr("struct(*)").scalar()
     return df.withColumn(_BOUNDS, bounds)
 
 
-def low(name: str) -> Column:
-    return F.col(f"{_BOUNDS}.{name}_lo")
+def low(name: str) -> str:
+    return f"{_BOUNDS}.{col(f'{name}_lo')}"
 
 
-def high(name: str) -> Column:
-    return F.col(f"{_BOUNDS}.{name}_hi")
+def high(name: str) -> str:
+    return f"{_BOUNDS}.{col(f'{name}_hi')}"
 
 
-def min_max_100(x: Column, lo: Column, hi: Column, invert: bool = False) -> Column:
+def min_max_100(x: str, lo: str, hi: str, invert: bool = False) -> str:
     """Scale to 0..100. A constant column is 50 on every row, null rows included;
     a column without values stays null."""
-    scaled = (x - lo) / (hi - lo) * F.lit(100.0)
-    return F.when(hi == lo, F.lit(50.0)).otherwise(F.lit(100.0) - scaled if invert else scaled)
+    scaled = f"({x} - {lo}) / ({hi} - {lo}) * 100D"
+    return f"CASE WHEN {hi} = {lo} THEN 50D ELSE {f'100D - {scaled}' if invert else scaled} END"
 
 
-def min_max_01(x: Column, lo: Column, hi: Column, invert: bool = False) -> Column:
+def min_max_01(x: str, lo: str, hi: str, invert: bool = False) -> str:
     """Scale to 0..1. Without a spread (constant, or no values) every row is 0.5."""
-    scaled = (x - lo) / (hi - lo)
-    return F.when(hi > lo, F.lit(1.0) - scaled if invert else scaled).otherwise(F.lit(0.5))
+    scaled = f"({x} - {lo}) / ({hi} - {lo})"
+    return f"CASE WHEN {hi} > {lo} THEN {f'1D - {scaled}' if invert else scaled} ELSE 0.5D END"
 
 
-def linear_inputs(metrics: Iterable[Metric]) -> dict[str, Column]:
+def linear_inputs(metrics: Iterable[Metric]) -> dict[str, str]:
     return {m.column: scaling_input(m, linear=True) for m in metrics}
 
 
 def normalise_01(df: DataFrame, card: Scorecard, keep: Iterable[str]) -> DataFrame:
     """``keep`` columns plus all metrics scaled linearly to 0..1, higher is better."""
     inputs = linear_inputs(card.metrics)
-    return with_bounds(df, inputs).select(
-        *keep,
+    return with_bounds(df, inputs).selectExpr(
+        *map(col, keep),
         *(
-            min_max_01(inputs[m.column], low(m.column), high(m.column), m.lower_is_better).alias(m.column)
+            named(min_max_01(inputs[m.column], low(m.column), high(m.column), m.lower_is_better), m.column)
             for m in card.metrics
         ),
     )
@@ -76,10 +79,10 @@ def normalise_01(df: DataFrame, card: Scorecard, keep: Iterable[str]) -> DataFra
 def normalise_100(df: DataFrame, card: Scorecard, keep: Iterable[str]) -> DataFrame:
     """``keep`` columns plus the scaled metrics at 0..100, log transforms applied."""
     inputs = {m.column: scaling_input(m) for m in card.scaled}
-    return with_bounds(df, inputs).select(
-        *keep,
+    return with_bounds(df, inputs).selectExpr(
+        *map(col, keep),
         *(
-            min_max_100(inputs[m.column], low(m.column), high(m.column), m.lower_is_better).alias(m.column)
+            named(min_max_100(inputs[m.column], low(m.column), high(m.column), m.lower_is_better), m.column)
             for m in card.scaled
         ),
     )

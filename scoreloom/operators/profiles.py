@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
-from scoreloom.functions.expressions import archetype, mean_of_rounded, round_half_even
+from scoreloom.functions.expressions import archetype, col, mean_of_rounded, named, round_half_even
 from scoreloom.operators.rank import with_group_position
 from scoreloom.plans.staging import stage
 
@@ -19,15 +19,15 @@ def cluster_profiles(df: DataFrame, card: Scorecard, cluster: str, score: str) -
     The archetype rules look at the rounded means.
     """
     means = {**{p.score: f"avg_{p.slug}" for p in card.pillars}, score: f"avg_{card.name}"}
-    measures = {p.slug: F.col(f"avg_{p.slug}") for p in card.pillars} | {card.name: F.col(f"avg_{card.name}")}
+    measures = {slug: col(f"avg_{slug}") for slug in (*(p.slug for p in card.pillars), card.name)}
     return (
         df.where(F.col(cluster).isNotNull())
         .groupBy(cluster)
         .agg(
             F.count(card.label).alias(f"n_{card.plural}"),
-            *(round_half_even(mean_of_rounded(F.col(s))).alias(n) for s, n in means.items()),
+            *(F.expr(named(round_half_even(mean_of_rounded(col(s))), n)) for s, n in means.items()),
         )
-        .withColumn("archetype", archetype(measures, card.archetypes, card.default_archetype))
+        .selectExpr("*", named(archetype(measures, card.archetypes, card.default_archetype), "archetype"))
     )
 
 

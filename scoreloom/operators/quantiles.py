@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.functions.expressions import round_half_even
+from scoreloom.functions.expressions import col, named, round_half_even, text
 from scoreloom.functions.literals import small_table
 
 _ACCURACY = 10_000
@@ -43,7 +43,7 @@ def _brackets(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], whole_below: int
 ) -> list[_Bracket]:
     ends = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-_MARGIN, _MARGIN)})
-    sizes = df.agg(*(F.count(c).alias(c) for c in columns)).first()
+    sizes = df.selectExpr(*(named(f"count({col(c)})", c) for c in columns)).first()
     large = [c for c in columns if sizes[c] > whole_below]
     near = {}
     if large:
@@ -133,19 +133,16 @@ def exact_quantiles(
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 3, whole_below: int = 100_000) -> DataFrame:
     """One row per column: count, mean, sample deviation, minimum, quartiles, maximum."""
-    moments = df.agg(
+    moments = df.selectExpr(
         *(
-            F.struct(
-                F.lit(c).alias("metric"),
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-            ).alias(c)
+            named(
+                f"struct({text(c)} AS metric, count({col(c)}) AS n, avg({col(c)}) AS mean, "
+                f"stddev_samp({col(c)}) AS std, min({col(c)}) AS min, max({col(c)}) AS max)",
+                c,
+            )
             for c in columns
         )
-    ).select(F.inline(F.array(*columns)))
+    ).selectExpr(f"inline(array({', '.join(map(col, columns))}))")
     quartiles = (
         exact_quantiles(df, columns, (0.25, 0.5, 0.75), whole_below)
         .groupBy(F.col("metric").alias("of"))
@@ -158,5 +155,5 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 3, whole_below
     )
     figures = ("mean", "std", "min", "q25", "q50", "q75", "max")
     return moments.join(quartiles, F.col("metric") == F.col("of"), "left").select(
-        "metric", "n", *(round_half_even(F.col(f), digits).alias(f) for f in figures)
+        "metric", "n", *(F.expr(named(round_half_even(col(f), digits), f)) for f in figures)
     )

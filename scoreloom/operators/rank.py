@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.functions.expressions import round_half_even
+from scoreloom.functions.expressions import col, named, round_half_even, text
 from scoreloom.plans.staging import stage
 
 # monotonically_increasing_id() is (task number << 33) + row number in the task.
@@ -24,15 +24,14 @@ def percentile_table(df: DataFrame, group: str, scores: Sequence[str]) -> DataFr
     counts = (
         df.where(F.col(group).isNotNull())
         .unpivot([group], list(scores), "measure", "score")
-        .where(F.col("score").isNotNull())
+        .where("score IS NOT NULL")
         .groupBy(group, "measure", "score")
-        .agg(F.count(F.lit(1)).alias("ties"))
+        .agg(F.expr("count(*) AS ties"))
     )
-    members = Window.partitionBy(group, "measure")
-    so_far = members.orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    mean_rank = F.sum("ties").over(so_far) - (F.col("ties") - 1) / F.lit(2.0)
-    share = mean_rank / F.sum("ties").over(members) * F.lit(100.0)
-    return counts.select(group, "measure", "score", round_half_even(share).alias("pct"))
+    members = f"PARTITION BY {col(group)}, measure"
+    so_far = f"sum(ties) OVER ({members} ORDER BY score ROWS UNBOUNDED PRECEDING)"
+    share = f"({so_far} - (ties - 1) / 2D) / sum(ties) OVER ({members}) * 100D"
+    return counts.selectExpr(col(group), "measure", "score", named(round_half_even(share), "pct"))
 
 
 def percentile_lists(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame:
@@ -41,13 +40,13 @@ def percentile_lists(df: DataFrame, group: str, scores: Sequence[str]) -> DataFr
     table = percentile_table(df, group, scores)
     folded = table.groupBy(group).agg(
         *(
-            F.collect_list(F.when(F.col("measure") == s, F.struct("score", "pct"))).alias(f"_{s}")
+            F.expr(named(f"collect_list(CASE WHEN measure = {text(s)} THEN struct(score, pct) END)", f"_{s}"))
             for s in scores
         )
     )
-    return folded.select(
-        group,
-        *(F.col(f"_{s}.{part}").alias(f"_{s}_{part}") for s in scores for part in ("score", "pct")),
+    return folded.selectExpr(
+        col(group),
+        *(named(f"{col(f'_{s}')}.{part}", f"_{s}_{part}") for s in scores for part in ("score", "pct")),
     )
 
 
@@ -60,14 +59,12 @@ def group_percentiles(df: DataFrame, group: str, scores: Sequence[str]) -> DataF
     """
     lists = stage(percentile_lists(df, group, scores), "percentiles")
 
-    def percentile(score: str) -> Column:
-        at = F.array_position(F.col(f"_{score}_score"), F.col(score)).cast("int")
-        return F.element_at(F.col(f"_{score}_pct"), F.nullif(at, F.lit(0)))
+    def percentile(score: str) -> str:
+        at = f"int(array_position({col(f'_{score}_score')}, {col(score)}))"
+        return f"element_at({col(f'_{score}_pct')}, nullif({at}, 0))"
 
-    joined = df.join(lists, group, "left")
-    return joined.select(
-        *(df[c] for c in df.columns),
-        *(percentile(s).alias(f"{s}_{group}_pct") for s in scores),
+    return df.join(lists, group, "left").selectExpr(
+        *map(col, df.columns), *(named(percentile(s), f"{s}_{group}_pct") for s in scores)
     )
 
 

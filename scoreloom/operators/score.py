@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from scoreloom.config import FLAG, PENALTY, Metric, Scorecard
 from scoreloom.functions.expressions import (
     band,
     clip,
+    col,
+    named,
+    num,
     penalty,
     rating,
     round_half_even,
@@ -28,49 +28,48 @@ from scoreloom.operators.normalise import (
 )
 
 
-def _signed_term(metric: Metric) -> Column:
-    """A metric's weighted contribution; penalties are negative."""
-    weight = F.lit(float(metric.weight))
+def _term(metric: Metric) -> str:
+    """A metric's weighted contribution, with its sign."""
     if metric.kind == PENALTY:
-        return -(penalty(F.col(metric.column), metric.cap, metric.points) * weight)
+        return f"- {penalty(col(metric.column), metric.cap, metric.points)} * {num(metric.weight)}"
     if metric.kind == FLAG:
-        return F.col(metric.column).cast("double") * F.lit(100.0) * weight
-    x = scaling_input(metric)
-    return min_max_100(x, low(metric.column), high(metric.column), metric.lower_is_better) * weight
+        return f"+ double({col(metric.column)}) * 100D * {num(metric.weight)}"
+    bounds = low(metric.column), high(metric.column)
+    scaled = min_max_100(scaling_input(metric), *bounds, metric.lower_is_better)
+    return f"+ ({scaled}) * {num(metric.weight)}"
 
 
-def pillar_expression(card: Scorecard, slug: str) -> Column:
-    """Weighted sum in registry order, held to 0..100. Any null input gives null."""
-    raw = reduce(operator.add, [_signed_term(m) for m in card.of_pillar(slug)])
-    return clip(raw, 0.0, 100.0)
+def pillar_expression(card: Scorecard, slug: str) -> str:
+    """Weighted sum in registry order. Any null input gives null."""
+    return " ".join(_term(m) for m in card.of_pillar(slug)).removeprefix("+ ")
 
 
 def pillar_scores(df: DataFrame, card: Scorecard) -> DataFrame:
-    """``df`` plus one rounded score per pillar: one projection, no shuffle."""
+    """``df`` plus one rounded 0..100 score per pillar: a projection, no shuffle."""
     bounded = with_bounds(df, {m.column: scaling_input(m) for m in card.scaled})
-    return bounded.select(
-        *df.columns,
-        *(round_half_even(pillar_expression(card, p.slug)).alias(p.score) for p in card.pillars),
+    kept = [col(c) for c in df.columns]
+    raw = bounded.selectExpr(*kept, *(named(pillar_expression(card, p.slug), p.score) for p in card.pillars))
+    return raw.selectExpr(
+        *kept, *(named(round_half_even(clip(col(s), 0.0, 100.0)), s) for s in card.pillar_scores)
     )
 
 
-def weighted(card: Scorecard, weights: Mapping[str, float]) -> Column:
+def weighted(card: Scorecard, weights: Mapping[str, float]) -> str:
     """Weighted sum of the pillar scores, rounded."""
-    terms = [F.col(p.score) * F.lit(float(weights[p.slug])) for p in card.pillars]
-    return round_half_even(reduce(operator.add, terms))
+    return round_half_even(" + ".join(f"{col(p.score)} * {num(weights[p.slug])}" for p in card.pillars))
 
 
 def composite(df: DataFrame, card: Scorecard) -> DataFrame:
     """Add the composite of the rounded pillars and its letter."""
-    return df.withColumn(card.score, weighted(card, card.weights)).withColumn(
-        card.rating, rating(F.col(card.score))
+    return df.selectExpr("*", named(weighted(card, card.weights), card.score)).selectExpr(
+        "*", named(rating(col(card.score)), card.rating)
     )
 
 
 def bands(df: DataFrame, card: Scorecard) -> DataFrame:
     """Add the band of the composite and of every pillar."""
     names = {card.score: card.band, **{p.score: f"{p.slug}_band" for p in card.pillars}}
-    return df.withColumns({name: band(F.col(score)) for score, name in names.items()})
+    return df.selectExpr("*", *(named(band(col(score)), name) for score, name in names.items()))
 
 
 def equal_weight_pillars(df: DataFrame, card: Scorecard) -> DataFrame:
@@ -79,21 +78,17 @@ def equal_weight_pillars(df: DataFrame, card: Scorecard) -> DataFrame:
     Nulls are skipped here, unlike in :func:`pillar_scores`.
     """
     keep = [c for c in (*card.id_columns, card.size) if c]
-    scaled = normalise_01(df, card, keep)
-    return scaled.select(
-        *keep,
-        *(
-            round_half_even(row_mean([F.col(m.column) for m in card.of_pillar(p.slug)]) * 100).alias(p.score)
-            for p in card.pillars
-        ),
+
+    def score(slug: str) -> str:
+        return round_half_even(f"{row_mean([col(m.column) for m in card.of_pillar(slug)])} * 100D")
+
+    return normalise_01(df, card, keep).selectExpr(
+        *map(col, keep), *(named(score(p.slug), p.score) for p in card.pillars)
     )
 
 
 def compare_weights(pillars: DataFrame, card: Scorecard, derived: Mapping[str, float]) -> DataFrame:
     """Add the composite under fixed and under derived weights, and their gap."""
-    fixed, own, gap = f"{card.score}_hardcoded", f"{card.score}_pca", "score_delta"
-    return (
-        pillars.withColumn(fixed, weighted(card, card.weights))
-        .withColumn(own, weighted(card, derived))
-        .withColumn(gap, round_half_even(F.col(own) - F.col(fixed)))
-    )
+    fixed, own = f"{card.score}_hardcoded", f"{card.score}_pca"
+    both = pillars.selectExpr("*", named(weighted(card, card.weights), fixed), named(weighted(card, derived), own))
+    return both.selectExpr("*", named(round_half_even(f"{col(own)} - {col(fixed)}"), "score_delta"))

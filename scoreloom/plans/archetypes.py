@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
-from scoreloom.functions.expressions import mean_of_rounded
+from scoreloom.functions.expressions import col, mean_of_rounded, named
 from scoreloom.operators.cluster import RESTARTS, Sweep, sweep_clusters, weigh_points
 from scoreloom.operators.features import (
     assemble,
@@ -96,7 +96,7 @@ def assign_clusters(pillars: DataFrame, card: Scorecard, sweep: Sweep) -> DataFr
     means = (
         labelled.where(F.col("_raw").isNotNull())
         .groupBy("_raw")
-        .agg(mean_of_rounded(F.col(f"{card.score}_pca")).alias("mean"))
+        .agg(F.expr(named(mean_of_rounded(col(f"{card.score}_pca")), "mean")))
         .collect()
     )
     order = sorted(means, key=lambda r: (r["mean"], r["_raw"]))

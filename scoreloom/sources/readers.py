@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.config import Scorecard
-from scoreloom.functions.expressions import nan_to_null
+from scoreloom.functions.expressions import col, nan_to_null
 
 # The texts a CSV cell may hold for "no value".
 NULL_TEXTS = (
@@ -31,7 +31,7 @@ def clean_header(df: DataFrame) -> DataFrame:
 def nulls_for_nan(df: DataFrame) -> DataFrame:
     """Turn NaN into null: Spark would otherwise rank it above every number."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: nan_to_null(F.col(c)) for c in floats}) if floats else df
+    return df.withColumns({c: F.expr(nan_to_null(col(c))) for c in floats}) if floats else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
