@@ -6,14 +6,17 @@ registry reaches the JVM in one call rather than one call per operator.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from scoreloom.config import BANDS, LOWEST_BAND, RATING_EDGES, RATING_LETTERS, Archetype
 
 
-def num(value: float) -> str:
+def num(value: float | None) -> str:
     """A double literal. (A bare ``0.25`` would be a decimal.)"""
-    return f"{float(value)!r}D"
+    if value is None:
+        return "double(NULL)"
+    return f"{float(value)!r}D" if math.isfinite(value) else f"double('{float(value)}')"
 
 
 def text(value: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
-from scoreloom.functions.expressions import col, named, percent_text, round_half_even
+from scoreloom.functions.expressions import col, named, num, percent_text, round_half_even
 from scoreloom.functions.literals import small_table
 
 
@@ -22,13 +22,13 @@ def standardise(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> D
             for name, function in (("mean", "avg"), ("dev", "stddev_pop"))
         )
     )
-    held = df.withColumn("_moments", moments.selectExpr("struct(*)").scalar())
+    row = moments.first()
 
     def z(c: str) -> str:
-        mean, dev = f"_moments.{col(f'{c}_mean')}", f"_moments.{col(f'{c}_dev')}"
-        return f"CASE WHEN {dev} = 0 THEN {col(c)} * 0D ELSE ({col(c)} - {mean}) / {dev} END"
+        mean, dev = row[f"{c}_mean"], row[f"{c}_dev"]
+        return f"{col(c)} * 0D" if dev == 0 else f"({col(c)} - {num(mean)}) / {num(dev)}"
 
-    return held.selectExpr(*map(col, keep), *(named(z(c), c) for c in columns))
+    return df.selectExpr(*map(col, keep), *(named(z(c), c) for c in columns))
 
 
 def assemble(df: DataFrame, columns: Sequence[str], incomplete: str = "error") -> DataFrame:

@@ -13,10 +13,9 @@ from scoreloom.functions.expressions import (
     named,
     round_half_even,
     score_text,
-    text,
 )
 from scoreloom.functions.literals import small_table
-from scoreloom.operators.normalise import linear_inputs, min_max_100, universe_bounds
+from scoreloom.operators.normalise import find_bounds, linear_inputs
 from scoreloom.operators.rank import bottom_n, top_n, with_position
 
 
@@ -36,33 +35,30 @@ def scores_long(scored: DataFrame, card: Scorecard) -> DataFrame:
 def metric_detail(entities: DataFrame, card: Scorecard) -> DataFrame:
     """One row per entity and scaled metric: raw value, linear 0..100 score, direction.
 
-    The bounds become a table of one row per metric, joined with the registry,
-    so the rows are melted in a single pass and meet a table as long as the
-    registry, whatever the size of the universe.
+    The registry, bounds included, becomes a table of one row per metric. The
+    entities are melted in a single pass and meet it there.
     """
-    spark = entities.sparkSession
     inputs = linear_inputs(card.scaled)
-    rows = ", ".join(
-        f"struct({text(c)} AS column, {col(f'{c}_lo')} AS lo, {col(f'{c}_hi')} AS hi)" for c in inputs
+    bounds = find_bounds(entities, inputs)
+    facts = small_table(
+        entities.sparkSession,
+        [
+            (m.column, card.pillar_label(m.pillar), m.label, m.lower_is_better, *bounds[m.column])
+            for m in card.scaled
+        ],
+        "column string, pillar string, metric_name string, lower_is_better boolean, lo double, hi double",
     )
-    bounds = universe_bounds(entities, inputs).selectExpr(f"inline(array({rows}))")
-    registry = small_table(
-        spark,
-        [(m.column, card.pillar_label(m.pillar), m.label, m.lower_is_better) for m in card.scaled],
-        "column string, pillar string, metric_name string, lower_is_better boolean",
-    )
-    facts = registry.join(bounds, "column")
     long = entities.selectExpr(
         *map(col, card.id_columns), *(named(x, c) for c, x in inputs.items())
     ).unpivot(card.id_columns, list(inputs), "column", "raw_value")
-    up, down = (min_max_100("raw_value", "lo", "hi", invert) for invert in (False, True))
-    scaled = f"CASE WHEN lower_is_better THEN {down} ELSE {up} END"
+    scaled = "(raw_value - lo) / (hi - lo) * 100D"
+    directed = f"CASE WHEN lo = hi THEN 50D WHEN lower_is_better THEN 100D - {scaled} ELSE {scaled} END"
     return long.join(F.broadcast(facts), "column").selectExpr(
         *map(col, card.id_columns),
         "pillar",
         "metric_name",
         "raw_value",
-        named(round_half_even(scaled), "normalised_score"),
+        named(round_half_even(directed), "normalised_score"),
         "lower_is_better",
     )
 

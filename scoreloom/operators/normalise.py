@@ -1,7 +1,9 @@
 """Universe-wide min-max scaling.
 
-All bounds come from one aggregate over the universe and enter the projection
-as a scalar subquery: a constant for codegen, with no join and no window.
+One aggregate finds all bounds; that one row comes to the driver and enters
+every later projection as literals. Constant and empty columns are settled
+while the plan is built, so the generated code per row stays small, and the
+universe is scanned for its bounds once however many results use them.
 """
 
 from __future__ import annotations
@@ -11,9 +13,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from scoreloom.config import Metric, Scorecard
-from scoreloom.functions.expressions import col, named
+from scoreloom.functions.expressions import col, named, num
 
-_BOUNDS = "_bounds"
+Range = tuple[float | None, float | None]
 
 
 def scaling_input(metric: Metric, linear: bool = False) -> str:
@@ -33,31 +35,31 @@ def universe_bounds(df: DataFrame, inputs: Mapping[str, str]) -> DataFrame:
     )
 
 
-def with_bounds(df: DataFrame, inputs: Mapping[str, str]) -> DataFrame:
-    """Attach the universe bounds to every row as one struct column."""
-    bounds = universe_bounds(df, inputs).selectExpr("struct(*)").scalar()
-    return df.withColumn(_BOUNDS, bounds)
+def find_bounds(df: DataFrame, inputs: Mapping[str, str]) -> dict[str, Range]:
+    """Minimum and maximum of every input, null where a column has no value."""
+    row = universe_bounds(df, inputs).first()
+    return {name: (row[f"{name}_lo"], row[f"{name}_hi"]) for name in inputs}
 
 
-def low(name: str) -> str:
-    return f"{_BOUNDS}.{col(f'{name}_lo')}"
-
-
-def high(name: str) -> str:
-    return f"{_BOUNDS}.{col(f'{name}_hi')}"
-
-
-def min_max_100(x: str, lo: str, hi: str, invert: bool = False) -> str:
+def min_max_100(x: str, bounds: Range, invert: bool = False) -> str:
     """Scale to 0..100. A constant column is 50 on every row, null rows included;
     a column without values stays null."""
-    scaled = f"({x} - {lo}) / ({hi} - {lo}) * 100D"
-    return f"CASE WHEN {hi} = {lo} THEN 50D ELSE {f'100D - {scaled}' if invert else scaled} END"
+    lo, hi = bounds
+    if lo is None:
+        return num(None)
+    if lo == hi:
+        return num(50)
+    scaled = f"({x} - {num(lo)}) / {num(hi - lo)} * 100D"
+    return f"100D - {scaled}" if invert else scaled
 
 
-def min_max_01(x: str, lo: str, hi: str, invert: bool = False) -> str:
+def min_max_01(x: str, bounds: Range, invert: bool = False) -> str:
     """Scale to 0..1. Without a spread (constant, or no values) every row is 0.5."""
-    scaled = f"({x} - {lo}) / ({hi} - {lo})"
-    return f"CASE WHEN {hi} > {lo} THEN {f'1D - {scaled}' if invert else scaled} ELSE 0.5D END"
+    lo, hi = bounds
+    if lo is None or lo == hi:
+        return num(0.5)
+    scaled = f"({x} - {num(lo)}) / {num(hi - lo)}"
+    return f"1D - {scaled}" if invert else scaled
 
 
 def linear_inputs(metrics: Iterable[Metric]) -> dict[str, str]:
@@ -67,10 +69,11 @@ def linear_inputs(metrics: Iterable[Metric]) -> dict[str, str]:
 def normalise_01(df: DataFrame, card: Scorecard, keep: Iterable[str]) -> DataFrame:
     """``keep`` columns plus all metrics scaled linearly to 0..1, higher is better."""
     inputs = linear_inputs(card.metrics)
-    return with_bounds(df, inputs).selectExpr(
+    bounds = find_bounds(df, inputs)
+    return df.selectExpr(
         *map(col, keep),
         *(
-            named(min_max_01(inputs[m.column], low(m.column), high(m.column), m.lower_is_better), m.column)
+            named(min_max_01(inputs[m.column], bounds[m.column], m.lower_is_better), m.column)
             for m in card.metrics
         ),
     )
@@ -79,10 +82,11 @@ def normalise_01(df: DataFrame, card: Scorecard, keep: Iterable[str]) -> DataFra
 def normalise_100(df: DataFrame, card: Scorecard, keep: Iterable[str]) -> DataFrame:
     """``keep`` columns plus the scaled metrics at 0..100, log transforms applied."""
     inputs = {m.column: scaling_input(m) for m in card.scaled}
-    return with_bounds(df, inputs).selectExpr(
+    bounds = find_bounds(df, inputs)
+    return df.selectExpr(
         *map(col, keep),
         *(
-            named(min_max_100(inputs[m.column], low(m.column), high(m.column), m.lower_is_better), m.column)
+            named(min_max_100(inputs[m.column], bounds[m.column], m.lower_is_better), m.column)
             for m in card.scaled
         ),
     )

@@ -19,36 +19,36 @@ from scoreloom.functions.expressions import (
     row_mean,
 )
 from scoreloom.operators.normalise import (
-    high,
-    low,
+    Range,
+    find_bounds,
     min_max_100,
     normalise_01,
     scaling_input,
-    with_bounds,
 )
 
 
-def _term(metric: Metric) -> str:
+def _term(metric: Metric, bounds: Mapping[str, Range]) -> str:
     """A metric's weighted contribution, with its sign."""
     if metric.kind == PENALTY:
         return f"- {penalty(col(metric.column), metric.cap, metric.points)} * {num(metric.weight)}"
     if metric.kind == FLAG:
         return f"+ double({col(metric.column)}) * 100D * {num(metric.weight)}"
-    bounds = low(metric.column), high(metric.column)
-    scaled = min_max_100(scaling_input(metric), *bounds, metric.lower_is_better)
+    scaled = min_max_100(scaling_input(metric), bounds[metric.column], metric.lower_is_better)
     return f"+ ({scaled}) * {num(metric.weight)}"
 
 
-def pillar_expression(card: Scorecard, slug: str) -> str:
+def pillar_expression(card: Scorecard, slug: str, bounds: Mapping[str, Range]) -> str:
     """Weighted sum in registry order. Any null input gives null."""
-    return " ".join(_term(m) for m in card.of_pillar(slug)).removeprefix("+ ")
+    return " ".join(_term(m, bounds) for m in card.of_pillar(slug)).removeprefix("+ ")
 
 
 def pillar_scores(df: DataFrame, card: Scorecard) -> DataFrame:
     """``df`` plus one rounded 0..100 score per pillar: a projection, no shuffle."""
-    bounded = with_bounds(df, {m.column: scaling_input(m) for m in card.scaled})
+    bounds = find_bounds(df, {m.column: scaling_input(m) for m in card.scaled})
     kept = [col(c) for c in df.columns]
-    raw = bounded.selectExpr(*kept, *(named(pillar_expression(card, p.slug), p.score) for p in card.pillars))
+    raw = df.selectExpr(
+        *kept, *(named(pillar_expression(card, p.slug, bounds), p.score) for p in card.pillars)
+    )
     return raw.selectExpr(
         *kept, *(named(round_half_even(clip(col(s), 0.0, 100.0)), s) for s in card.pillar_scores)
     )
