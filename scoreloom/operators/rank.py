@@ -13,9 +13,6 @@ from scoreloom.plans.staging import stage
 # monotonically_increasing_id() is (task number << 33) + row number in the task.
 _ROW_BITS = 33
 
-# Scores lie on the grid 0.0, 0.1, ... 100.0.
-_SLOTS = 1001
-
 
 def percentile_table(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame:
     """Percentile of every distinct score in its group: average rank over group size.
@@ -37,45 +34,21 @@ def percentile_table(df: DataFrame, group: str, scores: Sequence[str]) -> DataFr
     return counts.selectExpr(col(group), "measure", "score", named(round_half_even(share), "pct"))
 
 
-def percentile_lists(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame:
-    """The percentile table folded to one row per group: for every score the
-    list of percentiles at 0.0, 0.1, ... 100.0, null where no row has that score."""
-    table = percentile_table(df, group, scores)
-    folded = table.groupBy(group).agg(
-        *(
-            F.expr(
-                "map_from_entries(collect_list("
-                f"CASE WHEN measure = {text(s)} THEN struct({_slot('score')} AS slot, pct) END)) AS {col(f'_{s}')}"
-            )
-            for s in scores
-        )
-    )
-    return folded.selectExpr(
-        col(group),
-        *(
-            named(f"transform(sequence(1, {_SLOTS}), slot -> try_element_at({col(f'_{s}')}, slot))", f"_{s}")
-            for s in scores
-        ),
-    )
-
-
-def _slot(score: str) -> str:
-    """Place of a score in the lists, counting from 1."""
-    return f"int(rint({score} * 10)) + 1"
-
-
 def group_percentiles(df: DataFrame, group: str, scores: Sequence[str]) -> DataFrame:
     """Add ``{score}_{group}_pct`` for every score; null score or group gives null.
 
-    One join on the group serves all scores: by broadcast while the lists are
-    small on disk, else by a shuffle in which a large group can be split, as its
-    other side is a single row. Each score then finds its percentile by place.
+    The table of percentiles is staged, so its size is known: the lookups are
+    broadcasts while it is small, and shuffles (split by AQE where a score is
+    frequent) once there are too many groups for that.
     """
-    lists = stage(percentile_lists(df, group, scores), "percentiles")
-    return df.join(lists, group, "left").selectExpr(
-        *map(col, df.columns),
-        *(named(f"element_at({col(f'_{s}')}, {_slot(col(s))})", f"{s}_{group}_pct") for s in scores),
-    )
+    table = stage(percentile_table(df, group, scores), "percentiles")
+    out = df
+    for score in scores:
+        one = table.where(f"measure = {text(score)}").selectExpr(
+            col(group), named("score", score), named("pct", f"{score}_{group}_pct")
+        )
+        out = out.join(one, [group, score], "left")
+    return out.select(*df.columns, *(f"{s}_{group}_pct" for s in scores))
 
 
 def top_n(df: DataFrame, score: str, key: str, n: int = 5) -> DataFrame:
