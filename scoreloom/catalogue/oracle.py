@@ -352,8 +352,8 @@ FROM scored""",
     "group_box_stats": _statement(
         SCORED,
         f"""SELECT segment, count({COMPOSITE}) AS entities, min({COMPOSITE}) AS low,
-  quantile_cont({COMPOSITE}, 0.25) AS q25, quantile_cont({COMPOSITE}, 0.5) AS q50,
-  quantile_cont({COMPOSITE}, 0.75) AS q75, max({COMPOSITE}) AS high
+  {', '.join(f"{_round(f'quantile_cont({COMPOSITE}, {q / 100})', 3)} AS q{q}" for q in (25, 50, 75))},
+  max({COMPOSITE}) AS high
 FROM scored WHERE segment IS NOT NULL GROUP BY segment""",
     ),
     "metric_describe": _statement(NORMALISED, _union([_describe(m) for m in CARD.metrics])),

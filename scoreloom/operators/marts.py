@@ -202,9 +202,8 @@ def group_box_stats(scored: DataFrame, card: Scorecard) -> DataFrame:
             card.group,
             "entities",
             "low",
-            F.col("q")[0].alias("q25"),
-            F.col("q")[1].alias("q50"),
-            F.col("q")[2].alias("q75"),
+            # Points between two scores a tenth apart have three decimals at most.
+            *(F.expr(named(round_half_even(f"q[{i}]", 3), n)) for i, n in enumerate(("q25", "q50", "q75"))),
             "high",
         )
     )

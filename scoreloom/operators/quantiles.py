@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloom.functions.expressions import col, named, round_half_even, text
+from scoreloom.functions.expressions import col, named, num, round_half_even, text
 from scoreloom.functions.literals import small_table
 
 _ACCURACY = 10_000
@@ -47,8 +47,9 @@ def _brackets(
     large = [c for c in columns if sizes[c] > whole_below]
     near = {}
     if large:
-        near = df.agg(
-            *(F.percentile_approx(c, [F.lit(e) for e in ends], _ACCURACY).alias(c) for c in large)
+        points = ", ".join(map(num, ends))
+        near = df.selectExpr(
+            *(named(f"percentile_approx({col(c)}, array({points}), {_ACCURACY})", c) for c in large)
         ).first()
 
     out = []
