@@ -18,7 +18,6 @@ from scoreloom.operators import marts
 from scoreloom.operators.cluster import (
     euclidean_silhouette,
     squared_silhouette,
-    sweep_clusters,
     weigh_points,
 )
 from scoreloom.operators.features import pillar_affinity, standardise
@@ -34,10 +33,10 @@ from scoreloom.operators.quantiles import describe
 from scoreloom.operators.rank import bottom_n, group_percentiles, top_n
 from scoreloom.operators.score import compare_weights, equal_weight_pillars, pillar_scores
 from scoreloom.plans.archetypes import (
-    cluster_points,
     derive_weights,
     enhance_scorecard,
     standardised_pillars,
+    sweep_pillars,
 )
 from scoreloom.plans.scorecard import build_scorecard, score_entities
 from scoreloom.plans.staging import stage
@@ -138,30 +137,24 @@ def country_members(entities: DataFrame) -> DataFrame:
     )
 
 
-def _embedding_points(spark: SparkSession, folder: str) -> DataFrame:
+def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet").na.drop(subset=["embedding", "label"])
-    return weigh_points(
-        vectors.select(F.col("embedding").cast("array<double>").alias("features"), "label"),
-        ["features"],
-        ["label"],
-    )
+    return vectors.select(F.col("embedding").cast("array<double>").alias("features"), "label")
 
 
 def silhouette_exact(spark: SparkSession, folder: str) -> DataFrame:
-    found = euclidean_silhouette(_embedding_points(spark, folder), ["label"])
-    return _rounded(found.select("silhouette"), ["silhouette"], 3)
+    points = weigh_points(_embeddings(spark, folder), ["features"], ["label"])
+    return _rounded(euclidean_silhouette(points, ["label"]).select("silhouette"), ["silhouette"], 3)
 
 
 def silhouette_squared(spark: SparkSession, folder: str) -> DataFrame:
-    points = _embedding_points(spark, folder).withColumn("features", array_to_vector("features"))
-    value = squared_silhouette(stage(points, "embedding-points"), "label")
+    rows = _embeddings(spark, folder).withColumn("features", array_to_vector("features"))
+    value = squared_silhouette(stage(rows, "embedding-rows"), "label")
     return _rounded(small_table(spark, [(value,)], "silhouette double"), ["silhouette"], 3)
 
 
 def kmeans_sweep(entities: DataFrame) -> DataFrame:
-    compared = equal_weight_pillars(entities, CARD)
-    points = cluster_points(standardised_pillars(compared, CARD), CARD)
-    return sweep_clusters(points).table
+    return sweep_pillars(standardised_pillars(equal_weight_pillars(entities, CARD), CARD), CARD).table
 
 
 def cluster_scores(entities: DataFrame) -> DataFrame:

@@ -27,6 +27,9 @@ FIRST_SEED = 42
 MAX_ITERATIONS = 300
 MOVE = 1e-4
 
+# Distinct points up to which the quadratic, exact silhouette is worth its cost.
+EXACT_UP_TO = 50_000
+
 
 @dataclass(frozen=True)
 class Fit:
@@ -146,11 +149,15 @@ def euclidean_silhouette(points: DataFrame, sweeps: Sequence[str]) -> DataFrame:
     )
 
 
-def squared_silhouette(points: DataFrame, sweep: str) -> float:
-    """Mean silhouette under squared Euclidean distance: one linear pass."""
+def squared_silhouette(rows: DataFrame, sweep: str) -> float:
+    """Mean silhouette under squared Euclidean distance: one linear pass.
+
+    ``rows`` are single rows. The evaluator would not count a weighted point as
+    that many copies, so weights are of no use here.
+    """
     return ClusteringEvaluator(
-        featuresCol="features", predictionCol=sweep, weightCol="weight", distanceMeasure="squaredEuclidean"
-    ).evaluate(points)
+        featuresCol="features", predictionCol=sweep, distanceMeasure="squaredEuclidean"
+    ).evaluate(rows)
 
 
 @dataclass(frozen=True)
@@ -165,14 +172,16 @@ class Sweep:
 
 def sweep_clusters(
     points: DataFrame,
+    rows: DataFrame,
     ks: Sequence[int] = CLUSTER_COUNTS,
     restarts: int = RESTARTS,
-    exact_up_to: int = 50_000,
+    exact_up_to: int = EXACT_UP_TO,
 ) -> Sweep:
     """Fit every k, score the fits and choose.
 
-    Up to ``exact_up_to`` distinct points the silhouette is the exact Euclidean
-    one; beyond that it is the linear squared-Euclidean one, over all points as
+    ``rows`` holds the ``features`` of every row, ``points`` those that differ,
+    with their weight. Up to ``exact_up_to`` distinct points the silhouette is the exact Euclidean
+    one; beyond that it is the linear squared-Euclidean one, over all rows as
     well. ``kind`` says which. Silhouettes are rounded to three places before
     the highest is taken; ties go to the smaller k.
     """
@@ -180,15 +189,14 @@ def sweep_clusters(
     distinct = points.count()
     ks = [k for k in ks if k < distinct]
     fits = best_fits(points, ks, restarts)
-    labelled = label_points(points, fits)
     sweeps = [f"k{f.k}" for f in fits]
     if distinct <= exact_up_to:
         kind = "euclidean"
-        arrays = labelled.withColumn("features", vector_to_array("features"))
+        arrays = label_points(points, fits).withColumn("features", vector_to_array("features"))
         found = {r["sweep"]: r["silhouette"] for r in euclidean_silhouette(arrays, sweeps).collect()}
     else:
         kind = "squared_euclidean"
-        held = stage(labelled.select("features", "weight", *sweeps), "labelled-points")
+        held = stage(label_points(rows.select("features"), fits), "labelled-rows")
         found = {s: squared_silhouette(held, s) for s in sweeps}
     rounded = {f.k: round(found[f"k{f.k}"], 3) for f in fits}
     best = min(fits, key=lambda f: (-rounded[f.k], f.k))

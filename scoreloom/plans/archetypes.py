@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
 from scoreloom.functions.expressions import col, mean_of_rounded, named
-from scoreloom.operators.cluster import RESTARTS, Sweep, sweep_clusters, weigh_points
+from scoreloom.operators.cluster import EXACT_UP_TO, RESTARTS, Sweep, sweep_clusters, weigh_points
 from scoreloom.operators.features import (
     assemble,
     component_table,
@@ -72,11 +72,17 @@ def standardised_pillars(compared: DataFrame, card: Scorecard) -> DataFrame:
     return stage(standardise(renamed, [_z(s) for s in card.pillar_scores], compared.columns), "pillars")
 
 
-def cluster_points(pillars: DataFrame, card: Scorecard) -> DataFrame:
-    """Distinct standardised points, weighted, as feature vectors; incomplete rows left out."""
+def sweep_pillars(
+    pillars: DataFrame, card: Scorecard, restarts: int = RESTARTS, exact_up_to: int = EXACT_UP_TO
+) -> Sweep:
+    """The k sweep over standardised pillar scores; incomplete rows are left out."""
     columns = [_z(s) for s in card.pillar_scores]
-    distinct = weigh_points(pillars.na.drop(subset=columns), columns)
-    return stage(assemble(distinct, columns).select("features", "weight"), "points")
+    complete = pillars.na.drop(subset=columns)
+    points = stage(
+        assemble(weigh_points(complete, columns), columns).select("features", "weight"), "points"
+    )
+    rows = assemble(complete, columns).select("features")
+    return sweep_clusters(points, rows, restarts=restarts, exact_up_to=exact_up_to)
 
 
 def assign_clusters(pillars: DataFrame, card: Scorecard, sweep: Sweep) -> DataFrame:
@@ -111,7 +117,7 @@ def enhance_scorecard(
     card: Scorecard,
     incomplete: str = "error",
     restarts: int = RESTARTS,
-    exact_up_to: int = 50_000,
+    exact_up_to: int = EXACT_UP_TO,
 ) -> Enhanced:
     """Derived weights, both composites, clusters and archetypes.
 
@@ -123,7 +129,7 @@ def enhance_scorecard(
     weights = derive_weights(entities, card, incomplete)
     compared = compare_weights(equal_weight_pillars(entities, card), card, weights.by_slug())
     pillars = standardised_pillars(compared, card)
-    sweep = sweep_clusters(cluster_points(pillars, card), restarts=restarts, exact_up_to=exact_up_to)
+    sweep = sweep_pillars(pillars, card, restarts, exact_up_to)
     assigned = assign_clusters(pillars, card, sweep)
     profiles = stage(cluster_profiles(assigned, card, "cluster_id", f"{card.score}_pca"), "profiles")
     scores = with_archetype(assigned, profiles, "cluster_id").select(*compared.columns, "cluster_id", "archetype")

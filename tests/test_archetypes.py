@@ -63,6 +63,23 @@ def test_silhouette_of_one_cluster_is_null(spark):
     assert cluster.euclidean_silhouette(df, names).first()["silhouette"] is None
 
 
+def test_squared_silhouette_counts_every_copy(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 2)).round(1)
+    x[:20] = x[0]
+    labels = rng.integers(0, 3, 60)
+    labels[:20] = labels[0]
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    want = []
+    for i, own in enumerate(labels):
+        a = d[i, labels == own].sum() / ((labels == own).sum() - 1)
+        b = min(d[i, labels == c].mean() for c in set(labels) - {own})
+        want.append((b - a) / max(a, b))
+    pdf = pd.DataFrame(x, columns=["a", "b"]).assign(k=labels)
+    rows = assemble(spark.createDataFrame(pdf), ["a", "b"])
+    assert cluster.squared_silhouette(rows, "k") == pytest.approx(np.mean(want), abs=1e-9)
+
+
 def test_distances_agree():
     rng = np.random.default_rng(2)
     a, b = rng.normal(size=(20, 16)), rng.normal(size=(30, 16))
@@ -123,9 +140,9 @@ def test_best_k_is_chosen_on_rounded_silhouettes(spark):
     x = np.concatenate([c + rng.normal(0, 0.5, (40, 3)) for c in centres])
     df = assemble(spark.createDataFrame(pd.DataFrame(x, columns=list("abc"))), list("abc"))
     weighted = df.selectExpr("features", "1D AS weight").cache()
-    sweep = cluster.sweep_clusters(weighted, ks=(2, 3, 4), restarts=2)
+    sweep = cluster.sweep_clusters(weighted, weighted, ks=(2, 3, 4), restarts=2)
     assert sweep.best.k == 3 and sweep.kind == "euclidean"
-    linear = cluster.sweep_clusters(weighted, ks=(2, 3), restarts=1, exact_up_to=10)
+    linear = cluster.sweep_clusters(weighted, weighted, ks=(2, 3), restarts=1, exact_up_to=10)
     assert linear.best.k == 3 and linear.kind == "squared_euclidean"
 
 
