@@ -5,17 +5,24 @@ executors, is read back column by column, and its size on disk is known to the
 planner. The last point is why small lookup tables are staged too: Spark then
 broadcasts them when, and only when, their real size allows it, and shuffles
 otherwise. No join in this package forces a broadcast of data that can grow.
+
+Whoever stages a table may release it once nothing reads it any more; what is
+never released stays in the shared folder.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_SHARED: dict[tuple[str, str], DataFrame] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -36,10 +43,42 @@ def _local_scratch(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"scoreloom-{application}-")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other table has."""
+    return f"{staging_root(spark)}/scoreloom/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a reader of the written table."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/scoreloom/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     # Columns read from files are nullable; giving the schema saves a footer scan.
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def stage_once(spark: SparkSession, key: str, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table staged under ``key`` in this application; built at its first use."""
+    slot = (spark.sparkContext.applicationId, key)
+    if slot not in _SHARED:
+        _SHARED[slot] = stage(build(), name)
+    return _SHARED[slot]
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables; nothing may read them afterwards."""
+    for table in tables:
+        path = _PATHS.pop(table, None)
+        if path is not None:
+            spark = table.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release_shared(spark: SparkSession) -> None:
+    """Delete every table that ``stage_once`` keeps for this application."""
+    application = spark.sparkContext.applicationId
+    for slot in [s for s in _SHARED if s[0] == application]:
+        release(_SHARED.pop(slot))
