@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 # Windows of lines that reach fifty words first; a line goes if a window around it stood before.
 LINE_DEDUP = r"""
 WITH cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS raw FROM documents),
 marked AS (
   SELECT doc_id, text, raw,
-    list_transform(raw, l -> lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))) AS norm FROM cut),
+    list_transform(raw, lambda l: lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))) AS norm FROM cut),
 lines AS (
-  SELECT doc_id, unnest(norm) AS line, generate_subscripts(norm, 1) AS at FROM marked),
+  SELECT doc_id, unnest(norm) AS line, generate_subscripts(norm, 1) AS spot FROM marked),
 solid AS (
-  SELECT doc_id, line, at, row_number() OVER (PARTITION BY doc_id ORDER BY at) - 1 AS i,
+  SELECT doc_id, line, spot, row_number() OVER (PARTITION BY doc_id ORDER BY spot) - 1 AS i,
     len(string_split(line, ' ')) AS n FROM lines WHERE line <> ''),
 summed AS (
   SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS through FROM solid),
@@ -29,28 +29,28 @@ placed AS (
 gone AS (
   SELECT DISTINCT doc_id, unnest(generate_series(i, e)) AS i FROM placed WHERE turn > 1),
 places AS (
-  SELECT gone.doc_id, list(at) AS ats, count(*) AS n_removed FROM gone JOIN solid USING (doc_id, i) GROUP BY gone.doc_id),
+  SELECT gone.doc_id, list(spot) AS spots, count(*) AS n_removed FROM gone JOIN solid USING (doc_id, i) GROUP BY gone.doc_id),
 owners AS (
-  SELECT l.doc_id, l.at, max(s.at) AS owner FROM lines l JOIN solid s ON l.doc_id = s.doc_id AND s.at <= l.at GROUP BY l.doc_id, l.at),
+  SELECT l.doc_id, l.spot, max(s.spot) AS owner FROM lines l JOIN solid s ON l.doc_id = s.doc_id AND s.spot <= l.spot GROUP BY l.doc_id, l.spot),
 kept AS (
-  SELECT o.doc_id, list(o.at) AS lost FROM owners o JOIN places p ON o.doc_id = p.doc_id AND list_contains(p.ats, o.owner) GROUP BY o.doc_id)
+  SELECT o.doc_id, list(o.spot) AS lost FROM owners o JOIN places p ON o.doc_id = p.doc_id AND list_contains(p.spots, o.owner) GROUP BY o.doc_id)
 SELECT marked.doc_id AS doc_id,
-  CASE WHEN lost IS NULL THEN text ELSE array_to_string(list_filter(raw, (l, at) -> NOT list_contains(lost, at)), chr(10)) END AS text,
+  CASE WHEN lost IS NULL THEN text ELSE array_to_string(list_filter(raw, lambda l, spot: NOT list_contains(lost, spot)), chr(10)) END AS text,
   CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
 FROM marked LEFT JOIN places ON marked.doc_id = places.doc_id LEFT JOIN kept ON marked.doc_id = kept.doc_id
 """
 
 NGRAM_JOIN = rf"""
 WITH RECURSIVE listed AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 grams AS (
   SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 4 THEN w ELSE list_slice(w, i, i + 3) END, ' ') AS g
   FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM listed WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
-overlaps AS (
+counts AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 links AS (
-  SELECT a, b FROM overlaps JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+  SELECT a, b FROM counts JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
 reach AS (
   SELECT doc_id AS node, doc_id AS seen FROM documents
   UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.seen = links.a)
@@ -72,8 +72,8 @@ base AS (
   SELECT l.doc_id, source, text, CAST(len(w) AS BIGINT) AS n_words,
     CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0) AS BIGINT) AS n_symbols,
-    CAST(coalesce(len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-       - len(list_distinct(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))), 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+       - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))), 0) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
   FROM listed l LEFT JOIN covered c ON l.doc_id = c.doc_id),
 lines AS (
@@ -93,8 +93,8 @@ FROM base b LEFT JOIN gone g ON b.doc_id = g.doc_id
 
 TOPK = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
     CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
@@ -104,7 +104,7 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 20
 """
 
-_BASE32 = """array_to_string(list_transform(generate_series(0, 31), i ->
+_BASE32 = """array_to_string(list_transform(generate_series(0, 31), lambda i:
   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(d, 1 + 10 * (i // 8), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31 AS INTEGER) + 1, 1)), '')"""
 
 WARC = f"""
