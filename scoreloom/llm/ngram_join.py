@@ -12,10 +12,10 @@ its n-grams as a set in that order.
    fragment apart, and the partial counts are summed per pair.
 
 Pairs inside a large bucket are never listed. The first pass compares every
-document with the least one of its buckets, and links merge. What is left are
-buckets that still hold several components. Small ones give their pairs. The
-documents of large ones are cut into blocks, and a task counts the overlaps of
-two blocks as matrix products, fragment by fragment; only links leave it.
+document with the least one of its buckets, and those of small buckets with one
+another; links merge. What is left are large buckets that still hold several
+components. Their documents are cut into blocks, and a task counts the overlaps
+of two blocks as matrix products, fragment by fragment; only links leave it.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ SKETCH_PARTS = 64
 FRAGMENTS = 8  # of the global order, for counting pair by pair
 BLOCK = 256  # documents of a block
 SMALL_BUCKET = 32  # rows of a bucket that gives its pairs one by one
+MARK_BITS = 24
 WIDTH = 1 << 14  # n-grams of a fragment inside a block task
 _U = np.uint64
 
@@ -132,9 +133,23 @@ def _prefixes(k: int, percent: int, steps):
     return run
 
 
-def _sets(k: int):
+def _marked(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of every ``id``: 2 MB at any number, read back as at most 262,144 words."""
+    slot = f"pmod(xxhash64(id), {1 << MARK_BITS})"
+    words = ids.selectExpr(f"int({slot} div 64) AS w", f"shiftleft(1L, int({slot} % 64)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+    out = np.zeros(1 << (MARK_BITS - 6), np.int64)
+    for w, b in words:
+        out[w] = b
+    return out
+
+
+def _sets(k: int, marks):
+    """The sets of marked documents; a few others share a mark and go in the next join."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            slot = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((marks.value[slot >> 6] >> (slot & 63)) & 1 == 1))
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in slices(texts):
                 sets = shingle_sets(texts[a:b], k)
@@ -231,41 +246,32 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     busy = dealt.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     shared = stage(dealt.join(busy, "gram"), "shared")
     release(dealt)
-    members = shared.select("id").distinct()
+
+    # First pass: every document against the least of each of its buckets, and all pairs of small buckets.
+    lead = shared.groupBy("gram").agg(F.min(F.struct("id", "pos", "n")).alias("l"))
+    stars = shared.alias("x").join(lead.selectExpr("gram", "l.*").alias("y"), "gram").where("x.id <> y.id").where(_may_link(percent, "x", "y")).selectExpr("y.id AS a", "x.id AS b")
+    small = shared.where(f"rows <= {SMALL_BUCKET}")
+    few = small.alias("x").join(small.alias("y"), "gram").where("x.id < y.id").where(_may_link(percent, "x", "y")).selectExpr("x.id AS a", "y.id AS b")
+    pairs = stage(stars.union(few).distinct(), "pairs")
+    crowd = shared.where(f"rows > {SMALL_BUCKET}")
+    members = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(crowd.select("id")).distinct(), "members")
+    marks = spark.sparkContext.broadcast(_marked(members))
     spoken = members.join(heads, "id").select(F.col("id").alias("doc_id"), "key", "n")
     sets = stage(
-        source.join(members.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        .mapInArrow(_sets(k), "doc_id long, key binary, grams array<long>")
+        source.selectExpr("doc_id", "text", f"pmod(xxhash64(doc_id), {1 << MARK_BITS}) AS slot")
+        .mapInArrow(_sets(k, marks), "doc_id long, key binary, grams array<long>")
         .join(spoken, ["doc_id", "key"])
         .dropDuplicates(["doc_id"])
         .select(F.col("doc_id").alias("id"), "n", "grams"),
         "sets",
     )
-
-    # First pass: every document against the least of each of its buckets.
-    lead = shared.groupBy("gram").agg(F.min(F.struct("id", "pos", "n")).alias("l"))
-    first = stage(
-        shared.alias("x").join(lead.selectExpr("gram", "l.*").alias("y"), "gram").where("x.id <> y.id")
-        .where(_may_link(percent, "x", "y"))
-        .selectExpr("y.id AS a", "x.id AS b").distinct(),
-        "first-pairs",
-    )
-    found = stage(_linked(first, sets, percent).selectExpr("a AS u", "b AS v"), "first-links")
+    found = stage(_linked(pairs, sets, percent).selectExpr("a AS u", "b AS v"), "links")
     merged = stage(components(found), "first-components")
 
-    # Second pass: buckets that hold several components still.
-    told = shared.join(merged.withColumnRenamed("node", "id"), "id", "left").selectExpr("id", "n", "pos", "gram", "coalesce(component, id) AS c")
-    open_ = told.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram", "rows")
-    left = stage(told.join(open_, "gram"), "open")
-    small = left.where(f"rows <= {SMALL_BUCKET}")
-    pairs = (
-        small.alias("x").join(small.alias("y"), "gram").where("x.id < y.id AND x.c <> y.c").where(_may_link(percent, "x", "y"))
-        .selectExpr("x.id AS a", "y.id AS b").distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    second = stage(_linked(pairs, sets, percent).selectExpr("a AS u", "b AS v"), "second-links")
-
-    large = left.where(f"rows > {SMALL_BUCKET}")
+    # Second pass: large buckets that hold several components still.
+    told = crowd.join(merged.withColumnRenamed("node", "id"), "id", "left").selectExpr("id", "n", "gram", "coalesce(component, id) AS c")
+    open_ = told.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
+    large = stage(told.join(open_, "gram"), "open")
     # Documents of one family mostly share their least bucket, so families lie together.
     anchors = large.groupBy("id", "c", "n").agg(F.min("gram").alias("anchor"))
     placed = stage(
@@ -278,12 +284,12 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     held = placed.join(sets, "id")
     lhs = both.join(held, both.p == held.block).select("p", "q", "c", "n", "grams")
     rhs = both.join(held, both.q == held.block).select("p", "q", "c", "n", "grams").toDF("p", "q", "c", "n", "grams")
-    third = stage(
+    more = stage(
         lhs.groupBy("p", "q").cogroup(rhs.groupBy("p", "q")).applyInPandas(_block_links(percent), "u long, v long"),
         "block-links",
     )
-    every = stage(components(found.union(second).union(third).union(merged.selectExpr("node AS u", "component AS v"))), "components")
-    release(shared, left, sets, first, found, second, third, merged, both, placed)
+    every = stage(components(more.union(merged.selectExpr("node AS u", "component AS v"))), "components")
+    release(shared, pairs, members, sets, found, merged, large, placed, both, more)
 
     named = heads.join(every.withColumnRenamed("node", "id"), "id", "left").selectExpr("key", "coalesce(component, id) AS component_id")
     return one.join(named, "key", "left").selectExpr(
