@@ -125,9 +125,17 @@ def _prefixes(k: int, percent: int, steps):
                 # Sets of so few n-grams are similar only when equal, which classes settle.
                 lengths = [len(s) - -(-percent * len(s) // 100) + 1 if (100 - percent) * len(s) >= percent or (100 - percent) * (len(s) + 1) >= 100 else 0 for s in sets]
                 firsts = [_ordered(s, steps.value)[:n] for s, n in zip(sets, lengths)]
+                tails = np.array([f[-1] if len(f) else 0 for f in firsts], _U)
+                step = steps.value[(tails >> _U(64 - SKETCH_BITS)).astype(np.int64)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(_set_keys(sets), pa.binary()), _lists(firsts)],
-                    names=["doc_id", "key", "prefix"],
+                    [
+                        ids.slice(a, b - a),
+                        pa.array(_set_keys(sets), pa.binary()),
+                        _lists(firsts),
+                        pa.array(step.astype(np.int32)),
+                        pa.array(_long(tails ^ _U(1 << 63))),  # signed, in the order of the unsigned hashes
+                    ],
+                    names=["doc_id", "key", "prefix", "step", "tail"],
                 )
 
     return run
@@ -161,26 +169,53 @@ def _sets(k: int, marks):
     return run
 
 
+def _overlaps(left: pd.Series, right: pd.Series) -> np.ndarray:
+    """How many n-grams each set of ``left`` shares with each of ``right``, summed over fragments of their common order."""
+    total = np.zeros((len(left), len(right)), np.int64)
+    sides = [(np.concatenate(list(x)), np.repeat(np.arange(len(x)), [len(s) for s in x]), len(x)) for x in (left, right)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    if not len(shared):
+        return total
+    places = []
+    for grams, rows, n in sides:
+        at = np.minimum(np.searchsorted(shared, grams), len(shared) - 1)
+        hit = shared[at] == grams
+        places.append((at[hit], rows[hit], n))
+    for start in range(0, len(shared), WIDTH):
+        width, tables = min(WIDTH, len(shared) - start), []
+        for at, rows, n in places:
+            own = (at >= start) & (at < start + width)
+            table = np.zeros((n, width), np.float32)
+            table[rows[own], at[own] - start] = 1
+            tables.append(table)
+        total += np.rint(tables[0] @ tables[1].T).astype(np.int64)  # counts below 2**24 are exact
+    return total
+
+
+def _block_candidates(percent: int):
+    """Documents of two blocks that, by their prefixes, may link with one of another component."""
+
+    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
+        need = -(-percent * (n + m) // (100 + percent))
+        least = need - _overlaps(left["prefix"], right["prefix"])
+        order = [side["step"].to_numpy().astype(object) * (1 << 64) + side["tail"].to_numpy().astype(object) for side in (left, right)]
+        ranks = np.searchsorted(np.sort(np.concatenate(order)), np.concatenate(order))
+        earlier = ranks[: len(left)][:, None] <= ranks[len(left) :][None, :]
+        rest = [side["n"].to_numpy() - side["prefix"].map(len).to_numpy() for side in (left, right)]
+        may = (np.where(earlier, rest[0][:, None], rest[1][None, :]) >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+        may &= left["c"].to_numpy()[:, None] != right["c"].to_numpy()[None, :]
+        return pd.DataFrame({"id": np.unique(np.concatenate((left["id"].to_numpy()[may.any(1)], right["id"].to_numpy()[may.any(0)])))})
+
+    return run
+
+
 def _block_links(percent: int):
     """Links between the documents of two blocks, one for each pair of components."""
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        n, m = left["n"].to_numpy(), right["n"].to_numpy()
-        overlap = np.zeros((len(n), len(m)), np.int64)
-        grams = [np.concatenate(list(side["grams"])) for side in (left, right)]
-        shared = np.intersect1d(np.unique(grams[0]), np.unique(grams[1]), assume_unique=True)
-        rows = [np.repeat(np.arange(len(s)), s) for s in (n, m)]
-        at = [np.searchsorted(shared, g) for g in grams]
-        hit = [np.flatnonzero((shared[np.minimum(p, len(shared) - 1)] == g) if len(shared) else np.zeros(len(g), bool)) for p, g in zip(at, grams)]
-        for start in range(0, len(shared), WIDTH):
-            width, made = min(WIDTH, len(shared) - start), []
-            for side in (0, 1):
-                own = hit[side][(at[side][hit[side]] >= start) & (at[side][hit[side]] < start + width)]
-                table = np.zeros((len((n, m)[side]), width), np.float32)
-                table[rows[side][own], at[side][own] - start] = 1
-                made.append(table)
-            overlap += np.rint(made[0] @ made[1].T).astype(np.int64)  # counts below 2**24 are exact
-        union = n[:, None] + m[None, :] - overlap
+        overlap = _overlaps(left["grams"], right["grams"])
+        union = left["n"].to_numpy()[:, None] + right["n"].to_numpy()[None, :] - overlap
         c, d = left["c"].to_numpy(), right["c"].to_numpy()
         a, b = np.nonzero((100 * overlap >= percent * union) & (c[:, None] != d[None, :]))
         return pd.DataFrame({"u": c[a], "v": d[b]}).drop_duplicates()
@@ -188,6 +223,14 @@ def _block_links(percent: int):
     return run
 
 
+def _by_blocks(both: DataFrame, held: DataFrame, kernel, schema: str) -> DataFrame:
+    """``kernel`` over the rows of every pair of blocks ``(p, q)``; ``held`` has the rows with their block."""
+    columns = [c for c in held.columns if c != "block"]
+    left = both.join(held, both.p == held.block).select("p", "q", *columns)
+    right = both.join(held, both.q == held.block).select("p", "q", *columns).toDF("p", "q", *columns)
+    return left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(kernel, schema)
+
+
 def _may_link(percent: int, a: str, b: str) -> str:
     """SQL: the lengths and prefix places of two sets allow enough overlap."""
     need = f"ceil({percent} * ({a}.n + {b}.n) / {100 + percent})"
@@ -195,6 +238,19 @@ def _may_link(percent: int, a: str, b: str) -> str:
     return f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) AND {most} >= {need}"
 
 
+def _near(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs (a, b)`` whose prefixes share enough n-grams.
+
+    Of two prefixes, the n-grams of the one that ends earlier in the order meet
+    the other set only in the other prefix, so the overlap is at most what the
+    prefixes share and what is left of that set.
+    """
+    x = prefixes.selectExpr("id AS a", "n AS na", "prefix AS pa", "step AS sa", "tail AS ta")
+    y = prefixes.selectExpr("id AS b", "n AS nb", "prefix AS pb", "step AS sb", "tail AS tb")
+    rest = "CASE WHEN struct(sa, ta) <= struct(sb, tb) THEN na - size(pa) ELSE nb - size(pb) END"
+    return pairs.join(x, "a").join(y, "b").where(f"size(array_intersect(pa, pb)) + {rest} >= ceil({percent} * (na + nb) / {100 + percent})").select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The similar ones among ``pairs (a, b)``: overlaps counted by fragment, then summed."""
     # The top bits of a signed hash, from 0: fragments are ranges of the hash order.
@@ -236,44 +292,44 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     # Hot classes add up before the shuffle.
     heads = one.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"))
     heads = stage(heads, "classes")
-    prefixes = source.mapInArrow(_prefixes(k, percent, steps), "doc_id long, key binary, prefix array<long>").where("size(prefix) > 0")
-    dealt = (
+    prefixes = source.mapInArrow(_prefixes(k, percent, steps), "doc_id long, key binary, prefix array<long>, step int, tail long").where("size(prefix) > 0")
+    prefixes = stage(
         prefixes.join(heads.select(F.col("id").alias("doc_id"), "key", "n"), ["doc_id", "key"])
         .dropDuplicates(["doc_id"])
-        .selectExpr("doc_id AS id", "n", "posexplode(prefix) AS (pos, gram)")
+        .selectExpr("doc_id AS id", "n", "prefix", "step", "tail"),
+        "prefixes",
     )
-    dealt = stage(dealt, "prefixes")
+    dealt = prefixes.selectExpr("id", "n", "posexplode(prefix) AS (pos, gram)")
     busy = dealt.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     shared = stage(dealt.join(busy, "gram"), "shared")
-    release(dealt)
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        marks = spark.sparkContext.broadcast(_marked(ids))
+        spoken = ids.join(heads, "id").select(F.col("id").alias("doc_id"), "key", "n")
+        slot = f"pmod(xxhash64(doc_id), {1 << MARK_BITS}) AS slot"
+        found = source.selectExpr("doc_id", "text", slot).mapInArrow(_sets(k, marks), "doc_id long, key binary, grams array<long>")
+        found = found.join(spoken, ["doc_id", "key"]).dropDuplicates(["doc_id"])
+        return stage(found.select(F.col("doc_id").alias("id"), "n", "grams"), "sets")
 
     # First pass: every document against the least of each of its buckets, and all pairs of small buckets.
     lead = shared.groupBy("gram").agg(F.min(F.struct("id", "pos", "n")).alias("l"))
     stars = shared.alias("x").join(lead.selectExpr("gram", "l.*").alias("y"), "gram").where("x.id <> y.id").where(_may_link(percent, "x", "y")).selectExpr("y.id AS a", "x.id AS b")
     small = shared.where(f"rows <= {SMALL_BUCKET}")
     few = small.alias("x").join(small.alias("y"), "gram").where("x.id < y.id").where(_may_link(percent, "x", "y")).selectExpr("x.id AS a", "y.id AS b")
-    pairs = stage(stars.union(few).distinct(), "pairs")
-    crowd = shared.where(f"rows > {SMALL_BUCKET}")
-    members = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(crowd.select("id")).distinct(), "members")
-    marks = spark.sparkContext.broadcast(_marked(members))
-    spoken = members.join(heads, "id").select(F.col("id").alias("doc_id"), "key", "n")
-    sets = stage(
-        source.selectExpr("doc_id", "text", f"pmod(xxhash64(doc_id), {1 << MARK_BITS}) AS slot")
-        .mapInArrow(_sets(k, marks), "doc_id long, key binary, grams array<long>")
-        .join(spoken, ["doc_id", "key"])
-        .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("id"), "n", "grams"),
-        "sets",
-    )
+    pairs = stage(_near(stars.union(few).distinct(), prefixes, percent), "pairs")
+    sets = sets_of(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "members"))
     found = stage(_linked(pairs, sets, percent).selectExpr("a AS u", "b AS v"), "links")
     merged = stage(components(found), "first-components")
+    release(pairs, sets, found)
 
     # Second pass: large buckets that hold several components still.
-    told = crowd.join(merged.withColumnRenamed("node", "id"), "id", "left").selectExpr("id", "n", "gram", "coalesce(component, id) AS c")
+    crowd = shared.where(f"rows > {SMALL_BUCKET}")
+    told = crowd.join(merged.withColumnRenamed("node", "id"), "id", "left").selectExpr("id", "gram", "coalesce(component, id) AS c")
     open_ = told.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
     large = stage(told.join(open_, "gram"), "open")
+    release(shared)
     # Documents of one family mostly share their least bucket, so families lie together.
-    anchors = large.groupBy("id", "c", "n").agg(F.min("gram").alias("anchor"))
+    anchors = large.groupBy("id", "c").agg(F.min("gram").alias("anchor"))
     placed = stage(
         with_position(anchors, [F.asc("anchor"), F.asc("id")], "place").selectExpr("id", "c", f"bigint((place - 1) div {BLOCK}) AS block"),
         "blocks",
@@ -281,15 +337,11 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     spread = large.select("id", "gram").join(placed.select("id", "block"), "id").select("gram", "block").distinct()
     both = spread.alias("x").join(spread.alias("y"), "gram").where("x.block <= y.block").selectExpr("x.block AS p", "y.block AS q").distinct()
     both = stage(both, "block-pairs")
-    held = placed.join(sets, "id")
-    lhs = both.join(held, both.p == held.block).select("p", "q", "c", "n", "grams")
-    rhs = both.join(held, both.q == held.block).select("p", "q", "c", "n", "grams").toDF("p", "q", "c", "n", "grams")
-    more = stage(
-        lhs.groupBy("p", "q").cogroup(rhs.groupBy("p", "q")).applyInPandas(_block_links(percent), "u long, v long"),
-        "block-links",
-    )
+    close = stage(_by_blocks(both, placed.join(prefixes, "id"), _block_candidates(percent), "id long").distinct(), "close")
+    sets = sets_of(close)
+    more = stage(_by_blocks(both, placed.join(sets, "id"), _block_links(percent), "u long, v long"), "block-links")
     every = stage(components(more.union(merged.selectExpr("node AS u", "component AS v"))), "components")
-    release(shared, pairs, members, sets, found, merged, large, placed, both, more)
+    release(prefixes, sets, merged, large, placed, both, close, more)
 
     named = heads.join(every.withColumnRenamed("node", "id"), "id", "left").selectExpr("key", "coalesce(component, id) AS component_id")
     return one.join(named, "key", "left").selectExpr(
