@@ -172,6 +172,8 @@ def _sets(k: int, marks):
 def _overlaps(left: pd.Series, right: pd.Series) -> np.ndarray:
     """How many n-grams each set of ``left`` shares with each of ``right``, summed over fragments of their common order."""
     total = np.zeros((len(left), len(right)), np.int64)
+    if not total.size:  # a block of which nothing is left
+        return total
     sides = [(np.concatenate(list(x)), np.repeat(np.arange(len(x)), [len(s) for s in x]), len(x)) for x in (left, right)]
     shared = np.intersect1d(sides[0][0], sides[1][0])
     if not len(shared):
@@ -196,6 +198,8 @@ def _block_candidates(percent: int):
     """Documents of two blocks that, by their prefixes, may link with one of another component."""
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": np.zeros(0, np.int64)})
         n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
         need = -(-percent * (n + m) // (100 + percent))
         least = need - _overlaps(left["prefix"], right["prefix"])

@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 SEPARATORS = "\x20\x09-\x0d"
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
