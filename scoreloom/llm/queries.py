@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scoreloom.llm.language_id import identified, learn
 from scoreloom.llm.line_dedup import without_repeats
 from scoreloom.llm.mixing import mixed_copies
 from scoreloom.llm.ngram_join import similar_components
+from scoreloom.llm.piece_tokens import decoded, encoded
 from scoreloom.llm.quality import quality_verdicts
 from scoreloom.llm.topk_search import top_k
 from scoreloom.llm.warc_archive import archive, read_archive, record_digests
@@ -19,6 +21,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+HELD_OUT = "coalesce(crc32(CAST(doc_id AS string)) % 3 = 1, false)"
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = identified(docs, learn(docs.where(f"NOT {HELD_OUT}")))
+    return found.selectExpr("doc_id", f"{HELD_OUT} AS held_out", "lang_pred", "score")
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(_table(spark, folder, "documents")).select("doc_id", "text", "n_removed")
 
@@ -27,6 +39,13 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_components(_table(spark, folder, "documents"), k=4, percent=85)
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return decoded(encoded(docs, PIECES), PIECES).selectExpr(
+        "doc_id", "bigint(size(ids)) AS n_tokens", "ids", "decoded <=> text AS lossless"
+    )
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_copies(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -46,8 +65,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op2_line_dedup": op2_line_dedup,
     "op3_ngram_join": op3_ngram_join,
+    "op5_pieces": op5_pieces,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
