@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from scoreloom.llm.oracle import ORACLE as LLM_ORACLE
-from scoreloom.llm.queries import QUERIES as LLM_QUERIES
+from scoreloom.llm.queries import QUERIES
+
+LLM_QUERIES = {**QUERIES, "pipeline": corpus_pipeline.run}
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES"]

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from scoreloom.llm.language_id import identified, learn
+from scoreloom.llm.licences import document_licences
 from scoreloom.llm.line_dedup import without_repeats
 from scoreloom.llm.mixing import mixed_copies
 from scoreloom.llm.ngram_join import similar_components
+from scoreloom.llm.pii import pseudonymised
 from scoreloom.llm.piece_tokens import decoded, encoded
 from scoreloom.llm.quality import quality_verdicts
 from scoreloom.llm.topk_search import top_k
@@ -22,6 +24,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 HELD_OUT = "coalesce(crc32(CAST(doc_id AS string)) % 3 = 1, false)"
+SURROGATE_KEY = b"a key of the deployment"  # whoever runs this for real passes their own
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -39,6 +42,10 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_components(_table(spark, folder, "documents"), k=4, percent=85)
 
 
+def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return document_licences(_table(spark, folder, "documents"))
+
+
 def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return decoded(encoded(docs, PIECES), PIECES).selectExpr(
@@ -46,6 +53,10 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonymised(_table(spark, folder, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_copies(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -68,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_line_dedup": op2_line_dedup,
     "op3_ngram_join": op3_ngram_join,
+    "op4_licences": op4_licences,
     "op5_pieces": op5_pieces,
+    "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
