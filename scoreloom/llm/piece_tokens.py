@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from scoreloom.llm.words import slices
 
 SPACE = "▁"
-INDEX_CHARS = 1 << 20  # of one suffix array
+INDEX_CHARS = 1 << 19  # of one suffix array
 CACHED_UNITS = 1 << 19  # kept between batches
 LONG_UNIT = 128  # characters from which a unit relaxes with a heap
 _NONE = np.iinfo(np.int32).max
@@ -290,7 +290,7 @@ def encoded(docs: DataFrame, model: str, column: str = "text", ids: str = "ids")
         encoder = _encoder(pieces)
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            for a, b in slices(texts, 4 << 20):
+            for a, b in slices(texts):
                 found = encoder.encode(texts[a:b])
                 ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
                 none = pa.array([t is None for t in texts[a:b]])
