@@ -38,7 +38,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least document of every group of similar ones stays; without doc_id there is no group."""
     others = stage(similar_components(docs, k=5, percent=80).where("component_id <> doc_id").select("doc_id"), "others")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,4 +160,5 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         & F.col("source").cast("string").eqNullSafe(F.col("__source"))
         & (F.col("__w") == F.col("__size"))
     )
-    return marked.join(copies, same).withColumn("__k", F.expr("explode(sequence(1L, __n))")).select(*[f"`{c}`" for c in docs.columns])
+    # One plan at every size: both sides meet by document.
+    return marked.join(copies.hint("merge"), same).withColumn("__k", F.expr("explode(sequence(1L, __n))")).select(*[f"`{c}`" for c in docs.columns])
