@@ -89,7 +89,7 @@ def archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     headers = (
         digests.join(kept.where("verified"), "digest")
         .selectExpr("*", f"CASE WHEN place = kept_place OR payload_bytes < {min_bytes} THEN 'response' ELSE 'revisit' END AS record_type")
-        .selectExpr("*", "concat(coalesce(page_id, 'none'), '/', hex(digest)) AS record", "concat(coalesce(kept_id, 'none'), '/', hex(digest)) AS kept_record")
+        .selectExpr("*", "concat(coalesce(CAST(page_id AS string), 'none'), '/', hex(digest)) AS record", "concat(coalesce(CAST(kept_id AS string), 'none'), '/', hex(digest)) AS kept_record")
         .selectExpr("page_id", "digest", "record_type", "CASE WHEN record_type = 'revisit' THEN kept_id END AS refers_to", f"{_header()} AS header")
     )
     headers.write.parquet(f"{path}/headers")
