@@ -39,7 +39,7 @@ from scoreloom.plans.archetypes import (
     sweep_pillars,
 )
 from scoreloom.plans.scorecard import build_scorecard, score_entities
-from scoreloom.plans.staging import stage
+from scoreloom.plans.staging import stage, stage_once
 from scoreloom.presets import CUSTOMER
 from scoreloom.sources.customers import read_customer_entities
 
@@ -55,7 +55,7 @@ PAGE_ROWS = 25
 
 
 def _entities(spark: SparkSession, folder: str) -> DataFrame:
-    return stage(read_customer_entities(spark, folder), "entities")
+    return stage_once(spark, f"entities of {folder}", lambda: read_customer_entities(spark, folder), "entities")
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:

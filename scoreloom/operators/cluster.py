@@ -27,8 +27,12 @@ FIRST_SEED = 42
 MAX_ITERATIONS = 300
 MOVE = 1e-4
 
-# Distinct points up to which the quadratic, exact silhouette is worth its cost.
-EXACT_UP_TO = 50_000
+# Rounds of the k-means|| start, and how the points lie: fixed, as a fit depends on both.
+INIT_STEPS = 5
+LAYOUT = 16
+
+# Kinds of silhouette: a linear pass, or every distance.
+SQUARED, EUCLIDEAN = "squared_euclidean", "euclidean"
 
 
 @dataclass(frozen=True)
@@ -47,15 +51,18 @@ def best_fits(
     """The cheapest of ``restarts`` K-means models for every k.
 
     ``points`` holds distinct ``features`` and their ``weight``, so copies cost
-    nothing. The fits are independent jobs; a few run side by side.
+    nothing. The fits are independent jobs; a few run side by side. Points are
+    dealt by hash into a fixed number of sorted partitions first, so the fits do
+    not depend on how they came.
     """
-    points = points.select("features", "weight").persist()
+    place = vector_to_array("features")
+    points = points.select("features", "weight").repartition(LAYOUT, place).sortWithinPartitions(place).persist()
 
     def fit(k: int, seed: int) -> Fit:
         # The centres together move less than MOVE when each moves less than this.
         tol = math.sqrt(MOVE / k)
         model = KMeans(
-            k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=tol, featuresCol="features", weightCol="weight"
+            k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=tol, initSteps=INIT_STEPS, featuresCol="features", weightCol="weight"
         ).fit(points)
         return Fit(k, model.summary.trainingCost, model)
 
@@ -175,27 +182,29 @@ def sweep_clusters(
     rows: DataFrame,
     ks: Sequence[int] = CLUSTER_COUNTS,
     restarts: int = RESTARTS,
-    exact_up_to: int = EXACT_UP_TO,
+    silhouette: str = SQUARED,
 ) -> Sweep:
     """Fit every k, score the fits and choose.
 
     ``rows`` holds the ``features`` of every row, ``points`` those that differ,
-    with their weight. Up to ``exact_up_to`` distinct points the silhouette is the exact Euclidean
-    one; beyond that it is the linear squared-Euclidean one, over all rows as
-    well. ``kind`` says which. Silhouettes are rounded to three places before
-    the highest is taken; ties go to the smaller k.
+    with their weight. ``silhouette`` is the caller's choice, whatever the number of rows:
+    "squared_euclidean" is one linear pass over all rows, "euclidean" takes every
+    distance and is quadratic. Silhouettes are rounded to three places before
+    the highest is taken; ties go to the smaller k. Every k needs more distinct
+    points than clusters.
     """
-    spark = points.sparkSession
+    if silhouette not in (SQUARED, EUCLIDEAN):
+        raise ValueError(f"silhouette is {SQUARED!r} or {EUCLIDEAN!r}, not {silhouette!r}")
+    spark, kind = points.sparkSession, silhouette
     distinct = points.count()
-    ks = [k for k in ks if k < distinct]
+    if max(ks) >= distinct:
+        raise ValueError(f"k = {max(ks)} needs more than {max(ks)} distinct points; there are {distinct}")
     fits = best_fits(points, ks, restarts)
     sweeps = [f"k{f.k}" for f in fits]
-    if distinct <= exact_up_to:
-        kind = "euclidean"
+    if kind == EUCLIDEAN:
         arrays = label_points(points, fits).withColumn("features", vector_to_array("features"))
         found = {r["sweep"]: r["silhouette"] for r in euclidean_silhouette(arrays, sweeps).collect()}
     else:
-        kind = "squared_euclidean"
         held = stage(label_points(rows.select("features"), fits), "labelled-rows")
         found = {s: squared_silhouette(held, s) for s in sweeps}
     rounded = {f.k: round(found[f"k{f.k}"], 3) for f in fits}

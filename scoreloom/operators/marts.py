@@ -73,18 +73,17 @@ def group_summary(scored: DataFrame, card: Scorecard) -> DataFrame:
     Ties for the best go to the smallest key. Rows without a group are left out.
     """
     means = {card.score: f"avg_{card.name}", **{p.score: f"avg_{p.slug}" for p in card.pillars}}
-    score = F.col(card.score)
-    order = F.when(score.isNotNull(), F.struct(-score, F.col(card.key)))
-    return (
-        scored.where(F.col(card.group).isNotNull())
-        .groupBy(card.group)
-        .agg(
-            F.count(card.key).alias(f"{card.label}_count"),
-            *_averages(card, means),
-            F.min_by(card.label, order).alias(f"top_{card.label}"),
-            F.max(score).alias(f"top_{card.name}"),
-        )
+    top = f"top_{card.name}"
+    ours = scored.where(F.col(card.group).isNotNull())
+    # Numbers only, so every step is a hash aggregate: sums and the highest score first,
+    summary = ours.groupBy(card.group).agg(
+        F.count(card.key).alias(f"{card.label}_count"), *_averages(card, means), F.max(card.score).alias(top)
     )
+    # then, among the few rows with that score, the smallest key; its row has the label.
+    best = ours.select(card.group, F.col(card.score).alias(top), card.key, card.label).join(summary.select(card.group, top), [card.group, top])
+    first = best.groupBy(card.group).agg(F.min(card.key).alias(card.key))
+    labels = best.join(first, [card.group, card.key]).select(card.group, F.col(card.label).alias(f"top_{card.label}")).dropDuplicates([card.group])
+    return summary.join(labels, card.group, "left").select(*summary.columns[:-1], f"top_{card.label}", top)
 
 
 def group_averages(scored: DataFrame, card: Scorecard) -> DataFrame:

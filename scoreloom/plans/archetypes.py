@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
 from scoreloom.functions.expressions import col, mean_of_rounded, named
-from scoreloom.operators.cluster import EXACT_UP_TO, RESTARTS, Sweep, sweep_clusters, weigh_points
+from scoreloom.operators.cluster import RESTARTS, SQUARED, Sweep, sweep_clusters, weigh_points
 from scoreloom.operators.features import (
     assemble,
     component_table,
@@ -73,7 +73,7 @@ def standardised_pillars(compared: DataFrame, card: Scorecard) -> DataFrame:
 
 
 def sweep_pillars(
-    pillars: DataFrame, card: Scorecard, restarts: int = RESTARTS, exact_up_to: int = EXACT_UP_TO
+    pillars: DataFrame, card: Scorecard, restarts: int = RESTARTS, silhouette: str = SQUARED
 ) -> Sweep:
     """The k sweep over standardised pillar scores; incomplete rows are left out."""
     columns = [_z(s) for s in card.pillar_scores]
@@ -82,7 +82,7 @@ def sweep_pillars(
         assemble(weigh_points(complete, columns), columns).select("features", "weight"), "points"
     )
     rows = assemble(complete, columns).select("features")
-    return sweep_clusters(points, rows, restarts=restarts, exact_up_to=exact_up_to)
+    return sweep_clusters(points, rows, restarts=restarts, silhouette=silhouette)
 
 
 def assign_clusters(pillars: DataFrame, card: Scorecard, sweep: Sweep) -> DataFrame:
@@ -117,7 +117,7 @@ def enhance_scorecard(
     card: Scorecard,
     incomplete: str = "error",
     restarts: int = RESTARTS,
-    exact_up_to: int = EXACT_UP_TO,
+    silhouette: str = SQUARED,
 ) -> Enhanced:
     """Derived weights, both composites, clusters and archetypes.
 
@@ -129,7 +129,7 @@ def enhance_scorecard(
     weights = derive_weights(entities, card, incomplete)
     compared = compare_weights(equal_weight_pillars(entities, card), card, weights.by_slug())
     pillars = standardised_pillars(compared, card)
-    sweep = sweep_pillars(pillars, card, restarts, exact_up_to)
+    sweep = sweep_pillars(pillars, card, restarts, silhouette)
     assigned = assign_clusters(pillars, card, sweep)
     profiles = stage(cluster_profiles(assigned, card, "cluster_id", f"{card.score}_pca"), "profiles")
     scores = with_archetype(assigned, profiles, "cluster_id").select(*compared.columns, "cluster_id", "archetype")

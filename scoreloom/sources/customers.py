@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scoreloom.sources.readers import nulls_for_nan
+
 # Order headers by customer.
 _HEADS = """
   SELECT o_custkey AS h_custkey,
@@ -102,4 +104,4 @@ def customer_entities(
 def read_customer_entities(spark: SparkSession, folder: str) -> DataFrame:
     """The customer entity table from the parquet files of a star-schema folder."""
     tables = [spark.read.parquet(f"{folder}/{t}.parquet") for t in ("customer", "nation", "orders", "lineitem")]
-    return customer_entities(*tables)
+    return customer_entities(*map(nulls_for_nan, tables))

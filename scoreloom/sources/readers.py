@@ -34,28 +34,38 @@ def nulls_for_nan(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.expr(nan_to_null(col(c))) for c in floats}) if floats else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = False) -> DataFrame:
     """A headered CSV under a fixed schema, matched by cleaned header name.
 
-    Only the header line is looked at beforehand. Cells are read as text, the
-    null texts become null, and anything else that does not fit its type is an
-    error. Columns outside the schema stay text.
+    Only header lines are looked at beforehand; every file of a folder must have
+    the same one. Quotes inside quoted cells are doubled. Line ends inside cells
+    need ``multi_line``, which keeps Spark from splitting files. Cells are read
+    as text, the null texts become null, and anything else that does not fit its
+    type is an error, whatever the session's ANSI mode. Columns outside the
+    schema stay text.
     """
     types = {f.name: f.dataType for f in T.StructType.fromDDL(schema)} if isinstance(schema, str) else {
         f.name: f.dataType for f in schema
     }
-    header = [clean_name(c) for c in spark.read.csv(path, header=True).columns]
-    missing = [c for c in types if c not in header]
+    style = {"header": True, "escape": '"', "multiLine": multi_line}
+    header = spark.read.csv(path, **style).columns
+    names = [clean_name(c) for c in header]
+    missing = [c for c in types if c not in names]
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
     text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = spark.read.csv(path, header=True, schema=text, enforceSchema=True, mode="FAILFAST")
+    # With enforceSchema off, a file whose own header differs is refused.
+    raw = spark.read.csv(path, schema=text, enforceSchema=False, mode="FAILFAST", **style).toDF(*names)
 
     def cell(c: str):
         kept = F.when(~F.trim(c).isin(*NULL_TEXTS), F.col(c))
-        return (F.trim(kept).cast(types[c]) if c in types and types[c] != T.StringType() else kept).alias(c)
+        if c not in types or types[c] == T.StringType():
+            return kept.alias(c)
+        fits = F.trim(kept).try_cast(types[c])
+        wrong = F.raise_error(F.concat(F.lit(f"{c}: not a {types[c].simpleString()}: "), kept)).cast(types[c])
+        return F.when(kept.isNotNull() & fits.isNull(), wrong).otherwise(fits).alias(c)
 
-    return raw.select(*(cell(c) for c in header))
+    return raw.select(*(cell(c) for c in names))
 
 
 def read_entities(

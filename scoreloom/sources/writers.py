@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", partition_by: str | None = None) -> None:
-    """Write one mart; CSV gets a header. Every task writes its own file."""
+    """Write one mart; CSV gets a header, doubled quotes and its blanks as they are. Every task writes its own file."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.format(fmt).save(path)
 
 

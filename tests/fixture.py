@@ -35,30 +35,25 @@ def halfeven(x, digits=1):
     return np.rint(x * 10.0**digits) / 10.0**digits
 
 
-def scaled(x: pd.Series, invert: bool) -> pd.Series:
-    if x.max() == x.min():
-        return pd.Series(50.0, index=x.index)
-    out = (x - x.min()) / (x.max() - x.min()) * 100
-    return 100 - out if invert else out
-
-
-def expected_scores(df: pd.DataFrame) -> pd.DataFrame:
-    out = df.copy()
-    for p in CARD.pillars:
-        total = pd.Series(0.0, index=df.index)
-        for m in CARD.of_pillar(p.slug):
-            x = df[m.column].astype(float)
-            if m.kind == PENALTY:
-                total = total - x.clip(0, m.cap) / m.cap * 10 * m.weight
-            elif m.kind == FLAG:
-                total = total + x * 100 * m.weight
-            else:
-                total = total + scaled(np.log1p(x) if m.log1p else x, m.lower_is_better) * m.weight
-        out[p.score] = halfeven(total.clip(0, 100))
-    out["esg_score"] = halfeven(out.env_score * 0.40 + out.soc_score * 0.35 + out.gov_score * 0.25)
-    for s in CARD.all_scores:
-        out[f"{s}_sector_pct"] = halfeven(out.groupby("sector")[s].rank(pct=True) * 100)
-    return out
+# Three companies whose scores were worked out by hand: each metric of MIDDLE lies halfway
+# between the two others (community investment by its logarithm), penalties and flags apart.
+WORKED_COLUMNS = (
+    "ticker", "company", "sector", "country", "market_cap_bn", "year",
+    "carbon_emissions_mt", "renewable_energy_pct", "water_usage_intensity", "waste_recycling_pct", "env_controversies",
+    "employee_turnover_pct", "gender_diversity_pct", "safety_incident_rate", "community_investment_mn", "data_breaches",
+    "board_independence_pct", "exec_pay_ratio", "audit_committee_quality", "anti_corruption_policy", "shareholder_rights_score",
+)
+WORKED = [
+    ("BEST", "Best", "S", "C", 10, 2023, 10.0, 90, 1.0, 80, 0, 5.0, 50, 0.5, 99, 0, 90, 100, 10, 0, 9),
+    ("MIDDLE", "Middle", "S", "C", 10, 2023, 20.0, 50, 2.0, 60, 2, 10.0, 40, 1.0, 9, 2, 70, 200, 8, 0, 7),
+    ("WORST", "Worst", "S", "C", 10, 2023, 30.0, 10, 3.0, 40, 4, 15.0, 30, 1.5, 0, 2, 50, 300, 6, 1, 5),
+]
+# Environment, social, governance, composite; then the percentile all four share.
+WORKED_SCORES = {
+    "BEST": (90.0, 85.0, 85.0, 87.0, 100.0),
+    "MIDDLE": (44.5, 41.0, 42.5, 42.8, 66.7),
+    "WORST": (0.0, 0.0, 15.0, 3.8, 33.3),
+}
 
 
 def entities(spark, df: pd.DataFrame):

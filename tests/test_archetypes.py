@@ -140,10 +140,14 @@ def test_best_k_is_chosen_on_rounded_silhouettes(spark):
     x = np.concatenate([c + rng.normal(0, 0.5, (40, 3)) for c in centres])
     df = assemble(spark.createDataFrame(pd.DataFrame(x, columns=list("abc"))), list("abc"))
     weighted = df.selectExpr("features", "1D AS weight").cache()
-    sweep = cluster.sweep_clusters(weighted, weighted, ks=(2, 3, 4), restarts=2)
+    sweep = cluster.sweep_clusters(weighted, weighted, ks=(2, 3, 4), restarts=2, silhouette="euclidean")
     assert sweep.best.k == 3 and sweep.kind == "euclidean"
-    linear = cluster.sweep_clusters(weighted, weighted, ks=(2, 3), restarts=1, exact_up_to=10)
+    linear = cluster.sweep_clusters(weighted, weighted, ks=(2, 3), restarts=1)
     assert linear.best.k == 3 and linear.kind == "squared_euclidean"
+    with pytest.raises(ValueError, match="distinct points"):
+        cluster.sweep_clusters(weighted.limit(3), weighted, ks=(2, 3), restarts=1)
+    costs = {n: [round(f.cost, 9) for f in cluster.best_fits(weighted.repartition(n), (2, 3), 2)] for n in (1, 3, 7)}
+    assert costs[1] == costs[3] == costs[7]
 
 
 def test_enhancement(spark):

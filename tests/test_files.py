@@ -4,6 +4,7 @@ import pytest
 from fixture import CARD, companies, entities
 
 from scoreloom import read_entities, run_enhancement, run_scorecard
+from scoreloom.functions.literals import small_table
 from scoreloom.plans import staging
 from scoreloom.sources.readers import clean_name, nulls_for_nan, read_csv
 from scoreloom.sources.writers import write_table
@@ -27,7 +28,7 @@ def test_csv_nulls_and_types(spark, tmp_path):
 def test_csv_rejects_what_does_not_fit(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text("ticker,n\nX,many\n")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="n: not a int: many"):
         read_csv(spark, str(path), "ticker string, n int").collect()
     with pytest.raises(ValueError, match="lacks"):
         read_csv(spark, str(path), "ticker string, m int")
@@ -89,3 +90,28 @@ def test_staging_folder(spark, tmp_path):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.staging_root(Session(None, "yarn"))
     assert staging.staging_root(Session(None, "local[2]")) == staging.staging_root(Session(None, "local[2]"))
+
+
+def test_csv_keeps_quotes_commas_and_blanks(spark, tmp_path):
+    rows = [(1, 'Foo "Bar", Inc'), (2, "  both ends  "), (3, None), (4, "a,b")]
+    write_table(small_table(spark, rows, "n int, t string"), str(tmp_path / "t"))
+    text = "".join(p.read_text() for p in (tmp_path / "t").glob("*.csv"))
+    assert '"Foo ""Bar"", Inc"' in text
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "t"), "n int, t string").collect())) == rows
+
+
+def test_csv_refuses_files_of_other_headers(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("ticker,a,b\nA,1,100\n")
+    (tmp_path / "2.csv").write_text("ticker,b,a\nB,200,2\n")
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path), "ticker string, a int, b int").collect()
+
+
+def test_csv_cells_fit_without_ansi(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("n\nmany\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not a int"):
+            read_csv(spark, str(tmp_path), "n int").collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from fixture import CARD, companies, entities, expected_scores, halfeven
+from fixture import CARD, WORKED, WORKED_COLUMNS, WORKED_SCORES, companies, entities, halfeven
 
 from scoreloom import build_scorecard, score_entities
 from scoreloom.functions.literals import small_table
@@ -42,13 +42,20 @@ def test_min_max(spark):
     assert scale(spark, [-2.0, 0.0, 2.0, None], min_max_01, invert=True) == [1.0, 0.5, 0.0, None]
 
 
-def test_scores_match_brute_force(master, raw):
-    got = master.toPandas().set_index("ticker").sort_index()
-    want = expected_scores(raw).set_index("ticker").sort_index()
+def test_scores_worked_out_by_hand(spark):
+    got = build_scorecard(entities(spark, pd.DataFrame(WORKED, columns=WORKED_COLUMNS)), CARD)
+    for row in got.collect():
+        *scores, percentile = WORKED_SCORES[row["ticker"]]
+        assert [row[s] for s in ("env_score", "soc_score", "gov_score", "esg_score")] == scores
+        assert {row[f"{s}_sector_pct"] for s in CARD.all_scores} == {percentile}
+
+
+def test_columns_and_percentiles(master, raw):
+    got = master.toPandas()
+    assert list(got.columns[:21]) == list(raw.columns)
     for s in CARD.all_scores:
-        for c in (s, f"{s}_sector_pct"):
-            np.testing.assert_array_equal(got[c].to_numpy(float), want[c].to_numpy(float), err_msg=c)
-    assert list(master.columns[:21]) == list(raw.columns)
+        want = halfeven(got.groupby("sector")[s].rank(pct=True) * 100)
+        np.testing.assert_array_equal(got[f"{s}_sector_pct"].to_numpy(float), want.to_numpy(float))
 
 
 def test_null_rows(master):
