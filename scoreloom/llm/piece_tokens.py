@@ -290,7 +290,7 @@ def encoded(docs: DataFrame, model: str, column: str = "text", ids: str = "ids")
         encoder = _encoder(pieces)
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, 4 << 20):  # every slice searches all pieces once
                 found = encoder.encode(texts[a:b])
                 ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
                 none = pa.array([t is None for t in texts[a:b]])
