@@ -95,7 +95,7 @@ def archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     headers.write.parquet(f"{path}/headers")
     # One row of each payload goes to the store, found without moving the other copies.
     stored = content.selectExpr("coalesce(page_id, -9223372036854775808) AS kept_place", "CAST(payload AS binary) AS payload", "unhex(sha2(payload, 256)) AS digest")
-    stored.join(kept.select("digest", "kept_place"), ["kept_place", "digest"]).dropDuplicates(["digest"]).select("digest", "payload").write.parquet(f"{path}/payloads")
+    stored.join(kept.select("digest", "kept_place"), ["kept_place", "digest"]).dropDuplicates(["kept_place", "digest"]).select("digest", "payload").write.parquet(f"{path}/payloads")
     release(digests, kept)
 
 
