@@ -3,6 +3,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from scoreloom.operators import quantiles as module
 from scoreloom.operators.quantiles import describe, exact_quantiles
 from scoreloom.operators.rank import (
     bottom_n,
@@ -87,16 +88,25 @@ def test_quantiles_with_and_without_brackets(spark):
     pdf.loc[::11, "even"] = np.nan
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None).values.tolist(), "even double, skewed double, tied double, constant double")
     probs = (0.0, 0.25, 0.5, 0.75, 1.0)
-    for limit in (0, 10**9):
-        got = quantiles(df, list(pdf), probs, whole_below=limit)
+    for keep in (0, 50, 10**9):
+        got = quantiles(df, list(pdf), probs, keep=keep)
         for c in pdf:
             for p in probs:
                 np.testing.assert_allclose(got[c, p], pdf[c].quantile(p), rtol=1e-12)
 
 
+def test_cuts_in_the_wrong_place_cost_rounds_only(spark, monkeypatch):
+    monkeypatch.setattr(module, "MARGIN", -0.1)  # cuts pass the wanted place on both sides
+    monkeypatch.setattr(module, "ACCURACY", 100)
+    pdf = pd.DataFrame({"a": np.random.default_rng(6).normal(size=3_000)})
+    got = quantiles(spark.createDataFrame(pdf), ["a"], (0.1, 0.5, 0.99), keep=20)
+    for p in (0.1, 0.5, 0.99):
+        np.testing.assert_allclose(got["a", p], pdf.a.quantile(p), rtol=1e-12)
+
+
 def test_quantiles_of_few_values(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
-    assert quantiles(df, ["a", "b"], (0.25, 0.5), whole_below=0) == {("a", 0.25): 1.25, ("a", 0.5): 1.5}
+    assert quantiles(df, ["a", "b"], (0.25, 0.5), keep=0) == {("a", 0.25): 1.25, ("a", 0.5): 1.5}
 
 
 def test_describe(spark):
