@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scoreloom.functions.expressions import num
+from scoreloom.plans.staging import stage
 from scoreloom.sources.readers import nulls_for_nan
 
 # Order headers by customer.
@@ -13,54 +15,44 @@ _HEADS = """
     count_if(o_orderstatus = 'P') AS pending_orders,
     max(o_totalprice) / nullif(min(o_totalprice), 0D) AS price_spread_ratio,
     count(DISTINCT o_orderpriority) AS priority_breadth
-  FROM owned GROUP BY o_custkey
+  FROM {orders} WHERE o_custkey IS NOT NULL GROUP BY o_custkey
 """
 
-# Lines add up per order before they meet it, so an order of any length arrives
-# as one row per task and the join is one to one. Money and rates have two
-# decimals: in whole cents they add up the same in any order of the rows.
-_PER_ORDER = """
-  SELECT l_orderkey,
-    count(*) AS lines,
-    count(l_shipdate) AS shipped,
-    sum(unix_date(to_date(l_shipdate))) AS ship_days,
-    count_if(l_linestatus = 'F') AS filled,
-    count_if(l_returnflag = 'N') AS kept,
-    count_if(l_returnflag = 'R') AS returned,
-    sum(bigint(rint(l_extendedprice * 100))) AS price,
-    sum(bigint(rint(l_discount * 100))) AS discount,
-    sum(bigint(rint(l_tax * 100))) AS tax
-  FROM {lineitem} GROUP BY l_orderkey
+# Every line with its customer: the one pass over lines and the one join with
+# their orders. Adaptive execution splits an order that holds too many of them.
+_OWNED_LINES = """
+  SELECT o_custkey, l_partkey, l_suppkey,
+    datediff(to_date(l_shipdate), to_date(o_orderdate)) AS lag,
+    l_linestatus, l_returnflag, l_extendedprice, l_discount, l_tax
+  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+  WHERE o_custkey IS NOT NULL
 """
 
+# Money and rates add up in whole units of their last decimal, so they come out
+# the same in any order of the rows.
 _TOTALS = """
   SELECT o_custkey AS t_custkey,
-    sum(lines) AS lines,
-    sum(ship_days - shipped * unix_date(to_date(o_orderdate))) AS lag,
-    sum(filled) AS filled,
-    sum(kept) AS kept,
-    sum(returned) AS returned,
-    sum(price) / 100D AS price,
-    sum(discount) / 100D AS discount,
-    sum(tax) / 100D AS tax
-  FROM per_order JOIN owned ON l_orderkey = o_orderkey GROUP BY o_custkey
+    count(*) AS lines,
+    sum(lag) AS lag,
+    count_if(l_linestatus = 'F') AS filled,
+    count_if(l_returnflag = 'N') AS kept,
+    count_if(l_returnflag = 'R') AS returned,
+    sum(bigint(rint(l_extendedprice * {unit}))) / {unit} AS price,
+    sum(bigint(rint(l_discount * {unit}))) / {unit} AS discount,
+    sum(bigint(rint(l_tax * {unit}))) / {unit} AS tax
+  FROM {lines} GROUP BY o_custkey
 """
 
-# Kept apart from the sums: the rows that have to be told apart carry keys only.
-# They spread over customer and part (or supplier), so a customer with a large
-# part of all lines is shared by many tasks.
-_BREADTH = """
-  SELECT o_custkey AS b_custkey,
-    count(DISTINCT l_partkey) AS parts,
-    count(DISTINCT l_suppkey) AS suppliers
-  FROM {lineitem} JOIN owned ON l_orderkey = o_orderkey GROUP BY o_custkey
-"""
+# One set of keys each, so no row is copied to tell them apart. They spread over
+# customer and part (or supplier), so a customer with a large part of all lines
+# is shared by many tasks.
+_PARTS = "SELECT o_custkey AS p_custkey, count(DISTINCT l_partkey) AS parts FROM {lines} GROUP BY o_custkey"
+_SUPPLIERS = "SELECT o_custkey AS s_custkey, count(DISTINCT l_suppkey) AS suppliers FROM {lines} GROUP BY o_custkey"
 
-# The three aggregates arrive partitioned by customer, so only the customer
+# The four aggregates arrive partitioned by customer, so only the customer
 # table itself moves for the large joins.
 _ENTITIES = f"""
-WITH owned AS (SELECT * FROM {{orders}} WHERE o_custkey IS NOT NULL),
-heads AS ({_HEADS}), per_order AS ({_PER_ORDER}), totals AS ({_TOTALS}), breadth AS ({_BREADTH})
+WITH heads AS ({_HEADS}), totals AS ({_TOTALS}), parts AS ({_PARTS}), suppliers AS ({_SUPPLIERS})
 SELECT c_custkey AS customer_key,
   c_name AS customer,
   c_mktsegment AS segment,
@@ -82,7 +74,8 @@ SELECT c_custkey AS customer_key,
   priority_breadth
 FROM {{customer}}
   LEFT JOIN totals ON c_custkey = t_custkey
-  LEFT JOIN breadth ON c_custkey = b_custkey
+  LEFT JOIN parts ON c_custkey = p_custkey
+  LEFT JOIN suppliers ON c_custkey = s_custkey
   LEFT JOIN heads ON c_custkey = h_custkey
   LEFT JOIN {{nation}} ON c_nationkey = n_nationkey
 WHERE c_custkey IS NOT NULL
@@ -90,15 +83,19 @@ WHERE c_custkey IS NOT NULL
 
 
 def customer_entities(
-    customer: DataFrame, nation: DataFrame, orders: DataFrame, lineitem: DataFrame
+    customer: DataFrame, nation: DataFrame, orders: DataFrame, lineitem: DataFrame, decimals: int = 2
 ) -> DataFrame:
     """One row per customer: identity columns and the fifteen metrics.
 
-    A customer without orders keeps a row, its order metrics null.
+    A customer without orders keeps a row, its order metrics null. Prices,
+    discounts and taxes add up at ``decimals`` places: state as many as the data
+    has, as further ones are rounded away.
     """
-    return customer.sparkSession.sql(
-        _ENTITIES, customer=customer, nation=nation, orders=orders, lineitem=lineitem
-    )
+    spark = customer.sparkSession
+    # Read three times, a few columns each, and never joined again.
+    lines = stage(spark.sql(_OWNED_LINES, orders=orders, lineitem=lineitem), "owned-lines")
+    entities = _ENTITIES.replace("{unit}", num(10**decimals))
+    return spark.sql(entities, customer=customer, nation=nation, orders=orders, lines=lines)
 
 
 def read_customer_entities(spark: SparkSession, folder: str) -> DataFrame:
