@@ -6,7 +6,7 @@ the Spark side beyond the metric registry.
 
 from __future__ import annotations
 
-from scoreloom.catalogue.queries import PAGE_ROWS, SCENARIO, SCORING_DATE
+from scoreloom.catalogue.queries import LABELLINGS, PAGE_ROWS, SCENARIO, SCORING_DATE
 from scoreloom.config import BAND_COLOURS, FLAG, PENALTY, RATING_EDGES, RATING_LETTERS, Metric
 from scoreloom.operators.metadata import FRAMEWORK_NORMALISATION, VERSION
 from scoreloom.presets import CUSTOMER as CARD
@@ -129,6 +129,10 @@ def _statement(ctes: list[str], select: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + select
 
 
+def _recursive(ctes: list[str], select: str) -> str:
+    return _statement(ctes, select).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 _CLIPPED = ", ".join(f"{_round(_clip(f'raw_{p.slug}', 0, 100))} AS {p.score}" for p in CARD.pillars)
 _RAW = ", ".join(f"{_pillar_raw(p.slug)} AS raw_{p.slug}" for p in CARD.pillars)
 _ALL_BANDS = ", ".join(
@@ -247,9 +251,68 @@ _Z = ", ".join(
 )
 
 
-def _silhouette(distance: str) -> str:
+# Principal components: the correlation matrix of complete rows, as a list of
+# lists, squared again and again until only its first component is left; then
+# that component goes, for the next.
+_SIZE = len(CARD.metric_columns)
+_SQUARINGS = 24
+_CORRELATIONS = ", ".join(
+    "[" + ", ".join(f"coalesce(CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN corr({a}, {b}) END, 0e0)" for b in CARD.metric_columns) + "]"
+    for a in CARD.metric_columns
+)
+
+
+def _trace(m: str) -> str:
+    return f"list_sum([{m}[i][i] FOR i IN range(1, {_SIZE + 1})])"
+
+
+def _component(j: int) -> list[str]:
+    """Matrix c{j} gives share s, signed loadings v and what is left, c{j + 1}."""
+    return [
+        f"""p{j}(step, m) AS (
+  SELECT 0, m FROM c{j}
+  UNION ALL
+  SELECT step + 1, [[x / {_trace('q')} FOR x IN r] FOR r IN q]
+  FROM (SELECT step, [[list_dot_product(a, b) FOR b IN m] FOR a IN m] AS q FROM p{j} WHERE step < {_SQUARINGS}))""",
+        # All rows of what is left are the component by a factor; the longest is the safest.
+        f"r{j} AS (SELECT list_reverse_sort([{{'size': list_dot_product(a, a), 'row': a}} FOR a IN m])[1].row AS a FROM p{j} WHERE step = {_SQUARINGS})",
+        f"u{j} AS (SELECT [x / sqrt(list_dot_product(a, a)) FOR x IN a] AS u FROM r{j})",
+        f"""v{j} AS (SELECT [x * sign(u[list_position(sizes, list_max(sizes))]) FOR x IN u] AS v
+  FROM (SELECT u, [round(abs(x), 9) FOR x IN u] AS sizes FROM u{j}))""",
+        f"l{j} AS (SELECT v, m, list_dot_product(v, [list_dot_product(a, v) FOR a IN m]) AS l FROM v{j}, c{j})",
+        f"c{j + 1} AS (SELECT [[m[i][k] - l * v[i] * v[k] FOR k IN range(1, {_SIZE + 1})] FOR i IN range(1, {_SIZE + 1})] AS m FROM l{j})",
+    ]
+
+
+_METRIC_ROWS = ", ".join(
+    f"({i}, '{m.column}', '{CARD.pillar_label(m.pillar)}')" for i, m in enumerate(CARD.metrics, 1)
+)
+_PILLAR_ROWS = ", ".join(f"('{p.slug}', '{p.label}', {_num(p.weight)})" for p in CARD.pillars)
+COMPONENTS = [
+    *NORMALISED,
+    "complete AS (SELECT * FROM norm WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in CARD.metric_columns) + ")",
+    f"c1 AS (SELECT [{_CORRELATIONS}] AS m FROM complete)",
+    *(part for j in (1, 2, 3) for part in _component(j)),
+    "found AS ("
+    + _union([f"SELECT 'PC{j}' AS component, v, l / (SELECT {_trace('m')} FROM c1) AS explained FROM l{j}" for j in (1, 2, 3)])
+    + ")",
+    f"registry(i, metric, pillar) AS (VALUES {_METRIC_ROWS})",
+    "loadings AS (SELECT component, metric, pillar, v[i] AS loading FROM found, registry)",
+    "affinities AS (SELECT component, pillar, avg(abs(loading)) AS affinity FROM loadings GROUP BY ALL)",
+    "dominant AS (SELECT component, pillar AS dominant_pillar FROM affinities "
+    "QUALIFY row_number() OVER (PARTITION BY component ORDER BY affinity DESC, pillar) = 1)",
+    f"parts AS (SELECT component, {_round('explained * 100')} AS explained_variance_pct, dominant_pillar, explained "
+    "FROM found JOIN dominant USING (component))",
+    f"registered(slug, pillar, fixed_weight) AS (VALUES {_PILLAR_ROWS})",
+    "weights AS (SELECT slug, pillar, coalesce((SELECT sum(explained) FROM parts WHERE dominant_pillar = pillar), 0e0) "
+    "/ (SELECT sum(explained) FROM parts) AS weight, fixed_weight FROM registered)",
+]
+_OWN_WEIGHTS = _round(" + ".join(f"{p.score} * (SELECT weight FROM weights WHERE slug = '{p.slug}')" for p in CARD.pillars))
+
+
+def _silhouette(distance: str, label: str = "label") -> str:
     return f"""
-WITH p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+WITH p AS (SELECT vec_id, {label} AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND label IS NOT NULL),
 sizes AS (SELECT label, count(*) AS n FROM p GROUP BY label),
 sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum({distance}) AS d
@@ -374,6 +437,45 @@ FROM scored WHERE segment IS NOT NULL GROUP BY segment""",
         ],
         "SELECT pages.country, page, customers, n_customers, archetype FROM pages JOIN profiles USING (country)",
     ),
+    "pca_variance": _recursive(
+        COMPONENTS,
+        f"SELECT component, explained_variance_pct, dominant_pillar, {_round('explained', 6)} AS explained FROM parts",
+    ),
+    "pca_loadings": _recursive(
+        COMPONENTS, f"SELECT component, metric, pillar, {_round('loading', 6)} AS loading FROM loadings"
+    ),
+    "pca_affinity": _recursive(
+        COMPONENTS, f"SELECT component, pillar, {_round('affinity', 6)} AS affinity FROM affinities"
+    ),
+    "pca_weights": _recursive(
+        COMPONENTS,
+        f"SELECT slug, pillar, {_round('weight', 6)} AS weight, format('{{:.1f}}%', {_round('weight * 100')}) AS weight_text, "
+        "CAST(fixed_weight AS DOUBLE) AS fixed_weight FROM weights",
+    ),
+    "pca_weight_comparison": _recursive(
+        [
+            *COMPONENTS,
+            EQUAL[-1],
+            f"both_ways AS (SELECT *, {_weighted(CARD.weights)} AS {COMPOSITE}_hardcoded, {_OWN_WEIGHTS} AS {COMPOSITE}_pca FROM equal)",
+        ],
+        f"SELECT *, {_GAP} AS score_delta FROM both_ways",
+    ),
+    "numbered_countries": _statement(
+        [
+            *COMPARED,
+            f"ranked AS (SELECT country, row_number() OVER (ORDER BY sum(CAST({COMPOSITE}_pca AS DECIMAL(18,1))) / count({COMPOSITE}_pca) NULLS FIRST, country) - 1 AS n "
+            "FROM compared WHERE country IS NOT NULL GROUP BY country)",
+        ],
+        f"SELECT customer_key, compared.country, {COMPOSITE}_pca, CAST(n AS INTEGER) AS cluster_id FROM compared LEFT JOIN ranked USING (country)",
+    ),
+    "customer_archetypes": _statement(
+        PROFILES, "SELECT customer_key, compared.country, archetype FROM compared LEFT JOIN profiles USING (country)"
+    ),
+    "labelling_choice": "WITH found AS ("
+    + _union(
+        [f"SELECT {k} AS k, silhouette FROM ({_silhouette('list_distance(a.e, b.e) ** 2', f'label % {k}')})" for k in LABELLINGS]
+    )
+    + ") SELECT k, silhouette, row_number() OVER (ORDER BY silhouette DESC, k) = 1 AS chosen FROM found",
     "silhouette_exact": _silhouette("list_distance(a.e, b.e)"),
     "silhouette_squared": _silhouette("list_distance(a.e, b.e) ** 2"),
     "framework_metadata": f"""SELECT '{VERSION}' AS version, '{SCORING_DATE}' AS scoring_date,

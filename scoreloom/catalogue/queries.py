@@ -16,6 +16,7 @@ from scoreloom.functions.expressions import col, named, round_half_even
 from scoreloom.functions.literals import small_table
 from scoreloom.operators import marts
 from scoreloom.operators.cluster import (
+    choose_k,
     euclidean_silhouette,
     squared_silhouette,
     weigh_points,
@@ -28,11 +29,18 @@ from scoreloom.operators.normalise import (
     normalise_100,
     universe_bounds,
 )
-from scoreloom.operators.profiles import cluster_profiles, member_pages, profile_pages
+from scoreloom.operators.profiles import (
+    cluster_profiles,
+    member_pages,
+    number_clusters,
+    profile_pages,
+    with_archetype,
+)
 from scoreloom.operators.quantiles import describe
 from scoreloom.operators.rank import bottom_n, group_percentiles, top_n
 from scoreloom.operators.score import compare_weights, equal_weight_pillars, pillar_scores
 from scoreloom.plans.archetypes import (
+    Weights,
     derive_weights,
     enhance_scorecard,
     standardised_pillars,
@@ -52,6 +60,7 @@ TOP_COLUMNS = [KEY, CARD.label, CARD.group, *CARD.all_scores, CARD.rating]
 SCENARIO = {"fulfilment": 0.5, "commercial": 0.3, "credit": 0.2}
 SCORING_DATE = "2024-01-01"
 PAGE_ROWS = 25
+LABELLINGS = (2, 3, 4)
 
 
 def _entities(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,8 +117,7 @@ def metric_describe(entities: DataFrame) -> DataFrame:
 
 
 def weight_comparison(entities: DataFrame) -> DataFrame:
-    compared = compare_weights(equal_weight_pillars(entities, CARD), CARD, SCENARIO)
-    return compared.select(
+    return _compared(entities).select(
         KEY, CARD.label, f"{CARD.score}_hardcoded", f"{CARD.score}_pca", "score_delta"
     ).orderBy(F.desc_nulls_last("score_delta"), F.asc(KEY))
 
@@ -122,7 +130,7 @@ def derived_weight_comparison(entities: DataFrame) -> DataFrame:
 
 
 def _country_profiles(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
-    compared = stage(compare_weights(equal_weight_pillars(entities, CARD), CARD, SCENARIO), "compared")
+    compared = stage(_compared(entities), "compared")
     return compared, cluster_profiles(compared, CARD, "country", f"{CARD.score}_pca")
 
 
@@ -137,6 +145,25 @@ def country_members(entities: DataFrame) -> DataFrame:
     )
 
 
+def _figures(table: Callable[[Weights], DataFrame], columns: list[str]) -> Query:
+    """A table of the derived weights, its figures to six places."""
+    return _of_entities(lambda e: _rounded(table(derive_weights(e, CARD, "skip")), columns, 6))
+
+
+def _compared(entities: DataFrame) -> DataFrame:
+    return compare_weights(equal_weight_pillars(entities, CARD), CARD, SCENARIO)
+
+
+def numbered_countries(entities: DataFrame) -> DataFrame:
+    score = f"{CARD.score}_pca"
+    return number_clusters(stage(_compared(entities).select(KEY, "country", score), "compared"), "country", score)
+
+
+def customer_archetypes(entities: DataFrame) -> DataFrame:
+    compared, profiles = _country_profiles(entities)
+    return with_archetype(compared.select(KEY, "country"), profiles, "country")
+
+
 def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet").na.drop(subset=["embedding", "label"])
     return vectors.select(F.col("embedding").cast("array<double>").alias("features"), "label")
@@ -153,6 +180,14 @@ def silhouette_squared(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(small_table(spark, [(value,)], "silhouette double"), ["silhouette"], 3)
 
 
+def labelling_choice(spark: SparkSession, folder: str) -> DataFrame:
+    """Given labellings in place of fits: label modulo k; the k of the best rounded silhouette."""
+    rows = _embeddings(spark, folder).withColumn("features", array_to_vector("features"))
+    held = stage(rows.selectExpr("features", *(f"int(pmod(label, {k})) AS k{k}" for k in LABELLINGS)), "labellings")
+    rounded, best = choose_k({k: squared_silhouette(held, f"k{k}") for k in LABELLINGS})
+    return small_table(spark, [(k, s, k == best) for k, s in rounded.items()], "k int, silhouette double, chosen boolean")
+
+
 def kmeans_sweep(entities: DataFrame) -> DataFrame:
     return sweep_pillars(standardised_pillars(equal_weight_pillars(entities, CARD), CARD), CARD).table
 
@@ -211,11 +246,14 @@ QUERIES: dict[str, Query] = {
     "standardised_metrics": _of_entities(standardised_metrics),
     "country_profiles": _of_entities(country_profiles),
     "country_members": _of_entities(country_members),
-    "pca_variance": _of_entities(lambda e: derive_weights(e, CARD, "skip").components),
-    "pca_loadings": _of_entities(lambda e: derive_weights(e, CARD, "skip").loadings),
-    "pca_affinity": _of_entities(lambda e: pillar_affinity(derive_weights(e, CARD, "skip").loadings)),
-    "pca_weights": _of_entities(lambda e: derive_weights(e, CARD, "skip").table),
+    "pca_variance": _figures(lambda w: w.components, ["explained"]),
+    "pca_loadings": _figures(lambda w: w.loadings, ["loading"]),
+    "pca_affinity": _figures(lambda w: pillar_affinity(w.loadings), ["affinity"]),
+    "pca_weights": _figures(lambda w: w.table, ["weight"]),
     "pca_weight_comparison": _of_entities(derived_weight_comparison),
+    "numbered_countries": _of_entities(numbered_countries),
+    "customer_archetypes": _of_entities(customer_archetypes),
+    "labelling_choice": labelling_choice,
     "silhouette_exact": silhouette_exact,
     "silhouette_squared": silhouette_squared,
     "kmeans_sweep": _of_entities(kmeans_sweep),

@@ -177,6 +177,12 @@ class Sweep:
     kind: str
 
 
+def choose_k(silhouettes: dict[int, float]) -> tuple[dict[int, float], int]:
+    """Silhouettes rounded to three places, and the k of the highest; ties go to the smaller k."""
+    rounded = {k: round(s, 3) for k, s in silhouettes.items()}
+    return rounded, min(rounded, key=lambda k: (-rounded[k], k))
+
+
 def sweep_clusters(
     points: DataFrame,
     rows: DataFrame,
@@ -207,8 +213,8 @@ def sweep_clusters(
     else:
         held = stage(label_points(rows.select("features"), fits), "labelled-rows")
         found = {s: squared_silhouette(held, s) for s in sweeps}
-    rounded = {f.k: round(found[f"k{f.k}"], 3) for f in fits}
-    best = min(fits, key=lambda f: (-rounded[f.k], f.k))
+    rounded, chosen = choose_k({f.k: found[f"k{f.k}"] for f in fits})
+    best = next(f for f in fits if f.k == chosen)
     table = small_table(
         spark,
         [(f.k, float(f.cost), rounded[f.k], kind, f is best) for f in fits],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,10 +62,16 @@ def variance_table(model: PCAModel, spark) -> DataFrame:
 
 
 def loadings_table(model: PCAModel, card: Scorecard, spark) -> DataFrame:
-    """Rows ``(component, metric, pillar, loading)``. The sign of a component is arbitrary."""
+    """Rows ``(component, metric, pillar, loading)``.
+
+    The sign of a component is arbitrary; here its largest loading by amount,
+    the first of equals, is positive.
+    """
     matrix = model.pc.toArray()
+    largest = np.abs(matrix).round(9).argmax(axis=0)
+    signs = np.where(matrix[largest, np.arange(matrix.shape[1])] < 0, -1.0, 1.0)
     rows = [
-        (f"PC{j + 1}", m.column, card.pillar_label(m.pillar), float(matrix[i, j]))
+        (f"PC{j + 1}", m.column, card.pillar_label(m.pillar), float(matrix[i, j] * signs[j]))
         for i, m in enumerate(card.metrics)
         for j in range(matrix.shape[1])
     ]

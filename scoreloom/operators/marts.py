@@ -96,7 +96,7 @@ def group_averages(scored: DataFrame, card: Scorecard) -> DataFrame:
 
 
 def leaderboard(scored: DataFrame, card: Scorecard) -> DataFrame:
-    """Every entity with its position (1 is best), band colour and score label."""
+    """Every entity with its position (1 is best), band colour and score label; the lowest first, as on a chart."""
     rows = scored.select(
         card.key,
         card.label,
@@ -106,7 +106,7 @@ def leaderboard(scored: DataFrame, card: Scorecard) -> DataFrame:
         F.expr(named(lookup(col(card.band), BAND_COLOURS), "colour")),
         F.expr(named(score_text(col(card.score), col(card.rating)), "score_label")),
     )
-    return with_position(rows, [F.desc_nulls_last(card.score), F.asc(card.key)])
+    return with_position(rows, [F.desc_nulls_last(card.score), F.asc(card.key)]).orderBy(F.desc("position"))
 
 
 def pillar_breakdown(scored: DataFrame, card: Scorecard) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.config import RATING_EDGES, RATING_LETTERS, Scorecard
-from scoreloom.functions.expressions import round_half_even
+from scoreloom.functions.expressions import col, round_half_even
 
 # The wording of the records.
 VERSION = "1.0"
@@ -82,12 +82,14 @@ def method_record(
         chosen.select("silhouette_kind").scalar().alias("silhouette_kind"),
         profiles.agg(F.sort_array(F.collect_list(found))).scalar().alias("archetypes"),
     )
-    return entities.agg(F.count(F.lit(1)).alias("n")).select(
+    incomplete = F.expr(" OR ".join(f"{col(m.column)} IS NULL" for m in card.metrics))
+    return entities.agg(F.count(F.lit(1)).alias("n"), F.count_if(incomplete).alias("incomplete")).select(
         F.lit(METHOD).alias("scoring_method"),
         pca.alias("pca"),
         clustering.alias("clustering"),
         F.lit(len(card.metrics)).alias("metrics"),
         F.lit(METHOD_NORMALISATION).alias("normalisation"),
         F.col("n").alias(card.plural),
+        F.col("incomplete").alias(f"{card.plural}_left_out_of_components"),
         F.lit(fiscal_year).cast("int").alias("fiscal_year"),
     )

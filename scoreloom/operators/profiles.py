@@ -13,6 +13,24 @@ from scoreloom.plans.staging import stage
 PAGE_ROWS = 1000
 
 
+def number_clusters(df: DataFrame, cluster: str, score: str, name: str = "cluster_id") -> DataFrame:
+    """Number the clusters from 0 by ascending mean score; rows without a cluster get null.
+
+    Ties go by label. One row per cluster meets the driver.
+    """
+    means = (
+        df.where(F.col(cluster).isNotNull())
+        .groupBy(cluster)
+        .agg(F.expr(named(mean_of_rounded(col(score)), "mean")))
+        .orderBy(F.asc_nulls_first("mean"), F.asc(cluster))
+        .collect()
+    )
+    ids = F.lit(None).cast("int")
+    for number, row in enumerate(means):
+        ids = F.when(F.col(cluster) == row[cluster], F.lit(number)).otherwise(ids)
+    return df.withColumn(name, ids)
+
+
 def cluster_profiles(df: DataFrame, card: Scorecard, cluster: str, score: str) -> DataFrame:
     """Per cluster: size, mean scores and the archetype these match.
 

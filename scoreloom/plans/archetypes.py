@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
-from scoreloom.functions.expressions import col, mean_of_rounded, named
 from scoreloom.operators.cluster import RESTARTS, SQUARED, Sweep, sweep_clusters, weigh_points
 from scoreloom.operators.features import (
     assemble,
@@ -24,6 +23,7 @@ from scoreloom.operators.normalise import normalise_01
 from scoreloom.operators.profiles import (
     cluster_profiles,
     member_pages,
+    number_clusters,
     profile_pages,
     with_archetype,
 )
@@ -98,18 +98,7 @@ def assign_clusters(pillars: DataFrame, card: Scorecard, sweep: Sweep) -> DataFr
         .drop("features", *columns),
         "labelled",
     )
-    # One row per cluster.
-    means = (
-        labelled.where(F.col("_raw").isNotNull())
-        .groupBy("_raw")
-        .agg(F.expr(named(mean_of_rounded(col(f"{card.score}_pca")), "mean")))
-        .collect()
-    )
-    order = sorted(means, key=lambda r: (r["mean"], r["_raw"]))
-    ids = F.lit(None).cast("int")
-    for number, row in enumerate(order):
-        ids = F.when(F.col("_raw") == row["_raw"], F.lit(number)).otherwise(ids)
-    return labelled.withColumn("cluster_id", ids).drop("_raw")
+    return number_clusters(labelled, "_raw", f"{card.score}_pca").drop("_raw")
 
 
 def enhance_scorecard(
