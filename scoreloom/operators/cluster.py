@@ -27,9 +27,11 @@ FIRST_SEED = 42
 MAX_ITERATIONS = 300
 MOVE = 1e-4
 
-# Rounds of the k-means|| start, and how the points lie: fixed, as a fit depends on both.
+# Rounds of the k-means|| start, and how many distinct points lie in a partition:
+# fixed, as a fit depends on both. The start draws anew in every partition, from
+# seeds that are alike, so points must not be spread thinly.
 INIT_STEPS = 5
-LAYOUT = 16
+LAYOUT_ROWS = 10_000
 
 # Kinds of silhouette: a linear pass, or every distance.
 SQUARED, EUCLIDEAN = "squared_euclidean", "euclidean"
@@ -52,11 +54,12 @@ def best_fits(
 
     ``points`` holds distinct ``features`` and their ``weight``, so copies cost
     nothing. The fits are independent jobs; a few run side by side. Points are
-    dealt by hash into a fixed number of sorted partitions first, so the fits do
-    not depend on how they came.
+    dealt by hash into sorted partitions first, one for every ``LAYOUT_ROWS`` of
+    them, so the fits do not depend on how they came.
     """
     place = vector_to_array("features")
-    points = points.select("features", "weight").repartition(LAYOUT, place).sortWithinPartitions(place).persist()
+    parts = max(1, math.ceil(points.count() / LAYOUT_ROWS))
+    points = points.select("features", "weight").repartition(parts, place).sortWithinPartitions(place).persist()
 
     def fit(k: int, seed: int) -> Fit:
         # The centres together move less than MOVE when each moves less than this.

@@ -143,7 +143,7 @@ def run_enhancement(
         {
             f"{card.name}_ml_scores": scores,
             "pca_explained_variance": done.weights.components.drop("explained"),
-            "cluster_profiles": pages,
+            "cluster_profiles": pages.orderBy("cluster_id", "page"),
         },
         folder,
         fmt,

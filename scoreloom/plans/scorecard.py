@@ -47,7 +47,7 @@ def run_scorecard(
             f"{card.name}_scores_master": master,
             f"{card.name}_scores_long": scores_long(master, card),
             f"{card.name}_metric_detail": metric_detail(held, card),
-            f"{card.name}_{card.group}_summary": group_summary(master, card),
+            f"{card.name}_{card.group}_summary": group_summary(master, card).orderBy(card.group),
         },
         folder,
         fmt,

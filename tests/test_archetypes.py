@@ -150,6 +150,35 @@ def test_best_k_is_chosen_on_rounded_silhouettes(spark):
     assert costs[1] == costs[3] == costs[7]
 
 
+# The three pillar scores of twenty companies.
+PILLAR_SCORES = [
+    (95.5, 72.7, 81.0), (99.0, 82.9, 94.8), (85.4, 57.6, 61.6), (53.5, 47.1, 43.0), (68.8, 37.4, 0.0),
+    (72.0, 86.3, 65.8), (71.0, 84.0, 83.0), (10.4, 38.7, 55.4), (20.3, 50.7, 55.6), (76.5, 70.3, 89.1),
+    (10.7, 30.1, 45.6), (16.7, 40.3, 55.0), (90.4, 76.9, 86.2), (60.1, 74.6, 79.2), (67.0, 62.6, 55.7),
+    (27.5, 30.5, 68.8), (89.9, 82.3, 91.5), (26.1, 31.6, 67.6), (71.0, 79.8, 86.0), (84.5, 74.1, 80.8),
+]
+
+
+def test_k_sweep_finds_the_known_figures(spark):
+    names = list("abc")
+    df = standardise(spark.createDataFrame(pd.DataFrame(PILLAR_SCORES, columns=names)), names, [])
+    weighted = assemble(cluster.weigh_points(df, names), names).select("features", "weight").cache()
+    sweep = cluster.sweep_clusters(weighted, weighted, silhouette="euclidean")
+    assert sweep.silhouettes == {2: 0.593, 3: 0.593, 4: 0.513, 5: 0.398, 6: 0.378}
+    assert sweep.best.k == 2 and sorted(sweep.best.model.summary.clusterSizes) == [8, 12]
+
+
+def test_loadings_have_a_fixed_sign(spark):
+    model = fit_components(normalise_01(entities(spark, companies()), CARD, []), CARD)
+    for _, rows in loadings_table(model, CARD, spark).toPandas().groupby("component"):
+        assert rows.loading[rows.loading.abs().idxmax()] > 0
+
+
+def test_choice_of_k():
+    assert cluster.choose_k({2: 0.59349, 3: 0.59251, 4: 0.61}) == ({2: 0.593, 3: 0.593, 4: 0.61}, 4)
+    assert cluster.choose_k({2: 0.59349, 3: 0.59251})[1] == 2
+
+
 def test_enhancement(spark):
     raw = companies()
     for c in [m.column for m in CARD.of_pillar("env")]:

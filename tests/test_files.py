@@ -49,6 +49,9 @@ def test_round_trip_of_the_scorecard(spark, tmp_path):
     for name, rows in (("esg_scores_master", 24), ("esg_scores_long", 72), ("esg_metric_detail", 288), ("esg_sector_summary", 4)):
         written = spark.read.csv(f"{out}/{name}", header=True)
         assert written.count() == rows
+    files = sorted((tmp_path / "out" / "esg_sector_summary").glob("part-*"))
+    sectors = [line.split(",")[0] for f in files for line in f.read_text().splitlines()[1:]]
+    assert sectors == sorted(sectors)
     record = json.loads(spark.read.text(f"{out}/scoring_framework").first()[0])
     assert record["companies_scored"] == 24 and record["scoring_date"] == "2024-02-03"
     assert record["pillars"]["Social"]["weight"] == "35%"
