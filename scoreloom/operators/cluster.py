@@ -31,7 +31,7 @@ MOVE = 1e-4
 # fixed, as a fit depends on both. The start draws anew in every partition, from
 # seeds that are alike, so points must not be spread thinly.
 INIT_STEPS = 5
-LAYOUT_ROWS = 10_000
+LAYOUT_ROWS = 100_000
 
 # Kinds of silhouette: a linear pass, or every distance.
 SQUARED, EUCLIDEAN = "squared_euclidean", "euclidean"

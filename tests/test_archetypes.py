@@ -134,7 +134,7 @@ def test_incomplete_rows_raise_or_are_skipped(spark):
     assert sum(derive_weights(entities(spark, raw), CARD, "skip").by_slug().values()) == pytest.approx(1.0)
 
 
-def test_best_k_is_chosen_on_rounded_silhouettes(spark):
+def test_best_k_is_chosen_on_rounded_silhouettes(spark, monkeypatch):
     rng = np.random.default_rng(0)
     centres = np.array([[0, 0, 0], [10, 0, 0], [0, 10, 0]])
     x = np.concatenate([c + rng.normal(0, 0.5, (40, 3)) for c in centres])
@@ -146,6 +146,7 @@ def test_best_k_is_chosen_on_rounded_silhouettes(spark):
     assert linear.best.k == 3 and linear.kind == "squared_euclidean"
     with pytest.raises(ValueError, match="distinct points"):
         cluster.sweep_clusters(weighted.limit(3), weighted, ks=(2, 3), restarts=1)
+    monkeypatch.setattr(cluster, "LAYOUT_ROWS", 30)  # several partitions
     costs = {n: [round(f.cost, 9) for f in cluster.best_fits(weighted.repartition(n), (2, 3), 2)] for n in (1, 3, 7)}
     assert costs[1] == costs[3] == costs[7]
 
