@@ -143,19 +143,27 @@ class Encoder:
         windows = np.lib.stride_tricks.sliding_window_view(padded, self.width)
         inside = np.arange(self.width) < self.length[:, None]
 
-        def bound(after: bool) -> np.ndarray:
-            low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(suffixes))
+        def gaps(places: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            return np.where(inside[rows], windows[suffixes[places]] - self.codes[rows], 0)
+
+        def bound(rows: np.ndarray, low: np.ndarray, after: bool) -> np.ndarray:
+            low, high = low.copy(), np.full(len(rows), len(suffixes))
             while (open_ := np.flatnonzero(low < high)).size:
                 middle = (low[open_] + high[open_]) // 2
-                gap = np.where(inside[open_], windows[suffixes[middle]] - self.codes[open_], 0)
+                gap = gaps(middle, rows[open_])
                 first = gap[np.arange(len(open_)), (gap != 0).argmax(1)]
                 right = first <= 0 if after else first < 0
                 low[open_[right]] = middle[right] + 1
                 high[open_[~right]] = middle[~right]
             return low
 
-        low, high = bound(False), bound(True)
-        found = high - low
+        every = np.arange(len(self.ids))
+        low = bound(every, np.zeros(len(every), np.int64), False)
+        # Only pieces that occur have an end to look for.
+        here = np.flatnonzero(low < len(suffixes))
+        here = here[~gaps(low[here], here).any(1)]
+        found = np.zeros(len(every), np.int64)
+        found[here] = bound(here, low[here], True) - low[here]
         at = suffixes[np.repeat(low - np.cumsum(found) + found, found) + np.arange(found.sum())]
         edges = np.full((len(codes), self.width + 1), -1, np.int32)
         edges[at, np.repeat(self.length, found)] = np.repeat(self.ids, found)
