@@ -81,7 +81,7 @@ class Scorecard:
     attributes: tuple[str, ...] = ()
     size: str | None = None
     archetypes: tuple[Archetype, ...] = ()
-    default_archetype: str = "Mid-Tier Performers"
+    default_archetype: str = "Other"
     plural: str = "entities"
     composite_label: str = "Composite"
     schema: str = field(default="", repr=False)

@@ -4,6 +4,24 @@ from __future__ import annotations
 
 from scoreloom.config import FLAG, PENALTY, Archetype, Metric, Pillar, Scorecard
 
+# The name of what fits no rule, and the pillar colours.
+MIDDLING = "Mid-Tier Performers"
+COLOURS = ("#27ae60", "#2980b9", "#8e44ad")
+
+
+def _archetypes(composite: str, pillars: tuple[str, str, str], names: tuple[str, str, str]) -> tuple[Archetype, ...]:
+    """The rules over a composite and its first, second and third pillar, in order."""
+    first, second, third = pillars
+    # Names, comparisons and bounds.
+    return (
+        Archetype("Balanced Leaders", ((composite, ">=", 72),)),
+        Archetype("Structural Laggards", ((first, "<", 20), (second, "<", 40))),
+        Archetype(names[0], ((third, ">=", 65), (first, "<", 40))),
+        Archetype(names[1], ((first, ">=", 60), (second, "<", 45))),
+        Archetype(names[2], ((second, ">=", 60), (first, "<", 50))),
+    )
+
+
 # The company scorecard's columns, labels, weights and thresholds.
 SUSTAINABILITY = Scorecard(
     name="esg",
@@ -15,9 +33,9 @@ SUSTAINABILITY = Scorecard(
     plural="companies",
     composite_label="Composite ESG",
     pillars=(
-        Pillar("env", "Environmental", 0.40, "#27ae60"),
-        Pillar("soc", "Social", 0.35, "#2980b9"),
-        Pillar("gov", "Governance", 0.25, "#8e44ad"),
+        Pillar("env", "Environmental", 0.40, COLOURS[0]),
+        Pillar("soc", "Social", 0.35, COLOURS[1]),
+        Pillar("gov", "Governance", 0.25, COLOURS[2]),
     ),
     metrics=(
         Metric("carbon_emissions_mt", "env", "Carbon Emissions", 0.25, "Carbon Emissions (MT CO2e)", True),
@@ -36,13 +54,8 @@ SUSTAINABILITY = Scorecard(
         Metric("anti_corruption_policy", "gov", "Anti-Corruption Policy", 0.15, kind=FLAG),
         Metric("shareholder_rights_score", "gov", "Shareholder Rights", 0.20, "Shareholder Rights Score"),
     ),
-    archetypes=(
-        Archetype("Balanced Leaders", (("esg", ">=", 72),)),
-        Archetype("Structural Laggards", (("env", "<", 20), ("soc", "<", 40))),
-        Archetype("Governance-Strong, E-Weak", (("gov", ">=", 65), ("env", "<", 40))),
-        Archetype("Environmental Focus", (("env", ">=", 60), ("soc", "<", 45))),
-        Archetype("Social Focus", (("soc", ">=", 60), ("env", "<", 50))),
-    ),
+    archetypes=_archetypes("esg", ("env", "soc", "gov"), ("Governance-Strong, E-Weak", "Environmental Focus", "Social Focus")),
+    default_archetype=MIDDLING,
     schema=(
         "ticker string, company string, sector string, country string, market_cap_bn int, year int, "
         "carbon_emissions_mt double, renewable_energy_pct int, water_usage_intensity double, "
@@ -62,9 +75,9 @@ CUSTOMER = Scorecard(
     plural="customers",
     composite_label="Composite",
     pillars=(
-        Pillar("fulfilment", "Fulfilment", 0.40, "#27ae60"),
-        Pillar("commercial", "Commercial", 0.35, "#2980b9"),
-        Pillar("credit", "Credit", 0.25, "#8e44ad"),
+        Pillar("fulfilment", "Fulfilment", 0.40, COLOURS[0]),
+        Pillar("commercial", "Commercial", 0.35, COLOURS[1]),
+        Pillar("credit", "Credit", 0.25, COLOURS[2]),
     ),
     metrics=(
         Metric("ship_lag_days", "fulfilment", "Shipping Lag", 0.25, "Shipping Lag (days)", True),
@@ -83,11 +96,10 @@ CUSTOMER = Scorecard(
         Metric("in_credit", "credit", "In Credit", 0.15, kind=FLAG),
         Metric("priority_breadth", "credit", "Priority Breadth", 0.20, "Priority Breadth"),
     ),
-    archetypes=(
-        Archetype("Balanced Leaders", (("account", ">=", 72),)),
-        Archetype("Structural Laggards", (("fulfilment", "<", 20), ("commercial", "<", 40))),
-        Archetype("Credit-Strong, Fulfilment-Weak", (("credit", ">=", 65), ("fulfilment", "<", 40))),
-        Archetype("Fulfilment Focus", (("fulfilment", ">=", 60), ("commercial", "<", 45))),
-        Archetype("Commercial Focus", (("commercial", ">=", 60), ("fulfilment", "<", 50))),
+    archetypes=_archetypes(
+        "account",
+        ("fulfilment", "commercial", "credit"),
+        ("Credit-Strong, Fulfilment-Weak", "Fulfilment Focus", "Commercial Focus"),
     ),
+    default_archetype=MIDDLING,
 )
