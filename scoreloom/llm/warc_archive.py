@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoreloom.operators.rank import with_position
 from scoreloom.plans.staging import release, stage
 
 _CRLF = r"'\r\n'"
@@ -59,22 +60,37 @@ def _header() -> str:
     return f"CAST(concat(concat_ws({_CRLF}, {', '.join(lines)}), {_CRLF}, {_CRLF}, {http}) AS binary)"
 
 
+def _numbered(digests: DataFrame) -> DataFrame:
+    """``digests`` with ``copy``: 0, or the number of the row among those of one page_id and payload."""
+    key = ["place", "digest"]
+    repeated = stage(digests.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(*key), "repeated")
+    if repeated.isEmpty():
+        return digests.selectExpr("*", "0L AS copy")
+    # Any number of rows may share a key, so no window holds them; wholly equal rows stand in any order.
+    placed = with_position(digests.join(repeated, key), [*(F.asc(c) for c in (*key, "url")), F.asc(F.rand(1))], "at")
+    first = placed.groupBy(*key).agg(F.min("at").alias("first"))
+    copies = placed.join(first, key).selectExpr(*digests.columns, "at - first AS copy")
+    return digests.join(repeated, key, "left_anti").selectExpr("*", "0L AS copy").unionByName(copies)
+
+
 def archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
-    """Write ``pages (page_id, url, html)`` as an archive below ``path``.
+    """Write ``pages (page_id, url, html)`` as an archive below ``path``: a record for every row.
 
     Payload: the html in UTF-8; a null is empty. Of records with equal payloads
     the one with the smallest page_id is the response, the others revisit it;
     payloads under ``min_bytes`` are responses always, and stored per record's
-    digest all the same. Equal rows that repeat a page_id are one record. A page
-    without page_id is a record without one, before all others. A null url is
-    empty. Other columns are ignored; an empty table gives an empty archive.
+    digest all the same. Rows that repeat a page_id and a payload are numbered
+    by url; the number stands in the record ID, and the first is the one that
+    others refer to. A page without page_id is a record without one, before all
+    others. A null url is empty. Other columns are ignored; an empty table
+    gives an empty archive.
     """
     content = pages.selectExpr("CAST(page_id AS bigint) AS page_id", "CAST(url AS string) AS url", "CAST(coalesce(html, '') AS string) AS payload")
     digests = stage(
         content.selectExpr(
             "page_id", "url", "coalesce(page_id, -9223372036854775808) AS place", "unhex(sha2(payload, 256)) AS digest",
             f"{base32_sha1('payload')} AS payload_digest", "bigint(octet_length(payload)) AS payload_bytes",
-        ).dropDuplicates(["place", "digest"]),
+        ),
         "digests",
     )
     # Hot payloads add up before the shuffle; both digests must tell the same story.
@@ -87,9 +103,9 @@ def archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         "kept",
     )
     headers = (
-        digests.join(kept.where("verified"), "digest")
-        .selectExpr("*", f"CASE WHEN place = kept_place OR payload_bytes < {min_bytes} THEN 'response' ELSE 'revisit' END AS record_type")
-        .selectExpr("*", "concat(coalesce(CAST(page_id AS string), 'none'), '/', hex(digest)) AS record", "concat(coalesce(CAST(kept_id AS string), 'none'), '/', hex(digest)) AS kept_record")
+        _numbered(digests).join(kept.where("verified"), "digest")
+        .selectExpr("*", f"CASE WHEN (place = kept_place AND copy = 0) OR payload_bytes < {min_bytes} THEN 'response' ELSE 'revisit' END AS record_type")
+        .selectExpr("*", "concat(coalesce(CAST(page_id AS string), 'none'), '/', hex(digest), CASE WHEN copy > 0 THEN concat('/', copy) ELSE '' END) AS record", "concat(coalesce(CAST(kept_id AS string), 'none'), '/', hex(digest)) AS kept_record")
         .selectExpr("page_id", "digest", "record_type", "CASE WHEN record_type = 'revisit' THEN kept_id END AS refers_to", f"{_header()} AS header")
     )
     headers.write.parquet(f"{path}/headers")

@@ -86,6 +86,21 @@ def test_archive_round_trip(spark):
     assert kinds[None] == ("response", None) and kinds[9] == ("revisit", None)
 
 
+def test_every_row_is_a_record(spark):
+    rows = [(None, "u1", None), (None, "u2", ""), (None, "u3", ""), (5, "u", "x"), (5, "v", "x"), (5, "u", "x"), (6, "u", "x"), (7, "w", "y")]
+    path = new_path(spark, "warc-test")
+    archive(small_table(spark, rows, "page_id long, url string, html string"), path)
+    back = read_archive(spark, path).collect()
+    heads = [dict(l.split(": ", 1) for l in bytes(r.header).decode().split("\r\n") if ": " in l) for r in back]
+    want = sorted((p or 0, u, h or "") for p, u, h in rows)
+    assert sorted((r.page_id or 0, h["WARC-Target-URI"], bytes(r.payload).decode()) for r, h in zip(back, heads)) == want
+    assert len({h["WARC-Record-ID"] for h in heads}) == len(rows)
+    kept = {bytes(r.digest): h["WARC-Record-ID"] for r, h in zip(back, heads) if r.record_type == "response"}
+    assert len(kept) == 3 == sum(r.record_type == "response" for r in back)
+    assert all(h["WARC-Refers-To"] == kept[bytes(r.digest)] for r, h in zip(back, heads) if r.record_type == "revisit")
+    assert len(record_digests(read_archive(spark, path)).collect()) == len(rows)
+
+
 def test_records_are_valid_warc(spark):
     pages = small_table(spark, [p for p in PAGES if p[0] is not None], "page_id long, url string, html string, digest int")
     path = new_path(spark, "warc-test")
