@@ -15,7 +15,7 @@ from scoreloom.llm.pii import pseudonymised
 from scoreloom.llm.piece_tokens import decoded, encoded
 from scoreloom.llm.quality import quality_verdicts
 from scoreloom.llm.topk_search import top_k
-from scoreloom.llm.warc_archive import archive, read_archive, record_digests
+from scoreloom.llm.warc_archive import archive, read_archive, rebuilt_digests
 from scoreloom.plans.staging import new_path
 
 
@@ -72,7 +72,7 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "warc")
     archive(_table(spark, folder, "pages"), path)
-    return record_digests(read_archive(spark, path)).drop("header_digest")
+    return rebuilt_digests(read_archive(spark, path)).drop("header_digest")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

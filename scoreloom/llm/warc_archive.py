@@ -131,10 +131,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+_RECORD = "concat(header, CASE WHEN record_type = 'response' THEN payload ELSE CAST('' AS binary) END, CAST('\\r\\n\\r\\n' AS binary))"
+
+
 def records(archived: DataFrame) -> DataFrame:
     """The original records, byte by byte: ``page_id, record``, the two closing line ends included."""
-    block = "CASE WHEN record_type = 'response' THEN payload ELSE CAST('' AS binary) END"
-    return archived.selectExpr("page_id", f"concat(header, {block}, CAST('\\r\\n\\r\\n' AS binary)) AS record")
+    return archived.selectExpr("page_id", f"{_RECORD} AS record")
 
 
 def export_warc(archived: DataFrame, path: str) -> None:
@@ -149,3 +151,25 @@ def record_digests(archived: DataFrame) -> DataFrame:
         "page_id", "bigint(octet_length(payload)) AS payload_bytes", f"{base32_sha1('payload')} AS payload_digest", "record_type", "refers_to",
         r"regexp_extract(CAST(header AS string), 'WARC-Payload-Digest: sha1:([A-Z2-7]+)', 1) AS header_digest",
     )
+
+
+def rebuilt_digests(archived: DataFrame) -> DataFrame:
+    """As ``record_digests``, from every record built anew: a response's payload is cut out of its record.
+
+    A record whose header tells another type, length or payload digest raises.
+    """
+    said = archived.selectExpr(
+        "page_id", "record_type", "refers_to", f"{_RECORD} AS record", "octet_length(header) AS head_bytes",
+        "CASE WHEN record_type = 'response' THEN CAST(NULL AS binary) ELSE payload END AS elsewhere", "CAST(header AS string) AS head",
+    ).selectExpr(
+        "*", r"regexp_extract(head, 'WARC-Type: ([a-z]+)', 1) AS said_type", r"regexp_extract(head, 'WARC-Payload-Digest: sha1:([A-Z2-7]+)', 1) AS header_digest",
+        rf"octet_length(substring_index(head, concat({_CRLF}, {_CRLF}), 1)) + try_cast(regexp_extract(head, 'Content-Length: ([0-9]+)', 1) AS bigint) + 8 AS said_bytes",
+    )
+    found = said.selectExpr("*", "coalesce(elsewhere, substring(record, head_bytes + 1, octet_length(record) - head_bytes - 4)) AS payload").selectExpr(
+        "*", f"{base32_sha1('payload')} AS found_digest"
+    )
+    return found.selectExpr(
+        "page_id", "bigint(octet_length(payload)) AS payload_bytes",
+        "CASE WHEN said_type = record_type AND said_bytes = octet_length(record) AND header_digest = found_digest THEN found_digest ELSE raise_error('a header does not fit its record') END AS payload_digest",
+        "said_type AS record_type", "refers_to", "header_digest",
+    )

@@ -6,13 +6,14 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from check_queries import database, differences, schema_differences
 from scoreloom.functions.literals import small_table
-from scoreloom.llm import topk_search
+from scoreloom.llm import queries, topk_search
 from scoreloom.llm.catalogue import LLM_ORACLE, LLM_QUERIES
 from scoreloom.llm.topk_search import top_k
-from scoreloom.llm.warc_archive import archive, export_warc, read_archive, record_digests, records
+from scoreloom.llm.warc_archive import archive, export_warc, read_archive, rebuilt_digests, record_digests, records
 from scoreloom.plans.staging import new_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -130,6 +131,24 @@ def test_a_changed_payload_stops_the_read(spark):
         read_archive(spark, f"{path}/2").collect()
 
 
+def test_rebuilt_records_are_read_back(spark, monkeypatch):
+    path = new_path(spark, "warc-test")
+    archive(small_table(spark, PAGES, "page_id long, url string, html string, digest int"), path)
+    back = read_archive(spark, path)
+    assert sorted(rebuilt_digests(back).collect(), key=str) == sorted(record_digests(back).collect(), key=str)
+    for old, new in (("sha1:", "sha1:A"), ("WARC-Type: re", "WARC-Type: xre")):
+        forged = back.selectExpr("page_id", "record_type", "refers_to", f"CAST(replace(CAST(header AS string), '{old}', '{new}') AS binary) AS header", "payload")
+        with pytest.raises(Exception, match="does not fit its record"):
+            rebuilt_digests(forged).collect()
+    longer = back.selectExpr("page_id", "record_type", "refers_to", "CAST(concat(CAST(header AS string), ' ') AS binary) AS header", "payload")
+    with pytest.raises(Exception, match="does not fit its record"):
+        rebuilt_digests(longer).collect()
+    # The query itself reads the headers back.
+    monkeypatch.setattr(queries, "read_archive", lambda *a: read_archive(*a).withColumn("header", F.lit(b"none")))
+    with pytest.raises(Exception, match="does not fit its record"):
+        queries.op10_warc(spark, FOLDER).collect()
+
+
 def test_empty_archive(spark):
     path = new_path(spark, "warc-test")
     archive(small_table(spark, PAGES, "page_id long, url string, html string, digest int").where("false"), path)
