@@ -1,6 +1,11 @@
 """Licence notices by a trained paragraph classifier, in DataFrame functions only.
 
-A paragraph is a line. Features are the word 1- to 3-grams of the templates that
+A paragraph is a line, or a run of lines without a blank one between: of every
+two lines that a notice may reach from one to the other, the words between them,
+so that wrapped notices are whole. Comment marks are no words. Where paragraphs
+overlap, the one that a template confirms best counts, of those the shortest.
+
+Features are the word 1- to 3-grams of the templates that
 hold a word peculiar to licence texts; a sparse multinomial logistic regression
 over them tells the families and "unknown" apart. It learns from every run of
 words of the templates that says enough, and against them from the same words in
@@ -16,6 +21,8 @@ whatever the weights; only the others meet the classifier.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -95,9 +102,37 @@ def _peculiar(spark: SparkSession) -> tuple[DataFrame, str]:
 
 
 def _paragraphs(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Lines with a peculiar word: ``doc_id, line, words``, lines counted from 0."""
-    lines = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "posexplode(split(CAST(text AS string), '\\n')) AS (line, text)")
-    return lines.selectExpr("doc_id", "line", f"{_words('text')} AS words").where(f"arrays_overlap(words, {vocabulary})")
+    """Lines and runs of lines with peculiar words: ``doc_id, txt, line, last, words``, lines counted from 0.
+
+    A run starts and ends at a line with a peculiar word, and has at most
+    the words of the longest template between the two; of those two lines
+    it takes as many. Two words before and after it come along, as n-grams
+    with a peculiar word reach that far.
+    """
+    most = max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in TEMPLATES)
+    texts = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "xxhash64(CAST(text AS string)) AS txt", f"transform(split(CAST(text AS string), '\\n'), l -> {_words('l')}) AS lines")
+    marked = texts.selectExpr("*", f"transform(lines, w -> arrays_overlap(w, {vocabulary})) AS told").where("exists(told, t -> t)")
+    starts = marked.selectExpr("*", "posexplode(told) AS (line, here)").where("here").drop("here")
+    # Each line of a run but the last has a word, so runs are no longer than this.
+    ahead = starts.selectExpr(
+        "doc_id", "txt", "line", "lines[line] AS words", "CASE WHEN line > 0 AND size(lines[line - 1]) > 0 THEN flatten(slice(lines, greatest(line - 1, 1), least(line, 2))) ELSE CAST(array() AS array<string>) END AS before",
+        f"slice(lines, line + 2, {most + 4}) AS next", f"slice(told, line + 2, {most + 4}) AS told",
+    )
+    blank = "array_position(transform(next, w -> size(w)), 0)"
+    near = ahead.selectExpr("*", f"int(CASE WHEN {blank} > 0 THEN {blank} - 1 ELSE size(next) END) AS reach")
+    ends = near.selectExpr(
+        "*", f"explode(concat(array(0), filter(CASE WHEN reach > 0 THEN sequence(1, reach) ELSE CAST(array() AS array<int>) END, j -> told[j - 1] AND size(flatten(slice(next, 1, j - 1))) <= {most}))) AS j"
+    )
+    start = f"CASE WHEN size(words) > {most} THEN slice(words, -{most}, {most}) ELSE concat(slice(reverse(slice(reverse(before), 1, 2)), 1, 2), words) END"
+    end = f"CASE WHEN size(next[j - 1]) > {most} THEN slice(next[j - 1], 1, {most}) ELSE concat(next[j - 1], slice(flatten(slice(next, j + 1, greatest(least(reach - j, 2), 0))), 1, 2)) END"
+    run = f"concat({start}, flatten(slice(next, 1, j - 1)), {end})"
+    return ends.selectExpr("doc_id", "txt", "line", "line + j AS last", f"CASE WHEN j = 0 THEN words ELSE {run} END AS words").where(f"line = last OR arrays_overlap(words, {vocabulary})")
+
+
+# Of the notices of a text the best confirmed, then the shortest, then the first; what overlaps it goes.
+_BEST = """array_sort(collect_list(struct(-template_share AS behind, last - line AS length, line, last, family, probability, template_share, n)))"""
+_APART = """aggregate(slice(found, 2, size(found)), slice(found, 1, 1), (taken, x) ->
+  CASE WHEN exists(taken, t -> t.line <= x.last AND x.line <= t.last) THEN taken ELSE concat(taken, array(x)) END)"""
 
 
 class LicenceModel:
@@ -116,7 +151,7 @@ class LicenceModel:
         # The same words backwards, and short runs, say nothing.
         backwards = self.templates.selectExpr(f"'{UNKNOWN}' AS family", "reverse(words) AS words")
         short = says.where(f"n < {LEAST_RUN / 2} * whole AND n <= 4").selectExpr(f"'{UNKNOWN}' AS family", "words")
-        sample = negatives.withColumn("h", F.expr("xxhash64(doc_id, line)")).withColumn("grams", F.expr(_grams("words", self.peculiar)))
+        sample = negatives.where("line = last").withColumn("h", F.expr("xxhash64(doc_id, line)")).withColumn("grams", F.expr(_grams("words", self.peculiar)))
         sample = sample.where(f"size(array_intersect(filter(grams, g -> g LIKE '% % %'), {known})) = 0").orderBy("h", "doc_id", "line").limit(NEGATIVES).selectExpr(f"'{UNKNOWN}' AS family", "words")
         rows = stage(positive.union(backwards).union(short).union(sample).distinct(), "licence-rows")
         families = [UNKNOWN, *sorted({f for f, _ in TEMPLATES})]
@@ -137,23 +172,29 @@ class LicenceModel:
         return scored.selectExpr("*", f"array_max({best}) - raw[0] AS margin", f"element_at({named}, int(array_position({best}, array_max({best})))) AS family")
 
     def predict(self, paragraphs: DataFrame) -> DataFrame:
-        """``doc_id, line, family, probability, template_share`` of paragraphs that hold a licence notice."""
-        featured = self.vectorise.transform(paragraphs.selectExpr("doc_id", "line", f"{_grams('words', self.peculiar)} AS grams"))
-        scored = self._margin(featured).select("doc_id", "line", "grams", "margin", "family")
+        """``doc_id, line, last, family, probability, template_share`` of paragraphs that hold a licence notice."""
+        key = ["doc_id", "txt", "line", "last"]
+        featured = self.vectorise.transform(paragraphs.selectExpr(*key, f"{_grams('words', self.peculiar)} AS grams"))
+        scored = self._margin(featured).select(*key, "grams", "margin", "family")
         slope, offset = float(self.calibration.coefficients[0]), float(self.calibration.intercept)
-        likely = scored.selectExpr("doc_id", "line", "grams", "family", f"1D / (1D + exp(-({slope!r}D * margin + {offset!r}D))) AS probability").where(f"probability >= {MIN_PROBABILITY}")
+        likely = scored.selectExpr(*key, "grams", "family", f"1D / (1D + exp(-({slope!r}D * margin + {offset!r}D))) AS probability").where(f"probability >= {MIN_PROBABILITY}")
         # One row for each template: as long as the list above.
         templates = self.grams.groupBy("family").agg(F.collect_list("grams").alias("templates"))
         share = "array_max(transform(templates, t -> size(array_intersect(t, grams)) / size(t)))"
-        return likely.join(F.broadcast(templates), "family").selectExpr("doc_id", "line", "family", "probability", f"{share} AS template_share").where(f"template_share >= {MIN_TEMPLATE_SHARE}")
+        sure = likely.join(F.broadcast(templates), "family").selectExpr(*key, "family", "probability", f"{share} AS template_share").where(f"template_share >= {MIN_TEMPLATE_SHARE}")
+        # Equal rows add up first, so a group has no more rows than one text.
+        each = sure.groupBy(*key, "family", "probability", "template_share").agg(F.count(F.lit(1)).alias("n"))
+        apart = each.groupBy("doc_id", "txt").agg(F.expr(_BEST).alias("found")).selectExpr("doc_id", f"inline({_APART})")
+        return apart.selectExpr("doc_id", "line", "last", "family", "probability", "template_share", "explode(sequence(1L, n)) AS copy").drop("copy")
 
 
 def licence_notices(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, family, probability, template_share`` for every licence notice in ``docs (doc_id, text)``.
+    """``doc_id, line, last, family, probability, template_share`` for every licence notice in ``docs (doc_id, text)``.
 
-    Lines count from 0. A null or empty text has none. A null doc_id keeps its
-    rows; equal rows give equal rows. Other columns are not looked at; an empty
-    table gives none (the classifier then learns from templates alone).
+    Lines count from 0; a notice goes from ``line`` to ``last``. A null or empty
+    text has none. A null doc_id keeps its rows; equal rows give equal rows.
+    Other columns are not looked at; an empty table gives none (the classifier
+    then learns from templates alone).
     """
     spark = docs.sparkSession
     paragraphs = stage(_paragraphs(docs, _peculiar(spark)[1]), "paragraphs")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ import corpus_pipeline
 from scoreloom.functions.literals import small_table
 from scoreloom.llm import ngram_join, pii, queries
 from scoreloom.llm.language_id import UNKNOWN, identified, learn
-from scoreloom.llm.licences import document_licences
+from scoreloom.llm.licences import TEMPLATES, document_licences
 from scoreloom.llm.line_dedup import rank_levels, without_repeats
 from scoreloom.llm.mixing import mixed_copies, mixed_documents
 from scoreloom.llm.ngram_join import similar_components
@@ -257,6 +258,22 @@ def test_licences(spark, odd):
     assert len(got) == len(ODD) and not any(r.n_notices for r in got)
 
 
+def test_wrapped_licences(spark):
+    wrapped = {f: max((t for g, t in TEMPLATES if g == f), key=len) for f, _ in TEMPLATES}
+    texts, want = {}, {}
+    for i, (family, notice) in enumerate(wrapped.items()):
+        for j, (mark, width) in enumerate((("", 70), (" * ", 40), ("# ", 76), ("", 12))):
+            lines = textwrap.wrap(f"foo {notice}" if j == 2 else notice, width, break_long_words=False)
+            texts[10 * i + j] = "\n".join(["int main;", ""] + [mark + l for l in lines] + ["", "more text"])
+            want[10 * i + j] = [family]
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."
+    texts |= {900: mpl, 901: "/* " + mpl.replace("\n", "\n * ") + "\n */\nAll rights reserved.", 902: mpl.replace("\n", "\n\n"), 903: "All rights\nreserved. Released under\nthe MIT License.", 904: "rights reserved\nto all that the library\nhas in version"}
+    want |= {900: ["MPL-2.0"], 901: ["MPL-2.0", "Proprietary"], 902: [], 903: ["MIT", "Proprietary"], 904: []}
+    got = {r.doc_id: (r.families, r.n_notices) for r in document_licences(table(spark, [(i, t, "en", "s") for i, t in texts.items()])).collect()}
+    assert {i: f for i, (f, _) in got.items()} == want
+    assert all(n == len(f) for f, n in got.values())
+
+
 PERSONAL = {
     1: "Mail Ann.Lee@mail.example.com or ann.lee@mail.example.com, call +1 (974) 555-3436 or +1 974 555 3436.",
     2: "call +1 (974) 555-3436; card 4539 1488 0343 6467, host 10.1.2.3",
