@@ -29,11 +29,11 @@ CAP = 2  # copies of a document, and times a source's words
 BLOCK = 64
 SEED = 20240229
 
-_EMPTY = "CAST(array() AS array<struct<doc_id: bigint, copy: bigint, size: bigint, take: int>>)"
+_EMPTY = "CAST(array() AS array<struct<doc_id: bigint, txt: bigint, copy: bigint, size: bigint, take: int>>)"
 _COIN = f"shiftrightunsigned(xxhash64({SEED}, {{}}), 11) * 1.1102230246251565E-16D"
 # What can move to the first and to the second document before one is whole.
 _MOVES = "struct(least((1D - a.p) * a.size, b.p * b.size) AS up, least(a.p * a.size, (1D - b.p) * b.size) AS down)"
-_AFTER = f"""CASE WHEN {_COIN.format('a.doc_id, a.copy, b.doc_id, b.copy')} * (m.up + m.down) < m.down
+_AFTER = f"""CASE WHEN {_COIN.format('a.doc_id, a.txt, a.copy, b.doc_id, b.txt, b.copy')} * (m.up + m.down) < m.down
   THEN struct(CASE WHEN m.up = (1D - a.p) * a.size THEN 1D ELSE a.p + m.up / a.size END AS p,
               CASE WHEN m.up = b.p * b.size THEN 0D ELSE b.p - m.up / b.size END AS q)
   ELSE struct(CASE WHEN m.down = a.p * a.size THEN 0D ELSE a.p - m.down / a.size END AS p,
@@ -45,21 +45,21 @@ def _done(p: str) -> str:
 
 
 def _sealed(who: str, p: str) -> str:
-    return f"array(struct({who}.doc_id AS doc_id, {who}.copy AS copy, {who}.size AS size, int({p} >= 1D) AS take))"
+    return f"array(struct({who}.doc_id AS doc_id, {who}.txt AS txt, {who}.copy AS copy, {who}.size AS size, int({p} >= 1D) AS take))"
 
 
 def _state(who: str, p: str, out: str) -> str:
-    return f"struct({who}.doc_id AS doc_id, {who}.copy AS copy, {who}.size AS size, {p} AS p, {out} AS done)"
+    return f"struct({who}.doc_id AS doc_id, {who}.txt AS txt, {who}.copy AS copy, {who}.size AS size, {p} AS p, {out} AS done)"
 
 
 _NEXT = f"""CASE
   WHEN {_done('t.p')} AND {_done('t.q')} THEN
-    struct(CAST(NULL AS bigint) AS doc_id, CAST(NULL AS bigint) AS copy, CAST(NULL AS bigint) AS size, CAST(NULL AS double) AS p,
+    struct(CAST(NULL AS bigint) AS doc_id, CAST(NULL AS bigint) AS txt, CAST(NULL AS bigint) AS copy, CAST(NULL AS bigint) AS size, CAST(NULL AS double) AS p,
            concat(a.done, {_sealed('a', 't.p')}, {_sealed('b', 't.q')}) AS done)
   WHEN {_done('t.p')} THEN {_state('b', 't.q', f"concat(a.done, {_sealed('a', 't.p')})")}
   ELSE {_state('a', 't.p', f"concat(a.done, {_sealed('b', 't.q')})")} END"""
 _FOLD = f"""aggregate(items,
-  struct(CAST(NULL AS bigint) AS doc_id, CAST(NULL AS bigint) AS copy, CAST(NULL AS bigint) AS size, CAST(NULL AS double) AS p, {_EMPTY} AS done),
+  struct(CAST(NULL AS bigint) AS doc_id, CAST(NULL AS bigint) AS txt, CAST(NULL AS bigint) AS copy, CAST(NULL AS bigint) AS size, CAST(NULL AS double) AS p, {_EMPTY} AS done),
   (a, b) -> CASE WHEN a.p IS NULL THEN {_state('b', 'b.p', 'a.done')} ELSE {let(_MOVES, 'm', let(_AFTER, 't', _NEXT))} END)"""
 
 
@@ -92,73 +92,88 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size``: the words of every row."""
+    """``doc_id, source, txt, size``: the hash of the text and the words of every row."""
     return docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "CAST(text AS string) AS text", "CAST(source AS string) AS source").selectExpr(
-        "doc_id", "source", f"bigint(size({words('text')})) AS size"
+        "doc_id", "source", "xxhash64(text) AS txt", f"bigint(size({words('text')})) AS size"
     )
 
 
 def mixed_copies(docs: DataFrame) -> DataFrame:
     """How many copies of every document the mix takes.
 
-    ``doc_id, copy, source, size, source_size, target, copies, taken`` for each
-    row of ``docs (doc_id, text, source)``; ``copy`` numbers equal rows. A null
+    ``doc_id, txt, copy, source, size, source_size, target, copies, taken`` for
+    each row of ``docs (doc_id, text, source)``; ``txt`` is the hash of the text,
+    and ``copy`` numbers rows equal in doc_id, source and text. A null
     text has no words and takes none; a null source stands last. Coins are
-    keyed by the document, so reruns agree whatever the partitions. Other
+    keyed by document and text, so reruns agree whatever the partitions. Other
     columns are ignored; an empty table gives no rows.
     """
     sizes = stage(document_sizes(docs), "sizes")
     targets = stage(source_targets(sizes), "targets")
-    equal = sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    equal = sizes.groupBy("doc_id", "source", "txt", "size").agg(F.count(F.lit(1)).alias("n"))
     sized = equal.alias("e").join(targets.alias("t"), F.col("e.source").eqNullSafe(F.col("t.source"))).selectExpr(
-        "e.doc_id", "explode(sequence(1L, n)) AS copy", "e.source", "size", "source_size", "target",
+        "e.doc_id", "txt", "explode(sequence(1L, n)) AS copy", "e.source", "size", "source_size", "target",
         "int(floor(target / greatest(source_size, 1))) AS whole",
         "target / greatest(source_size, 1) - floor(target / greatest(source_size, 1)) AS p",
-        f"bigint(pmod(xxhash64({SEED + 1}, e.doc_id, copy, size), bigint(ceil(rows / {BLOCK})))) AS block",
+        f"bigint(pmod(xxhash64({SEED + 1}, e.doc_id, txt, copy, size), bigint(ceil(rows / {BLOCK})))) AS block",
     )
     sized = stage(sized, "sized")
-    settled = sized.where("size = 0 OR p = 0").selectExpr("doc_id", "copy", "source", "size", "source_size", "target", "whole", "0 AS take")
+    settled = sized.where("size = 0 OR p = 0").selectExpr("doc_id", "txt", "copy", "source", "size", "source_size", "target", "whole", "0 AS take")
     parts, level = [settled], sized.where("size > 0 AND p > 0")
     blocks = -(-(targets.agg(F.max("rows")).first()[0] or 0) // BLOCK)
     while True:
-        order = f"array_sort(collect_list(struct(xxhash64({SEED + 2}, doc_id, copy) AS at, doc_id, copy, size, p)))"  # about BLOCK rows
+        order = f"array_sort(collect_list(struct(xxhash64({SEED + 2}, doc_id, txt, copy) AS at, doc_id, txt, copy, size, p)))"  # about BLOCK rows
         folded = stage(
             level.groupBy("source", "block", "source_size", "target", "whole").agg(F.expr(order).alias("items"))
             .selectExpr("source", "block", "source_size", "target", "whole", f"{_FOLD} AS f"),
             "folded",
         )
         same = ["source", "source_size", "target", "whole"]
-        parts.append(folded.selectExpr(*same, "inline(f.done)").select("doc_id", "copy", "source", "size", "source_size", "target", "whole", "take"))
-        rest = folded.where("f.p IS NOT NULL").selectExpr("f.doc_id", "f.copy", "f.size", "f.p", *same, f"block div {BLOCK} AS block")
+        parts.append(folded.selectExpr(*same, "inline(f.done)").select("doc_id", "txt", "copy", "source", "size", "source_size", "target", "whole", "take"))
+        rest = folded.where("f.p IS NOT NULL").selectExpr("f.doc_id", "f.txt", "f.copy", "f.size", "f.p", *same, f"block div {BLOCK} AS block")
         if blocks <= 1:
-            coin = _COIN.format("doc_id, copy, size")
-            parts.append(rest.selectExpr("doc_id", "copy", "source", "size", "source_size", "target", "whole", f"int({coin} < p) AS take"))
+            coin = _COIN.format("doc_id, txt, copy, size")
+            parts.append(rest.selectExpr("doc_id", "txt", "copy", "source", "size", "source_size", "target", "whole", f"int({coin} < p) AS take"))
             break
         level, blocks = rest, -(-blocks // BLOCK)
     every = reduce(DataFrame.union, parts)
-    return every.selectExpr("doc_id", "copy", "source", "size", "source_size", "target", "whole + take AS copies", "(whole + take) * size AS taken")
+    return every.selectExpr("doc_id", "txt", "copy", "source", "size", "source_size", "target", "whole + take AS copies", "(whole + take) * size AS taken")
+
+
+def _numbered(marked: DataFrame, repeated: DataFrame, columns: list[str]) -> DataFrame:
+    """``marked`` with ``__copy``: the number of a row among those of its doc_id, source and text."""
+    if repeated.isEmpty():
+        return marked.withColumn("__copy", F.lit(1).cast("long"))
+    key = ["__did", "__src", "__txt"]
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(r)) for k, r in zip(key, ("__id", "__source", "__t"))))
+    # Any number of rows may be equal, so no window holds them; they differ in other columns at most.
+    order = [*(F.asc(k) for k in key), F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in columns]))), F.asc(F.rand(1))]
+    placed = with_position(marked.join(repeated, same, "left_semi"), order, "__at")
+    firsts = placed.groupBy(*key).agg(F.min("__at").alias("__first")).toDF("__id", "__source", "__t", "__first")
+    copies = placed.join(firsts, same).selectExpr(*[f"`{c}`" for c in marked.columns], "__at - __first + 1 AS __copy")
+    return marked.join(repeated, same, "left_anti").withColumn("__copy", F.lit(1).cast("long")).unionByName(copies)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every document as often as it is taken, with every column.
 
-    A document without words is never taken. Rows that agree in doc_id, source
-    and words are one document, whose copies add up.
+    A document without words is never taken. Every row counts by itself: rows
+    that agree in doc_id, source and text are numbered, in the order of their
+    other columns' hash, and each is taken as often as its number.
     """
-    copies = (
-        mixed_copies(docs).groupBy("doc_id", "source", "size")
-        .agg(F.sum("copies").alias("__n"), F.count(F.lit(1)).alias("__rows"))
-        .where("__n > 0 AND size > 0")
-        .toDF("__id", "__source", "__size", "__n", "__rows")
+    copies = stage(
+        mixed_copies(docs).where("size > 0 AND (copies > 0 OR copy = 2)")
+        .selectExpr("doc_id AS __id", "source AS __source", "txt AS __t", "copy AS __c", "copies AS __n"),
+        "copies",
     )
-    copies = stage(copies, "copies")
-    marked = docs.selectExpr("*", f"bigint(size({words('CAST(text AS string)')})) AS __w")
-    if not copies.where("__rows > 1").isEmpty():
-        marked = marked.dropDuplicates(["doc_id", "source", "__w"])
+    marked = docs.selectExpr("*", "CAST(doc_id AS bigint) AS __did", "CAST(source AS string) AS __src", "xxhash64(CAST(text AS string)) AS __txt")
+    numbered = _numbered(marked, copies.where("__c = 2").select("__id", "__source", "__t"), docs.columns)
     same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-        & F.col("source").cast("string").eqNullSafe(F.col("__source"))
-        & (F.col("__w") == F.col("__size"))
+        F.col("__did").eqNullSafe(F.col("__id"))
+        & F.col("__src").eqNullSafe(F.col("__source"))
+        & (F.col("__txt") == F.col("__t"))
+        & (F.col("__copy") == F.col("__c"))
     )
     # One plan at every size: both sides meet by document.
-    return marked.join(copies.hint("merge"), same).withColumn("__k", F.expr("explode(sequence(1L, __n))")).select(*[f"`{c}`" for c in docs.columns])
+    taken = numbered.join(copies.where("__n > 0").hint("merge"), same).withColumn("__k", F.expr("explode(sequence(1, __n))"))
+    return taken.select(*[f"`{c}`" for c in docs.columns])

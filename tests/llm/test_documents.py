@@ -194,6 +194,22 @@ def test_mix_of_odd_rows(odd):
     assert set(r.doc_id for r in mixed_documents(odd).collect()) <= {4, 5, 6, 7, 8, None}
 
 
+def test_mix_tells_texts_of_one_id_apart(spark):
+    """Other texts with the same doc_id, source and number of words, and rows that differ in another column only."""
+    rows = [(i, f"{w} b c", "en", "s") for i in (1, None) for w in ("u", "v", "x")] + [(2, "p q", lang, "s") for lang in ("de", "en", "en")]
+    rows += [(100 + i, "a b c d", "en", "t") for i in range(40)]
+    docs = table(spark, rows)
+    want = Counter()
+    for r in mixed_copies(docs).collect():
+        want[r.doc_id, r.txt] += r.copies
+    assert len(want) == 6 + 1 + 40
+    texts = {(i, t): h for i, t, h in docs.selectExpr("doc_id", "text", "xxhash64(text)").collect()}
+    got = [mixed_documents(d).collect() for d in (docs, docs.repartition(5))]
+    assert sorted(got[0], key=str) == sorted(got[1], key=str)
+    assert Counter((r.doc_id, texts[r.doc_id, r.text]) for r in got[0]) == +want
+    assert {(r.doc_id, r.text) for r in got[0] if r.source == "s"} == {(i, t) for i, t, _, s in rows if s == "s"}
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
