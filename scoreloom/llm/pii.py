@@ -203,14 +203,20 @@ def _drawn(key: bytes):
     return run
 
 
+def _shown(value: str) -> str:
+    """SQL: what a text shows of a canonical value: a name without its gender, a phone's bare digits."""
+    return f"CASE kind WHEN 'name' THEN substr({value}, locate(':', {value}) + 1) WHEN 'phone' THEN replace({value}, ':', '') ELSE {value} END"
+
+
 def settled_draws(entities: DataFrame, key: bytes) -> DataFrame:
-    """``kind, value, draw, made`` for distinct entities: no two alike, none that occurs itself."""
+    """``kind, value, draw, made`` for distinct entities: no two look alike, none like one that occurs itself."""
     shape = "kind string, value string, draw int, made string"
     now = stage(entities.selectExpr("kind", "value", "0 AS draw").mapInArrow(_drawn(key), shape), "draws")
     for draw in range(1, MAX_DRAWS):
-        real = entities.select("kind", F.col("value").alias("made")).withColumn("real", F.lit(True))
-        winner = now.groupBy("kind", "made").agg(F.min(F.struct("draw", "value")).alias("first"))
-        judged = now.join(winner, ["kind", "made"]).join(real, ["kind", "made"], "left").select("kind", "value", "draw", "made", (F.col("real").isNotNull() | (F.struct("draw", "value") != F.col("first"))).alias("lost"))
+        real = entities.selectExpr("kind", f"{_shown('value')} AS shown").distinct().withColumn("real", F.lit(True))
+        seen = now.selectExpr("*", f"{_shown('made')} AS shown")
+        winner = seen.groupBy("kind", "shown").agg(F.min(F.struct("draw", "value")).alias("first"))
+        judged = seen.join(winner, ["kind", "shown"]).join(real, ["kind", "shown"], "left").select("kind", "value", "draw", "made", (F.col("real").isNotNull() | (F.struct("draw", "value") != F.col("first"))).alias("lost"))
         judged = stage(judged, "judged")
         if judged.where("lost").isEmpty():
             return now

@@ -326,6 +326,21 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     assert len(set(got.values())) == 3 and not set(got.values()) & set("abc")
 
 
+def test_surrogates_differ_as_they_are_shown(spark, monkeypatch):
+    """A gender or a phone's separator does not stand in the text, so it tells no two surrogates apart."""
+
+    def clumsy(key, kind, value, draw=0):
+        first = {"name": f"{value[0]}:same", "phone": {"1:234": "1:999", ":1234": ":1999"}.get(value, value)}[kind]
+        return (first if value != "m:c" else "m:b") if draw == 0 else f"{value}{draw}"
+
+    monkeypatch.setattr(pii, "_drawn", lambda key: _clumsy_batches(clumsy))
+    rows = [("name", v) for v in ("f:a", "m:a", "n:b", "m:c")] + [("phone", v) for v in ("1:234", ":1234")]
+    got = {(r.kind, r.value): r.made for r in pii.settled_draws(small_table(spark, rows, "kind string, value string"), b"").collect()}
+    shown = Counter((k, m.partition(":")[2] if k == "name" else m.replace(":", "")) for (k, _), m in got.items())
+    assert len(got) == len(rows) and sum(shown.values()) - len(shown) == 0
+    assert not {n for k, n in shown if k == "name"} & {"a", "b", "c"} and ("phone", "1234") not in shown
+
+
 def _clumsy_batches(draw):
     def run(batches):
         import pyarrow as pa
