@@ -8,7 +8,8 @@ entity, in all documents. A keyed hash of that value draws the surrogate:
 - numbers keep their length, their country code and whether their check digit
   holds, and every mention keeps its own punctuation;
 - addresses and secrets keep the class of every character;
-- names keep gender, script, case and the number of words.
+- names keep gender, script, case and the number of words; a family name gets a
+  syllable more at every redraw, so any number of names finds room.
 
 Draws may collide. All distinct entities of the corpus are checked: no two may
 share a surrogate, and no surrogate may be an entity that occurs. Who loses
@@ -146,7 +147,7 @@ def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
                 out.append(pool[below(len(pool))])
             else:
                 syllables = _SYLLABLES[script]
-                out.append("".join(syllables[below(len(syllables))] for _ in range(max(3, min(6, len(word) // 2)))))
+                out.append("".join(syllables[below(len(syllables))] for _ in range(max(3, min(6, len(word) // 2)) + draw)))
         return f"{gender}:{' '.join(out).casefold()}"
     if kind == "email":
         local, _, domain = value.partition("@")

@@ -341,6 +341,19 @@ def test_surrogates_differ_as_they_are_shown(spark, monkeypatch):
     assert not {n for k, n in shown if k == "name"} & {"a", "b", "c"} and ("phone", "1234") not in shown
 
 
+def test_more_names_than_short_surrogates(monkeypatch):
+    monkeypatch.setitem(pii._SYLLABLES, "latin", ["ba", "be", "da", "do"])  # 64 names of three syllables
+    left, taken, draw = {f"{g}:x{a}{b}y" for g in "fm" for a in "abcdefghij" for b in "abcdefghij"}, set(), 0
+    while left and draw < pii.MAX_DRAWS:
+        for value in sorted(left):
+            made = pii.surrogate(b"k", "name", value, draw).partition(":")[2]
+            if made not in taken:
+                taken.add(made)
+                left.discard(value)
+        draw += 1
+    assert not left and draw < 10
+
+
 def _clumsy_batches(draw):
     def run(batches):
         import pyarrow as pa
