@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ def test_query_equals_its_sql_twin(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def plain_top(vectors, asked, k):
@@ -76,8 +77,9 @@ def test_archive_round_trip(spark):
     stored = spark.read.parquet(f"{path}/payloads").count()
     assert stored == len({p[2] or "" for p in PAGES})
     back = read_archive(spark, path)
-    got = {r.page_id: r for r in record_digests(back).collect()}
-    assert len(got) == back.count() == 8
+    rows = record_digests(back).collect()
+    assert Counter(r.page_id for r in rows) == Counter(p[0] for p in PAGES)
+    got = {r.page_id: r for r in rows if r.refers_to != r.page_id or r.page_id is None}  # of a repeated page, its first record
     for page, _, html, _ in PAGES:
         raw = (html or "").encode()
         assert got[page].payload_bytes == len(raw) and got[page].payload_digest == base64.b32encode(hashlib.sha1(raw).digest()).decode() == got[page].header_digest
