@@ -12,7 +12,8 @@ has at least ``max(6, 4 q)`` words. Periods are handled by octave, P to 2P - 1:
    leave the few (b, q) for which that may be so; those whose q consists of equal
    shorter periods go too, as the shorter period tells the same run.
 3. For what is left the Z-functions at the boundary, forwards and backwards
-   within the tile, give the exact fragment of the run inside the tile.
+   within the tile, give the exact fragment of the run inside the tile. One that
+   ends inside the tile on both sides and is too short is no part of a run.
 4. Fragments of one block that continue one another are joined; they are
    shuffled by (document, period) and stitched where they overlap by q words.
 
@@ -118,7 +119,10 @@ class _Slice:
         stop = at + period + self._agree(at, period, np.minimum(end - at - period, 6 * p), 1)
         start = at - self._agree(at - 1, period, at - low, -1)
         base = self.first[doc]
-        yield _joined(doc, period, start - base, stop - base)
+        # What the tile does not cut off is as long as it is, and goes if that is too short.
+        cut = ((start == low) & (low > base)) | ((stop == np.minimum(end, at + period + 6 * p)) & (stop < base + self.size[doc]))
+        kept = cut | (stop - start >= np.maximum(LEAST, TIMES * period))
+        yield _joined(doc[kept], period[kept], (start - base)[kept], (stop - base)[kept])
 
     def _primitive(self, at: np.ndarray, period: np.ndarray) -> np.ndarray:
         """Whether the ``period`` words from ``at`` are no repetition of fewer words."""
