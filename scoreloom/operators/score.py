@@ -44,7 +44,11 @@ def pillar_expression(card: Scorecard, slug: str, bounds: Mapping[str, Range]) -
 
 def pillar_scores(df: DataFrame, card: Scorecard) -> DataFrame:
     """``df`` plus one rounded 0..100 score per pillar: a projection, no shuffle."""
-    bounds = find_bounds(df, {m.column: scaling_input(m) for m in card.scaled})
+    return pillar_scores_within(df, card, find_bounds(df, {m.column: scaling_input(m) for m in card.scaled}))
+
+
+def pillar_scores_within(df: DataFrame, card: Scorecard, bounds: Mapping[str, Range]) -> DataFrame:
+    """The same under given bounds of the scaled metrics."""
     kept = [col(c) for c in df.columns]
     raw = df.selectExpr(
         *kept, *(named(pillar_expression(card, p.slug, bounds), p.score) for p in card.pillars)
