@@ -178,6 +178,7 @@ class Sweep:
     best: Fit
     silhouettes: dict[int, float]
     kind: str
+    fits: tuple[Fit, ...] = ()
 
 
 def choose_k(silhouettes: dict[int, float]) -> tuple[dict[int, float], int]:
@@ -223,7 +224,7 @@ def sweep_clusters(
         [(f.k, float(f.cost), rounded[f.k], kind, f is best) for f in fits],
         "k int, cost double, silhouette double, silhouette_kind string, chosen boolean",
     )
-    return Sweep(table, best, rounded, kind)
+    return Sweep(table, best, rounded, kind, tuple(fits))
 
 
 def weigh_points(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.config import Scorecard
 from scoreloom.functions.expressions import archetype, col, mean_of_rounded, named, round_half_even
-from scoreloom.operators.rank import with_group_position
+from scoreloom.operators.rank import with_group_position, with_position
 from scoreloom.plans.staging import stage
 
 PAGE_ROWS = 1000
@@ -16,19 +16,18 @@ PAGE_ROWS = 1000
 def number_clusters(df: DataFrame, cluster: str, score: str, name: str = "cluster_id") -> DataFrame:
     """Number the clusters from 0 by ascending mean score; rows without a cluster get null.
 
-    Ties go by label. One row per cluster meets the driver.
+    Ties go by label. The numbers are a table with a row per cluster, staged, so
+    any number of clusters may be numbered: Spark joins by their real size.
     """
     means = (
         df.where(F.col(cluster).isNotNull())
         .groupBy(cluster)
         .agg(F.expr(named(mean_of_rounded(col(score)), "mean")))
-        .orderBy(F.asc_nulls_first("mean"), F.asc(cluster))
-        .collect()
     )
-    ids = F.lit(None).cast("int")
-    for number, row in enumerate(means):
-        ids = F.when(F.col(cluster) == row[cluster], F.lit(number)).otherwise(ids)
-    return df.withColumn(name, ids)
+    placed = with_position(means, [F.asc_nulls_first("mean"), F.asc(cluster)], "__place")
+    numbers = stage(placed.select(F.col(cluster).alias("__of"), (F.col("__place") - 1).cast("int").alias("__number")), "numbers")
+    kept = df.drop(name)
+    return kept.join(numbers, kept[cluster] == numbers["__of"], "left").select(*kept.columns, F.col("__number").alias(name))
 
 
 def cluster_profiles(df: DataFrame, card: Scorecard, cluster: str, score: str) -> DataFrame:

@@ -72,17 +72,22 @@ def standardised_pillars(compared: DataFrame, card: Scorecard) -> DataFrame:
     return stage(standardise(renamed, [_z(s) for s in card.pillar_scores], compared.columns), "pillars")
 
 
+def pillar_points(pillars: DataFrame, card: Scorecard) -> DataFrame:
+    """The distinct points of standardised pillar scores with their weights; incomplete rows are left out."""
+    columns = [_z(s) for s in card.pillar_scores]
+    return stage(assemble(weigh_points(pillars.na.drop(subset=columns), columns), columns).select("features", "weight"), "points")
+
+
 def sweep_pillars(
-    pillars: DataFrame, card: Scorecard, restarts: int = RESTARTS, silhouette: str = SQUARED
+    pillars: DataFrame, card: Scorecard, restarts: int = RESTARTS, silhouette: str = SQUARED, points: DataFrame | None = None
 ) -> Sweep:
-    """The k sweep over standardised pillar scores; incomplete rows are left out."""
+    """The k sweep over standardised pillar scores; incomplete rows are left out.
+
+    ``points`` are those of ``pillar_points``, if the caller has them already.
+    """
     columns = [_z(s) for s in card.pillar_scores]
-    complete = pillars.na.drop(subset=columns)
-    points = stage(
-        assemble(weigh_points(complete, columns), columns).select("features", "weight"), "points"
-    )
-    rows = assemble(complete, columns).select("features")
-    return sweep_clusters(points, rows, restarts=restarts, silhouette=silhouette)
+    rows = assemble(pillars.na.drop(subset=columns), columns).select("features")
+    return sweep_clusters(points if points is not None else pillar_points(pillars, card), rows, restarts=restarts, silhouette=silhouette)
 
 
 def assign_clusters(pillars: DataFrame, card: Scorecard, sweep: Sweep) -> DataFrame:
@@ -101,6 +106,13 @@ def assign_clusters(pillars: DataFrame, card: Scorecard, sweep: Sweep) -> DataFr
     return number_clusters(labelled, "_raw", f"{card.score}_pca").drop("_raw")
 
 
+def _require_rows(entities: DataFrame, card: Scorecard, incomplete: str) -> None:
+    usable = entities.na.drop(subset=card.metric_columns) if incomplete == "skip" else entities
+    if usable.isEmpty():
+        lack = "complete row" if incomplete == "skip" and not entities.isEmpty() else "row"
+        raise ValueError(f"scorecard {card.name!r} has no {lack} to learn weights and clusters from")
+
+
 def enhance_scorecard(
     entities: DataFrame,
     card: Scorecard,
@@ -113,8 +125,10 @@ def enhance_scorecard(
     Components need complete rows. With ``incomplete="error"`` a null metric
     raises; with ``"skip"`` such rows are left out of the fits, yet keep their
     row in the result. ``entities`` is read several times, so stage it first
-    when it is the outcome of joins or aggregates.
+    when it is the outcome of joins or aggregates. No rows, or none that may
+    enter the components, raise.
     """
+    _require_rows(entities, card, incomplete)
     weights = derive_weights(entities, card, incomplete)
     compared = compare_weights(equal_weight_pillars(entities, card), card, weights.by_slug())
     pillars = standardised_pillars(compared, card)
@@ -133,10 +147,15 @@ def run_enhancement(
     incomplete: str = "error",
     fiscal_year: int | None = None,
     restarts: int = RESTARTS,
+    silhouette: str = SQUARED,
 ) -> Enhanced:
-    """Run the enhancement and write its tables and record under ``folder``."""
+    """Run the enhancement and write its tables and record under ``folder``.
+
+    ``silhouette`` is the kind that chooses k and stands in the record: "euclidean"
+    takes every distance, "squared_euclidean" is one linear pass.
+    """
     held = stage(entities, "entities")
-    done = enhance_scorecard(held, card, incomplete, restarts)
+    done = enhance_scorecard(held, card, incomplete, restarts, silhouette)
     scores = stage(done.scores, "enhanced")
     pages = profile_pages(done.profiles, member_pages(scores, card, "cluster_id"), "cluster_id")
     write_marts(

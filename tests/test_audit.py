@@ -1,0 +1,167 @@
+"""Audits, the sampled silhouette, and what they find in results that are wrong on purpose."""
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import array_to_vector
+
+from fixture import companies, entities
+from scoreloom.functions.literals import small_table
+from scoreloom.operators.audit import audit_fits, audit_profiles
+from scoreloom.operators.cluster import Fit, best_fits, euclidean_silhouette, weigh_points
+from scoreloom.operators.profiles import cluster_profiles, number_clusters, with_archetype
+from scoreloom.operators.silhouette_sample import overall_silhouette, silhouette_by_sample
+from scoreloom.plans.archetypes import enhance_scorecard, run_enhancement
+from scoreloom.plans.staging import new_path
+from scoreloom.presets import SUSTAINABILITY as CARD
+
+
+def blobs(n=240, seed=2):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 6, (4, 3))
+    which = rng.choice(4, n, p=[0.6, 0.25, 0.13, 0.02])
+    return centres[which] + rng.normal(0, 1, (n, 3)), which
+
+
+def test_fits_pass_the_audit(spark):
+    x, _ = blobs()
+    points = small_table(spark, [([float(v) for v in p], float(1 + i % 3)) for i, p in enumerate(x)], "features array<double>, weight double")
+    points = points.withColumn("features", array_to_vector("features"))
+    fits = best_fits(points, (2, 3, 4), restarts=2)
+    got = sorted(audit_fits(points, fits).collect())
+    weight = sum(1 + i % 3 for i in range(240))
+    assert [tuple(r) for r in got] == [(k, 240, weight, 0, 0, 0) for k in (2, 3, 4)]
+
+
+class Shifted:
+    """A model whose centres are not where its points are."""
+
+    def __init__(self, model, by):
+        self.model, self.by = model, by
+
+    def clusterCenters(self):
+        return [c + self.by for c in self.model.clusterCenters()]
+
+    def __getattr__(self, name):
+        return getattr(self.model, name)
+
+
+def test_the_audit_finds_wrong_fits(spark):
+    x, _ = blobs()
+    points = small_table(spark, [([float(v) for v in p], 1.0) for p in x], "features array<double>, weight double").withColumn("features", array_to_vector("features"))
+    fit = best_fits(points, (3,), restarts=1)[0]
+    moved = Fit(3, fit.cost, Shifted(fit.model, np.array([3.0, 0.0, 0.0])))
+    r = audit_fits(points, [moved]).first()
+    assert (r.k, r.points, r.weight, r.off_centre, r.empty) == (3, 240, 240, 3, 0)
+    swapped = Fit(3, fit.cost, Shifted(fit.model, np.zeros(3)))
+    swapped.model.clusterCenters = lambda: fit.model.clusterCenters()[::-1]
+    assert audit_fits(points, [swapped]).first().misplaced > 100
+    assert audit_fits(points, []).collect() == []
+
+
+def profiled(spark):
+    rows = [(i, f"n{i}", 10.0 * (i % 3), 50.0, 20.0, 30.0 + 10 * (i % 3), i % 3) for i in range(30)]
+    schema = "ticker int, company string, env_score double, soc_score double, gov_score double, esg_score_pca double, raw int"
+    numbered = number_clusters(small_table(spark, rows, schema), "raw", "esg_score_pca")
+    profiles = cluster_profiles(numbered, CARD, "cluster_id", "esg_score_pca")
+    return with_archetype(numbered, profiles, "cluster_id"), profiles
+
+
+def test_profiles_pass_and_fail_their_audit(spark):
+    scores, profiles = profiled(spark)
+    good = {r.check: (r.checked, r.wrong) for r in audit_profiles(scores, profiles, CARD).collect()}
+    assert good == {c: (30, 0) for c in ("numbering", "sizes", "means", "archetypes", "missing")}
+    wrong = scores.selectExpr(
+        "2 - cluster_id AS cluster_id", "IF(ticker = 4, 'x', archetype) AS archetype", "company", "esg_score_pca", "env_score", "soc_score", "gov_score"
+    ).selectExpr("IF(company = 'n0', NULL, cluster_id) AS cluster_id", "* EXCEPT (cluster_id)")
+    bad = {r.check: r.wrong for r in audit_profiles(wrong, profiles, CARD).collect()}
+    assert bad["numbering"] == 2 and bad["sizes"] == 1 and bad["means"] == 2 and bad["missing"] == 1 and bad["archetypes"] >= 1
+
+
+def test_number_of_any_number_of_clusters(spark):
+    rows = [(i, f"g{i % 700:03d}", float((i * 37) % 101)) for i in range(2100)] + [(9999, None, 1.0)]
+    df = small_table(spark, rows, "id int, g string, s double")
+    got = {r.id: (r.g, r.n) for r in number_clusters(df, "g", "s", "n").collect()}
+    means = {}
+    for _, g, s in rows[:-1]:
+        means.setdefault(g, []).append(s)
+    order = sorted(means, key=lambda g: (sum(means[g]) / len(means[g]), g))
+    assert got[9999] == (None, None) and all(n == order.index(g) for i, (g, n) in got.items() if i != 9999)
+
+
+# The sampled silhouette
+
+
+def rows_of(spark, x, labels):
+    return small_table(spark, [([float(v) for v in p], int(l), i) for i, (p, l) in enumerate(zip(x, labels))], "features array<double>, label int, id long")
+
+
+def exact(spark, rows):
+    return euclidean_silhouette(weigh_points(rows, ["features"], ["label"]), ["label"]).first().silhouette
+
+
+def test_whole_clusters_give_the_exact_value(spark):
+    x, labels = blobs()
+    rows = rows_of(spark, x, labels)
+    whole = overall_silhouette(silhouette_by_sample(rows, "label", "id", 1000)).first()
+    assert (whole.rows, whole.sampled, whole.standard_error) == (240, 240, 0.0)
+    assert abs(whole.silhouette - exact(spark, rows)) < 1e-9
+
+
+def test_the_exact_value_is_within_three_errors(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").selectExpr("CAST(embedding AS array<double>) AS features", "label", "vec_id")
+    want = exact(spark, rows)
+    for sample in (30, 120):
+        got = overall_silhouette(silhouette_by_sample(rows, "label", "vec_id", sample)).first()
+        assert got.sampled < got.rows == rows.count()
+        assert 0 < got.standard_error < 0.05 and abs(got.silhouette - want) <= 3 * got.standard_error
+
+
+def test_the_stated_error_is_the_spread_of_estimates(spark):
+    """Forty samples of one table: their spread is what each says of itself, and their mean is the exact value."""
+    x, labels = blobs(600, 5)
+    rows = rows_of(spark, x, np.minimum(labels, 2))
+    want, found = exact(spark, rows), []
+    for draw in range(40):
+        keyed = rows.selectExpr("features", "label", f"concat('{draw}:', id) AS id")
+        r = overall_silhouette(silhouette_by_sample(keyed, "label", "id", 20)).first()
+        found.append((r.silhouette, r.standard_error))
+    value, error = np.array(found).T
+    assert 0.6 < value.std(ddof=1) / error.mean() < 1.6
+    assert abs(value.mean() - want) < 4 * error.mean() / np.sqrt(40)
+
+
+def test_odd_clusters(spark):
+    rows = small_table(
+        spark,
+        [([0.0, 0.0], 1, 1), ([0.0, 0.0], 1, 2), ([5.0, 0.0], 2, 3), (None, 2, 4), ([1.0, 1.0], None, 5)],
+        "features array<double>, label int, id long",
+    )
+    got = {r.label: r for r in silhouette_by_sample(rows, "label", "id").collect()}
+    assert (got[1].silhouette, got[2].silhouette, got[1].rows, got[2].rows) == (1.0, 0.0, 2, 1)
+    single = silhouette_by_sample(rows.where("label = 1"), "label", "id")
+    assert single.first().silhouette is None and overall_silhouette(single).first().silhouette is None
+    assert silhouette_by_sample(rows.where("false"), "label", "id").collect() == []
+    with pytest.raises(ValueError, match="go to all tasks"):
+        silhouette_by_sample(spark.range(300_000).selectExpr("array(double(id)) AS features", "int(id % 3) AS label", "id"), "label", "id", 90_000)
+
+
+# The end-to-end plan
+
+
+def test_an_empty_universe_is_told(spark):
+    frame = companies(30)
+    with pytest.raises(ValueError, match="no row to learn"):
+        enhance_scorecard(entities(spark, frame.iloc[:0]), CARD)
+    frame["exec_pay_ratio"] = None
+    with pytest.raises(ValueError, match="no complete row to learn"):
+        enhance_scorecard(entities(spark, frame), CARD, incomplete="skip")
+
+
+def test_the_record_names_the_silhouette_of_the_caller(spark):
+    path = new_path(spark, "enhanced")
+    done = run_enhancement(entities(spark, companies(30)), CARD, path, "parquet", restarts=1, silhouette="euclidean")
+    record = spark.read.json(f"{path}/ml_methodology").first()
+    assert record.clustering.silhouette_kind == "euclidean" == done.sweep.kind
+    assert record.clustering.best_silhouette == max(done.sweep.silhouettes.values())
+    assert len(done.sweep.fits) == 5
