@@ -38,8 +38,15 @@ def run_scorecard(
     folder: str,
     fmt: str = "csv",
     scoring_date: str | None = None,
+    by_group: bool = False,
+    file_rows: int | None = None,
 ) -> DataFrame:
-    """Score ``entities``, write all marts and the framework record, return the master table."""
+    """Score ``entities``, write all marts and the framework record, return the master table.
+
+    With ``by_group`` the marts of entities are written in a folder per group,
+    large groups in several files; the summary of groups stays one table in order.
+    ``file_rows`` limits the rows of a file.
+    """
     held = stage(entities, "entities")
     master = stage(build_scorecard(held, card), "master")
     write_marts(
@@ -47,10 +54,12 @@ def run_scorecard(
             f"{card.name}_scores_master": master,
             f"{card.name}_scores_long": scores_long(master, card),
             f"{card.name}_metric_detail": metric_detail(held, card),
-            f"{card.name}_{card.group}_summary": group_summary(master, card).orderBy(card.group),
         },
         folder,
         fmt,
+        card.group if by_group else None,
+        file_rows,
     )
+    write_marts({f"{card.name}_{card.group}_summary": group_summary(master, card).orderBy(card.group)}, folder, fmt)
     write_record(framework_record(held, card, scoring_date), f"{folder.rstrip('/')}/scoring_framework")
     return master

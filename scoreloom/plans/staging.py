@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cache
 from weakref import WeakKeyDictionary
 
@@ -59,9 +59,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def stage_once(spark: SparkSession, key: str, build: Callable[[], DataFrame], name: str) -> DataFrame:
-    """The table staged under ``key`` in this application; built at its first use."""
-    slot = (spark.sparkContext.applicationId, key)
+def _version(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Bytes, number of files and time of change of every path, as its file system tells them."""
+    found = []
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        whole = files.getContentSummary(where)
+        found.append((path, whole.getLength(), whole.getFileCount(), files.getFileStatus(where).getModificationTime()))
+    return repr(found)
+
+
+def stage_once(spark: SparkSession, sources: Sequence[str], build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table called ``name`` that ``build`` makes of the files or folders ``sources``, staged once in this application.
+
+    It is built again when a source has changed: another size, number of files or
+    time of change. (A folder that is only changed deep inside, byte for byte as
+    long as before, goes unnoticed.) ``release_shared`` deletes what is kept.
+    """
+    slot = (spark.sparkContext.applicationId, f"{name}: {_version(spark, sources)}")
     if slot not in _SHARED:
         _SHARED[slot] = stage(build(), name)
     return _SHARED[slot]

@@ -8,6 +8,8 @@ from scoreloom.functions.expressions import num
 from scoreloom.plans.staging import stage
 from scoreloom.sources.readers import nulls_for_nan
 
+CUSTOMER_TABLES = ("customer", "nation", "orders", "lineitem")
+
 # Order headers by customer.
 _HEADS = """
   SELECT o_custkey AS h_custkey,
@@ -100,5 +102,5 @@ def customer_entities(
 
 def read_customer_entities(spark: SparkSession, folder: str) -> DataFrame:
     """The customer entity table from the parquet files of a star-schema folder."""
-    tables = [spark.read.parquet(f"{folder}/{t}.parquet") for t in ("customer", "nation", "orders", "lineitem")]
+    tables = [spark.read.parquet(f"{folder}/{t}.parquet") for t in CUSTOMER_TABLES]
     return customer_entities(*map(nulls_for_nan, tables))
