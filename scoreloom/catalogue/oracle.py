@@ -6,7 +6,7 @@ the Spark side beyond the metric registry.
 
 from __future__ import annotations
 
-from scoreloom.catalogue.queries import LABELLINGS, PAGE_ROWS, SCENARIO, SCORING_DATE
+from scoreloom.catalogue.queries import BATCHES, LABELLINGS, PAGE_ROWS, SCENARIO, SCORING_DATE, SILHOUETTE_SAMPLE
 from scoreloom.config import BAND_COLOURS, FLAG, PENALTY, RATING_EDGES, RATING_LETTERS, Metric
 from scoreloom.operators.metadata import FRAMEWORK_NORMALISATION, VERSION
 from scoreloom.presets import CUSTOMER as CARD
@@ -326,6 +326,85 @@ SELECT {_round('avg(CASE WHEN size <= 1 THEN 0e0 WHEN greatest(a, b) = 0 THEN 0e
   AS silhouette FROM sides"""
 
 
+FENCED = [
+    *SCORED,
+    f"""boxes AS (SELECT segment, count(*) AS entities,
+  {', '.join(f"{_round(f'quantile_cont({COMPOSITE}, {q / 100})', 3)} AS q{q}" for q in (25, 50, 75))}
+FROM scored WHERE segment IS NOT NULL AND {COMPOSITE} IS NOT NULL GROUP BY segment)""",
+    f"""fenced AS (SELECT *, {_round('q25 - 1.5e0 * (q75 - q25)', 4)} AS low_fence,
+  {_round('q75 + 1.5e0 * (q75 - q25)', 4)} AS high_fence FROM boxes)""",
+]
+
+
+def _long_values(measures: list[str]) -> str:
+    return _union([f"SELECT '{m}' AS measure, CAST({m} AS DOUBLE) AS v FROM scored WHERE {m} IS NOT NULL" for m in measures])
+
+
+# The least of 1, 2, 5 times a power of ten with which all values lie in ten bins.
+BINNED = [
+    *SCORED,
+    f"vals AS ({_long_values([*SCORES, *CARD.metric_columns])})",
+    "spans AS (SELECT measure, min(v) AS lo, max(v) AS hi FROM vals GROUP BY measure)",
+    "steps AS (SELECT CASE WHEN p < 0 THEN f / CAST('1e' || -p AS DOUBLE) ELSE f * CAST('1e' || p AS DOUBLE) END AS step "
+    "FROM (SELECT unnest(generate_series(-12, 15)) AS p), (VALUES (1e0), (2e0), (5e0)) AS factors(f))",
+    "chosen AS (SELECT measure, lo, hi, CASE WHEN lo = hi THEN 1e0 ELSE min(step) END AS step FROM spans, steps "
+    "WHERE lo = hi OR floor(hi / step) - floor(lo / step) < 10 GROUP BY measure, lo, hi)",
+    "bins AS (SELECT measure, step, unnest(generate_series(CAST(floor(lo / step) AS BIGINT), CAST(floor(hi / step) AS BIGINT))) AS b, "
+    "CAST(floor(lo / step) AS BIGINT) AS first FROM chosen)",
+    "hits AS (SELECT measure, CAST(floor(v / step) AS BIGINT) AS b, count(*) AS n FROM vals JOIN chosen USING (measure) GROUP BY ALL)",
+]
+DENSITY = [
+    *SCORED,
+    f"parts AS (SELECT false AS whole, segment, {COMPOSITE} AS x FROM scored WHERE {COMPOSITE} IS NOT NULL AND segment IS NOT NULL "
+    f"UNION ALL SELECT true, NULL, {COMPOSITE} FROM scored WHERE {COMPOSITE} IS NOT NULL)",
+    "widths AS (SELECT whole, segment, count(*) AS n, 1.06e0 * stddev_samp(x) * pow(count(*), -0.2e0) AS h FROM parts GROUP BY ALL HAVING count(*) > 1 AND min(x) < max(x))",
+    "curve AS (SELECT w.whole, w.segment, h, CAST(g AS DOUBLE) AS point, sum(exp(-0.5e0 * pow((g - x) / h, 2))) / (n * h * sqrt(2e0 * pi())) AS density "
+    "FROM widths w JOIN parts p ON w.whole = p.whole AND w.segment IS NOT DISTINCT FROM p.segment, (SELECT unnest(generate_series(0, 100)) AS g) "
+    "GROUP BY w.whole, w.segment, h, n, g)",
+]
+
+
+def _moments(m: Metric, linear: bool) -> str:
+    x = _input(m, linear)
+    figures = {"lo": f"min({x})", "hi": f"max({x})", "mean": f"avg({x})", "dev": f"stddev_pop({x})"}
+    return (
+        f"SELECT '{m.column}' AS metric, '{'linear' if linear else 'scaled'}' AS form, count({x}) AS n, "
+        + ", ".join(f"{_round(f, 6)} AS {name}" for name, f in figures.items())
+        + " FROM entity"
+    )
+
+
+def _moved(m: Metric) -> str:
+    x = _input(m)
+    first = f"FILTER (customer_key % {BATCHES} = 0)"
+    return f"SELECT '{m.column}' AS metric, min({x}) {first} AS lo, max({x}) {first} AS hi, min({x}) AS new_lo, max({x}) AS new_hi FROM entity"
+
+
+def _group_shares(score: str) -> str:
+    return f"SELECT DISTINCT segment, '{score}' AS measure, {score} AS score, {_percentile(score).rsplit(' AS ', 1)[0]} AS pct FROM scored WHERE segment IS NOT NULL"
+
+
+_COMPLETE = " AND ".join(f"{p} IS NOT NULL" for p in PILLARS)
+_CHECKS = "(VALUES ('numbering'), ('sizes'), ('means'), ('archetypes'), ('missing')) AS checks(\"check\")"
+_SAMPLED = f"""
+WITH p AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL),
+sizes AS (SELECT label, count(*) AS n FROM p GROUP BY label),
+drawn AS (SELECT p.* FROM p JOIN sizes USING (label)
+  WHERE CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) < 4294967296e0 * {SILHOUETTE_SAMPLE} / n),
+sums AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.e, b.e)) AS d FROM drawn a, p b GROUP BY ALL),
+sides AS (SELECT vec_id, own AS label, max(CASE WHEN own = other THEN n END) AS size,
+    max(CASE WHEN own = other THEN d / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN d / n END) AS b
+  FROM sums JOIN sizes ON sizes.label = other GROUP BY ALL),
+widths AS (SELECT label, CASE WHEN size = 1 OR greatest(a, b) = 0 THEN 0e0 ELSE (b - a) / greatest(a, b) END AS s FROM sides),
+clusters AS (SELECT label, n AS rows, count(s) AS sampled, avg(s) AS silhouette,
+    CASE WHEN count(s) = n THEN 0e0 ELSE sqrt(var_samp(s) / count(s) * (1 - count(s) / n)) END AS standard_error
+  FROM sizes LEFT JOIN widths USING (label) GROUP BY label, n),
+every AS (SELECT * FROM clusters UNION ALL
+  SELECT NULL, CAST(sum(rows) AS BIGINT), CAST(sum(sampled) AS BIGINT),
+    CASE WHEN count(silhouette) = count(*) THEN sum(rows * silhouette) / sum(rows) END,
+    CASE WHEN count(standard_error) = count(*) THEN sqrt(sum(pow(rows * standard_error, 2))) / sum(rows) END FROM clusters)
+SELECT label, rows, sampled, {_round('silhouette', 6)} AS silhouette, {_round('standard_error', 6)} AS standard_error FROM every"""
+
 _PILLAR_JSON = ", ".join(
     f"'{p.label}': {{'weight': '{p.weight:.0%}', 'metrics': [{', '.join(repr(m.name) for m in CARD.of_pillar(p.slug))}]}}"
     for p in CARD.pillars
@@ -419,6 +498,49 @@ FROM scored""",
   max({COMPOSITE}) AS high
 FROM scored WHERE segment IS NOT NULL GROUP BY segment""",
     ),
+    "box_fences": _statement(
+        FENCED,
+        f"""SELECT segment, entities, q25, q50, q75, low_fence, high_fence,
+  min({COMPOSITE}) FILTER ({COMPOSITE} BETWEEN low_fence AND high_fence) AS low_whisker,
+  max({COMPOSITE}) FILTER ({COMPOSITE} BETWEEN low_fence AND high_fence) AS high_whisker,
+  count(*) FILTER ({COMPOSITE} < low_fence OR {COMPOSITE} > high_fence) AS outliers
+FROM scored JOIN fenced USING (segment) WHERE {COMPOSITE} IS NOT NULL GROUP BY ALL""",
+    ),
+    "box_points": _statement(
+        [
+            *FENCED,
+            f"points AS (SELECT segment, customer_key, customer, {COMPOSITE}, row_number() OVER (PARTITION BY segment ORDER BY {COMPOSITE}, customer_key) AS position, "
+            f"{COMPOSITE} < low_fence OR {COMPOSITE} > high_fence AS outlier FROM scored JOIN fenced USING (segment) WHERE {COMPOSITE} IS NOT NULL)",
+        ],
+        f"SELECT *, CAST((position - 1) // {PAGE_ROWS} AS INTEGER) AS page FROM points",
+    ),
+    "score_density": _statement(
+        DENSITY, f"SELECT segment, whole, {_round('h', 9)} AS bandwidth, point, {_round('density', 9)} AS density FROM curve"
+    ),
+    "chosen_bins": _statement(
+        BINNED,
+        "SELECT measure, b - first AS bin, b * step AS low, (b + 1) * step AS high, coalesce(n, 0) AS entities FROM bins LEFT JOIN hits USING (measure, b)",
+    ),
+    "sketched_quartiles": _statement(
+        [ENTITY, "counts AS (" + _union([f"SELECT '{m.column}' AS metric, count({m.column}) AS n FROM entity" for m in CARD.metrics]) + ")"],
+        "SELECT metric, prob, n, true AS within FROM counts, (VALUES (0.25e0), (0.5e0), (0.75e0)) AS asked(prob) WHERE n > 0",
+    ),
+    "sketched_counts": _union(
+        [
+            f"SELECT '{c}' AS \"column\", count(DISTINCT coalesce(CAST(date_trunc('month', o_orderdate) AS VARCHAR), '')) AS parts, count(*) AS rows, "
+            f"count(DISTINCT {c}) AS exact, true AS within FROM orders"
+            for c in ("o_custkey", "o_orderdate", "o_orderpriority")
+        ]
+    ),
+    "merged_percentiles": _statement(
+        [*SCORED, "shares AS (" + _union([_group_shares(s) for s in SCORES]) + ")"], "SELECT * FROM shares WHERE score IS NOT NULL"
+    ),
+    "merged_moments": _statement([ENTITY], _union([_moments(m, True) for m in CARD.metrics] + [_moments(m, False) for m in CARD.scaled])),
+    "moved_bounds": _statement(
+        [ENTITY, "bounds AS (" + _union([_moved(m) for m in CARD.scaled]) + ")"],
+        "SELECT * FROM bounds WHERE lo IS DISTINCT FROM new_lo OR hi IS DISTINCT FROM new_hi",
+    ),
+    "registry_scorecard": _statement(SCORED[:4], f"SELECT customer_key, {', '.join(PILLARS)} FROM pillars"),
     "metric_describe": _statement(NORMALISED, _union([_describe(m) for m in CARD.metrics])),
     "equal_weight_pillars": _statement(EQUAL, "SELECT * FROM equal"),
     "weight_comparison": _statement(
@@ -476,6 +598,16 @@ FROM scored WHERE segment IS NOT NULL GROUP BY segment""",
         [f"SELECT {k} AS k, silhouette FROM ({_silhouette('list_distance(a.e, b.e) ** 2', f'label % {k}')})" for k in LABELLINGS]
     )
     + ") SELECT k, silhouette, row_number() OVER (ORDER BY silhouette DESC, k) = 1 AS chosen FROM found",
+    "silhouette_sampled": _SAMPLED,
+    "kmeans_audit": _statement(
+        [*EQUAL, f"complete AS (SELECT {', '.join(PILLARS)} FROM equal WHERE {_COMPLETE})"],
+        "SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM (SELECT DISTINCT * FROM complete)) AS points, (SELECT count(*) FROM complete) AS weight, "
+        "CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS off_centre, CAST(0 AS BIGINT) AS empty FROM (SELECT unnest(generate_series(2, 6)) AS k)",
+    ),
+    "profile_audit": _statement(
+        [*EQUAL, f"complete AS (SELECT count(*) AS checked FROM equal WHERE {_COMPLETE})"],
+        f'SELECT "check", checked, CAST(0 AS BIGINT) AS wrong FROM complete, {_CHECKS}',
+    ),
     "silhouette_exact": _silhouette("list_distance(a.e, b.e)"),
     "silhouette_squared": _silhouette("list_distance(a.e, b.e) ** 2"),
     "framework_metadata": f"""SELECT '{VERSION}' AS version, '{SCORING_DATE}' AS scoring_date,

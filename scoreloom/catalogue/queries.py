@@ -7,6 +7,7 @@ is read more than once, so it is staged first.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.expressions import col, named, round_half_even
 from scoreloom.functions.literals import small_table
-from scoreloom.operators import marts
+from scoreloom.operators import distribution, marts, state
+from scoreloom.operators.audit import audit_fits, audit_profiles
 from scoreloom.operators.cluster import (
     choose_k,
     euclidean_silhouette,
@@ -39,17 +41,30 @@ from scoreloom.operators.profiles import (
 from scoreloom.operators.quantiles import describe
 from scoreloom.operators.rank import bottom_n, group_percentiles, top_n
 from scoreloom.operators.score import compare_weights, equal_weight_pillars, pillar_scores
+from scoreloom.operators.silhouette_sample import overall_silhouette, silhouette_by_sample
+from scoreloom.operators.sketches import (
+    count_error,
+    distinct_sketches,
+    merged_counts,
+    merged_sketches,
+    quantile_sketches,
+    quantiles_within,
+    rank_error,
+    sketched_quantiles,
+)
 from scoreloom.plans.archetypes import (
     Weights,
     derive_weights,
     enhance_scorecard,
+    pillar_points,
     standardised_pillars,
     sweep_pillars,
 )
 from scoreloom.plans.scorecard import build_scorecard, score_entities
 from scoreloom.plans.staging import stage, stage_once
 from scoreloom.presets import CUSTOMER
-from scoreloom.sources.customers import read_customer_entities
+from scoreloom.sources.customers import CUSTOMER_TABLES, read_customer_entities
+from scoreloom.sources.registry import from_json, from_tables, registry_tables, to_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,10 +76,14 @@ SCENARIO = {"fulfilment": 0.5, "commercial": 0.3, "credit": 0.2}
 SCORING_DATE = "2024-01-01"
 PAGE_ROWS = 25
 LABELLINGS = (2, 3, 4)
+SILHOUETTE_SAMPLE = 40
+# Batches that the growing queries cut the universe into, by key.
+BATCHES = 3
 
 
 def _entities(spark: SparkSession, folder: str) -> DataFrame:
-    return stage_once(spark, f"entities of {folder}", lambda: read_customer_entities(spark, folder), "entities")
+    sources = [f"{folder}/{t}.parquet" for t in CUSTOMER_TABLES]
+    return stage_once(spark, sources, lambda: read_customer_entities(spark, folder), "entities")
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,6 +220,77 @@ def cluster_profile_pages(entities: DataFrame) -> DataFrame:
     return profile_pages(done.profiles, member_pages(done.scores, CARD, "cluster_id"), "cluster_id")
 
 
+def kmeans_audit(entities: DataFrame) -> DataFrame:
+    """Every fit of the sweep against the points it was made of."""
+    pillars = standardised_pillars(equal_weight_pillars(entities, CARD), CARD)
+    points = pillar_points(pillars, CARD)
+    return audit_fits(points, sweep_pillars(pillars, CARD, points=points).fits)
+
+
+def profile_audit(entities: DataFrame) -> DataFrame:
+    done = enhance_scorecard(entities, CARD, incomplete="skip")
+    return audit_profiles(done.scores, done.profiles, CARD)
+
+
+def _batches(entities: DataFrame) -> list[DataFrame]:
+    return [entities.where(F.pmod(KEY, F.lit(BATCHES)) == i) for i in range(BATCHES)]
+
+
+def _grown(entities: DataFrame) -> state.State:
+    """The state of the universe, from states of its batches under the bounds that the batches' moments give."""
+    batches = _batches(entities)
+    moments = state.merge_moments(reduce(DataFrame.unionByName, (state.metric_moments(b, CARD) for b in batches)))
+    basis = stage(state.basis_of(moments), "basis")
+    return reduce(state.merge_states, (state.batch_state(b, CARD, basis) for b in batches))
+
+
+def merged_percentiles(entities: DataFrame) -> DataFrame:
+    return state.state_percentiles(_grown(entities)).withColumnRenamed("group", CARD.group)
+
+
+def merged_moments(entities: DataFrame) -> DataFrame:
+    return state.state_figures(_grown(entities))
+
+
+def moved_bounds(entities: DataFrame) -> DataFrame:
+    """What the second and third batch move of the bounds that the first one set."""
+    first, *later = _batches(entities)
+    begun = state.batch_state(first, CARD)
+    return state.moved_bounds(reduce(state.merge_states, (state.batch_state(b, CARD, begun.basis) for b in later), begun))
+
+
+def registry_scorecard(entities: DataFrame) -> DataFrame:
+    """The pillar scores under a registry that went through tables and JSON."""
+    card = from_json(to_json(from_tables(**registry_tables(entities.sparkSession, CARD))))
+    return pillar_scores(entities, card).select(KEY, *card.pillar_scores)
+
+
+def silhouette_sampled(spark: SparkSession, folder: str) -> DataFrame:
+    """By cluster, and last over all of them (label null)."""
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").selectExpr("CAST(embedding AS array<double>) AS features", "label", "vec_id")
+    clusters = silhouette_by_sample(rows, "label", "vec_id", SILHOUETTE_SAMPLE)
+    whole = overall_silhouette(clusters).selectExpr("CAST(NULL AS int) AS label", "*")
+    return _rounded(clusters.unionByName(whole), ["silhouette", "standard_error"], 6)
+
+
+def sketched_quartiles(entities: DataFrame) -> DataFrame:
+    """Quartiles of every metric out of one sketch per country: is each within the stated error?"""
+    columns = CARD.metric_columns
+    parts = stage(quantile_sketches(entities, columns, ["country"]), "sketches")
+    found = stage(sketched_quantiles(merged_sketches(parts), (0.25, 0.5, 0.75)), "sketched")
+    return quantiles_within(entities, columns, found, rank_error()).select("metric", "prob", "n", "within")
+
+
+def sketched_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct customers, days and priorities out of one sketch per month of orders, next to the exact count."""
+    columns = ["o_custkey", "o_orderdate", "o_orderpriority"]
+    orders = spark.read.parquet(f"{folder}/orders.parquet").withColumn("month", F.date_trunc("month", "o_orderdate"))
+    merged = merged_counts(stage(distinct_sketches(orders, columns, ["month"]), "count-sketches"))
+    # One distinct at a time: a row of several would copy every row for each.
+    exact = reduce(DataFrame.union, (orders.agg(F.lit(c).alias("column"), F.countDistinct(c).alias("exact")) for c in columns))
+    return merged.join(exact, "column").selectExpr("column", "parts", "rows", "exact", f"abs(distinct_values - exact) <= {count_error()!r}D * exact + 1 AS within")
+
+
 def _as_text(record: DataFrame, columns: list[str]) -> DataFrame:
     return record.withColumns({c: F.to_json(c) for c in columns})
 
@@ -240,7 +330,17 @@ QUERIES: dict[str, Query] = {
     "group_heatmap": _of_scored(lambda s: marts.group_heatmap(s, CARD)),
     "score_histogram": _of_scored(lambda s: marts.score_histogram(s, CARD)),
     "group_box_stats": _of_scored(lambda s: marts.group_box_stats(s, CARD)),
+    "box_fences": _of_scored(lambda s: distribution.box_fences(s, CARD)),
+    "box_points": _of_scored(lambda s: distribution.box_points(s, CARD, PAGE_ROWS)),
+    "score_density": _of_scored(lambda s: distribution.score_density(s, CARD)),
+    "chosen_bins": _of_scored(lambda s: distribution.binned_counts(s, [*CARD.all_scores, *CARD.metric_columns])),
     "metric_describe": _of_entities(metric_describe),
+    "sketched_quartiles": _of_entities(sketched_quartiles),
+    "sketched_counts": sketched_counts,
+    "merged_percentiles": _of_entities(merged_percentiles),
+    "merged_moments": _of_entities(merged_moments),
+    "moved_bounds": _of_entities(moved_bounds),
+    "registry_scorecard": _of_entities(registry_scorecard),
     "equal_weight_pillars": _of_entities(lambda e: equal_weight_pillars(e, CARD)),
     "weight_comparison": _of_entities(weight_comparison),
     "standardised_metrics": _of_entities(standardised_metrics),
@@ -256,7 +356,10 @@ QUERIES: dict[str, Query] = {
     "labelling_choice": labelling_choice,
     "silhouette_exact": silhouette_exact,
     "silhouette_squared": silhouette_squared,
+    "silhouette_sampled": silhouette_sampled,
     "kmeans_sweep": _of_entities(kmeans_sweep),
+    "kmeans_audit": _of_entities(kmeans_audit),
+    "profile_audit": _of_entities(profile_audit),
     "cluster_scores": _of_entities(cluster_scores),
     "cluster_profiles": _of_entities(cluster_profile_pages),
     "framework_metadata": framework_metadata,
