@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoreloom.llm.numbering import numbered, repeated_rows
 from scoreloom.llm.text_sql import let, words
 from scoreloom.operators.rank import with_position
 from scoreloom.plans.staging import stage
@@ -111,8 +112,9 @@ def mixed_copies(docs: DataFrame) -> DataFrame:
     sizes = stage(document_sizes(docs), "sizes")
     targets = stage(source_targets(sizes), "targets")
     equal = sizes.groupBy("doc_id", "source", "txt", "size").agg(F.count(F.lit(1)).alias("n"))
-    sized = equal.alias("e").join(targets.alias("t"), F.col("e.source").eqNullSafe(F.col("t.source"))).selectExpr(
-        "e.doc_id", "txt", "explode(sequence(1L, n)) AS copy", "e.source", "size", "source_size", "target",
+    each = repeated_rows(equal, "n", "at").withColumn("copy", F.col("at") + 1)
+    sized = each.alias("e").join(targets.alias("t"), F.col("e.source").eqNullSafe(F.col("t.source"))).selectExpr(
+        "e.doc_id", "txt", "copy", "e.source", "size", "source_size", "target",
         "int(floor(target / greatest(source_size, 1))) AS whole",
         "target / greatest(source_size, 1) - floor(target / greatest(source_size, 1)) AS p",
         f"bigint(pmod(xxhash64({SEED + 1}, e.doc_id, txt, copy, size), bigint(ceil(rows / {BLOCK})))) AS block",
@@ -146,11 +148,9 @@ def _numbered(marked: DataFrame, repeated: DataFrame, columns: list[str]) -> Dat
         return marked.withColumn("__copy", F.lit(1).cast("long"))
     key = ["__did", "__src", "__txt"]
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(r)) for k, r in zip(key, ("__id", "__source", "__t"))))
-    # Any number of rows may be equal, so no window holds them; they differ in other columns at most.
-    order = [*(F.asc(k) for k in key), F.xxhash64(F.to_json(F.struct(*[f"`{c}`" for c in columns]))), F.asc(F.rand(1))]
-    placed = with_position(marked.join(repeated, same, "left_semi"), order, "__at")
-    firsts = placed.groupBy(*key).agg(F.min("__at").alias("__first")).toDF("__id", "__source", "__t", "__first")
-    copies = placed.join(firsts, same).selectExpr(*[f"`{c}`" for c in marked.columns], "__at - __first + 1 AS __copy")
+    others = F.to_json(F.struct(*[f"`{c}`" for c in columns]))
+    copies = numbered(marked.join(repeated, same, "left_semi"), key, [F.xxhash64(others), others], "__number")
+    copies = copies.withColumn("__copy", F.col("__number") + 1).drop("__number")
     return marked.join(repeated, same, "left_anti").withColumn("__copy", F.lit(1).cast("long")).unionByName(copies)
 
 

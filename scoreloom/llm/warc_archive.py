@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreloom.operators.rank import with_position
+from scoreloom.llm.numbering import numbered
 from scoreloom.plans.staging import release, stage
 
 _CRLF = r"'\r\n'"
@@ -66,10 +66,7 @@ def _numbered(digests: DataFrame) -> DataFrame:
     repeated = stage(digests.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(*key), "repeated")
     if repeated.isEmpty():
         return digests.selectExpr("*", "0L AS copy")
-    # Any number of rows may share a key, so no window holds them; wholly equal rows stand in any order.
-    placed = with_position(digests.join(repeated, key), [*(F.asc(c) for c in (*key, "url")), F.asc(F.rand(1))], "at")
-    first = placed.groupBy(*key).agg(F.min("at").alias("first"))
-    copies = placed.join(first, key).selectExpr(*digests.columns, "at - first AS copy")
+    copies = numbered(digests.join(repeated, key, "left_semi"), key, [F.asc("url")], "copy")
     return digests.join(repeated, key, "left_anti").selectExpr("*", "0L AS copy").unionByName(copies)
 
 
@@ -109,7 +106,7 @@ def archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         .selectExpr("page_id", "digest", "record_type", "CASE WHEN record_type = 'revisit' THEN kept_id END AS refers_to", f"{_header()} AS header")
     )
     headers.write.parquet(f"{path}/headers")
-    # One row of each payload goes to the store, found without moving the other copies.
+    # One row of each payload goes to the store, found by its page and digest; the join moves payloads once, by page.
     stored = content.selectExpr("coalesce(page_id, -9223372036854775808) AS kept_place", "CAST(payload AS binary) AS payload", "unhex(sha2(payload, 256)) AS digest")
     stored.join(kept.select("digest", "kept_place"), ["kept_place", "digest"]).dropDuplicates(["kept_place", "digest"]).select("digest", "payload").write.parquet(f"{path}/payloads")
     release(digests, kept)
