@@ -21,6 +21,8 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_DOCS = 20  # of a host, that may share a line
 MIN_LEFT_PERCENT = 50  # of the words, after the shared lines are gone
+# What tells rows of one doc_id apart; a hash alone would skip nulls, whichever column they are in.
+ROW = "xxhash64(text IS NULL, text, source IS NULL, source)"
 
 # Places of windows found twice or more, in order; then the words they cover.
 _SORTED = "array_sort(transform(wins, (h, i) -> struct(h, i)))"
@@ -31,6 +33,10 @@ _REPEATED = let(_SORTED, "s", let(_TWICE, "p", _COVERED))
 _OWN_LINES = r"filter(split(text, '\\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"
 
 
+def _cast(sql: str) -> str:
+    return sql.replace("text, ", "CAST(text AS string), ").replace("source)", "CAST(source AS string))")
+
+
 def _lines_key(line: str) -> str:
     """A line within its host, as two hashes; a null host is a host of its own."""
     host = "coalesce(concat('h', source), 'n')"
@@ -43,7 +49,7 @@ def text_rules(docs: DataFrame) -> DataFrame:
     split = named.selectExpr(
         "doc_id",
         "coalesce(doc_id, -9223372036854775808) AS did",
-        "xxhash64(text, source) AS rid",
+        f"{ROW} AS rid",
         f"{words('text')} AS words",
         "coalesce(bigint(regexp_count(text, '[#*$%&|<>]')), 0L) AS n_symbols",
         "coalesce(" + let(_OWN_LINES, "l", "bigint(size(l) - size(array_distinct(l)))") + ", 0L) AS n_dup_lines",
@@ -121,6 +127,6 @@ def clean_documents(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     key = _lines_key("x").replace("source", "CAST(source AS string)")
     keep = let(f"trim({own})", "x", f"x = '' OR NOT array_contains(__lines, {let(key, 'k', 'struct(k.h AS h, k.g AS g)')})")
     text = f"CASE WHEN __lines IS NULL THEN text ELSE array_join(filter(split(text, '\\n'), l -> {keep}), '\\n') END"
-    marked = docs.selectExpr("*", "coalesce(CAST(doc_id AS bigint), -9223372036854775808) AS __did", "xxhash64(CAST(text AS string), CAST(source AS string)) AS __rid")
+    marked = docs.selectExpr("*", "coalesce(CAST(doc_id AS bigint), -9223372036854775808) AS __did", f"{_cast(ROW)} AS __rid")
     columns = [f"{text} AS text" if c == "text" else f"`{c}`" for c in docs.columns]
     return marked.join(kept, ["__did", "__rid"]).selectExpr(*columns)
