@@ -36,6 +36,8 @@ NEGATIVES = 2_000  # lines of the corpus to learn from, those with the least has
 MIN_PROBABILITY = 0.5
 MIN_TEMPLATE_SHARE = 0.6
 LEAST_RUN = 0.6  # of a template's words, for a run of it to be learned as its family
+LEAST_WORDS = 3  # of such a run
+TASK_PARAGRAPHS = 1 << 13  # classified by one task
 UNKNOWN = "unknown"
 
 # Notices as their licences word them.
@@ -68,6 +70,28 @@ TEMPLATES = [
     ("CC-BY-SA", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("Public-Domain", "This is free and unencumbered software released into the public domain."),
     ("Public-Domain", "To the extent possible under law, the author has waived all copyright and related rights to this work. CC0 1.0 Universal"),
+    ("Public-Domain", "For more information, please refer to <https://unlicense.org>"),
+    ("Public-Domain", "SPDX-License-Identifier: Unlicense"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("AGPL", "You should have received a copy of the GNU Affero General Public License along with this program."),
+    ("AGPL", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("Zlib", "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software."),
+    ("Zlib", "Released under the zlib License."),
+    ("Zlib", "SPDX-License-Identifier: Zlib"),
+    ("Artistic-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0."),
+    ("Artistic-2.0", "Licensed under the Artistic License, version 2.0."),
+    ("Artistic-2.0", "SPDX-License-Identifier: Artistic-2.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt"),
+    ("BSL-1.0", "SPDX-License-Identifier: BSL-1.0"),
     ("Proprietary", "All rights reserved."),
     ("Proprietary", "Copyright. All rights reserved."),
     ("Proprietary", "This software is confidential and proprietary; no part may be reproduced or distributed without prior written permission."),
@@ -76,7 +100,9 @@ _COMMON = (
     "a above all along an and any are as associated at author be by can charge code conditions confidential deal copies copy extent file files following for form forms free "
     "general have in included international is it law list may met modify must no not notice obtain obtaining of on or part person portions possible prior "
     "program provided public received related release released section shall should source subject substantial terms that the this to under use version "
-    "with without work written www you http list library domain modification compliance except foundation published binary universal identifier"
+    "with without work written www you http list library domain modification compliance except foundation published binary universal identifier "
+    "accompanying altered anyone appear arising available being boost commercial compile compiled damages distribute either event express fee for from held hereby "
+    "https information legal made marked materials means more non original org plainly please provided publish purpose refer see sell such txt versions was were will"
 ).split()
 
 
@@ -147,10 +173,10 @@ class LicenceModel:
         known = f"array({', '.join(repr(r.g) for r in listed)})"
         runs = self.templates.selectExpr("template", "family", "words", "explode(sequence(1, size(words))) AS a").selectExpr("*", "explode(sequence(a, size(words))) AS b")
         says = runs.selectExpr("family", "b - a + 1 AS n", "size(words) AS whole", "slice(words, a, b - a + 1) AS words")
-        positive = says.where(f"n >= {LEAST_RUN} * whole").select("family", "words")
+        positive = says.where(f"n >= {LEAST_RUN} * whole AND n >= least({LEAST_WORDS}, whole)").select("family", "words")
         # The same words backwards, and short runs, say nothing.
         backwards = self.templates.selectExpr(f"'{UNKNOWN}' AS family", "reverse(words) AS words")
-        short = says.where(f"n < {LEAST_RUN / 2} * whole AND n <= 4").selectExpr(f"'{UNKNOWN}' AS family", "words")
+        short = says.where(f"n < {LEAST_RUN / 2} * whole AND n <= 4 OR n < least({LEAST_WORDS}, whole)").selectExpr(f"'{UNKNOWN}' AS family", "words")
         sample = negatives.where("line = last").withColumn("h", F.expr("xxhash64(doc_id, line)")).withColumn("grams", F.expr(_grams("words", self.peculiar)))
         sample = sample.where(f"size(array_intersect(filter(grams, g -> g LIKE '% % %'), {known})) = 0").orderBy("h", "doc_id", "line").limit(NEGATIVES).selectExpr(f"'{UNKNOWN}' AS family", "words")
         rows = stage(positive.union(backwards).union(short).union(sample).distinct(), "licence-rows")
@@ -172,7 +198,7 @@ class LicenceModel:
         return scored.selectExpr("*", f"array_max({best}) - raw[0] AS margin", f"element_at({named}, int(array_position({best}, array_max({best})))) AS family")
 
     def predict(self, paragraphs: DataFrame) -> DataFrame:
-        """``doc_id, line, last, family, probability, template_share`` of paragraphs that hold a licence notice."""
+        """``doc_id, txt, line, last, family, probability, template_share`` of paragraphs that hold a licence notice."""
         key = ["doc_id", "txt", "line", "last"]
         featured = self.vectorise.transform(paragraphs.selectExpr(*key, f"{_grams('words', self.peculiar)} AS grams"))
         scored = self._margin(featured).select(*key, "grams", "margin", "family")
@@ -184,27 +210,32 @@ class LicenceModel:
         sure = likely.join(F.broadcast(templates), "family").selectExpr(*key, "family", "probability", f"{share} AS template_share").where(f"template_share >= {MIN_TEMPLATE_SHARE}")
         # Equal rows add up first, so a group has no more rows than one text.
         each = sure.groupBy(*key, "family", "probability", "template_share").agg(F.count(F.lit(1)).alias("n"))
-        apart = each.groupBy("doc_id", "txt").agg(F.expr(_BEST).alias("found")).selectExpr("doc_id", f"inline({_APART})")
-        return apart.selectExpr("doc_id", "line", "last", "family", "probability", "template_share", "explode(sequence(1L, n)) AS copy").drop("copy")
+        apart = each.groupBy("doc_id", "txt").agg(F.expr(_BEST).alias("found")).selectExpr("doc_id", "txt", f"inline({_APART})")
+        return apart.selectExpr("doc_id", "txt", "line", "last", "family", "probability", "template_share", "explode(sequence(1L, n)) AS copy").drop("copy")
 
 
 def licence_notices(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, last, family, probability, template_share`` for every licence notice in ``docs (doc_id, text)``.
+    """``doc_id, txt, line, last, family, probability, template_share`` for every licence notice in ``docs (doc_id, text)``.
 
-    Lines count from 0; a notice goes from ``line`` to ``last``. A null or empty
+    ``txt`` is the xxhash64 of the text. Lines count from 0; a notice goes from ``line`` to ``last``. A null or empty
     text has none. A null doc_id keeps its rows; equal rows give equal rows.
     Other columns are not looked at; an empty table gives none (the classifier
     then learns from templates alone).
     """
     spark = docs.sparkSession
     paragraphs = stage(_paragraphs(docs, _peculiar(spark)[1]), "paragraphs")
+    # Files say little of how many paragraphs they hold, so tasks are cut by number.
+    paragraphs = paragraphs.repartition(max(1, -(-paragraphs.count() // TASK_PARAGRAPHS)))
     return LicenceModel(spark, paragraphs).predict(paragraphs)
 
 
 def document_licences(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_notices, families`` for every row of ``docs``; equal doc_ids share their notices."""
-    found = licence_notices(docs).dropDuplicates(["doc_id", "line", "family"])
-    per_document = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("family")).alias("families")).toDF("__id", "n", "families")
-    rows = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id")
-    joined = rows.join(stage(per_document, "notices"), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    """``doc_id, n_notices, families`` for every row of ``docs``: the notices of its own text.
+
+    Rows that share a doc_id, or have none, are told apart by their texts.
+    """
+    found = licence_notices(docs).dropDuplicates(["doc_id", "txt", "line", "family"])
+    per_text = found.groupBy("doc_id", "txt").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("family")).alias("families")).toDF("__id", "__txt", "n", "families")
+    rows = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "xxhash64(CAST(text AS string)) AS txt")
+    joined = rows.join(stage(per_text, "notices"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("txt") == F.col("__txt")), "left")
     return joined.selectExpr("doc_id", "coalesce(n, 0L) AS n_notices", "coalesce(families, CAST(array() AS array<string>)) AS families")
