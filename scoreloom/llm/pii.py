@@ -8,12 +8,16 @@ entity, in all documents. A keyed hash of that value draws the surrogate:
 - numbers keep their length, their country code and whether their check digit
   holds, and every mention keeps its own punctuation;
 - addresses and secrets keep the class of every character;
-- names keep gender, script, case and the number of words; a family name gets a
-  syllable more at every redraw, so any number of names finds room.
+- names keep gender, script, case and the number of words. Given and family names
+  are entities of their own, so a person is the same one with or without a title,
+  under another title, in full or by the family name alone. Once a document names
+  someone after a title, the untitled mentions go as well, and any title that tells
+  a gender tells it for all mentions of that person. A redrawn name gets a
+  syllable more, so any number of names finds room.
 
 Draws may collide. All distinct entities of the corpus are checked: no two may
-share a surrogate, and no surrogate may be an entity that occurs. Who loses
-draws again until none is left. Only those redrawn travel back to their
+share a surrogate, and no surrogate may be an entity that occurs (given names
+aside, which tell nobody apart). Who loses draws again until none is left. Only those redrawn travel back to their
 documents; all others follow from the key alone, so the texts do not move.
 """
 
@@ -22,6 +26,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -49,6 +55,12 @@ _SYLLABLES = {
     "cyrillic": "ба бе ва ве га да до ка ко ла ле ма ми на но ра ре ро са се та те ти то".split(),
     "greek": "βα γα δα κα κο λα λε μα με μι να νο πα ρα ρε σα σε τα τε το".split(),
 }
+# Last syllables of made-up given names, by gender.
+_ENDINGS = {
+    "latin": {"f": "na", "m": "ro", "n": "le"},
+    "cyrillic": {"f": "на", "m": "ро", "n": "ле"},
+    "greek": {"f": "να", "m": "ρο", "n": "λε"},
+}
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _FIND = re.compile(
     r"(?P<secret>(?<![\w])(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?(?P<secret_value>[A-Za-z0-9_\-]{12,}))"
@@ -59,6 +71,8 @@ _FIND = re.compile(
     r"|(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\w]))"
     rf"|(?P<name>(?<!\w)(?P<title>{'|'.join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.? (?P<who>(?=[^\W\d_a-zа-яα-ω]){_NAME}(?: (?=[^\W\d_a-zа-яα-ω]){_NAME}){{0,2}}))"
 )
+_WORD = re.compile(rf"(?<!\w){_NAME}(?!\w)")
+_LEAST_FAMILY = 3  # letters of a family name that is looked for without a title
 _MAYBE = re.compile(rf"[\d@=:]|{'|'.join(map(re.escape, _GENDER))}")
 
 
@@ -75,29 +89,113 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+def _owner(name: str) -> str:
+    """A name without the ending of possession."""
+    return name[:-2] if name[-2:] in ("'s", "’s") else name
+
+
+class _People:
+    """Who a document names after titles: given names, family name and gender of each."""
+
+    def __init__(self, titled: list[tuple[str, list[str]]]):
+        self.full: dict[tuple[str, ...], set[str]] = {}  # words of a full name, genders of its titles
+        single: dict[str, set[str]] = {}
+        for gender, words in titled:
+            place = self.full if len(words) > 1 else single
+            place.setdefault(tuple(words) if len(words) > 1 else words[0], set()).add(gender)
+        self.families = {words[-1] for words in self.full}
+        self.givens = {w: words for words in self.full for w in words[:-1]}
+        # One word is a family name, unless the document has it as a given name only.
+        self.alone = {w for w in single if w not in self.givens}
+        # A word that only one of the full names has tells that person's gender.
+        share = Counter(w for words in self.full for w in set(words))
+        for words, genders in self.full.items():
+            for word in words:
+                if share[word] == 1:
+                    genders |= single.get(word, set())
+            genders.discard("n")
+
+    def gender(self, words: tuple[str, ...]) -> str:
+        known = self.full.get(words, set())
+        return next(iter(known)) if len(known) == 1 else "n"
+
+    def parts(self, words: tuple[str, ...], gender: str) -> list[tuple[str, str]]:
+        """Kind and canonical value of every word of a name; ``gender`` is that of the title, if one tells it."""
+        if len(words) > 1:
+            known = self.gender(words)
+            own = gender if known == "n" and gender != "n" and not self.full[words] else known
+            return [*(("given", f"{own}:{w}") for w in words[:-1]), ("family", words[-1])]
+        if words[0] in self.givens and words[0] not in self.families:
+            return [("given", f"{self.gender(self.givens[words[0]])}:{words[0]}")]
+        return [("family", words[0])]
+
+    def untitled(self, text: str) -> Iterator[tuple[int, int, tuple[str, ...]]]:
+        """Begin, end and words of full and family names that stand anywhere, the longest first."""
+        found = [(m.start(), m.start() + len(_owner(m[0])), _owner(m[0]).casefold(), m[0][0].isupper()) for m in _WORD.finditer(text)]
+        most, i = max((len(words) for words in self.full), default=1), 0
+        whole = {w for w in (*self.families, *self.alone) if len(w) >= _LEAST_FAMILY}
+        while i < len(found):
+            for n in range(min(most, len(found) - i), 0, -1):
+                run = found[i : i + n]
+                words = tuple(w for _, _, w, _ in run)
+                together = all(up for *_, up in run) and all(text[a[1] : b[0]] == " " for a, b in zip(run, run[1:]))
+                if together and (words in self.full if n > 1 else words[0] in whole):
+                    yield run[0][0], run[-1][1], words
+                    i += n - 1
+                    break
+            i += 1
+
+
 def mentions(text: str | None) -> Iterator[tuple[int, int, str, str]]:
-    """``start, end, kind, canonical value`` of every entity in a text, in order."""
+    """``start, end, kind, canonical value`` of every entity in a text, in order; each word of a name is one."""
     if not text or not _MAYBE.search(text):
         return
-    for found in _FIND.finditer(text):
-        kind = found.lastgroup
+    found: list[tuple[int, int, str, object]] = []
+    for match in _FIND.finditer(text):
+        kind = match.lastgroup
         kind = {"secret_value": "secret", "gap": "card", "who": "name", "title": "name"}.get(kind, kind)
         if kind == "secret":
-            yield *found.span("secret_value"), kind, found["secret_value"]
+            found.append((*match.span("secret_value"), kind, match["secret_value"]))
         elif kind == "name":
-            yield *found.span("who"), kind, f"{_GENDER[found['title']]}:{found['who'].casefold()}"
+            who = _owner(match["who"])
+            found.append((match.start("who"), match.start("who") + len(who), kind, (_GENDER[match["title"]], who.casefold().split(" "))))
         elif kind == "email":
-            value = found["email"].rstrip(".-")
-            yield found.start(), found.start() + len(value), kind, value.casefold()
+            value = match["email"].rstrip(".-")
+            found.append((match.start(), match.start() + len(value), kind, value.casefold()))
         elif kind == "ip":
-            if all(int(p) < 256 for p in found["ip"].split(".")):
-                yield *found.span(), kind, ".".join(str(int(p)) for p in found["ip"].split("."))
+            if all(int(p) < 256 for p in match["ip"].split(".")):
+                found.append((*match.span(), kind, ".".join(str(int(p)) for p in match["ip"].split("."))))
         elif kind == "phone":
-            if 7 <= len(_digits(found["phone"])) <= 15:
-                code = re.match(r"\+(\d{1,3})(?=\D)", found["phone"])
-                yield *found.span(), kind, f"{code[1] if code else ''}:{_digits(found['phone'])[len(code[1]) if code else 0:]}"
+            if 7 <= len(_digits(match["phone"])) <= 15:
+                code = re.match(r"\+(\d{1,3})(?=\D)", match["phone"])
+                found.append((*match.span(), kind, f"{code[1] if code else ''}:{_digits(match['phone'])[len(code[1]) if code else 0:]}"))
         else:
-            yield *found.span(), kind, _digits(found[kind])
+            found.append((*match.span(), kind, _digits(match[kind])))
+
+    named = [value for *_, kind, value in found if kind == "name"]
+    if named:
+        people = _People(named)
+        taken = [(a, b) for a, b, *_ in found]
+        starts = [a for a, _ in taken]
+        for a, b, words in people.untitled(text):
+            at = bisect_left(starts, b)
+            if at == 0 or taken[at - 1][1] <= a:
+                found.append((a, b, "name", ("n", list(words))))
+        found.sort(key=lambda f: f[0])
+    for start, end, kind, value in found:
+        if kind != "name":
+            yield start, end, kind, value
+            continue
+        gender, words = value
+        for part in zip(_spans(text, start, end), people.parts(tuple(words), gender)):
+            yield *part[0], *part[1]
+
+
+def _spans(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Begin and end of the words between two places, single spaces apart."""
+    for word in text[start:end].split(" "):
+        yield start, start + len(word)
+        start += len(word) + 1
 
 
 def _draws(key: bytes, kind: str, value: str, draw: int) -> Callable[[int], int]:
@@ -136,19 +234,17 @@ def _same_class(c: str, below: Callable[[int], int], hexadecimal: bool = False)
 def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
     """The canonical value that stands for an entity at its ``draw``-th draw."""
     below = _draws(key, kind, value, draw)
-    if kind == "name":
-        gender, _, who = value.partition(":")
-        script, words = _script(who), who.split(" ")
-        out = []
-        for i, word in enumerate(words):
-            if i == 0 and len(words) > 1:
-                given = _GIVEN[script]
-                pool = given[gender] if gender in given else [*given["f"], *given["m"]]
-                out.append(pool[below(len(pool))])
-            else:
-                syllables = _SYLLABLES[script]
-                out.append("".join(syllables[below(len(syllables))] for _ in range(max(3, min(6, len(word) // 2)) + draw)))
-        return f"{gender}:{' '.join(out).casefold()}"
+    if kind == "family":
+        syllables = _SYLLABLES[_script(value)]
+        return "".join(syllables[below(len(syllables))] for _ in range(max(3, min(6, len(value) // 2)) + draw))
+    if kind == "given":
+        gender, _, name = value.partition(":")
+        script = _script(name)
+        pool = [n for g in ("f", "m") if gender in (g, "n") for n in _GIVEN[script][g]]
+        if draw == 0:
+            return f"{gender}:{pool[below(len(pool))].casefold()}"
+        syllables = _SYLLABLES[script]
+        return f"{gender}:" + "".join(syllables[below(len(syllables))] for _ in range(draw)) + _ENDINGS[script][gender]
     if kind == "email":
         local, _, domain = value.partition("@")
         labels = domain.split(".")
@@ -176,9 +272,9 @@ def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
 
 def _rendered(mention: str, kind: str, value: str) -> str:
     """A surrogate's canonical value in the format of a mention."""
-    if kind == "name":
-        who = value.partition(":")[2]
-        return " ".join(w.upper() if m.isupper() and len(m) > 1 else w.title() for w, m in zip(who.split(" "), mention.split(" ")))
+    if kind in ("given", "family"):
+        name = value.partition(":")[2] if kind == "given" else value
+        return name.upper() if mention.isupper() and len(mention) > 1 else name.title()
     if kind == "email":
         return value.upper() if mention.isupper() else value
     if kind in ("phone", "card", "ssn"):
@@ -205,16 +301,16 @@ def _drawn(key: bytes):
 
 
 def _shown(value: str) -> str:
-    """SQL: what a text shows of a canonical value: a name without its gender, a phone's bare digits."""
-    return f"CASE kind WHEN 'name' THEN substr({value}, locate(':', {value}) + 1) WHEN 'phone' THEN replace({value}, ':', '') ELSE {value} END"
+    """SQL: what a text shows of a canonical value: a given name without its gender, a phone's bare digits."""
+    return f"CASE kind WHEN 'given' THEN substr({value}, locate(':', {value}) + 1) WHEN 'phone' THEN replace({value}, ':', '') ELSE {value} END"
 
 
 def settled_draws(entities: DataFrame, key: bytes) -> DataFrame:
-    """``kind, value, draw, made`` for distinct entities: no two look alike, none like one that occurs itself."""
+    """``kind, value, draw, made`` for distinct entities: no two of a kind look alike, none but given names like one that occurs itself."""
     shape = "kind string, value string, draw int, made string"
     now = stage(entities.selectExpr("kind", "value", "0 AS draw").mapInArrow(_drawn(key), shape), "draws")
     for draw in range(1, MAX_DRAWS):
-        real = entities.selectExpr("kind", f"{_shown('value')} AS shown").distinct().withColumn("real", F.lit(True))
+        real = entities.where("kind <> 'given'").selectExpr("kind", f"{_shown('value')} AS shown").distinct().withColumn("real", F.lit(True))
         seen = now.selectExpr("*", f"{_shown('made')} AS shown")
         winner = seen.groupBy("kind", "shown").agg(F.min(F.struct("draw", "value")).alias("first"))
         judged = seen.join(winner, ["kind", "shown"]).join(real, ["kind", "shown"], "left").select("kind", "value", "draw", "made", (F.col("real").isNotNull() | (F.struct("draw", "value") != F.col("first"))).alias("lost"))
@@ -236,7 +332,7 @@ def _replaced(key: bytes, columns: int, place: int):
                 for start, end, kind, value in mentions(text):
                     made = surrogate(key, kind, value, draws.get((kind, value), 0))
                     parts += [text[last:start], _rendered(text[start:end], kind, made)]
-                    last, n = end, n + 1
+                    last, n = end, n + (kind != "given")  # a name counts once
                 out.append(text if not n else "".join([*parts, text[last:]]))
                 counts.append(n)
             kept = [batch.column(i) for i in range(columns)]
