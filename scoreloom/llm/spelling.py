@@ -29,6 +29,7 @@ from scoreloom.plans.staging import release, stage
 
 END = "\u0000"  # no word holds it
 TIMES = 10  # as common as the word a form must be
+TASK_WORDS = 1 << 15  # words whose rotations one task makes
 HELD_WORDS = 1 << 18  # counts a task holds before it hands them on
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -168,7 +169,9 @@ def spelling_variants(words: DataFrame, least_n: int = 2, times: int = TIMES) ->
     kept = words.where("word <> ''").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_n)
     proper = F.when(F.instr("word", END) > 0, F.raise_error(F.lit("a word holds U+0000"))).otherwise(F.col("word"))
     kept = stage(kept.select(proper.alias("word"), "n"), "words")
-    near = kept.join(near_words(kept), "word", "left")
+    # Words give twenty rotations each, so they are dealt out by number first.
+    dealt = kept.repartition(max(1, -(-kept.count() // TASK_WORDS)), "word")
+    near = kept.join(near_words(dealt), "word", "left")
     common = F.col("best.n") >= times * F.col("n")
     told = stage(
         near.select(
