@@ -9,18 +9,19 @@ at distance d from pivot p, the product q.x lies within |q| d of q.p. Hence
   row included, and likewise every query of a group at once;
 - a cell whose greatest possible product stays below that bound is not needed.
 
-Bounds by group rule out cells first, bounds by query then send each query to
-the cells it needs and to no other. Cells are split into blocks and their
-queries into chunks, so a task holds one block and one chunk whatever a hot
-cell has.
+Bounds by group rule out cells first. Then the queries go in two rounds: each to
+the cell that may hold its greatest product, which gives it a real k-th score; and
+from there only to those cells that may still beat it. Cells are split into blocks
+and their queries into chunks, so a task holds one block and one chunk whatever a
+hot cell has. Pivots grow with the root of the number of rows, so cells do too.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,28 +30,35 @@ from scoreloom.plans.staging import release, stage
 
 SCALE = 64
 K = 20
-PIVOTS = 64  # rows with the least hashes; they decide how much is pruned, never the result
-BLOCK = 4096  # data rows of a task
+# Pivots are the rows with the least hashes, as many as the root of all rows within
+# these bounds; they decide how much is pruned, never the result.
+LEAST_PIVOTS, MOST_PIVOTS = 64, 1024
+BLOCK = 8192  # data rows of a task
 CHUNK = 2048  # queries of a task
+CELLS = 1 << 22  # bounds looked at together
+WHOLE = 1 << 62  # no component may be as large
+_BEST = "query long, query_id long, rid long, vec_id long, bare boolean, score long"
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``vec_id, v``: floor(scale * x) of every component, padded with zeros to one length.
+    """``rid, vec_id, v``: floor(scale * x) of every component, padded with zeros to one length.
 
-    Vectors that are null, or hold a null or non-finite component, and rows
-    without vec_id are left out; rows that repeat a vec_id are one vector (of
-    different ones, the least).
+    Every row is its own and has a number ``rid``, those that repeat a vec_id or
+    have none included. Vectors that are null, or hold a null or non-finite
+    component, are left out. A component of 2**62 or more, scaled, raises.
     """
     whole = vectors.selectExpr("CAST(vec_id AS bigint) AS vec_id", "CAST(embedding AS array<double>) AS x").where(
-        "vec_id IS NOT NULL AND x IS NOT NULL AND forall(x, e -> e IS NOT NULL AND NOT isnan(e) AND abs(e) < double('Infinity'))"
+        "x IS NOT NULL AND forall(x, e -> e IS NOT NULL AND NOT isnan(e) AND abs(e) < double('Infinity'))"
     )
-    made = whole.selectExpr("vec_id", f"transform(x, e -> bigint(floor({scale}D * e))) AS v").groupBy("vec_id").agg(F.min("v").alias("v"))
-    made = stage(made, "quantised")
+    fits = f"CASE WHEN abs({scale}D * e) < double({WHOLE}) THEN bigint(floor({scale}D * e)) ELSE bigint(raise_error('a component passes 62 bits')) END"
+    made = whole.selectExpr("vec_id", f"transform(x, e -> {fits}) AS v").withColumn("rid", F.monotonically_increasing_id())
+    made = stage(made, "quantised")  # written once: the numbers must not change any more
     width = made.agg(F.max(F.size("v"))).first()[0] or 0
-    return made.selectExpr("vec_id", f"CASE WHEN size(v) < {width} THEN concat(v, array_repeat(0L, {width} - size(v))) ELSE v END AS v")
+    return made.selectExpr("rid", "vec_id", f"CASE WHEN size(v) < {width} THEN concat(v, array_repeat(0L, {width} - size(v))) ELSE v END AS v")
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, kind=np.float64) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     values = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
 
@@ -59,12 +67,15 @@ def _cells(pivots: np.ndarray):
     """Each vector's nearest pivot and its distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _matrix(batch.column(1))
-            gap = np.maximum((x * x).sum(1)[:, None] - 2 * (x @ pivots.T) + (pivots * pivots).sum(1), 0)
-            cell = gap.argmin(1)
-            near = np.linalg.norm(x - pivots[cell], axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell, pa.int32()), pa.array(near, pa.float64())], names=["vec_id", "v", "cell", "far"])
+        step = max(1, CELLS // len(pivots))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                x = _matrix(batch.column(2))
+                gap = np.maximum((x * x).sum(1)[:, None] - 2 * (x @ pivots.T) + (pivots * pivots).sum(1), 0)
+                cell = gap.argmin(1)
+                near = np.linalg.norm(x - pivots[cell], axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(near, pa.float64())], names=["rid", "vec_id", "v", "cell", "far"])
 
     return run
 
@@ -93,81 +104,117 @@ def _group_needs(pivots: np.ndarray, radius: np.ndarray, reach: np.ndarray, near
     return (high + _slack(high) >= bound - _slack(np.nan_to_num(bound, neginf=0))) & (radius >= 0)
 
 
-def _routes(pivots: np.ndarray, radius: np.ndarray, nearest: list[tuple[int, float]], needs: np.ndarray, k: int):
-    """The cells each query needs."""
+def _routes(pivots: np.ndarray, radius: np.ndarray, nearest: list[tuple[int, float]], needs: np.ndarray, k: int, first: bool):
+    """The cells each query needs: first the most promising one, later the others that may beat its k-th score."""
     cell = np.array([c for c, _ in nearest], np.int64)
     far = np.array([d for _, d in nearest])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            q, group = _matrix(batch.column(1)), batch.column(2).to_numpy()
-            dot, long = q @ pivots.T, np.linalg.norm(q, axis=1)[:, None]
-            bound = _kth(dot[:, cell] - long * far, k)[:, None]
-            high = dot + long * radius.clip(0)
-            row, to = np.nonzero((high + _slack(high) >= bound - _slack(np.nan_to_num(bound, neginf=0))) & needs[group])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(to, pa.int32())], names=["query_id", "q", "cell"])
+        step = max(1, CELLS // max(1, len(cell)))
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                q, group = _matrix(batch.column(2)), batch.column(3).to_numpy()
+                dot, long = q @ pivots.T, np.linalg.norm(q, axis=1)[:, None]
+                bound = _kth(dot[:, cell] - long * far, k)[:, None]
+                high = dot + long * radius.clip(0)
+                may = (high + _slack(high) >= bound - _slack(np.nan_to_num(bound, neginf=0))) & needs[group]
+                if first:
+                    row = np.flatnonzero(may.any(1))
+                    to = np.where(may, high, -np.inf).argmax(1)[row]
+                else:
+                    done, kth = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64)[:, None] for i in (4, 5))
+                    may &= (high + _slack(high) >= np.where(np.isnan(kth), -np.inf, kth)) & (np.arange(len(pivots)) != done)
+                    row, to = np.nonzero(may)
+                own = pa.array(row)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(own) for i in range(3)), pa.array(to, pa.int32())], names=["query", "query_id", "q", "cell"])
 
     return run
 
 
 def _solved(k: int):
     """The k best of a block for every query of a chunk."""
-
-    def run(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or data.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
-        asked, ids = queries["query_id"].to_numpy(), data["vec_id"].to_numpy()
-        q, x = np.stack(list(queries["q"])), np.stack(list(data["v"]))
+    names = ["query", "query_id", "rid", "vec_id", "bare", "score"]
+
+    def run(queries: pa.Table, data: pa.Table) -> pa.Table:
+        if not len(queries) or not len(data):
+            empty = pa.array([], pa.int64())
+            return pa.Table.from_arrays([empty, empty, empty, empty, pa.array([], pa.bool_()), empty], names=names)
+        asked, rid = queries["query"].to_numpy(), data["rid"].to_numpy()
+        bare = data["vec_id"].is_null().to_numpy()
+        ids = data["vec_id"].fill_null(0).to_numpy()
+        q, x = _matrix(queries["q"], np.int64), _matrix(data["v"], np.int64)
+        most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(q.shape[1], 1)
+        if most >= 2**63:
+            raise ValueError("inner products may pass 63 bits")
         # Doubles multiply exactly while no sum passes 2**53.
-        small = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(q.shape[1], 1) < 2**53
-        score = np.rint(q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64) if small else q @ x.T
-        own = asked[:, None] == ids[None, :]
+        score = np.rint(q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64) if most < 2**53 else q @ x.T
+        own = asked[:, None] == rid[None, :]
         if len(ids) > k + 1:
             masked = np.where(own, np.iinfo(np.int64).min, score)
             own |= masked < np.partition(masked, -k, axis=1)[:, -k][:, None]
         row, col = np.nonzero(~own)
         value = score[row, col]
-        order = np.lexsort((ids[col], -value, row))
+        order = np.lexsort((ids[col], bare[col], -value, row))
         row, col, value = row[order], col[order], value[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        best = place < k
-        return pd.DataFrame({"query_id": asked[row[best]], "vec_id": ids[col[best]], "score": value[best]})
+        best = np.arange(len(row)) - np.searchsorted(row, row) < k
+        row, col, value = row[best], col[best], value[best]
+        columns = (asked[row], queries["query_id"].to_numpy()[row], rid[col], ids[col], bare[col], value)
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=names)
 
     return run
 
 
-def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` best products of every query with all other rows.
+def _joined(routed: DataFrame, placed: DataFrame, rows: np.ndarray, k: int) -> DataFrame:
+    """The k best of every query in each of its cells' blocks."""
+    asked = dict(routed.groupBy("cell").count().collect())  # a row for each pivot
+    blocks = "element_at(array({}), cell + 1)".format(", ".join(str(-(-int(n) // BLOCK) or 1) for n in rows))
+    chunks = "element_at(array({}), cell + 1)".format(", ".join(str(-(-asked.get(c, 0) // CHUNK)) for c in range(len(rows))))
+    left = routed.selectExpr("cell", f"int(pmod(xxhash64(query), {chunks})) AS chunk", f"explode(sequence(0, {blocks} - 1)) AS block", "query", "query_id", "q")
+    right = placed.where(f"{chunks} > 0").selectExpr("cell", f"explode(sequence(0, {chunks} - 1)) AS chunk", f"int(pmod(xxhash64(rid, 1), {blocks})) AS block", "rid", "vec_id", "v")
+    task = ["cell", "chunk", "block"]
+    return left.groupBy(*task).cogroup(right.groupBy(*task)).applyInArrow(_solved(k), _BEST)
 
-    ``is_query`` is a condition on ``vec_id``. Ties go to the smaller vec_id; a
-    query with fewer than ``k`` partners gets them all. See ``quantised`` for
-    the rows that take part; other columns are ignored, no queries or no rows
-    give no result.
+
+def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` best products of every query row with all other rows.
+
+    ``is_query`` is a condition on ``vec_id``; every row that fulfils it is a query
+    of its own, and every row but itself a candidate, those that repeat its vec_id
+    included. Ties go to the smaller vec_id, a null one last; a query with fewer
+    than ``k`` partners gets them all. See ``quantised`` for the vectors that take
+    part. Products that may not fit 63 bits raise. Other columns are ignored, no
+    queries or no rows give no result.
     """
     whole = quantised(vectors, scale)
-    sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).select("v").collect()  # PIVOTS rows
+    n = whole.count()
+    pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.isqrt(n)))
+    sample = whole.orderBy(F.xxhash64("vec_id", "rid"), "rid").limit(pivots).select("v").collect()  # MOST_PIVOTS rows at most
     if not sample:
         return whole.selectExpr("vec_id AS query_id", "0 AS rank", "vec_id", "0L AS score").where("false")
     pivots = np.array([r.v for r in sample], np.float64).reshape(len(sample), -1)
-    placed = stage(whole.mapInArrow(_cells(pivots), "vec_id long, v array<long>, cell int, far double"), "cells")
+    placed = stage(whole.mapInArrow(_cells(pivots), "rid long, vec_id long, v array<long>, cell int, far double"), "cells")
 
     radius, reach, rows = np.full(len(pivots), -1.0), np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
-    for cell, n, most, query_most in placed.groupBy("cell").agg(F.count(F.lit(1)), F.max("far"), F.expr(f"max(CASE WHEN {is_query} THEN far END)")).collect():  # a row for each pivot
-        rows[cell], radius[cell], reach[cell] = n, most, -1.0 if query_most is None else query_most
+    for cell, held, most, query_most in placed.groupBy("cell").agg(F.count(F.lit(1)), F.max("far"), F.expr(f"max(CASE WHEN {is_query} THEN far END)")).collect():  # a row for each pivot
+        rows[cell], radius[cell], reach[cell] = held, most, -1.0 if query_most is None else query_most
     close = Window.partitionBy("cell").orderBy("far")
-    nearest = placed.select("cell", "far", F.row_number().over(close).alias("place")).where(F.col("place") <= k + 1).select("cell", "far").collect()  # PIVOTS * (k + 1) rows
-    nearest = [(r.cell, r.far) for r in nearest]
+    nearest = placed.select("cell", "far", F.row_number().over(close).alias("place")).where(F.col("place") <= k + 1).select("cell", "far")
+    nearest = [(r.cell, r.far) for r in nearest.collect()]  # MOST_PIVOTS * (k + 1) rows at most
     needs = _group_needs(pivots, radius, reach, nearest, k)
 
-    queries = placed.where(is_query).select("vec_id", "v", "cell")
-    routed = stage(queries.mapInArrow(_routes(pivots, radius, nearest, needs, k), "query_id long, q array<long>, cell int"), "routes")
-    asked = dict(routed.groupBy("cell").count().collect())  # a row for each pivot
-    blocks = "element_at(array({}), cell + 1)".format(", ".join(str(-(-int(n) // BLOCK) or 1) for n in rows))
-    chunks = "element_at(array({}), cell + 1)".format(", ".join(str(-(-asked.get(c, 0) // CHUNK)) for c in range(len(pivots))))
-    left = routed.selectExpr("cell", f"int(pmod(xxhash64(query_id), {chunks})) AS chunk", f"explode(sequence(0, {blocks} - 1)) AS block", "query_id", "q")
-    right = placed.where(f"{chunks} > 0").selectExpr("cell", f"explode(sequence(0, {chunks} - 1)) AS chunk", f"int(pmod(xxhash64(vec_id, 1), {blocks})) AS block", "vec_id", "v")
-    task = ["cell", "chunk", "block"]
-    found = stage(left.groupBy(*task).cogroup(right.groupBy(*task)).applyInPandas(_solved(k), "query_id long, vec_id long, score long"), "found")
-    release(routed)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    queries = placed.where(is_query).select("rid", "vec_id", "v", "cell")
+    shape = "query long, query_id long, q array<long>, cell int"
+    routed = stage(queries.mapInArrow(_routes(pivots, radius, nearest, needs, k, True), shape), "first-routes")
+    found = stage(_joined(routed, placed, rows, k), "first-found")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    # One row a query: the k-th score it has, if it has as many.
+    kth = found.withColumn("place", place).where(F.col("place") == k).select(F.col("query").alias("rid"), F.col("score").alias("kth"))
+    done = routed.select(F.col("query").alias("rid"), F.col("cell").alias("done"))
+    begun = queries.join(done, "rid").join(kth, "rid", "left").select("rid", "vec_id", "v", "cell", "done", F.col("kth").cast("double").alias("kth"))
+    later = stage(begun.mapInArrow(_routes(pivots, radius, nearest, needs, k, False), shape), "later-routes")
+    every = stage(found.union(_joined(later, placed, rows, k)), "found")
+    release(routed, later, found)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc("bare"), F.asc("vec_id"))
+    ranked = every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.selectExpr("query_id", "rank", "CASE WHEN NOT bare THEN vec_id END AS vec_id", "score")
