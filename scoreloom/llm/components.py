@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scoreloom.plans.staging import release, stage
@@ -34,24 +34,20 @@ def components(edges: DataFrame) -> DataFrame:
     round is a written table, so nothing is recomputed if an executor is lost.
     Nodes without an edge are not in the result; no edges, no rows.
     """
-    now = stage(
-        edges.where("u <> v")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct(),
-        "edges",
-    )
-    mark = _mark(now)
+    now, mark = _marked(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while mark[0]:
-        then = stage(_towards_least(now), "edges")
+        then, seen = _marked(_towards_least(now))
         release(now)
-        now, before, mark = then, mark, _mark(then)
+        now, before, mark = then, mark, seen
         if mark == before:
             break
     heads = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(heads)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """A digest of a set of edges that any change alters."""
+def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, and a digest of the set that any change alters, taken while it is written."""
+    seen = Observation()
     total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count(F.lit(1)), total).first())
+    table = stage(edges.observe(seen, F.count(F.lit(1)).alias("rows"), total.alias("total")), "edges")
+    return table, (seen.get["rows"], seen.get["total"])

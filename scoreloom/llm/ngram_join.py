@@ -3,7 +3,7 @@
 All n-grams stand in one global order, rarest first, and every document keeps
 its n-grams as a set in that order.
 
-1. Documents with equal sets form a class; one document speaks for each class.
+1. Documents with equal sets form a class; one text speaks for each class.
 2. Of a set of n n-grams the first n - ceil(t n) + 1 must meet those of any
    similar set, so only these prefixes are dealt into buckets by n-gram. The
    order comes from a count sketch of fixed size; it decides how much work
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +37,14 @@ from scoreloom.plans.staging import release, stage
 
 SKETCH_BITS = 22  # 4,194,304 counters: a broadcast of 4 MB at any size of the input
 SKETCH_PARTS = 64
+FAN_IN = 32  # sketches added up by one task
 FRAGMENTS = 8  # of the global order, for counting pair by pair
-BLOCK = 256  # documents of a block
+BLOCK = 256  # classes of a block
 SMALL_BUCKET = 32  # rows of a bucket that gives its pairs one by one
 MARK_BITS = 24
 WIDTH = 1 << 14  # n-grams of a fragment inside a block task
 _U = np.uint64
+PROFILE = ["doc_id", "txt", "n", "key", "task", "part", "counts"]
 
 
 def _long(values: np.ndarray) -> np.ndarray:
@@ -66,48 +69,60 @@ def _profiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
                 sets = shingle_sets(texts[a:b], k)
                 every = np.concatenate(sets) >> _U(64 - SKETCH_BITS)
                 counts += np.bincount(every.astype(np.int64), minlength=len(counts)).astype(np.uint32)
                 none = pa.nulls(b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(_set_keys(sets), pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())],
-                    names=["doc_id", "n", "key", "part", "counts"],
+                    [
+                        *(batch.column(i).slice(a, b - a) for i in (0, 1)),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(_set_keys(sets), pa.binary()),
+                        *(none.cast(t) for t in (pa.int32(), pa.int32(), pa.binary())),
+                    ],
+                    names=PROFILE,
                 )
         if counts.any():
-            cut = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(SKETCH_PARTS, part)]
-            none = pa.nulls(SKETCH_PARTS)
+            cut = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(SKETCH_PARTS, part).astype(np.uint64)]
+            none, task = pa.nulls(SKETCH_PARTS), TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
-                [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(range(SKETCH_PARTS), pa.int32()), pa.array(cut, pa.binary())],
-                names=["doc_id", "n", "key", "part", "counts"],
+                [
+                    *(none.cast(t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())),
+                    pa.array([task] * SKETCH_PARTS, pa.int32()),
+                    pa.array(range(SKETCH_PARTS), pa.int32()),
+                    pa.array(cut, pa.binary()),
+                ],
+                names=PROFILE,
             )
 
     return run
 
 
-def _added(parts: pd.DataFrame) -> pd.DataFrame:
-    """The task sketches of one part, added up; of every counter only the power of two below it."""
+def _added(sketches: pd.DataFrame) -> pd.DataFrame:
+    """Sketches of one part, ``FAN_IN`` at most, as one."""
     total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint64)
-    for packed in parts["counts"]:
-        total += np.frombuffer(zlib.decompress(packed), np.uint32)
-    steps = np.log2(np.maximum(total, 1).astype(np.float64)).astype(np.uint8)
-    return pd.DataFrame({"part": [parts["part"].iloc[0]], "steps": [steps.tobytes()]})
+    for packed in sketches["counts"]:
+        total += np.frombuffer(zlib.decompress(packed), np.uint64)
+    return pd.DataFrame({"task": [sketches["task"].iloc[0] // FAN_IN], "part": [sketches["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
 
 def _order(profile: DataFrame) -> np.ndarray:
-    """How common the n-grams of each sketch counter are, as a power of two; always 4 MB."""
-    tables = (
-        profile.where("part IS NOT NULL")
-        .select("part", "counts")
-        .groupBy("part")
-        .applyInPandas(_added, "part int, steps binary")
-        .collect()  # SKETCH_PARTS rows of fixed size
-    )
+    """How common the n-grams of each sketch counter are, as a power of two; always 4 MB.
+
+    The tasks' sketches are added in a tree: no task holds more than ``FAN_IN``
+    pieces of one part.
+    """
+    level = profile.where("part IS NOT NULL").select("task", "part", "counts")
+    tasks = (level.agg(F.max("task")).first()[0] or 0) + 1
+    while tasks > 1:
+        level = level.groupBy(F.expr(f"task div {FAN_IN}"), "part").applyInPandas(_added, "task int, part int, counts binary")
+        tasks = -(-tasks // FAN_IN)
     steps = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint8)
-    for part, packed in tables:
-        steps[part] = np.frombuffer(packed, np.uint8)
+    for _, part, packed in level.collect():  # SKETCH_PARTS rows of fixed size
+        total = np.frombuffer(zlib.decompress(packed), np.uint64)
+        steps[part] = np.log2(np.maximum(total, 1).astype(np.float64)).astype(np.uint8)
     return steps.reshape(-1)
 
 
@@ -119,7 +134,7 @@ def _ordered(grams: np.ndarray, steps: np.ndarray) -> np.ndarray:
 def _prefixes(k: int, percent: int, steps):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
                 sets = shingle_sets(texts[a:b], k)
                 # Sets of so few n-grams are similar only when equal, which classes settle.
@@ -129,22 +144,25 @@ def _prefixes(k: int, percent: int, steps):
                 step = steps.value[(tails >> _U(64 - SKETCH_BITS)).astype(np.int64)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(a, b - a),
+                        *(batch.column(i).slice(a, b - a) for i in (0, 1)),
                         pa.array(_set_keys(sets), pa.binary()),
                         _lists(firsts),
                         pa.array(step.astype(np.int32)),
                         pa.array(_long(tails ^ _U(1 << 63))),  # signed, in the order of the unsigned hashes
                     ],
-                    names=["doc_id", "key", "prefix", "step", "tail"],
+                    names=["doc_id", "txt", "key", "prefix", "step", "tail"],
                 )
 
     return run
 
 
-def _marked(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of every ``id``: 2 MB at any number, read back as at most 262,144 words."""
-    slot = f"pmod(xxhash64(id), {1 << MARK_BITS})"
-    words = ids.selectExpr(f"int({slot} div 64) AS w", f"shiftleft(1L, int({slot} % 64)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+_SLOT = f"pmod(xxhash64({{}}.doc_id, {{}}.txt), {1 << MARK_BITS})"
+
+
+def _marked(spoken: DataFrame) -> np.ndarray:
+    """A bit for the hash of every speaker ``rep``: 2 MB at any number, read back as at most 262,144 words."""
+    slot = _SLOT.format("rep", "rep")
+    words = spoken.selectExpr(f"int({slot} div 64) AS w", f"shiftleft(1L, int({slot} % 64)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
     out = np.zeros(1 << (MARK_BITS - 6), np.int64)
     for w, b in words:
         out[w] = b
@@ -152,18 +170,18 @@ def _marked(ids: DataFrame) -> np.ndarray:
 
 
 def _sets(k: int, marks):
-    """The sets of marked documents; a few others share a mark and go in the next join."""
+    """The sets of marked texts; a few others share a mark and go in the next join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = batch.column(2).to_numpy()
+            slot = batch.column(3).to_numpy()
             batch = batch.filter(pa.array((marks.value[slot >> 6] >> (slot & 63)) & 1 == 1))
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
                 sets = shingle_sets(texts[a:b], k)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(_set_keys(sets), pa.binary()), _lists(sets)],
-                    names=["doc_id", "key", "grams"],
+                    [*(batch.column(i).slice(a, b - a) for i in (0, 1)), pa.array(_set_keys(sets), pa.binary()), _lists(sets)],
+                    names=["doc_id", "txt", "key", "grams"],
                 )
 
     return run
@@ -277,51 +295,55 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def similar_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every document of ``docs (doc_id, text)``.
-
-    Two documents link when 100 * overlap >= percent * union of their sets of
-    ``k``-word shingles; a component is named by its least document. Fewer than
-    ``k`` words are one shingle; a text that is null or has no words has none,
-    links with nothing and is a component of its own. Rows that repeat a doc_id
-    are one document (of different texts, the one with the smallest set and
-    key counts); rows without a doc_id are left out. Other columns are ignored.
-    """
+def _identified(docs: DataFrame) -> DataFrame:
+    """``doc_id, txt, text``: a text under its doc_id is what the join tells apart."""
+    return docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "xxhash64(CAST(text AS string)) AS txt", "CAST(text AS string) AS text")
+
+
+def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's ``doc_id, txt, n, key``, and for every key its component's least doc_id and first text."""
     spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
-    profile = stage(source.mapInArrow(_profiles(k), "doc_id long, n long, key binary, part int, counts binary"), "profile")
+    source = _identified(docs)
+    profile = stage(source.mapInArrow(_profiles(k), "doc_id long, txt long, n long, key binary, task int, part int, counts binary"), "profile")
     steps = spark.sparkContext.broadcast(_order(profile))
 
-    one = profile.where("part IS NULL").groupBy("doc_id").agg(F.min(F.struct("n", "key")).alias("s")).select("doc_id", "s.*")
-    # Hot classes add up before the shuffle.
-    heads = one.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"))
-    heads = stage(heads, "classes")
-    prefixes = source.mapInArrow(_prefixes(k, percent, steps), "doc_id long, key binary, prefix array<long>, step int, tail long").where("size(prefix) > 0")
-    prefixes = stage(
-        prefixes.join(heads.select(F.col("id").alias("doc_id"), "key", "n"), ["doc_id", "key"])
-        .dropDuplicates(["doc_id"])
-        .selectExpr("doc_id AS id", "n", "prefix", "step", "tail"),
-        "prefixes",
-    )
+    one = profile.where("part IS NULL").select("doc_id", "txt", "n", "key")
+    # Hot classes add up before the shuffle; the least row that has a doc_id speaks.
+    heads = one.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.isnull("doc_id").alias("bare"), "doc_id", "txt")).alias("rep"), F.first("n").alias("n"))
+    # Written once: the numbers must not change any more.
+    heads = stage(heads.withColumn("id", F.monotonically_increasing_id()), "classes")
+    spoken = heads.selectExpr("id", "n", "key", "rep.doc_id AS doc_id", "rep.txt AS txt")
+
+    def of_speakers(rows: DataFrame, speakers: DataFrame) -> DataFrame:
+        """``rows (doc_id, txt, key, ...)`` of the texts that speak for a class, each once, under its id."""
+        a, b = rows.alias("a"), speakers.alias("b")
+        same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.txt") == F.col("b.txt")) & (F.col("a.key") == F.col("b.key"))
+        return a.join(b, same).select("b.id", "b.n", *(f"a.{c}" for c in rows.columns[3:])).dropDuplicates(["id"])
+
+    prefixes = source.mapInArrow(_prefixes(k, percent, steps), "doc_id long, txt long, key binary, prefix array<long>, step int, tail long").where("size(prefix) > 0")
+    prefixes = stage(of_speakers(prefixes, spoken), "prefixes")
+    steps.destroy()
     dealt = prefixes.selectExpr("id", "n", "posexplode(prefix) AS (pos, gram)")
     busy = dealt.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     shared = stage(dealt.join(busy, "gram"), "shared")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        marks = spark.sparkContext.broadcast(_marked(ids))
-        spoken = ids.join(heads, "id").select(F.col("id").alias("doc_id"), "key", "n")
-        slot = f"pmod(xxhash64(doc_id), {1 << MARK_BITS}) AS slot"
-        found = source.selectExpr("doc_id", "text", slot).mapInArrow(_sets(k, marks), "doc_id long, key binary, grams array<long>")
-        found = found.join(spoken, ["doc_id", "key"]).dropDuplicates(["doc_id"])
-        return stage(found.select(F.col("doc_id").alias("id"), "n", "grams"), "sets")
-
-    # First pass: every document against the least of each of its buckets, and all pairs of small buckets.
+        speakers = stage(ids.join(heads, "id"), "speakers")
+        marks = spark.sparkContext.broadcast(_marked(speakers))
+        slot = f"pmod(xxhash64(doc_id, txt), {1 << MARK_BITS}) AS slot"
+        found = source.selectExpr("doc_id", "txt", "text", slot).mapInArrow(_sets(k, marks), "doc_id long, txt long, key binary, grams array<long>")
+        sets = stage(of_speakers(found, speakers.selectExpr("id", "n", "key", "rep.doc_id AS doc_id", "rep.txt AS txt")), "sets")
+        marks.destroy()
+        release(speakers)
+        return sets
+
+    # First pass: every class against the least of each of its buckets, and all pairs of small buckets.
     lead = shared.groupBy("gram").agg(F.min(F.struct("id", "pos", "n")).alias("l"))
     stars = shared.alias("x").join(lead.selectExpr("gram", "l.*").alias("y"), "gram").where("x.id <> y.id").where(_may_link(percent, "x", "y")).selectExpr("y.id AS a", "x.id AS b")
     small = shared.where(f"rows <= {SMALL_BUCKET}")
     few = small.alias("x").join(small.alias("y"), "gram").where("x.id < y.id").where(_may_link(percent, "x", "y")).selectExpr("x.id AS a", "y.id AS b")
     pairs = stage(_near(stars.union(few).distinct(), prefixes, percent), "pairs")
-    sets = sets_of(stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "members"))
+    sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     found = stage(_linked(pairs, sets, percent).selectExpr("a AS u", "b AS v"), "links")
     merged = stage(components(found), "first-components")
     release(pairs, sets, found)
@@ -332,22 +354,64 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     open_ = told.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
     large = stage(told.join(open_, "gram"), "open")
     release(shared)
-    # Documents of one family mostly share their least bucket, so families lie together.
-    anchors = large.groupBy("id", "c").agg(F.min("gram").alias("anchor"))
-    placed = stage(
-        with_position(anchors, [F.asc("anchor"), F.asc("id")], "place").selectExpr("id", "c", f"bigint((place - 1) div {BLOCK}) AS block"),
-        "blocks",
-    )
-    spread = large.select("id", "gram").join(placed.select("id", "block"), "id").select("gram", "block").distinct()
-    both = spread.alias("x").join(spread.alias("y"), "gram").where("x.block <= y.block").selectExpr("x.block AS p", "y.block AS q").distinct()
-    both = stage(both, "block-pairs")
-    close = stage(_by_blocks(both, placed.join(prefixes, "id"), _block_candidates(percent), "id long").distinct(), "close")
-    sets = sets_of(close)
-    more = stage(_by_blocks(both, placed.join(sets, "id"), _block_links(percent), "u long, v long"), "block-links")
-    every = stage(components(more.union(merged.selectExpr("node AS u", "component AS v"))), "components")
-    release(prefixes, sets, merged, large, placed, both, close, more)
-
-    named = heads.join(every.withColumnRenamed("node", "id"), "id", "left").selectExpr("key", "coalesce(component, id) AS component_id")
+    every = merged
+    if not large.isEmpty():
+        # Classes of one family mostly share their least bucket, so families lie together.
+        anchors = large.groupBy("id", "c").agg(F.min("gram").alias("anchor"))
+        placed = stage(
+            with_position(anchors, [F.asc("anchor"), F.asc("id")], "place").selectExpr("id", "c", f"bigint((place - 1) div {BLOCK}) AS block"),
+            "blocks",
+        )
+        spread = large.select("id", "gram").join(placed.select("id", "block"), "id").select("gram", "block").distinct()
+        both = spread.alias("x").join(spread.alias("y"), "gram").where("x.block <= y.block").selectExpr("x.block AS p", "y.block AS q").distinct()
+        both = stage(both, "block-pairs")
+        close = stage(_by_blocks(both, placed.join(prefixes, "id"), _block_candidates(percent), "id long").distinct(), "close")
+        sets = sets_of(close)
+        more = stage(_by_blocks(both, placed.join(sets, "id"), _block_links(percent), "u long, v long"), "block-links")
+        every = stage(components(more.union(merged.selectExpr("node AS u", "component AS v"))), "components")
+        release(sets, merged, placed, both, close, more)
+    release(prefixes, large)
+
+    placed = heads.join(every.withColumnRenamed("node", "id"), "id", "left").selectExpr("key", "least", "rep", "coalesce(component, id) AS component")
+    firsts = placed.groupBy("component").agg(F.min("least").alias("component_id"), F.min("rep").alias("first"))
+    return one, placed.select("key", "component").join(firsts, "component").select("key", "component_id", "first")
+
+
+def similar_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs (doc_id, text)``.
+
+    Two texts link when 100 * overlap >= percent * union of their sets of
+    ``k``-word shingles; a component is named by the least doc_id in it, null if
+    none of its rows has one. Fewer than ``k`` words are one shingle; a text that
+    is null or has no words has none, links with nothing and is a component of
+    its own. Every row is looked at by its own text, those that repeat a doc_id
+    or have none included. Other columns are ignored; an empty table gives no
+    rows.
+    """
+    one, named = _grouped(docs, k, percent)
     return one.join(named, "key", "left").selectExpr(
         "doc_id", "n AS n_shingles", "CASE WHEN n = 0 THEN doc_id ELSE component_id END AS component_id"
     )
+
+
+def without_similar(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of every component of similar texts: the least doc_id, of its texts the least hash.
+
+    Of rows equal in doc_id and text one stays, the least as JSON. Texts without
+    words all stay. A row with a doc_id goes before one without. Every column stays
+    as it is.
+    """
+    one, named = _grouped(docs, k, percent)
+    texts = one.where("n > 0").groupBy("doc_id", "txt", "key").agg(F.count(F.lit(1)).alias("rows"))
+    told = texts.join(named, "key").selectExpr("doc_id AS __id", "txt AS __t", "rows", "first.doc_id <=> doc_id AND first.txt = txt AS stays")
+    told = stage(told.where("NOT stays OR rows > 1"), "told")
+    marked = docs.selectExpr("*", "CAST(doc_id AS bigint) AS __did", "xxhash64(CAST(text AS string)) AS __txt")
+    same = F.col("__did").eqNullSafe(F.col("__id")) & (F.col("__txt") == F.col("__t"))
+    columns = [f"`{c}`" for c in docs.columns]
+    # One plan at every size: texts and what goes meet by document.
+    kept = marked.join(told.hint("merge"), same, "left_anti").select(*columns)
+    if told.where("stays").isEmpty():
+        return kept
+    whole = F.struct(*columns)
+    again = marked.join(told.where("stays").hint("merge"), same, "left_semi").groupBy("__did", "__txt").agg(F.min_by(whole, F.to_json(whole)).alias("row"))
+    return kept.unionByName(again.select("row.*"))
