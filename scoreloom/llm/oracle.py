@@ -9,7 +9,7 @@ LINE_DEDUP = r"""
 WITH cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS raw FROM documents),
 marked AS (
   SELECT doc_id, text, raw,
-    list_transform(raw, lambda l: lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' '))) AS norm FROM cut),
+    list_transform(raw, lambda l: translate(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS norm FROM cut),
 lines AS (
   SELECT doc_id, unnest(norm) AS line, generate_subscripts(norm, 1) AS spot FROM marked),
 solid AS (
@@ -40,22 +40,25 @@ SELECT marked.doc_id AS doc_id,
 FROM marked LEFT JOIN places ON marked.doc_id = places.doc_id LEFT JOIN kept ON marked.doc_id = kept.doc_id
 """
 
+# Every row is its own, whatever its doc_id.
 NGRAM_JOIN = rf"""
-WITH RECURSIVE listed AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+WITH RECURSIVE numbered AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+listed AS (
+  SELECT r, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM numbered),
 grams AS (
-  SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 4 THEN w ELSE list_slice(w, i, i + 3) END, ' ') AS g
-  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM listed WHERE len(w) > 0)),
-sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+  SELECT DISTINCT r, array_to_string(CASE WHEN len(w) < 4 THEN w ELSE list_slice(w, i, i + 3) END, ' ') AS g
+  FROM (SELECT r, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM listed WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
 counts AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+  SELECT a.r AS a, b.r AS b, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
 links AS (
-  SELECT a, b FROM counts JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+  SELECT a, b FROM counts JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
 reach AS (
-  SELECT doc_id AS node, doc_id AS seen FROM documents
-  UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.seen = links.a)
-SELECT d.doc_id AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, r.c AS component_id
-FROM documents d JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) r ON d.doc_id = r.node LEFT JOIN sizes ON d.doc_id = sizes.doc_id
+  SELECT r AS node, r AS seen FROM numbered
+  UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.seen = links.a),
+named AS (SELECT node, min(doc_id) AS c FROM reach JOIN numbered ON seen = r GROUP BY node)
+SELECT d.doc_id AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id
+FROM numbered d JOIN named ON d.r = node LEFT JOIN sizes ON d.r = sizes.r
 """
 
 QUALITY = rf"""
@@ -91,16 +94,17 @@ SELECT b.doc_id AS doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat
 FROM base b LEFT JOIN gone g ON b.doc_id = g.doc_id
 """
 
+# Rows are candidates of their own; ties go to the smaller vec_id, a null one last.
 TOPK = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.r AS query, q.vec_id AS query_id, c.vec_id AS vec_id,
     CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+  FROM whole q JOIN whole c ON q.r <> c.r WHERE q.vec_id % 20 = 0),
 ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= 20
 """
 
