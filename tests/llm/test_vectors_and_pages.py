@@ -33,33 +33,67 @@ def test_every_operator_has_a_query():
 
 
 def plain_top(vectors, asked, k):
-    whole = {i: [math.floor(64 * x) for x in v] for i, v in vectors}
+    """``vectors (id, vector)``, every row by itself; ids may repeat or be null."""
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in vectors]
     out = []
-    for q in whole:
-        if asked(q):
-            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
-    return sorted(out)
+    for n, (q, v) in enumerate(whole):
+        if q is not None and asked(q):
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i is None, i or 0) for m, (i, w) in enumerate(whole) if m != n)
+            out += [(q, place, None if bare else i, -s) for place, (s, bare, i) in enumerate(scores[:k], 1)]
+    return Counter(out)
+
+
+def small_tasks(monkeypatch):
+    for name, value in (("LEAST_PIVOTS", 6), ("MOST_PIVOTS", 9), ("BLOCK", 16), ("CHUNK", 4), ("CELLS", 100)):
+        monkeypatch.setattr(topk_search, name, value)
 
 
 @pytest.mark.parametrize("spread", [0.0, 0.05, 1.0])
 def test_search_is_exact(spark, monkeypatch, spread):
-    monkeypatch.setattr(topk_search, "PIVOTS", 6)
-    monkeypatch.setattr(topk_search, "BLOCK", 16)
-    monkeypatch.setattr(topk_search, "CHUNK", 4)
+    small_tasks(monkeypatch)
     rng = random.Random(1)
     centres = [[rng.gauss(0, 3) for _ in range(4)] for _ in range(5)]
     vectors = [(i, [x + rng.gauss(0, spread) for x in centres[i % 5]]) for i in range(160)]  # spread 0: nothing but ties
     got = top_k(small_table(spark, vectors, "vec_id long, embedding array<double>"), "vec_id % 3 = 0", k=7).collect()
-    assert sorted(map(tuple, got)) == plain_top(vectors, lambda i: i % 3 == 0, 7)
+    assert Counter(map(tuple, got)) == plain_top(vectors, lambda i: i % 3 == 0, 7)
+
+
+def test_rows_that_share_an_id_are_candidates_of_their_own(spark, monkeypatch):
+    small_tasks(monkeypatch)
+    rng = random.Random(2)
+    rows = [(0, [1.0]), (1, [2.0]), (1, [3.0]), (None, [9.0]), (None, [3.0]), (0, [1.0])]
+    rows += [(rng.randrange(12), [float(rng.randrange(4))]) for _ in range(60)]
+    got = top_k(small_table(spark, rows, "vec_id long, embedding array<double>"), "vec_id % 4 = 0", k=5).collect()
+    assert Counter(map(tuple, got)) == plain_top(rows, lambda i: i % 4 == 0, 5)
+
+
+def test_large_components(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(0, [2.0**24, 1.0]), (1, [2.0**23 + 1, 3.0]), (2, [-(2.0**24), 5.0])]  # sums pass 2**53
+    assert Counter(map(tuple, top_k(small_table(spark, rows, schema), "vec_id = 0").collect())) == plain_top(rows, lambda i: i == 0, 20)
+    for x, said in ((2.0**56, "passes 62 bits"), (2.0**40, "pass 63 bits")):
+        with pytest.raises(Exception, match=said):
+            top_k(small_table(spark, [(0, [x]), (1, [x])], schema), "vec_id = 0").collect()
+
+
+def test_clustered_queries_need_few_cells(spark, monkeypatch):
+    """The k-th score of the first cell rules the others out."""
+    rng = random.Random(3)
+    centres = [[rng.gauss(0, 8) for _ in range(6)] for _ in range(64)]
+    vectors = [(i, [x + rng.gauss(0, 0.05) for x in centres[i % 64]]) for i in range(6400)]
+    sizes = {}
+    monkeypatch.setattr(topk_search, "release", lambda *tables: sizes.update({i: t.count() for i, t in enumerate(tables)}))
+    top_k(small_table(spark, vectors, "vec_id long, embedding array<double>"), "vec_id % 20 = 0").collect()
+    first, later, _ = sizes.values()
+    assert first == 320 and later < 10 * first
 
 
 def test_search_over_odd_vectors(spark):
     rows = [(0, [1.0, 2.0], "x"), (0, [1.0, 2.0], "x"), (1, None, "x"), (2, [None, 1.0], "x"), (3, [float("nan"), 1.0], "x"), (4, [float("inf"), 1.0], "x"),
             (5, [-1.0], "x"), (None, [1.0, 1.0], "x"), (6, [], "x"), (7, [2.5, 0.0], "x")]
     schema = "vec_id long, embedding array<float>, score string"
-    got = sorted(map(tuple, top_k(small_table(spark, rows, schema), "vec_id = 0").collect()))
-    assert got == plain_top([(0, [1, 2]), (5, [-1, 0]), (6, [0, 0]), (7, [2.5, 0])], lambda i: i == 0, 20)
+    got = Counter(map(tuple, top_k(small_table(spark, rows, schema), "vec_id = 0").collect()))
+    assert got == plain_top([(0, [1, 2]), (0, [1, 2]), (5, [-1, 0]), (None, [1, 1]), (6, [0, 0]), (7, [2.5, 0])], lambda i: i == 0, 20)
     assert top_k(small_table(spark, rows, schema).where("false"), "vec_id = 0").collect() == []
     assert top_k(small_table(spark, rows, schema), "vec_id = 99").collect() == []
 
