@@ -49,16 +49,19 @@ def best_fits(
     ks: Iterable[int] = CLUSTER_COUNTS,
     restarts: int = RESTARTS,
     parallelism: int = 8,
+    layout_rows: int = LAYOUT_ROWS,
 ) -> list[Fit]:
     """The cheapest of ``restarts`` K-means models for every k.
 
     ``points`` holds distinct ``features`` and their ``weight``, so copies cost
     nothing. The fits are independent jobs; a few run side by side. Points are
-    dealt by hash into sorted partitions first, one for every ``LAYOUT_ROWS`` of
-    them, so the fits do not depend on how they came.
+    dealt by hash into sorted partitions first, one for every ``layout_rows`` of
+    them, so the fits do not depend on how they came. The start draws anew in
+    every partition: with other numbers of partitions other restarts are tried,
+    and the best of them may be another one. No fit is a matter of the rows alone.
     """
     place = vector_to_array("features")
-    parts = max(1, math.ceil(points.count() / LAYOUT_ROWS))
+    parts = max(1, math.ceil(points.count() / layout_rows))
     points = points.select("features", "weight").repartition(parts, place).sortWithinPartitions(place).persist()
 
     def fit(k: int, seed: int) -> Fit:

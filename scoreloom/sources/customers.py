@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from scoreloom.functions.expressions import num
@@ -39,9 +41,9 @@ _TOTALS = """
     count_if(l_linestatus = 'F') AS filled,
     count_if(l_returnflag = 'N') AS kept,
     count_if(l_returnflag = 'R') AS returned,
-    sum(bigint(rint(l_extendedprice * {unit}))) / {unit} AS price,
-    sum(bigint(rint(l_discount * {unit}))) / {unit} AS discount,
-    sum(bigint(rint(l_tax * {unit}))) / {unit} AS tax
+    sum({whole:l_extendedprice}) / {unit} AS price,
+    sum({whole:l_discount}) / {unit} AS discount,
+    sum({whole:l_tax}) / {unit} AS tax
   FROM {lines} GROUP BY o_custkey
 """
 
@@ -84,20 +86,30 @@ WHERE c_custkey IS NOT NULL
 """
 
 
+# A value in whole units of its last decimal; one with further decimals is an error.
+_WHOLE = (
+    "CASE WHEN abs({x} * {unit} - rint({x} * {unit})) <= 1e-6D + 1e-12D * abs({x} * {unit}) THEN bigint(rint({x} * {unit})) "
+    "WHEN {x} IS NOT NULL THEN bigint(raise_error(concat('{x} ', {x}, ' has more than {decimals} decimals'))) END"
+)
+
+
+def _with_units(sql: str, decimals: int) -> str:
+    whole = _WHOLE.replace("{unit}", num(10**decimals)).replace("{decimals}", str(decimals))
+    return re.sub(r"\{whole:(\w+)\}", lambda found: whole.replace("{x}", found[1]), sql).replace("{unit}", num(10**decimals))
+
+
 def customer_entities(
     customer: DataFrame, nation: DataFrame, orders: DataFrame, lineitem: DataFrame, decimals: int = 2
 ) -> DataFrame:
     """One row per customer: identity columns and the fifteen metrics.
 
     A customer without orders keeps a row, its order metrics null. Prices,
-    discounts and taxes add up at ``decimals`` places: state as many as the data
-    has, as further ones are rounded away.
+    discounts and taxes add up at ``decimals`` places; a value that has more raises.
     """
     spark = customer.sparkSession
     # Read three times, a few columns each, and never joined again.
     lines = stage(spark.sql(_OWNED_LINES, orders=orders, lineitem=lineitem), "owned-lines")
-    entities = _ENTITIES.replace("{unit}", num(10**decimals))
-    return spark.sql(entities, customer=customer, nation=nation, orders=orders, lines=lines)
+    return spark.sql(_with_units(_ENTITIES, decimals), customer=customer, nation=nation, orders=orders, lines=lines)
 
 
 def read_customer_entities(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,7 +26,7 @@ from scoreloom.operators.sketches import (
 from scoreloom.plans import staging
 from scoreloom.plans.staging import new_path, release_shared, stage_once
 from scoreloom.presets import CUSTOMER, SUSTAINABILITY
-from scoreloom.sources.customers import read_customer_entities
+from scoreloom.sources.customers import customer_entities, read_customer_entities
 from scoreloom.sources.registry import agrees_with_record, checked, from_json, from_tables, problems, registry_tables, to_json
 from scoreloom.sources.writers import write_marts, write_table
 
@@ -195,3 +195,21 @@ def test_union_of_count_sketches_is_the_sketch_of_all(spark):
     assert {r.column: r.distinct_values for r in parts} == whole
     assert {(r.parts, r.rows) for r in parts} == {(7, 60_000)}
     assert abs(whole["a"] - 20011) <= count_error() * 20011 and whole["b"] == 50
+
+
+def test_surplus_decimals_are_refused(spark):
+    """Values add up in whole units of the stated decimals; further digits raise, they are not rounded away."""
+    customer = small_table(spark, [(1, "c", 0, 5.0, "S")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    nation = small_table(spark, [(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    orders = spark.sql("SELECT 7L AS o_orderkey, 1L AS o_custkey, 'P' AS o_orderstatus, 3D AS o_totalprice, timestamp_ntz'2024-01-01' AS o_orderdate, '1-URGENT' AS o_orderpriority")
+
+    def price(values, decimals):
+        rows = [(7, 1, 1, v, 0.05, 0.07, "R", "F") for v in values]
+        lines = small_table(spark, rows, "l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+        lines = lines.selectExpr("*", "timestamp_ntz'2024-01-04' AS l_shipdate")
+        return customer_entities(customer, nation, orders, lines, decimals).first().revenue
+
+    assert price([10.01, 99999.99, None, 1.07], 2) == 100011.07
+    assert price([10.001, 0.333], 3) == 10.334
+    with pytest.raises(Exception, match="l_extendedprice 10.001 has more than 2 decimals"):
+        price([10.001], 2)
