@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scoreloom.plans.staging import stage
+from scoreloom.plans.staging import release, stage
 
 MAX_DRAWS = 64
 _TITLES = {
@@ -316,9 +316,12 @@ def settled_draws(entities: DataFrame, key: bytes) -> DataFrame:
         judged = seen.join(winner, ["kind", "shown"]).join(real, ["kind", "shown"], "left").select("kind", "value", "draw", "made", (F.col("real").isNotNull() | (F.struct("draw", "value") != F.col("first"))).alias("lost"))
         judged = stage(judged, "judged")
         if judged.where("lost").isEmpty():
+            release(judged)
             return now
+        release(now)
         again = judged.where("lost").selectExpr("kind", "value", f"{draw} AS draw").mapInArrow(_drawn(key), shape)
         now = stage(judged.where("NOT lost").drop("lost").union(again), "draws")
+        release(judged)
     raise RuntimeError(f"surrogates still collide after {MAX_DRAWS} draws; a kind has more entities than values")
 
 
