@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 import struct
+import textwrap
 from collections import Counter, defaultdict
 
 import duckdb
@@ -13,10 +15,11 @@ import xxhash
 
 from check_queries import differences
 from scoreloom.functions.literals import small_table
-from scoreloom.llm import language_id, mixing
+from scoreloom.llm import language_id, licences, mixing
 from scoreloom.llm.ngram_join import similar_components
 from scoreloom.llm.oracle import ORACLE
 from scoreloom.llm.topk_search import top_k
+from scoreloom.plans.staging import stage
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -200,3 +203,75 @@ def test_search_twin_over_repeated_ids(spark):
     got = top_k(small_table(spark, rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0").toPandas()
     frame = pd.DataFrame({"vec_id": pd.array([i for i, _ in rows], "Int64"), "embedding": [v for _, v in rows]})
     assert differences(got, twin("op9_topk", "embeddings", frame)) == []
+
+
+# Licences: every run of lines of every text, with the learned weights
+
+
+def plain_notices(texts: dict, model) -> set:
+    vocabulary = set(re.findall(r"'([^']+)'", model.peculiar))
+    templates = defaultdict(list)
+    for r in model.grams.collect():
+        templates[r.family].append(set(r.grams))
+    place = {g: i for i, g in enumerate(model.vectorise.vocabulary)}
+    weights, bias = model.weights.coefficientMatrix.toArray(), model.weights.interceptVector.toArray()
+    slope, offset = model.calibration.coefficients[0], model.calibration.intercept
+    most = max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in licences.TEMPLATES)
+
+    def grams_of(own):
+        runs = (own[i : i + n] for n in (1, 2, 3) for i in range(len(own) - n + 1))
+        return {" ".join(r) for r in runs if vocabulary & set(r)}
+
+    out = set()
+    for doc_id, text in texts.items():
+        lines = [re.findall("[a-z0-9]+", l.lower()) for l in text.split("\n")]
+        told = [bool(vocabulary & set(l)) for l in lines]
+        found = set()
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                inner = [w for l in lines[i + 1 : j] for w in l]
+                if j > i and (not lines[j] or len(inner) > most):
+                    break
+                if not (told[i] and told[j]):
+                    continue
+                own = lines[i]
+                if j > i:
+                    before = [w for l in lines[max(i - 2, 0) : i] for w in l] if i and lines[i - 1] else []
+                    after = []
+                    for l in lines[j + 1 : j + 3]:
+                        if not l:
+                            break
+                        after += l
+                    head = lines[i][-most:] if len(lines[i]) > most else before[-2:] + lines[i]
+                    tail = lines[j][:most] if len(lines[j]) > most else lines[j] + after[:2]
+                    own = head + inner + tail
+                grams = grams_of(own)
+                raw = bias.copy()
+                for g in grams & place.keys():
+                    raw += weights[:, place[g]]
+                best = int(raw[1:].argmax())
+                probability = 1 / (1 + math.exp(-(slope * (raw[1 + best] - raw[0]) + offset)))
+                family = model.families[1 + best]
+                share = max(len(t & grams) / len(t) for t in templates[family])
+                if probability >= licences.MIN_PROBABILITY and share >= licences.MIN_TEMPLATE_SHARE:
+                    found.add((-share, j - i, i, j, family))
+        taken = []
+        for x in sorted(found):
+            if not any(t[2] <= x[3] and x[2] <= t[3] for t in taken):
+                taken.append(x)
+        out |= {(doc_id, i, j, family, round(-share, 9)) for share, _, i, j, family in taken}
+    return out
+
+
+def test_notices_like_the_plain_version(spark, docs):
+    longest = {f: max((t for g, t in licences.TEMPLATES if g == f), key=len) for f, _ in licences.TEMPLATES}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for i, (family, notice) in enumerate(sorted(longest.items())):
+        for j, (mark, width) in enumerate((("", 60), (" * ", 30), ("# ", 12))):
+            lines = [mark + l for l in textwrap.wrap(notice, width, break_long_words=False)]
+            texts[10_000 + 10 * i + j] = "\n".join(["the rights of the library", *lines, "has a license of its own", "", *lines[1:], "All rights reserved."])
+    table = small_table(spark, list(texts.items()), "doc_id long, text string")
+    paragraphs = stage(licences._paragraphs(table, licences._peculiar(spark)[1]), "paragraphs")
+    model = licences.LicenceModel(spark, paragraphs)
+    got = {(r.doc_id, r.line, r["last"], r.family, round(r.template_share, 9)) for r in model.predict(paragraphs).collect()}
+    assert len(got) > 60 and got == plain_notices(texts, model)
