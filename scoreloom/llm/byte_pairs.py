@@ -25,11 +25,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.llm.words import slices
 
 SLICE_CHARS = 1 << 22
+MANY = 24  # places of a merge that are handled together
 LONG_TEXT = 1 << 20  # characters from which words are not all held at once
 _BITS = 21  # of a token id inside a pair
 
@@ -52,87 +54,150 @@ class Merges:
 
     def __init__(self, rows: Sequence[tuple[bytes, int]]):
         self.rank = dict(rows)
-        self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
+        self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         self.pair: dict[int, int] = {}
         for token, rank in rows:
             for cut in range(1, len(token)):
                 left, right = self.rank.get(token[:cut]), self.rank.get(token[cut:])
                 if left is not None and right is not None:
                     self.pair[left << _BITS | right] = rank
-        self.bytes = np.full((256, 256), -1, np.int64)
+        self.pairs = np.array(sorted(self.pair), np.int64)
+        self.forms = np.array([self.pair[p] for p in self.pairs.tolist()], np.int32)
+        self.length = np.zeros(max(self.rank.values()) + 1, np.int32)
+        self.length[list(self.rank.values())] = [len(token) for token, _ in rows]
+        self.bytes = np.full((256, 256), -1, np.int32)
         for token, rank in rows:
             if len(token) == 2:
                 self.bytes[token[0], token[1]] = rank
 
+    def formed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What neighbouring tokens form; -1 for nothing."""
+        if not len(self.pairs):
+            return np.full(len(left), -1, np.int32)
+        key = left.astype(np.int64) << _BITS | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.forms[at], -1)
+
     def encode(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """All tokens of ``words``, one word after the other, and how many each word has."""
         raw = [w.encode() for w in words]
-        whole = np.array([self.rank.get(r, -1) for r in raw], np.int64)  # a word that is a token stays whole
+        whole = np.array([self.rank.get(r, -1) for r in raw], np.int32)  # a word that is a token stays whole
         open_ = np.flatnonzero(whole < 0)
-        ids, owner = self._replay([raw[i] for i in open_.tolist()])
+        ids, own = _Corpus(self, [raw[i] for i in open_.tolist()]).replayed()
         count = np.ones(len(raw), np.int64)
-        count[open_] = np.bincount(owner, minlength=len(open_))
-        flat = np.empty(count.sum(), np.int64)
+        count[open_] = own
+        flat = np.empty(count.sum(), np.int32)
         inside = np.repeat(whole < 0, count)
         flat[inside], flat[~inside] = ids, whole[whole >= 0]
         return flat, count
 
-    def _replay(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The tokens of all words, and the word of each."""
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        owner = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
-        if not len(data):
-            return np.zeros(0, np.int64), owner
-        joint = np.append(owner[1:] == owner[:-1], False)
-        place = np.arange(len(data))
-        token = self.byte[data].tolist()
-        after = np.where(joint, place + 1, -1).tolist()
-        before = np.where(np.append(False, joint[:-1]), place - 1, -1).tolist()
-
-        # The index: for each token that neighbours may form, the places of their left ones.
-        forms = np.where(joint, self.bytes[data, np.append(data[1:], data[:1])], -1)
+
+class _Corpus:
+    """The bytes of some words in one row, a gap after each, and the tokens that cover them.
+
+    ``token`` and ``stop`` of a token stand at its first byte, ``before`` is the
+    first byte of the token that ends there; gaps and bytes inside a token have
+    the token -1. The index leads from a form to the first bytes of pairs that
+    make it up; an entry counts as long as its two tokens still end where the
+    form does.
+    """
+
+    def __init__(self, merges: Merges, raw: list[bytes]):
+        self.merges = merges
+        data = np.frombuffer(b"\0".join([*raw, b""]), np.uint8)
+        self.gaps = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64) - 1
+        token = merges.byte[data]
+        token[self.gaps] = -1
+        forms = np.full(len(data), -1, np.int32)
+        forms[:-1] = merges.bytes[data[:-1], data[1:]]
+        forms[token < 0] = -1
+        forms[self.gaps - 1] = -1
+        # Python and numpy look at the same memory.
+        self.token, self.stop, self.before = array("i", token.tobytes()), array("i", range(1, len(data) + 1)), array("i", range(-1, len(data) - 1))
+        self.tokens, self.stops, self.befores = (np.frombuffer(x, np.int32) for x in (self.token, self.stop, self.before))
+        self.index: dict[int, array] = {}
+        self.ranks: list[int] = []
         places = np.flatnonzero(forms >= 0)
-        places = places[np.argsort(forms[places], kind="stable")]
-        firsts = np.flatnonzero(np.diff(forms[places], prepend=-1))
-        index = {int(forms[p[0]]): p.tolist() for p in np.split(places, firsts[1:])} if len(places) else {}
-        ranks, pair = sorted(index), self.pair
-
-        while ranks:
-            rank = heapq.heappop(ranks)
-            here = sorted(index.pop(rank))
-            for n, i in enumerate(here):
-                j = after[i]
-                if j < 0 or token[i] < 0 or pair.get(token[i] << _BITS | token[j]) != rank:
-                    continue  # one of the two has been merged since
-                token[i], token[j] = rank, -1
-                k = after[i] = after[j]
-                lower = False
-                if k >= 0:
-                    before[k] = i
-                    form = pair.get(rank << _BITS | token[k])
-                    if form is not None:
-                        if form not in index:
-                            index[form] = [i]
-                            heapq.heappush(ranks, form)
-                        else:
-                            index[form].append(i)
-                        lower = form < rank
-                h = before[i]
-                if h >= 0:
-                    form = pair.get(token[h] << _BITS | rank)
-                    if form is not None:
-                        if form not in index:
-                            index[form] = [h]
-                            heapq.heappush(ranks, form)
-                        else:
-                            index[form].append(h)
-                        lower = lower or form < rank
-                if lower and n + 1 < len(here):
-                    index[rank] = here[n + 1 :] + index.get(rank, [])
-                    heapq.heappush(ranks, rank)
-                    break
-        found = np.array(token, np.int64)
-        return found[found >= 0], owner[found >= 0]
+        self._enter(forms[places], places.astype(np.int32))
+
+    def _enter(self, forms: np.ndarray, places: np.ndarray) -> None:
+        order = np.argsort(forms)
+        forms, places = forms[order], places[order]
+        cuts = np.flatnonzero(np.diff(forms, prepend=-1)).tolist()
+        for a, b, form in zip(cuts, [*cuts[1:], len(forms)], forms[cuts].tolist()):
+            if form not in self.index:
+                self.index[form] = array("i")
+                heapq.heappush(self.ranks, form)
+            self.index[form].frombytes(places[a:b].tobytes())
+
+    def replayed(self) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words in order, and how many each has."""
+        while self.ranks:
+            rank = heapq.heappop(self.ranks)
+            here = self.index.pop(rank)
+            if len(here) < MANY or not self._merge_all(rank, np.sort(np.frombuffer(here, np.int32))):
+                self._merge_each(rank, sorted(here))
+        solid = np.flatnonzero(self.tokens >= 0)
+        return self.tokens[solid], np.diff(np.searchsorted(solid, self.gaps), prepend=0)
+
+    def _merge_all(self, rank: int, here: np.ndarray) -> bool:
+        """Merge at all places at once; undone and False where that makes way for a lower rank."""
+        tokens, stops, befores, length = self.tokens, self.stops, self.befores, int(self.merges.length[rank])
+        here = here[(tokens[here] >= 0) & (np.diff(here, prepend=-1) > 0)]
+        middle = stops[here]
+        valid = stops[middle] == here + length
+        valid &= tokens[middle] >= 0
+        here, middle = here[valid], middle[valid]
+        if len(here) > 1:
+            # Of pairs that share a token every other one is merged, from the left.
+            shares = np.append(False, middle[:-1] == here[1:])
+            place = np.arange(len(here))
+            free = (place - np.maximum.accumulate(np.where(shares, 0, place))) % 2 == 0
+            here, middle = here[free], middle[free]
+        end = here + length
+        old = tokens[here], tokens[middle], stops[here], befores[end]
+        tokens[here], tokens[middle], stops[here], befores[end] = rank, -1, end, here
+        left = befores[here]
+        left, lefts = left[left >= 0], here[left >= 0]
+        forms = np.concatenate((self.merges.formed(tokens[left], tokens[lefts]), self.merges.formed(tokens[here], tokens[end])))
+        if ((forms < rank) & (forms >= 0)).any():
+            tokens[here], tokens[middle], stops[here], befores[end] = old
+            return False
+        made = forms >= 0
+        self._enter(forms[made], np.concatenate((left, here))[made])
+        return True
+
+    def _merge_each(self, rank: int, here: list[int]) -> None:
+        """Merge one place after the other, and stop where that makes way for a lower rank."""
+        token, stop, before, pair, index = self.token, self.stop, self.before, self.merges.pair, self.index
+        length = int(self.merges.length[rank])
+        for n, i in enumerate(here):
+            j = stop[i]
+            end = i + length
+            if token[i] < 0 or token[j] < 0 or stop[j] != end:
+                continue  # one of the two has been merged since
+            token[i], token[j], stop[i], before[end] = rank, -1, end, i
+            lowest = rank
+            for at, key in ((before[i], None), (i, rank << _BITS | token[end])):
+                if key is None:
+                    if at < 0 or token[at] < 0:
+                        continue
+                    key = token[at] << _BITS | rank
+                elif token[end] < 0:
+                    continue
+                form = pair.get(key)
+                if form is not None:
+                    if form not in index:
+                        index[form] = array("i")
+                        heapq.heappush(self.ranks, form)
+                    index[form].append(at)
+                    lowest = min(lowest, form)
+            if lowest < rank and n + 1 < len(here):
+                if rank not in index:
+                    index[rank] = array("i")
+                    heapq.heappush(self.ranks, rank)
+                index[rank].extend(array("i", here[n + 1 :]))
+                break
 
 
 def encode_texts(merges: Merges, pattern, texts: Sequence[str | None]) -> list[np.ndarray]:
@@ -141,11 +206,11 @@ def encode_texts(merges: Merges, pattern, texts: Sequence[str | None]) -> list[n
     seen.default_factory = seen.__len__  # a new word gets the next number
     rows = []
     for text in texts:
-        row = array("q")
+        row = array("i")
         if text:
             cut = pattern.findall(text) if len(text) < LONG_TEXT else (m.group() for m in pattern.finditer(text))
             row.extend(map(seen.__getitem__, cut))
-        rows.append(np.frombuffer(row, np.int64) if row else np.zeros(0, np.int64))
+        rows.append(np.frombuffer(row, np.int32) if row else np.zeros(0, np.int32))
     flat, count = merges.encode(list(seen))
     begin = np.cumsum(count) - count
     out = []
@@ -178,44 +243,69 @@ class _Shared:
         return self.rows.value
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType) -> tuple[list[str], T.StructType]:
-    names = [c for c in df.columns if c != name]
-    fields = [T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(names)]
-    return names, T.StructType([*fields, T.StructField(f"c{len(names)}", kind)])
+def _kept(df: DataFrame, made: dict[str, T.DataType], keep: Sequence[str] | None) -> tuple[list[str], T.StructType]:
+    """The columns that stay, and the schema of them and of those that are made."""
+    names = [c for c in (df.columns if keep is None else keep) if c not in made]
+    kinds = [df.schema[c].dataType for c in names] + list(made.values())
+    return names, T.StructType([T.StructField(f"c{i}", k) for i, k in enumerate(kinds)])
+
 
+def _ids(found: list[np.ndarray], none: list[bool], packed: bool) -> pa.Array:
+    if packed:
+        return pa.array([None if n else f.astype("<u4").tobytes() for f, n in zip(found, none)], pa.binary())
+    ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*found, np.zeros(0, np.int32)])), mask=pa.array(none))
 
-def encoded(docs: DataFrame, ranks: str, pattern: str, column: str = "text", ids: str = "ids", packed: bool = False) -> DataFrame:
+
+def _bytes(rows: pa.Array, token: dict[int, bytes], packed: bool) -> pa.Array:
+    out = []
+    for row in rows.to_pylist():
+        own = np.frombuffer(row, "<u4").tolist() if packed and row else row
+        out.append(None if row is None else b"".join([token[i] for i in own or ()]))
+    return pa.array(out, pa.binary())
+
+
+def encoded(
+    docs: DataFrame,
+    ranks: str,
+    pattern: str,
+    column: str = "text",
+    ids: str = "ids",
+    packed: bool = False,
+    decoded: str | None = None,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
     """``docs`` with the token ids of ``column`` in ``ids``.
 
     ``ranks`` names a file of tokens with ranks, ``pattern`` is the regular
     expression whose matches are encoded apart; special tokens are ordinary
     text. Ids are an array, or with ``packed`` their bytes as little-endian
-    unsigned 32-bit integers. A null text gives null, an empty one no ids.
-    Every row is its own; all columns stay, one called ``ids`` already is
-    replaced; columns that share a name raise.
+    unsigned 32-bit integers. With ``decoded`` a column of that name holds the
+    bytes that these ids decode to, taken from the ids in the same task, so that a
+    round trip passes Python once. A null text gives null, an empty one no ids.
+    Every row is its own; all columns stay, or those of ``keep``; those called
+    like a new one are replaced; columns that share a name raise.
     """
     shared = _Shared(docs, ranks)
-    names, schema = _added(docs, ids, T.BinaryType() if packed else T.ArrayType(T.IntegerType()))
-    place = names.index(column)
+    kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType())
+    names, schema = _kept(docs, {ids: kind, **({decoded: T.BinaryType()} if decoded else {})}, keep)
+    # The text comes last, so that it need not go back where it is not kept.
+    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(f"`{column}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         merges, cut = _merges(shared), regex.compile(pattern)
+        token = {rank: raw for raw, rank in shared.value} if decoded else {}
         for batch in batches:
-            texts = batch.column(place).to_pylist()
+            texts = batch.column(len(names)).to_pylist()
             for a, b in slices(texts, SLICE_CHARS):
-                found = encode_texts(merges, cut, texts[a:b])
-                none = np.array([t is None for t in texts[a:b]])
-                if packed:
-                    made = pa.array([None if t is None else f.astype("<u4").tobytes() for f, t in zip(found, texts[a:b])], pa.binary())
-                else:
-                    ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-                    flat = pa.array(np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int32))
-                    made = pa.ListArray.from_arrays(ends, flat, mask=pa.array(none))
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), made], names=schema.names)
+                made = [_ids(encode_texts(merges, cut, texts[a:b]), [t is None for t in texts[a:b]], packed)]
+                if decoded:
+                    made.append(_bytes(made[0], token, packed))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:-1]), *made], names=schema.names)
 
-    return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema).toDF(*names, ids)
+    return given.mapInArrow(run, schema).toDF(*names, ids, *([decoded] if decoded else []))
 
 
 def decoded(tokens: DataFrame, ranks: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
@@ -225,17 +315,13 @@ def decoded(tokens: DataFrame, ranks: str, ids: str = "ids", column: str = "deco
     raises. All columns stay, one called ``column`` already is replaced.
     """
     shared = _Shared(tokens, ranks)
-    names, schema = _added(tokens, column, T.BinaryType())
+    names, schema = _kept(tokens, {column: T.BinaryType()}, None)
     place = names.index(ids)
     packed = isinstance(tokens.schema[ids].dataType, T.BinaryType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: raw for raw, rank in shared.value}
         for batch in batches:
-            made = []
-            for row in batch.column(place).to_pylist():
-                own = np.frombuffer(row, "<u4").tolist() if packed and row else row
-                made.append(None if row is None else b"".join([token[i] for i in own or ()]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _bytes(batch.column(place), token, packed)], names=schema.names)
 
     return tokens.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema).toDF(*names, column)

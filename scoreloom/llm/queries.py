@@ -14,7 +14,7 @@ from scoreloom.llm.mixing import mixed_copies
 from scoreloom.llm.ngram_join import similar_components
 from scoreloom.llm.period_runs import periodic_runs
 from scoreloom.llm.pii import pseudonymised
-from scoreloom.llm.piece_tokens import decoded, encoded
+from scoreloom.llm.piece_tokens import encoded
 from scoreloom.llm.quality import quality_verdicts
 from scoreloom.llm.spelling import spelling_variants, without_a_letter, word_counts
 from scoreloom.llm.text_sql import let, words
@@ -52,7 +52,7 @@ def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return decoded(encoded(docs, PIECES), PIECES).selectExpr(
+    return encoded(docs, PIECES, decoded="decoded").selectExpr(
         "doc_id", "bigint(size(ids)) AS n_tokens", "ids", "decoded <=> text AS lossless"
     )
 
@@ -84,8 +84,7 @@ def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _table(spark, folder, "documents").selectExpr("doc_id", "coalesce(text, '') AS text")
-    tokens = byte_pairs.encoded(docs, ranks, public_tokenizers.PATTERN, packed=True).drop("text")
-    return byte_pairs.decoded(tokens, ranks).selectExpr(
+    return byte_pairs.encoded(docs, ranks, public_tokenizers.PATTERN, packed=True, decoded="decoded", keep=["doc_id"]).selectExpr(
         "doc_id", "bigint(length(ids) div 4) AS n_tokens", "sha2(ids, 256) AS ids_sha256", "sha2(decoded, 256) AS decoded_sha256"
     )
 

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from scoreloom.llm import byte_pairs, period_runs, spelling
@@ -51,6 +52,8 @@ def test_byte_pairs_round_trip_packed_and_as_lists(spark):
         back = byte_pairs.decoded(byte_pairs.encoded(docs, RANKS, public_tokenizers.PATTERN, packed=packed), RANKS)
         for r in back.collect():
             assert r.decoded == (None if r.text is None else r.text.encode())
+        once = byte_pairs.encoded(docs, RANKS, public_tokenizers.PATTERN, packed=packed, decoded="back", keep=[])
+        assert once.columns == ["ids", "back"] and sorted(map(str, once.collect())) == sorted(str(Row(ids=r.ids, back=r.decoded)) for r in back.collect())
     assert byte_pairs.encoded(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
