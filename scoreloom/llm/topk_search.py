@@ -123,11 +123,13 @@ def _routes(pivots: np.ndarray, radius: np.ndarray, nearest: list[tuple[int, flo
                     row = np.flatnonzero(may.any(1))
                     to = np.where(may, high, -np.inf).argmax(1)[row]
                 else:
-                    done, kth = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64)[:, None] for i in (4, 5))
-                    may &= (high + _slack(high) >= np.where(np.isnan(kth), -np.inf, kth)) & (np.arange(len(pivots)) != done)
+                    done = batch.column(4).to_numpy()[:, None]
+                    kth = batch.column(5).cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy()[:, None]
+                    may &= (high + _slack(high) >= kth - _slack(np.nan_to_num(kth, neginf=0))) & (np.arange(len(pivots)) != done)
                     row, to = np.nonzero(may)
                 own = pa.array(row)
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(own) for i in range(3)), pa.array(to, pa.int32())], names=["query", "query_id", "q", "cell"])
+                least = pa.nulls(len(row), pa.int64()) if first else batch.column(5).take(own)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(own) for i in range(3)), pa.array(to, pa.int32()), least], names=["query", "query_id", "q", "cell", "kth"])
 
     return run
 
@@ -149,7 +151,8 @@ def _solved(k: int):
             raise ValueError("inner products may pass 63 bits")
         # Doubles multiply exactly while no sum passes 2**53.
         score = np.rint(q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64) if most < 2**53 else q @ x.T
-        own = asked[:, None] == rid[None, :]
+        # What stays below the k-th score that a query has already is of no use.
+        own = (asked[:, None] == rid[None, :]) | (score < queries["kth"].fill_null(np.iinfo(np.int64).min).to_numpy()[:, None])
         if len(ids) > k + 1:
             masked = np.where(own, np.iinfo(np.int64).min, score)
             own |= masked < np.partition(masked, -k, axis=1)[:, -k][:, None]
@@ -170,7 +173,7 @@ def _joined(routed: DataFrame, placed: DataFrame, rows: np.ndarray, k: int) -> D
     asked = dict(routed.groupBy("cell").count().collect())  # a row for each pivot
     blocks = "element_at(array({}), cell + 1)".format(", ".join(str(-(-int(n) // BLOCK) or 1) for n in rows))
     chunks = "element_at(array({}), cell + 1)".format(", ".join(str(-(-asked.get(c, 0) // CHUNK)) for c in range(len(rows))))
-    left = routed.selectExpr("cell", f"int(pmod(xxhash64(query), {chunks})) AS chunk", f"explode(sequence(0, {blocks} - 1)) AS block", "query", "query_id", "q")
+    left = routed.selectExpr("cell", f"int(pmod(xxhash64(query), {chunks})) AS chunk", f"explode(sequence(0, {blocks} - 1)) AS block", "query", "query_id", "q", "kth")
     right = placed.where(f"{chunks} > 0").selectExpr("cell", f"explode(sequence(0, {chunks} - 1)) AS chunk", f"int(pmod(xxhash64(rid, 1), {blocks})) AS block", "rid", "vec_id", "v")
     task = ["cell", "chunk", "block"]
     return left.groupBy(*task).cogroup(right.groupBy(*task)).applyInArrow(_solved(k), _BEST)
@@ -204,14 +207,14 @@ def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE) ->
     needs = _group_needs(pivots, radius, reach, nearest, k)
 
     queries = placed.where(is_query).select("rid", "vec_id", "v", "cell")
-    shape = "query long, query_id long, q array<long>, cell int"
+    shape = "query long, query_id long, q array<long>, cell int, kth long"
     routed = stage(queries.mapInArrow(_routes(pivots, radius, nearest, needs, k, True), shape), "first-routes")
     found = stage(_joined(routed, placed, rows, k), "first-found")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
     # One row a query: the k-th score it has, if it has as many.
     kth = found.withColumn("place", place).where(F.col("place") == k).select(F.col("query").alias("rid"), F.col("score").alias("kth"))
     done = routed.select(F.col("query").alias("rid"), F.col("cell").alias("done"))
-    begun = queries.join(done, "rid").join(kth, "rid", "left").select("rid", "vec_id", "v", "cell", "done", F.col("kth").cast("double").alias("kth"))
+    begun = queries.join(done, "rid").join(kth, "rid", "left").select("rid", "vec_id", "v", "cell", "done", "kth")
     later = stage(begun.mapInArrow(_routes(pivots, radius, nearest, needs, k, False), shape), "later-routes")
     every = stage(found.union(_joined(later, placed, rows, k)), "found")
     release(routed, later, found)
