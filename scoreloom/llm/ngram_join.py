@@ -41,7 +41,7 @@ FAN_IN = 32  # sketches added up by one task
 FRAGMENTS = 8  # of the global order, for counting pair by pair
 BLOCK = 256  # classes of a block
 SMALL_BUCKET = 32  # rows of a bucket that gives its pairs one by one
-MARK_BITS = 24
+MARK_BITS, MARK_PART_BITS = 24, 6
 WIDTH = 1 << 14  # n-grams of a fragment inside a block task
 _U = np.uint64
 PROFILE = ["doc_id", "txt", "n", "key", "task", "part", "counts"]
@@ -159,13 +159,20 @@ def _prefixes(k: int, percent: int, steps):
 _SLOT = f"pmod(xxhash64({{}}.doc_id, {{}}.txt), {1 << MARK_BITS})"
 
 
+def _bits(part: pd.DataFrame) -> pd.DataFrame:
+    """The marks of one part: a bit for each of its slots."""
+    marks = np.zeros(1 << (MARK_BITS - MARK_PART_BITS), bool)
+    marks[part["slot"].to_numpy() % len(marks)] = True
+    return pd.DataFrame({"part": [part["part"].iloc[0]], "bits": [np.packbits(marks, bitorder="little").tobytes()]})
+
+
 def _marked(spoken: DataFrame) -> np.ndarray:
-    """A bit for the hash of every speaker ``rep``: 2 MB at any number, read back as at most 262,144 words."""
-    slot = _SLOT.format("rep", "rep")
-    words = spoken.selectExpr(f"int({slot} div 64) AS w", f"shiftleft(1L, int({slot} % 64)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    out = np.zeros(1 << (MARK_BITS - 6), np.int64)
-    for w, b in words:
-        out[w] = b
+    """A bit for the hash of every speaker ``rep``: 2 MB at any number of them, in 64 rows of fixed size."""
+    slots = spoken.selectExpr(f"{_SLOT.format('rep', 'rep')} AS slot").distinct().selectExpr("slot", f"slot div {1 << (MARK_BITS - MARK_PART_BITS)} AS part")
+    out = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+    size = len(out) >> MARK_PART_BITS
+    for part, bits in slots.groupBy("part").applyInPandas(_bits, "part long, bits binary").collect():
+        out[part * size : (part + 1) * size] = np.frombuffer(bits, np.uint8)
     return out
 
 
@@ -175,7 +182,7 @@ def _sets(k: int, marks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = batch.column(3).to_numpy()
-            batch = batch.filter(pa.array((marks.value[slot >> 6] >> (slot & 63)) & 1 == 1))
+            batch = batch.filter(pa.array((marks.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
             texts = batch.column(2).to_pylist()
             for a, b in slices(texts):
                 sets = shingle_sets(texts[a:b], k)
