@@ -32,6 +32,7 @@ from scoreloom.llm.words import mix, slices
 SPACE = "▁"
 INDEX_CHARS = 1 << 20  # of one suffix array
 EDGE_ROWS = 1 << 20  # occurrences looked at together
+MOST_PAIRED = 1 << 12  # characters whose pairs have a table of their own
 LONG_UNIT = 128  # characters from which a stretch relaxes with a heap
 _NONE = np.iinfo(np.int32).max
 _SEAM = re.compile(f"[^{SPACE}\n](?={SPACE})")  # after it a unit begins
@@ -127,17 +128,19 @@ class Encoder:
         first = np.cumsum([0, *(len(t) + 1 for t in texts)])
         small, codes = self._coded(chars)
         codes[first[1:] - 1] = 0  # nothing matches across the end of a text
-        begin, stop, same = self._units(chars, first)
+        begin, stop, same = self._stretches(chars, codes, small, first)
         spoken = np.zeros(len(chars) + 1, np.int32)
         own = same == np.arange(len(same))
-        np.add.at(spoken, begin[own], 1)
-        np.add.at(spoken, stop[own], -1)
+        spoken[begin[own]] += 1
+        spoken[stop[own]] -= 1
         spoken = np.cumsum(spoken[:-1]).astype(bool)
-        a, b, piece = self._tokens(chars, spoken, self._edges(small, codes, spoken))
+        fresh = np.zeros(len(chars), bool)
+        fresh[begin] = True
+        a, b, piece = self._tokens(chars, spoken, fresh, self._edges(small, codes, spoken))
 
-        unit = np.searchsorted(begin, a, "right") - 1
-        flat, unit = self._with_bytes(chars[a], piece, unit)
-        count = np.bincount(unit, minlength=len(begin))
+        stretch = np.searchsorted(begin, a, "right") - 1
+        flat, stretch = self._with_bytes(chars[a], piece, stretch)
+        count = np.bincount(stretch, minlength=len(begin))
         at = np.cumsum(count) - count
         many = count[same]
         every = flat[np.repeat(at[same] - np.cumsum(many) + many, many) + np.arange(many.sum())]
@@ -153,18 +156,26 @@ class Encoder:
         here[present] = np.arange(1, len(present) + 1)
         return here, here[chars].astype(np.int64)
 
-    def _units(self, chars: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Begin and end of every unit (a stretch that no piece reaches out of), and the first unit equal to it."""
-        fresh = np.zeros(len(chars) + 1, bool)
-        fresh[first] = True
-        if self.parted:
-            space, line = chars == ord(SPACE), chars == ord("\n")
-            fresh[1:-1] |= (space[1:] & ~space[:-1]) | (line[1:] != line[:-1])
-        fresh[first[1:] - 1] = True  # the separators lie between units
-        begin = np.flatnonzero(fresh)
-        begin, stop = begin[:-1], begin[1:]
+    def _joint(self, codes: np.ndarray, small: np.ndarray) -> np.ndarray:
+        """Whether some piece holds a character and the next one side by side."""
+        most = int(codes.max()) + 1
+        left, right = small[self.joined >> 21], small[self.joined & (1 << 21) - 1]
+        here = (left > 0) & (right > 0)
+        pairs = left[here].astype(np.int64) * most + right[here]
+        asked = codes[:-1] * most + codes[1:]
+        if most <= MOST_PAIRED:
+            table = np.zeros(most * most, bool)
+            table[pairs] = True
+            return table[asked]
+        pairs = np.append(np.sort(pairs), -1)
+        return pairs[np.searchsorted(pairs[:-1], asked)] == asked
+
+    def _stretches(self, chars: np.ndarray, codes: np.ndarray, small: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and end of every stretch that no piece reaches out of, and the first one equal to it."""
+        ends = np.append(np.flatnonzero(np.append(True, ~self._joint(codes, small))), len(chars))
+        begin, stop = ends[:-1], ends[1:]
         solid = np.ones(len(begin), bool)
-        solid[np.searchsorted(begin, first[1:] - 1)] = False
+        solid[np.searchsorted(begin, first[1:] - 1)] = False  # the separators are no text
         begin, stop = begin[solid], stop[solid]
 
         up, down = _powers(1 << len(chars).bit_length())
@@ -174,7 +185,7 @@ class Encoder:
         fresh = np.append(True, hashed[order[1:]] != hashed[order[:-1]])[: len(order)]
         same = np.empty(len(order), np.int64)
         same[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
-        # Hashes only propose; every unit is compared with the one it is to copy.
+        # Hashes only propose; every stretch is compared with the one it is to copy.
         length = stop - begin
         alike = length == length[same]
         copies = np.flatnonzero(alike & (same != np.arange(len(same))))
@@ -207,7 +218,7 @@ class Encoder:
         order = np.argsort(key)
         return key[order], np.concatenate([*pieces, np.zeros(0, np.int32)])[order]
 
-    def _tokens(self, chars: np.ndarray, spoken: np.ndarray, edges: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+    def _tokens(self, chars: np.ndarray, spoken: np.ndarray, fresh: np.ndarray, edges: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
         """Start, end and piece (-1 without one) of the tokens of all ``spoken`` places, in order."""
         keys, pieces = edges
 
@@ -224,11 +235,7 @@ class Encoder:
 
         start = np.flatnonzero(spoken)
         stop = start + 1
-        pair = (chars[:-1].astype(np.int64)[start[1:] - 1] << 21) + chars[start[1:]]
-        near = np.minimum(np.searchsorted(self.joined, pair), len(self.joined) - 1)
-        # A new stretch begins wherever no piece holds the two characters side by side.
-        fresh = np.append(True, (self.joined[near] != pair) | (start[1:] != stop[:-1]))[: len(start)]
-        stretch = np.cumsum(fresh) - 1
+        stretch = np.cumsum(fresh[start]) - 1
         sizes = np.bincount(stretch)
         done = [self._relax_long(start[a:b], rank) for a, b in _spans(sizes) if b - a > LONG_UNIT]
         rest = sizes[stretch] <= LONG_UNIT
