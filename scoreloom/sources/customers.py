@@ -23,13 +23,20 @@ _HEADS = """
 """
 
 # Every line with its customer: the one pass over lines and the one join with
-# their orders. Adaptive execution splits an order that holds too many of them.
+# their orders. Lines move as narrow as they can be, their flags as bits. The join
+# is the same at every size, and adaptive execution splits an order that holds too
+# many lines.
 _OWNED_LINES = """
-  SELECT o_custkey, l_partkey, l_suppkey,
-    datediff(to_date(l_shipdate), to_date(o_orderdate)) AS lag,
-    l_linestatus, l_returnflag, l_extendedprice, l_discount, l_tax
-  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-  WHERE o_custkey IS NOT NULL
+  SELECT /*+ MERGE(l, o) */ o_custkey, l_partkey, l_suppkey, datediff(shipped, ordered) AS lag,
+    flags, l_extendedprice, l_discount, l_tax
+  FROM (
+    SELECT l_orderkey, l_partkey, l_suppkey, to_date(l_shipdate) AS shipped,
+      tinyint(IF(l_linestatus = 'F', 1, 0) + CASE l_returnflag WHEN 'N' THEN 2 WHEN 'R' THEN 4 ELSE 0 END) AS flags,
+      l_extendedprice, l_discount, l_tax
+    FROM {lineitem}
+  ) l JOIN (
+    SELECT o_orderkey, o_custkey, to_date(o_orderdate) AS ordered FROM {orders} WHERE o_custkey IS NOT NULL
+  ) o ON l_orderkey = o_orderkey
 """
 
 # Money and rates add up in whole units of their last decimal, so they come out
@@ -38,20 +45,29 @@ _TOTALS = """
   SELECT o_custkey AS t_custkey,
     count(*) AS lines,
     sum(lag) AS lag,
-    count_if(l_linestatus = 'F') AS filled,
-    count_if(l_returnflag = 'N') AS kept,
-    count_if(l_returnflag = 'R') AS returned,
+    count_if(flags & 1 > 0) AS filled,
+    count_if(flags & 2 > 0) AS kept,
+    count_if(flags & 4 > 0) AS returned,
     sum({whole:l_extendedprice}) / {unit} AS price,
     sum({whole:l_discount}) / {unit} AS discount,
     sum({whole:l_tax}) / {unit} AS tax
   FROM {lines} GROUP BY o_custkey
 """
 
-# One set of keys each, so no row is copied to tell them apart. They spread over
-# customer and part (or supplier), so a customer with a large part of all lines
-# is shared by many tasks.
-_PARTS = "SELECT o_custkey AS p_custkey, count(DISTINCT l_partkey) AS parts FROM {lines} GROUP BY o_custkey"
-_SUPPLIERS = "SELECT o_custkey AS s_custkey, count(DISTINCT l_suppkey) AS suppliers FROM {lines} GROUP BY o_custkey"
+# One set of keys each, so no row is copied to tell them apart. A customer's keys
+# are dealt into eight shares, so a customer with a large part of all lines is
+# shared by tasks, while at most eight counts a customer move again, whatever the
+# number of tasks.
+_SHARE = "pmod(hash({key}), 8)"
+_DISTINCT = f"""
+  SELECT o_custkey AS {{name}}_custkey, sum(n) AS {{name}} FROM (
+    SELECT o_custkey, count(DISTINCT {{key}}) AS n FROM (
+      SELECT o_custkey, {{key}} FROM {{{{lines}}}} DISTRIBUTE BY o_custkey, {_SHARE}
+    ) GROUP BY o_custkey, {_SHARE}
+  ) GROUP BY o_custkey
+"""
+_PARTS = _DISTINCT.format(name="parts", key="l_partkey")
+_SUPPLIERS = _DISTINCT.format(name="suppliers", key="l_suppkey")
 
 # The four aggregates arrive partitioned by customer, so only the customer
 # table itself moves for the large joins.
@@ -78,8 +94,8 @@ SELECT c_custkey AS customer_key,
   priority_breadth
 FROM {{customer}}
   LEFT JOIN totals ON c_custkey = t_custkey
-  LEFT JOIN parts ON c_custkey = p_custkey
-  LEFT JOIN suppliers ON c_custkey = s_custkey
+  LEFT JOIN parts ON c_custkey = parts_custkey
+  LEFT JOIN suppliers ON c_custkey = suppliers_custkey
   LEFT JOIN heads ON c_custkey = h_custkey
   LEFT JOIN {{nation}} ON c_nationkey = n_nationkey
 WHERE c_custkey IS NOT NULL
