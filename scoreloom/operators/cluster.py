@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.literals import small_table
+from scoreloom.functions.lloyd import centre_sums
 from scoreloom.functions.tiles import SUMS_SCHEMA, tile_pair
 from scoreloom.plans.staging import stage
 
@@ -33,6 +36,9 @@ MOVE = 1e-4
 INIT_STEPS = 5
 LAYOUT_ROWS = 100_000
 
+# Points that are worth a task of a round.
+_ROUND_ROWS = 25_000
+
 # Kinds of silhouette: a linear pass, or every distance.
 SQUARED, EUCLIDEAN = "squared_euclidean", "euclidean"
 
@@ -44,6 +50,45 @@ class Fit:
     model: KMeansModel
 
 
+def _move(points: DataFrame, centres: Sequence[np.ndarray]) -> list[tuple[np.ndarray, float]]:
+    """One round of K-means for many sets of centres in one pass: where each moves, and the cost before.
+
+    ``points`` holds ``x`` (array<double>) and ``weight``. Only sums per set and
+    cluster leave a task. A centre without points stays where it is.
+    """
+    width = centres[0].shape[1]
+    sums = [f"s{i}" for i in range(width)]
+    schema = "fit int, cluster int, weight double, cost double, " + ", ".join(f"{s} double" for s in sums)
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays = ((b.column("x").flatten().to_numpy().reshape(-1, width), b.column("weight").to_numpy()) for b in batches)
+        yield pa.RecordBatch.from_pydict(centre_sums(arrays, centres))
+
+    found = points.mapInArrow(of_batches, schema).groupBy("fit", "cluster").agg(*(F.sum(c).alias(c) for c in ("weight", "cost", *sums)))
+    moved, costs = [c.copy() for c in centres], [0.0] * len(centres)
+    # One row per set and cluster, whatever the number of points.
+    for r in found.collect():
+        costs[r.fit] += r.cost
+        if r.weight > 0:
+            moved[r.fit][r.cluster] = [r[s] / r.weight for s in sums]
+    return list(zip(moved, costs))
+
+
+def _costs(points: DataFrame, starts: Sequence[np.ndarray], tols: Sequence[float]) -> list[float]:
+    """The cost that K-means reaches from every start; those still moving share a pass a round."""
+    centres, costs, moving = list(starts), [math.inf] * len(starts), list(range(len(starts)))
+    for _ in range(MAX_ITERATIONS):
+        going = []
+        for i, (moved, cost) in zip(moving, _move(points, [centres[i] for i in moving])):
+            if (((moved - centres[i]) ** 2).sum(axis=1) > tols[i] ** 2).any():
+                going.append(i)
+            centres[i], costs[i] = moved, cost
+        moving = going
+        if not moving:
+            break
+    return costs
+
+
 def best_fits(
     points: DataFrame,
     ks: Iterable[int] = CLUSTER_COUNTS,
@@ -54,34 +99,50 @@ def best_fits(
     """The cheapest of ``restarts`` K-means models for every k.
 
     ``points`` holds distinct ``features`` and their ``weight``, so copies cost
-    nothing. The fits are independent jobs; a few run side by side. Points are
-    dealt by hash into sorted partitions first, one for every ``layout_rows`` of
-    them, so the fits do not depend on how they came. The start draws anew in
-    every partition: with other numbers of partitions other restarts are tried,
-    and the best of them may be another one. No fit is a matter of the rows alone.
+    nothing. MLlib draws every start; all of them are then followed to their end
+    together, a pass over the points a round, and MLlib fits the cheapest of
+    every k. The starts and fits are independent jobs; a few run side by side.
+    Points are dealt by hash into sorted partitions first, one for every
+    ``layout_rows`` of them, so the fits do not depend on how they came. The
+    start draws anew in every partition: with other numbers of partitions other
+    restarts are tried, and the best of them may be another one. No fit is a
+    matter of the rows alone.
     """
+    ks = list(ks)
     place = vector_to_array("features")
-    parts = max(1, math.ceil(points.count() / layout_rows))
+    rows = points.count()
+    parts = max(1, math.ceil(rows / layout_rows))
     points = points.select("features", "weight").repartition(parts, place).sortWithinPartitions(place).persist()
+    # Rounds may deal the points as they like: enough tasks for all cores, none of them too small.
+    spread = max(parts, min(2 * points.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / _ROUND_ROWS)))
+    arrays = points.select(place.alias("x"), "weight").repartition(spread).persist()
+
+    # The centres together move less than MOVE when each moves less than this.
+    tols = {k: math.sqrt(MOVE / k) for k in ks}
 
-    def fit(k: int, seed: int) -> Fit:
-        # The centres together move less than MOVE when each moves less than this.
-        tol = math.sqrt(MOVE / k)
-        model = KMeans(
-            k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=tol, initSteps=INIT_STEPS, featuresCol="features", weightCol="weight"
+    def fit(k: int, seed: int, rounds: int = MAX_ITERATIONS) -> KMeansModel:
+        return KMeans(
+            k=k, seed=seed, maxIter=rounds, tol=tols[k], initSteps=INIT_STEPS, featuresCol="features", weightCol="weight"
         ).fit(points)
-        return Fit(k, model.summary.trainingCost, model)
 
     tries = [(k, FIRST_SEED + i) for k in ks for i in range(restarts)]
     try:
         with ThreadPoolExecutor(parallelism) as pool:
             # Each task needs its own copy of the session's thread-local state.
             inherit = inheritable_thread_target(points.sparkSession)
-            running = [pool.submit(inherit(fit), *t) for t in tries]
-            fits = [r.result() for r in running]
+            if restarts > 1:
+                running = [pool.submit(inherit(fit), *t, 0) for t in tries]
+                starts = [np.array(r.result().clusterCenters()) for r in running]
+                costs = _costs(arrays, starts, [tols[k] for k, _ in tries])
+            else:
+                costs = [0.0] * len(tries)
+            best = [min((t for t in zip(costs, tries) if t[1][0] == k), key=lambda t: t[0])[1] for k in ks]
+            running = [pool.submit(inherit(fit), *t) for t in best]
+            models = [r.result() for r in running]
+            return [Fit(k, m.summary.trainingCost, m) for k, m in zip(ks, models)]
     finally:
+        arrays.unpersist()
         points.unpersist()
-    return [min((f for f in fits if f.k == k), key=lambda f: f.cost) for k in ks]
 
 
 def label_points(points: DataFrame, fits: Sequence[Fit]) -> DataFrame:

@@ -1,8 +1,14 @@
 """Plans and passes that must not change with the size of the tables."""
 
+import math
+
 import numpy as np
+import pytest
+from pyspark.ml.functions import array_to_vector
 
 from scoreloom.functions.literals import small_table
+from scoreloom.functions.lloyd import centre_sums
+from scoreloom.operators import cluster
 from scoreloom.plans.staging import stage
 from scoreloom.sources import customers
 
@@ -49,3 +55,44 @@ def test_shares_count_every_key_once(spark):
         assert got[c].return_pct == 100.0 * sum(p > 60 for p in known) / len(mine)
         assert got[c].kept_pct == 100.0 * sum(20 < p <= 60 for p in known) / len(mine)
         assert got[c].ship_lag_days == 3
+
+
+def test_sums_of_many_sets_of_centres():
+    rng = np.random.default_rng(1)
+    x, w = rng.normal(size=(3000, 3)).round(1), rng.integers(1, 4, 3000).astype(float)
+    sets = [rng.normal(size=(k, 3)) for k in (3, 2, 3, 5)] + [np.zeros((2, 3))]  # the last: equally near, the first counts
+    got = centre_sums([(x[:1700], w[:1700]), (x[1700:], w[1700:])], sets)
+    found = {(f, c): i for i, (f, c) in enumerate(zip(got["fit"], got["cluster"]))}
+    assert len(found) == sum(map(len, sets))
+    for f, centres in enumerate(sets):
+        far = ((x[:, None] - centres[None]) ** 2).sum(-1)
+        own = far.argmin(axis=1)
+        for c in range(len(centres)):
+            mine, i = own == c, found[f, c]
+            assert got["weight"][i] == w[mine].sum()
+            assert got["cost"][i] == pytest.approx((far.min(axis=1) * w)[mine].sum())
+            np.testing.assert_allclose([got[f"s{d}"][i] for d in range(3)], (x * w[:, None])[mine].sum(axis=0), atol=1e-9)
+
+
+def test_restarts_share_their_passes(spark, monkeypatch):
+    """All restarts are followed, yet MLlib moves the centres of the best one only; it is the one MLlib itself finds."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 8, (9, 3))[rng.integers(0, 9, 900)] + rng.normal(0, 1.5, (900, 3))
+    points = small_table(spark, [([float(v) for v in p], float(1 + i % 3)) for i, p in enumerate(x)], "features array<double>, weight double")
+    points = points.withColumn("features", array_to_vector("features")).coalesce(1).cache()
+    made, real = [], cluster.KMeans
+    monkeypatch.setattr(cluster, "KMeans", lambda **given: made.append((given["k"], given["seed"], given["maxIter"])) or real(**given))
+    fits = cluster.best_fits(points, (4, 6), restarts=8)
+    assert sorted(k for k, _, rounds in made if rounds) == [4, 6]
+    assert sorted((k, s) for k, s, rounds in made if not rounds) == [(k, 42 + i) for k in (4, 6) for i in range(8)]
+    place = cluster.vector_to_array("features")
+    dealt = points.repartition(1, place).sortWithinPartitions(place).cache()
+    for f in fits:
+        costs = [
+            real(k=f.k, seed=42 + i, maxIter=300, tol=math.sqrt(cluster.MOVE / f.k), initSteps=5, weightCol="weight").fit(dealt).summary.trainingCost
+            for i in range(8)
+        ]
+        assert max(costs) > min(costs) * 1.01
+        assert f.cost == pytest.approx(min(costs), rel=1e-9)
+    dealt.unpersist()
+    points.unpersist()
