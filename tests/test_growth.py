@@ -57,6 +57,49 @@ def test_shares_count_every_key_once(spark):
         assert got[c].ship_lag_days == 3
 
 
+def test_lines_move_as_two_whole_numbers(spark):
+    """Nothing but the key, two numbers and what does not fit them; every value comes back as it was."""
+    day = "timestamp_ntz'{}'".format
+    fine = (7, 9, 84197.04, 0.07, 0.02, day("1996-09-13"), "'F'", "'R'")
+    odd = [
+        (2**30 - 1, 2**24 - 1, 1e9, 1.27, 1.27, day("2149-06-06"), "'O'", "'N'"),
+        (2**30, 9, 1.1, 0.07, 0.02, day("1996-09-13"), "'F'", "'R'"),
+        (2**62, 2**24, 1.1, 0.07, 0.02, day("1996-09-13"), "'F'", "'R'"),
+        (-1, -9, 1.1, 0.07, 0.02, day("1996-09-13"), "'F'", "'N'"),
+        (7, 9, -84197.04, -0.01, 1.28, day("1969-12-31"), "'F'", "'A'"),
+        (7, 9, 10.001, 0.333, 0.1 + 0.2, day("2149-06-07"), "NULL", "NULL"),
+        (7, 9, 1e300, 0.0, 0.0, day("9999-12-31"), "'O'", "'A'"),
+        *((*fine[:i], "NULL", *fine[i + 1 :]) for i in range(len(fine))),
+    ]
+    names = ("l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_linestatus", "l_returnflag")
+    types = {**dict.fromkeys(names[:2], "bigint"), **dict.fromkeys(names[2:5], "double"), "l_shipdate": "timestamp_ntz"}
+    cells = [", ".join(f"CAST({f'{v!r}D' if isinstance(v, float) else v} AS {types.get(n, 'string')}) AS {n}" for n, v in zip(names, r)) for r in (fine, *odd)]
+    rows = [f"SELECT {i}L AS l_orderkey, {c}" for i, c in enumerate(cells)]
+    lines = stage(spark.sql(" UNION ALL ".join(rows)), "lines")
+    moved = {r.l_orderkey: r for r in spark.sql(customers._NARROW_LINES, lineitem=lines).collect()}
+    # The ordinary one, the largest values, and those with no flag.
+    assert sorted(i for i, r in moved.items() if r.whole is None) == [0, 1, 14, 15]
+    assert all((r.money is None) == (r.terms is None) == (r.whole is not None) for r in moved.values())
+    orders = spark.range(len(rows)).selectExpr("id AS o_orderkey", "id AS o_custkey", "timestamp_ntz'1995-01-01' AS o_orderdate")
+    joined = spark.sql(customers._OWNED_LINES, lineitem=lines, orders=orders)
+    want = lines.selectExpr(
+        "l_orderkey AS o_custkey", "l_partkey", "l_suppkey", "datediff(l_shipdate, date'1995-01-01') AS lag",
+        "tinyint(IF(l_linestatus = 'F', 1, 0) + CASE l_returnflag WHEN 'N' THEN 2 WHEN 'R' THEN 4 ELSE 0 END) AS flags", "l_extendedprice", "l_discount", "l_tax",
+    )
+    assert joined.dtypes == want.dtypes
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_only_busy_customers_are_dealt(spark):
+    rest = plan(customers.read_customer_entities(spark, FOLDER.replace("0.001", "0.1")))
+    # 15,000 customers with about 40 lines each: none of them has a thousandth.
+    dealt = [line for line in rest.splitlines() if "Exchange hashpartitioning" in line and "pmod(hash(" in line]
+    assert len(dealt) == 2 and all("key#" in line and "), 1)" in line and " IN" not in line for line in dealt)
+    busy = spark.range(20_000).selectExpr("IF(id % 10 = 3, 7L, 100 + id % 1900) AS o_custkey")
+    assert customers._shares(busy) == "IF(o_custkey IN (7), 8, 1)"
+    assert customers._shares(spark.range(0).selectExpr("id AS o_custkey")) == "1"
+
+
 def test_sums_of_many_sets_of_centres():
     rng = np.random.default_rng(1)
     x, w = rng.normal(size=(3000, 3)).round(1), rng.integers(1, 4, 3000).astype(float)
