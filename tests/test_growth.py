@@ -1,6 +1,7 @@
 """Plans and passes that must not change with the size of the tables."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -90,6 +91,17 @@ def test_lines_move_as_two_whole_numbers(spark):
     assert sorted(map(repr, joined.collect())) == sorted(map(repr, want.collect()))
 
 
+def test_the_written_lines_are_packed_tightly(spark):
+    rows = spark.range(20_000).selectExpr("id % 997 AS a", "id * 7919 % 20011 AS b").repartition(1)
+    size = {}
+    for name in ("owned-lines", "other"):
+        table = stage(rows, name)
+        assert table.count() == 20_000 and sorted(table.limit(3).columns) == ["a", "b"]
+        size[name] = sum(os.path.getsize(f.removeprefix("file://")) for f in table.inputFiles())
+    assert all(f.endswith(".zstd.parquet") for f in stage(rows, "owned-lines").inputFiles())
+    assert size["owned-lines"] < 0.9 * size["other"]
+
+
 def test_only_busy_customers_are_dealt(spark):
     rest = plan(customers.read_customer_entities(spark, FOLDER.replace("0.001", "0.1")))
     # 15,000 customers with about 40 lines each: none of them has a thousandth.
