@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.llm.components import components
-from scoreloom.llm.words import shingle_sets, slices
+from scoreloom.llm.words import shingle_sets, text_slices
 from scoreloom.operators.rank import with_position
 from scoreloom.plans.staging import release, stage
 
@@ -69,11 +69,11 @@ def _profiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in slices(texts):
-                sets = shingle_sets(texts[a:b], k)
-                every = np.concatenate(sets) >> _U(64 - SKETCH_BITS)
-                counts += np.bincount(every.astype(np.int64), minlength=len(counts)).astype(np.uint32)
+            for a, b, texts in text_slices(batch.column(2)):
+                sets = shingle_sets(texts, k)
+                # Not as many numbers as there are counters: a worker keeps what it once took.
+                slot, times = np.unique(np.concatenate(sets) >> _U(64 - SKETCH_BITS), return_counts=True)
+                counts[slot] += times.astype(np.uint32)
                 none = pa.nulls(b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -85,7 +85,7 @@ def _profiles(k: int):
                     names=PROFILE,
                 )
         if counts.any():
-            cut = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(SKETCH_PARTS, part).astype(np.uint64)]
+            cut = [zlib.compress(c.astype(np.uint64).tobytes(), 1) for c in counts.reshape(SKETCH_PARTS, part)]
             none, task = pa.nulls(SKETCH_PARTS), TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -134,9 +134,8 @@ def _ordered(grams: np.ndarray, steps: np.ndarray) -> np.ndarray:
 def _prefixes(k: int, percent: int, steps):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in slices(texts):
-                sets = shingle_sets(texts[a:b], k)
+            for a, b, texts in text_slices(batch.column(2)):
+                sets = shingle_sets(texts, k)
                 # Sets of so few n-grams are similar only when equal, which classes settle.
                 lengths = [len(s) - -(-percent * len(s) // 100) + 1 if (100 - percent) * len(s) >= percent or (100 - percent) * (len(s) + 1) >= 100 else 0 for s in sets]
                 firsts = [_ordered(s, steps.value)[:n] for s, n in zip(sets, lengths)]
@@ -183,9 +182,8 @@ def _sets(k: int, marks):
         for batch in batches:
             slot = batch.column(3).to_numpy()
             batch = batch.filter(pa.array((marks.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
-            texts = batch.column(2).to_pylist()
-            for a, b in slices(texts):
-                sets = shingle_sets(texts[a:b], k)
+            for a, b, texts in text_slices(batch.column(2)):
+                sets = shingle_sets(texts, k)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(a, b - a) for i in (0, 1)), pa.array(_set_keys(sets), pa.binary()), _lists(sets)],
                     names=["doc_id", "txt", "key", "grams"],

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from scoreloom.llm.words import mix, slices
+from scoreloom.llm.words import mix, powers, text_slices
 
 SPACE = "▁"
 INDEX_CHARS = 1 << 20  # of one suffix array
@@ -39,13 +39,6 @@ _SEAM = re.compile(f"[^{SPACE}\n](?={SPACE})")  # after it a unit begins
 _BASE = 0xA0761D6478BD642F  # odd, hence invertible modulo 2**64
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
 class Pieces:
     """The pieces of a model, as plain values."""
 
@@ -178,9 +171,10 @@ class Encoder:
         solid[np.searchsorted(begin, first[1:] - 1)] = False  # the separators are no text
         begin, stop = begin[solid], stop[solid]
 
-        up, down = _powers(1 << len(chars).bit_length())
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(chars.astype(np.uint64) + np.uint64(1)) * up[: len(chars)])))
+        up, down = powers(_BASE, len(chars))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(chars.astype(np.uint64) + np.uint64(1)) * up)))
         hashed = (sums[stop] - sums[begin]) * down[begin]
+        del up, down, sums
         order = np.argsort(hashed)
         fresh = np.append(True, hashed[order[1:]] != hashed[order[:-1]])[: len(order)]
         same = np.empty(len(order), np.int64)
@@ -424,11 +418,10 @@ def encoded(docs: DataFrame, model: str, column: str = "text", ids: str = "ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, spelled = Encoder(pieces.value), _spellings(pieces.value)
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            for a, b in slices(texts, INDEX_CHARS):
-                found = encoder.encode(texts[a:b])
+            for a, b, texts in text_slices(batch.column(place), INDEX_CHARS):
+                found = encoder.encode(texts)
                 ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-                none = [t is None for t in texts[a:b]]
+                none = [t is None for t in texts]
                 made = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*found, np.zeros(0, np.int32)])), mask=pa.array(none))]
                 if decoded:
                     made.append(pa.array([None if n else _text(f, spelled) for f, n in zip(found, none)], pa.string()))

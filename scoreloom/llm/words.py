@@ -2,19 +2,23 @@
 
 A word is a longest run of characters other than space, tab, line feed, vertical
 tab, form feed and carriage return; A-Z count as a-z. All texts of a batch are
-hashed together over their UTF-8 bytes, a few megabytes at a time, so memory
-does not follow the length of a text beyond the hashes themselves.
+hashed together over their UTF-8 bytes, a quarter of a megabyte at a time, so
+memory does not follow the length of a text beyond the hashes themselves. A
+Python worker outlives its task, so nothing large is kept between calls.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SEPARATORS = "\x20\x09-\x0d"
 CHUNK_BYTES = 1 << 20
+HASH_BYTES = 1 << 18  # hashed together, but for a longer word
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
@@ -28,12 +32,16 @@ def _byte_values() -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up = np.full(size, _BASE, _U)
-    down = np.full(size, pow(_BASE, -1, 1 << 64), _U)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse, modulo 2**64."""
+    up, down = np.full(size, base, _U), np.full(size, pow(base, -1, 1 << 64), _U)
+    up[:1] = down[:1] = 1
+    return np.cumprod(up, out=up), np.cumprod(down, out=down)
+
+
+@lru_cache(maxsize=1)
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return powers(_BASE, 2 * HASH_BYTES)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -47,7 +55,7 @@ def _hash_chunk(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     solid = ~_SPACE[data]
     step = np.diff(np.concatenate(([0], solid.view(np.int8), [0])))
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    up, down = _powers(1 << max(len(data) - 1, 1).bit_length())
+    up, down = _usual_powers() if len(data) <= 2 * HASH_BYTES else powers(_BASE, len(data))
     sums = np.concatenate((np.zeros(1, _U), np.cumsum(_byte_values()[data] * up[: len(data)])))
     return starts, mix((sums[ends] - sums[starts]) * down[starts])
 
@@ -59,7 +67,7 @@ def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
     at, places, hashes = 0, [], []
     while at < len(data):
-        stop = min(at + CHUNK_BYTES, len(data))
+        stop = min(at + HASH_BYTES, len(data))
         while stop < len(data) and not _SPACE[data[stop]]:  # never cut a word
             stop += 1
         starts, found = _hash_chunk(data[at:stop])
@@ -105,3 +113,18 @@ def slices(texts: Sequence[str | None], limit: int = CHUNK_BYTES):
             begin, size = i + 1, 0
     if begin < len(texts):
         yield begin, len(texts)
+
+
+def text_slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[str | None]]]:
+    """The ranges of ``slices`` of a column, and their texts.
+
+    Only the texts of one range are held as Python strings.
+    """
+    begin, size = 0, 0
+    for i, length in enumerate(pc.fill_null(pc.utf8_length(column), 0).to_pylist()):
+        size += length
+        if size >= limit:
+            yield begin, i + 1, column[begin : i + 1].to_pylist()
+            begin, size = i + 1, 0
+    if begin < len(column):
+        yield begin, len(column), column[begin:].to_pylist()
