@@ -25,13 +25,41 @@ _HEADS = """
 # Every line with its customer: the one pass over lines and the one join with
 # their orders. The join is the same at every size, and adaptive execution splits an
 # order that holds too many lines. What the join only passes on moves as two whole
-# numbers: cents and supplier; part, day, rates and flags. A line moves as it came if
-# a value is null, out of range or would not come back the same to the last bit.
+# numbers. The low bits of part, supplier and cents fill the first one; flags, rates,
+# the day and the high bits of all, mostly zeros that pack well, are the other. A line
+# moves as it came if a value is null, out of range or would not come back the same to
+# the last bit.
+_PART, _SUPPLIER, _DAY, _FLAGS = "bigint(l_partkey)", "bigint(l_suppkey)", "bigint(unix_date(shipped))", "bigint(flags)"
+_CENTS, _DISCOUNT, _TAX = (f"bigint(rint({x} * 100D))" for x in ("l_extendedprice", "l_discount", "l_tax"))
+# Value, first of its bits that are meant and how many these are; from the lowest bit of the whole number on.
+_LOW = ((_CENTS, 0, 24), (_SUPPLIER, 0, 16), (_PART, 0, 24))
+_HIGH = (
+    (_FLAGS, 0, 3), (_TAX, 0, 4), (_DISCOUNT, 0, 4), (_DAY, 0, 16), (_TAX, 4, 3), (_DISCOUNT, 4, 3),
+    (_CENTS, 24, 13), (_SUPPLIER, 16, 8), (_PART, 24, 6),
+)
+
+
+def _packed(fields: tuple) -> str:
+    places = [sum(n for _, _, n in fields[:i]) for i in range(len(fields))]
+    return " | ".join(f"shiftleft(shiftright({x}, {first}) & {(1 << n) - 1}L, {place})" for (x, first, n), place in zip(fields, places))
+
+
+def _unpacked(value: str) -> str:
+    """The value that ``_packed`` spread over both whole numbers."""
+    parts = []
+    for name, fields in (("money", _LOW), ("terms", _HIGH)):
+        for i, (x, first, n) in enumerate(fields):
+            if x == value:
+                place = sum(m for _, _, m in fields[:i])
+                parts.append(f"shiftleft(shiftrightunsigned({name}, {place}) & {(1 << n) - 1}L, {first})")
+    return f"({' | '.join(parts)})"
+
+
 _HUNDREDTHS = "rint({0} * 100D) / 100D = {0} AND {0} BETWEEN 0 AND {1}"
 _NARROW_LINES = f"""
   SELECT l_orderkey,
-    IF(fits, bigint(rint(l_extendedprice * 100D)) * 16777216 + l_suppkey, NULL) AS money,
-    IF(fits, (((l_partkey * 65536L + unix_date(shipped)) * 128 + int(rint(l_discount * 100D))) * 128 + int(rint(l_tax * 100D))) * 8 + flags, NULL) AS terms,
+    IF(fits, {_packed(_LOW)}, NULL) AS money,
+    IF(fits, {_packed(_HIGH)}, NULL) AS terms,
     IF(fits, NULL, struct(l_partkey, l_suppkey, shipped, flags, l_extendedprice, l_discount, l_tax)) AS whole
   FROM (
     SELECT *, l_partkey BETWEEN 0 AND 1073741823 AND l_suppkey BETWEEN 0 AND 16777215 AND unix_date(shipped) BETWEEN 0 AND 65535
@@ -48,18 +76,23 @@ _NARROW_LINES = f"""
 """
 _OWNED_LINES = f"""
   SELECT /*+ MERGE(l, o) */ o_custkey,
-    nvl2(whole, whole.l_partkey, shiftright(terms, 33)) AS l_partkey,
-    nvl2(whole, whole.l_suppkey, money & 16777215) AS l_suppkey,
-    datediff(nvl2(whole, whole.shipped, date_from_unix_date(int(shiftright(terms, 17) & 65535))), ordered) AS lag,
-    tinyint(nvl2(whole, whole.flags, terms & 7)) AS flags,
-    nvl2(whole, whole.l_extendedprice, shiftright(money, 24) / 100D) AS l_extendedprice,
-    nvl2(whole, whole.l_discount, (shiftright(terms, 10) & 127) / 100D) AS l_discount,
-    nvl2(whole, whole.l_tax, (shiftright(terms, 3) & 127) / 100D) AS l_tax
+    nvl2(whole, whole.l_partkey, {_unpacked(_PART)}) AS l_partkey,
+    nvl2(whole, whole.l_suppkey, {_unpacked(_SUPPLIER)}) AS l_suppkey,
+    datediff(nvl2(whole, whole.shipped, date_from_unix_date(int({_unpacked(_DAY)}))), ordered) AS lag,
+    tinyint(nvl2(whole, whole.flags, {_unpacked(_FLAGS)})) AS flags,
+    nvl2(whole, whole.l_extendedprice, {_unpacked(_CENTS)} / 100D) AS l_extendedprice,
+    nvl2(whole, whole.l_discount, {_unpacked(_DISCOUNT)} / 100D) AS l_discount,
+    nvl2(whole, whole.l_tax, {_unpacked(_TAX)} / 100D) AS l_tax
   FROM ({_NARROW_LINES}) l JOIN (
     SELECT o_orderkey, o_custkey, to_date(o_orderdate) AS ordered FROM {{orders}} WHERE o_custkey IS NOT NULL
   ) o ON l_orderkey = o_orderkey
 """
 
+# Prices are written in cents, which take half the bytes of doubles; others as they are.
+_FITS = _HUNDREDTHS.format("l_extendedprice", "2e7D")
+_IN_CENTS = f"IF({_FITS}, int(rint(l_extendedprice * 100D)), NULL) AS cents", f"IF({_FITS}, NULL, l_extendedprice) AS price"
+_PRICE = "nvl2(cents, cents / 100D, price) AS l_extendedprice"
+
 # Money and rates add up in whole units of their last decimal, so they come out
 # the same in any order of the rows.
 _TOTALS = """
@@ -154,7 +187,9 @@ def customer_entities(
     """
     spark = customer.sparkSession
     # Read a few times, some columns each, and never joined again.
-    lines = stage(spark.sql(_OWNED_LINES, orders=orders, lineitem=lineitem), "owned-lines")
+    owned = spark.sql(_OWNED_LINES, orders=orders, lineitem=lineitem)
+    others = [c for c in owned.columns if c != "l_extendedprice"]
+    lines = stage(owned.selectExpr(*others, *_IN_CENTS), "owned-lines").selectExpr(*others, _PRICE)
     entities = _with_units(_ENTITIES, decimals).replace("{shares}", _shares(lines))
     return spark.sql(entities, customer=customer, nation=nation, orders=orders, lines=lines)
 

@@ -151,3 +151,34 @@ def test_restarts_share_their_passes(spark, monkeypatch):
         assert f.cost == pytest.approx(min(costs), rel=1e-9)
     dealt.unpersist()
     points.unpersist()
+
+
+def test_ordinary_lines_leave_the_high_bytes_of_one_number_empty(spark):
+    lines = customers.nulls_for_nan(spark.read.parquet(f"{FOLDER}/lineitem.parquet"))
+    moved = spark.sql(customers._NARROW_LINES, lineitem=lines).selectExpr("count(*) AS n", "count(whole) AS whole", "min(terms) AS lo", "max(terms) AS hi").first()
+    assert moved.n == lines.count() and moved.whole == 0
+    assert 0 <= moved.lo and moved.hi < 1 << 32
+
+
+def test_prices_are_written_in_cents(spark, monkeypatch):
+    """Prices that have no more than two decimals, are not negative and fit an int; the others as they are."""
+    prices = [0.29, 0.0, 84197.04, 2e7, 20000000.01, 1e9, -3.25, 10.001, None, -0.0]
+    cell = lambda p: "double(NULL)" if p is None else f"{p!r}D"
+    rows = [
+        f"SELECT {i}L AS l_orderkey, 1L AS l_partkey, 2L AS l_suppkey, timestamp_ntz'1996-09-13' AS l_shipdate, {cell(p)} AS l_extendedprice, "
+        "0.1D AS l_discount, 0D AS l_tax, 'F' AS l_linestatus, 'R' AS l_returnflag"
+        for i, p in enumerate(prices)
+    ]
+    orders = spark.range(len(prices)).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'P' AS o_orderstatus", "3D AS o_totalprice", "timestamp_ntz'1996-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority"
+    )
+    customer = spark.range(len(prices)).selectExpr("id AS c_custkey", "'c' AS c_name", "0 AS c_nationkey", "5D AS c_acctbal", "'S' AS c_mktsegment")
+    nation = small_table(spark, [(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    written = []
+    monkeypatch.setattr(customers, "stage", lambda df, name: written.append(stage(df, name)) or written[-1])
+    got = customers.customer_entities(customer, nation, orders, stage(spark.sql(" UNION ALL ".join(rows)), "lines"), decimals=3)
+    assert {r.customer_key: r.revenue for r in got.collect()} == dict(enumerate(prices))
+    kept = {r.o_custkey: (r.cents, r.price) for r in written[0].collect()}
+    assert dict(written[0].dtypes)["cents"] == "int"
+    assert {i: c for i, (c, _) in kept.items() if c is not None} == {0: 29, 1: 0, 2: 8419704, 3: 2_000_000_000, 9: 0}
+    assert all(p is None if c is not None else p == prices[i] for i, (c, p) in kept.items())
