@@ -7,15 +7,18 @@ its n-grams as a set in that order.
 2. Of a set of n n-grams the first n - ceil(t n) + 1 must meet those of any
    similar set, so only these prefixes are dealt into buckets by n-gram. The
    order comes from a count sketch of fixed size; it decides how much work
-   there is, never the result, as any global order is exact.
+   there is, never the result, as any global order is exact. Most n-grams of
+   a prefix stand in no other one, so they move once, packed, and what stands
+   alone is dropped where it arrives.
 3. The order is cut into fragments. A pair's overlap is counted in every
    fragment apart, and the partial counts are summed per pair.
 
-Pairs inside a large bucket are never listed. The first pass compares every
-document with the least one of its buckets, and those of small buckets with one
-another; links merge. What is left are large buckets that still hold several
-components. Their documents are cut into blocks, and a task counts the overlaps
-of two blocks as matrix products, fragment by fragment; only links leave it.
+Pairs inside a large bucket are never listed. The first pass compares the
+documents of small buckets with one another, counting the buckets that a pair
+shares, and those of large buckets with the least one; links merge. What is left
+are large buckets that still hold several components. Their documents are cut
+into blocks, and a task counts the overlaps of two blocks as matrix products,
+fragment by fragment; only links leave it.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.llm.components import components
-from scoreloom.llm.words import shingle_sets, text_slices
+from scoreloom.llm.words import mix, shingle_sets, text_slices
 from scoreloom.operators.rank import with_position
 from scoreloom.plans.staging import release, stage
 
@@ -41,6 +44,10 @@ FAN_IN = 32  # sketches added up by one task
 FRAGMENTS = 8  # of the global order, for counting pair by pair
 BLOCK = 256  # classes of a block
 SMALL_BUCKET = 32  # rows of a bucket that gives its pairs one by one
+DEALT = 1 << 18  # places packed together, and of one group of buckets
+LEAST_GROUPS = 64
+SEEN = 20_000  # rows that a task remembers, to leave out equal ones
+GRAM_BITS = 48  # of an n-gram as a bucket's name; n-grams that share them share a bucket
 MARK_BITS, MARK_PART_BITS = 24, 6
 WIDTH = 1 << 14  # n-grams of a fragment inside a block task
 _U = np.uint64
@@ -62,6 +69,16 @@ def _set_keys(sets: list[np.ndarray]) -> list[bytes]:
     return [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters, each of as many bytes as the largest takes."""
+    small = counts.astype(np.min_scalar_type(int(counts.max())))
+    return small.dtype.char.encode() + zlib.compress(small.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed[1:]), packed[:1].decode()).astype(np.uint64)
+
+
 def _profiles(k: int):
     """A row for each document, and the task's share of the count sketch."""
     part = (1 << SKETCH_BITS) // SKETCH_PARTS
@@ -85,7 +102,7 @@ def _profiles(k: int):
                     names=PROFILE,
                 )
         if counts.any():
-            cut = [zlib.compress(c.astype(np.uint64).tobytes(), 1) for c in counts.reshape(SKETCH_PARTS, part)]
+            cut = [_packed(c) for c in counts.reshape(SKETCH_PARTS, part)]
             none, task = pa.nulls(SKETCH_PARTS), TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -104,8 +121,8 @@ def _added(sketches: pd.DataFrame) -> pd.DataFrame:
     """Sketches of one part, ``FAN_IN`` at most, as one."""
     total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, np.uint64)
     for packed in sketches["counts"]:
-        total += np.frombuffer(zlib.decompress(packed), np.uint64)
-    return pd.DataFrame({"task": [sketches["task"].iloc[0] // FAN_IN], "part": [sketches["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+        total += _unpacked(packed)
+    return pd.DataFrame({"task": [sketches["task"].iloc[0] // FAN_IN], "part": [sketches["part"].iloc[0]], "counts": [_packed(total)]})
 
 
 def _order(profile: DataFrame) -> np.ndarray:
@@ -121,7 +138,7 @@ def _order(profile: DataFrame) -> np.ndarray:
         tasks = -(-tasks // FAN_IN)
     steps = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint8)
     for _, part, packed in level.collect():  # SKETCH_PARTS rows of fixed size
-        total = np.frombuffer(zlib.decompress(packed), np.uint64)
+        total = _unpacked(packed)
         steps[part] = np.log2(np.maximum(total, 1).astype(np.float64)).astype(np.uint8)
     return steps.reshape(-1)
 
@@ -132,8 +149,12 @@ def _ordered(grams: np.ndarray, steps: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(k: int, percent: int, steps):
+    """The prefix of every text, its length and its last n-gram; of equal rows of a task the first speaks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
+            batch = _unseen(batch, seen)
             for a, b, texts in text_slices(batch.column(2)):
                 sets = shingle_sets(texts, k)
                 # Sets of so few n-grams are similar only when equal, which classes settle.
@@ -146,16 +167,114 @@ def _prefixes(k: int, percent: int, steps):
                         *(batch.column(i).slice(a, b - a) for i in (0, 1)),
                         pa.array(_set_keys(sets), pa.binary()),
                         _lists(firsts),
+                        pa.array([len(f) for f in firsts], pa.int32()),
                         pa.array(step.astype(np.int32)),
                         pa.array(_long(tails ^ _U(1 << 63))),  # signed, in the order of the unsigned hashes
                     ],
-                    names=["doc_id", "txt", "key", "prefix", "step", "tail"],
+                    names=["doc_id", "txt", "key", "prefix", "m", "step", "tail"],
                 )
 
     return run
 
 
-_SLOT = f"pmod(xxhash64({{}}.doc_id, {{}}.txt), {1 << MARK_BITS})"
+def _unseen(batch: pa.RecordBatch, seen: set) -> pa.RecordBatch:
+    """Without rows whose ``doc_id, txt`` (the first two columns) one of the last rows has; later joins bear with others."""
+    if len(seen) > SEEN:
+        seen.clear()
+    rows, new = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), []
+    for row in rows:
+        new.append(row not in seen)
+        seen.add(row)
+    return batch if all(new) else batch.filter(pa.array(new))
+
+
+_PLACE = (np.uint64, np.int64, np.uint32, np.uint32)  # gram, id, n, pos
+
+
+def _columns_packed(columns: list[np.ndarray]) -> bytes:
+    """Places in the order of their grams: differences of these, and all numbers byte by byte."""
+    columns = [np.diff(columns[0], prepend=_U(0)), *columns[1:]]
+    return zlib.compress(b"".join(c.astype(t).view(np.uint8).reshape(len(c), -1).T.tobytes() for c, t in zip(columns, _PLACE)), 1)
+
+
+def _columns_unpacked(packed: bytes) -> list[np.ndarray]:
+    data, out, at = np.frombuffer(zlib.decompress(packed), np.uint8), [], 0
+    rows = len(data) // sum(np.dtype(t).itemsize for t in _PLACE)
+    for kind in _PLACE:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(data[at : at + rows * width].reshape(width, rows).T).view(kind).reshape(-1))
+        at += rows * width
+    return [np.cumsum(out[0], dtype=_U), *out[1:]]
+
+
+def _runs(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and lengths of the runs of equal values."""
+    begins = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
+    return begins, np.diff(np.append(begins, len(grams)))
+
+
+def _dealt(groups: int):
+    """Places of the n-grams of ``id, n, prefix``, packed by groups of buckets.
+
+    Of an n-gram that one pack has more than ``SMALL_BUCKET`` times, the group gets
+    one mark (id -1): its bucket is large anyway. Those places go to groups below 0,
+    by pack, so that no group gathers a hot n-gram.
+    """
+    width = (1 << GRAM_BITS) // groups + 1
+
+    def packs(columns: list[np.ndarray], salt: int) -> pa.RecordBatch:
+        order = np.argsort(columns[0], kind="stable")
+        columns = [c[order] for c in columns]
+        begins, lengths = _runs(columns[0])
+        hot = np.repeat(lengths > SMALL_BUCKET, lengths)
+        out = [(-1 - salt % groups, [c[hot] for c in columns])] if hot.any() else []
+        marks = begins[lengths > SMALL_BUCKET]
+        columns[1][marks] = -1
+        hot[marks] = False
+        columns = [c[~hot] for c in columns]
+        group = (columns[0] // _U(width)).astype(np.int64)
+        begins, lengths = _runs(group)
+        out += [(group[b], [c[b : b + n] for c in columns]) for b, n in zip(begins.tolist(), lengths.tolist())]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([g for g, _ in out], pa.int32()), pa.array([_columns_packed(c) for _, c in out], pa.binary())], names=["group", "places"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, salt = [], 0, TaskContext.get().partitionId()
+        for batch in batches:
+            lengths = batch.column(2).value_lengths().to_numpy()
+            ends = np.cumsum(lengths)
+            grams, at = batch.column(2).flatten().to_numpy().view(_U), 0
+            while at < len(grams):  # a pack at a time, so memory does not follow the batch
+                spots = np.arange(at, min(at + DEALT - size, len(grams)))
+                rows = np.searchsorted(ends, spots, side="right")
+                ids, n = (batch.column(i).to_numpy()[rows] for i in (0, 1))
+                held.append([mix(grams[spots]) >> _U(64 - GRAM_BITS), ids, n, spots - (ends - lengths)[rows]])
+                at, size = at + len(spots), size + len(spots)
+                if size == DEALT:
+                    yield packs([np.concatenate(c) for c in zip(*held)], salt)
+                    held, size, salt = [], 0, salt + 1
+        if size:
+            yield packs([np.concatenate(c) for c in zip(*held)], salt)
+
+    return run
+
+
+def _met(packs: pa.Table) -> pa.Table:
+    """The places of n-grams that have another one, and whether their bucket is large."""
+    gram, ids, n, pos = (np.concatenate(c) for c in zip(*map(_columns_unpacked, packs["places"].to_pylist())))
+    if packs["group"][0].as_py() < 0:
+        crowd = stays = np.ones(len(gram), bool)
+    else:
+        order = np.argsort(gram, kind="stable")
+        gram, ids, n, pos = gram[order], ids[order], n[order], pos[order]
+        begins, lengths = _runs(gram)
+        rows = np.repeat(np.add.reduceat(np.where(ids < 0, SMALL_BUCKET + 1, 1), begins), lengths)
+        crowd, stays = rows > SMALL_BUCKET, (rows > 1) & (ids >= 0)
+    return pa.table({"gram": _long(gram[stays]), "id": ids[stays], "n": n[stays].astype(np.int64), "pos": pos[stays].astype(np.int32), "crowd": crowd[stays]})
+
+
+_SLOT = f"pmod(xxhash64(doc_id, txt), {1 << MARK_BITS})"
 
 
 def _bits(part: pd.DataFrame) -> pd.DataFrame:
@@ -166,8 +285,8 @@ def _bits(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _marked(spoken: DataFrame) -> np.ndarray:
-    """A bit for the hash of every speaker ``rep``: 2 MB at any number of them, in 64 rows of fixed size."""
-    slots = spoken.selectExpr(f"{_SLOT.format('rep', 'rep')} AS slot").distinct().selectExpr("slot", f"slot div {1 << (MARK_BITS - MARK_PART_BITS)} AS part")
+    """A bit for the hash of every speaker ``doc_id, txt``: 2 MB at any number of them, in 64 rows of fixed size."""
+    slots = spoken.selectExpr(f"{_SLOT} AS slot").distinct().selectExpr("slot", f"slot div {1 << (MARK_BITS - MARK_PART_BITS)} AS part")
     out = np.zeros(1 << (MARK_BITS - 3), np.uint8)
     size = len(out) >> MARK_PART_BITS
     for part, bits in slots.groupBy("part").applyInPandas(_bits, "part long, bits binary").collect():
@@ -175,19 +294,39 @@ def _marked(spoken: DataFrame) -> np.ndarray:
     return out
 
 
+def _marked_sets(k: int, marks, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Marked rows and the sets of their texts, equal rows of a task once; a few others share a mark and go in the next join."""
+    seen = set()
+    for batch in batches:
+        slot = batch.column(3).to_numpy()
+        batch = batch.filter(pa.array((marks.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
+        batch = _unseen(batch, seen)
+        for a, b, texts in text_slices(batch.column(2)):
+            yield batch.slice(a, b - a), shingle_sets(texts, k)
+
+
 def _sets(k: int, marks):
-    """The sets of marked texts; a few others share a mark and go in the next join."""
+    """The sets of marked texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = batch.column(3).to_numpy()
-            batch = batch.filter(pa.array((marks.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
-            for a, b, texts in text_slices(batch.column(2)):
-                sets = shingle_sets(texts, k)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(a, b - a) for i in (0, 1)), pa.array(_set_keys(sets), pa.binary()), _lists(sets)],
-                    names=["doc_id", "txt", "key", "grams"],
-                )
+        for rows, sets in _marked_sets(k, marks, batches):
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), pa.array(_set_keys(sets), pa.binary()), _lists(sets)], names=["doc_id", "txt", "key", "grams"]
+            )
+
+    return run
+
+
+def _parts(k: int, marks):
+    """The sets of marked texts, cut into ranges of the hash order; an empty part has no row."""
+    edges = np.arange(1, FRAGMENTS, dtype=_U) << _U(64 - (FRAGMENTS - 1).bit_length())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sets in _marked_sets(k, marks, batches):
+            cut = [(key, f, part) for key, s in zip(_set_keys(sets), sets) for f, part in enumerate(np.split(s, np.searchsorted(s, edges))) if len(part)]
+            if cut:
+                keys, fragments, parts = zip(*cut)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(fragments, pa.int32()), _lists(list(parts))], names=["key", "fragment", "part"])
 
     return run
 
@@ -222,7 +361,7 @@ def _block_candidates(percent: int):
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"id": np.zeros(0, np.int64)})
+            return pd.DataFrame({"p": [], "q": [], "id": []}, dtype=np.int64)
         n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
         need = -(-percent * (n + m) // (100 + percent))
         least = need - _overlaps(left["prefix"], right["prefix"])
@@ -232,7 +371,8 @@ def _block_candidates(percent: int):
         rest = [side["n"].to_numpy() - side["prefix"].map(len).to_numpy() for side in (left, right)]
         may = (np.where(earlier, rest[0][:, None], rest[1][None, :]) >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
         may &= left["c"].to_numpy()[:, None] != right["c"].to_numpy()[None, :]
-        return pd.DataFrame({"id": np.unique(np.concatenate((left["id"].to_numpy()[may.any(1)], right["id"].to_numpy()[may.any(0)])))})
+        ids = np.unique(np.concatenate((left["id"].to_numpy()[may.any(1)], right["id"].to_numpy()[may.any(0)])))
+        return pd.DataFrame({"p": np.full(len(ids), key[0], np.int64), "q": np.full(len(ids), key[1], np.int64), "id": ids})
 
     return run
 
@@ -250,11 +390,10 @@ def _block_links(percent: int):
     return run
 
 
-def _by_blocks(both: DataFrame, held: DataFrame, kernel, schema: str) -> DataFrame:
-    """``kernel`` over the rows of every pair of blocks ``(p, q)``; ``held`` has the rows with their block."""
-    columns = [c for c in held.columns if c != "block"]
-    left = both.join(held, both.p == held.block).select("p", "q", *columns)
-    right = both.join(held, both.q == held.block).select("p", "q", *columns).toDF("p", "q", *columns)
+def _by_blocks(asked: DataFrame, kernel, schema: str) -> DataFrame:
+    """``kernel`` over the rows of every pair of blocks ``(p, q)``; ``asked`` has a row for each pair that needs it, with its block."""
+    columns = [c for c in asked.columns if c != "block"]
+    left, right = asked.where("block = p").select(columns), asked.where("block = q").select(columns).toDF(*columns)
     return left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(kernel, schema)
 
 
@@ -265,39 +404,38 @@ def _may_link(percent: int, a: str, b: str) -> str:
     return f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) AND {most} >= {need}"
 
 
-def _near(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs (a, b)`` whose prefixes share enough n-grams.
+def _near(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs (a, b, common)`` whose prefixes share enough n-grams.
 
     Of two prefixes, the n-grams of the one that ends earlier in the order meet
     the other set only in the other prefix, so the overlap is at most what the
-    prefixes share and what is left of that set.
+    prefixes share and what is left of that set. They share at most as many as
+    they have small buckets in common, and large ones (``crowd``; a name that a
+    document has twice counts twice).
     """
-    x = prefixes.selectExpr("id AS a", "n AS na", "prefix AS pa", "step AS sa", "tail AS ta")
-    y = prefixes.selectExpr("id AS b", "n AS nb", "prefix AS pb", "step AS sb", "tail AS tb")
-    rest = "CASE WHEN struct(sa, ta) <= struct(sb, tb) THEN na - size(pa) ELSE nb - size(pb) END"
-    return pairs.join(x, "a").join(y, "b").where(f"size(array_intersect(pa, pb)) + {rest} >= ceil({percent} * (na + nb) / {100 + percent})").select("a", "b")
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The similar ones among ``pairs (a, b)``: overlaps counted by fragment, then summed."""
-    # The top bits of a signed hash, from 0: fragments are ranges of the hash order.
-    place = f"int(shiftrightunsigned(g, {64 - (FRAGMENTS - 1).bit_length()}))"
-    cut = sets.selectExpr(
-        "id", "n", f"inline(transform(sequence(0, {FRAGMENTS - 1}), f -> struct(f AS fragment, filter(grams, g -> {place} = f) AS part)))"
-    )
-    left = cut.selectExpr("id AS a", "n AS na", "fragment", "part AS pa")
-    right = cut.selectExpr("id AS b", "n AS nb", "fragment", "part AS pb")
+    x = facts.selectExpr("id AS a", "n AS na", "m AS ma", "step AS sa", "tail AS ta", "coalesce(crowd, array()) AS ca")
+    y = facts.selectExpr("id AS b", "n AS nb", "m AS mb", "step AS sb", "tail AS tb", "coalesce(crowd, array()) AS cb")
+    rest = "CASE WHEN struct(sa, ta) <= struct(sb, tb) THEN na - ma ELSE nb - mb END"
+    large = "size(array_intersect(ca, cb)) + least(size(ca) - size(array_distinct(ca)), size(cb) - size(array_distinct(cb)))"
+    return pairs.join(x, "a").join(y, "b").where(f"common + {large} + {rest} >= ceil({percent} * (na + nb) / {100 + percent})").select("a", "b")
+
+
+def _linked(pairs: DataFrame, speakers: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The similar ones among ``pairs (a, b)``: overlaps counted by fragment, then summed.
+
+    A class may have the same part more than once (from equal rows), so a pair has one overlap a fragment.
+    """
+    named = speakers.select("id", "n", "key")
+    asked = pairs.join(named.toDF("a", "na", "ka"), "a").join(named.toDF("b", "nb", "kb"), "b")
+    asked = asked.selectExpr("*", f"explode(sequence(0, {FRAGMENTS - 1})) AS fragment")
     partial = (
-        pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
-        .selectExpr("a", "b", "na", "nb", "bigint(size(array_intersect(pa, pb))) AS overlap")
-    )
-    return (
-        partial.groupBy("a", "b", "na", "nb")
-        .agg(F.sum("overlap").alias("overlap"))
-        .where(f"100 * overlap >= {percent} * (na + nb - overlap)")
-        .select("a", "b")
+        asked.join(parts.toDF("ka", "fragment", "pa"), ["ka", "fragment"])
+        .join(parts.toDF("kb", "fragment", "pb"), ["kb", "fragment"])
+        .selectExpr("a", "b", "na", "nb", "fragment", "bigint(size(array_intersect(pa, pb))) AS overlap")
     )
+    apart = [F.coalesce(F.max(F.when(F.col("fragment") == f, F.col("overlap"))), F.lit(0)).alias(f"o{f}") for f in range(FRAGMENTS)]
+    overlap = " + ".join(f"o{f}" for f in range(FRAGMENTS))
+    return partial.groupBy("a", "b", "na", "nb").agg(*apart).where(f"100 * ({overlap}) >= {percent} * (na + nb - ({overlap}))").select("a", "b")
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -321,40 +459,37 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
 
     def of_speakers(rows: DataFrame, speakers: DataFrame) -> DataFrame:
         """``rows (doc_id, txt, key, ...)`` of the texts that speak for a class, each once, under its id."""
-        a, b = rows.alias("a"), speakers.alias("b")
-        same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.txt") == F.col("b.txt")) & (F.col("a.key") == F.col("b.key"))
-        return a.join(b, same).select("b.id", "b.n", *(f"a.{c}" for c in rows.columns[3:])).dropDuplicates(["id"])
+        by = ["did", "bare", "txt", "key"]  # both the join and the duplicates, so rows move once
+        a, b = (t.selectExpr("coalesce(doc_id, 0L) AS did", "doc_id IS NULL AS bare", "*").drop("doc_id") for t in (rows, speakers))
+        return a.join(b, by).dropDuplicates(by).select("id", "n", *rows.columns[3:])
 
-    prefixes = source.mapInArrow(_prefixes(k, percent, steps), "doc_id long, txt long, key binary, prefix array<long>, step int, tail long").where("size(prefix) > 0")
+    prefixes = source.mapInArrow(_prefixes(k, percent, steps), "doc_id long, txt long, key binary, prefix array<long>, m int, step int, tail long").where("m > 0")
     prefixes = stage(of_speakers(prefixes, spoken), "prefixes")
     steps.destroy()
-    dealt = prefixes.selectExpr("id", "n", "posexplode(prefix) AS (pos, gram)")
-    busy = dealt.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    shared = stage(dealt.join(busy, "gram"), "shared")
-
-    def sets_of(ids: DataFrame) -> DataFrame:
-        speakers = stage(ids.join(heads, "id"), "speakers")
-        marks = spark.sparkContext.broadcast(_marked(speakers))
-        slot = f"pmod(xxhash64(doc_id, txt), {1 << MARK_BITS}) AS slot"
-        found = source.selectExpr("doc_id", "txt", "text", slot).mapInArrow(_sets(k, marks), "doc_id long, txt long, key binary, grams array<long>")
-        sets = stage(of_speakers(found, speakers.selectExpr("id", "n", "key", "rep.doc_id AS doc_id", "rep.txt AS txt")), "sets")
-        marks.destroy()
-        release(speakers)
-        return sets
-
-    # First pass: every class against the least of each of its buckets, and all pairs of small buckets.
-    lead = shared.groupBy("gram").agg(F.min(F.struct("id", "pos", "n")).alias("l"))
-    stars = shared.alias("x").join(lead.selectExpr("gram", "l.*").alias("y"), "gram").where("x.id <> y.id").where(_may_link(percent, "x", "y")).selectExpr("y.id AS a", "x.id AS b")
-    small = shared.where(f"rows <= {SMALL_BUCKET}")
-    few = small.alias("x").join(small.alias("y"), "gram").where("x.id < y.id").where(_may_link(percent, "x", "y")).selectExpr("x.id AS a", "y.id AS b")
-    pairs = stage(_near(stars.union(few).distinct(), prefixes, percent), "pairs")
-    sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    found = stage(_linked(pairs, sets, percent).selectExpr("a AS u", "b AS v"), "links")
+    places = prefixes.agg(F.sum("m")).first()[0] or 0
+    packs = prefixes.select("id", "n", "prefix").mapInArrow(_dealt(max(LEAST_GROUPS, -(-places // DEALT))), "group int, places binary")
+    shared = stage(packs.groupBy("group").applyInArrow(_met, "gram long, id long, n long, pos int, crowd boolean"), "shared")
+    slotted = source.selectExpr("doc_id", "txt", "text", f"{_SLOT} AS slot")
+
+    def marked(ids: DataFrame):
+        speakers = stage(ids.join(spoken, "id"), "speakers")
+        return speakers, spark.sparkContext.broadcast(_marked(speakers))
+
+    # First pass: all pairs of small buckets, and every class against the least of each of its large buckets.
+    crowd, small = shared.where("crowd"), shared.where("NOT crowd")
+    lead = crowd.groupBy("gram").agg(F.min(F.struct("id", "pos", "n")).alias("l"))
+    stars = crowd.alias("x").join(lead.selectExpr("gram", "l.*").alias("y"), "gram").where("x.id <> y.id").where(_may_link(percent, "x", "y")).selectExpr("y.id AS a", "x.id AS b", "0L AS common")
+    few = small.alias("x").join(small.alias("y"), "gram").where("x.id < y.id").where(_may_link(percent, "x", "y")).selectExpr("x.id AS a", "y.id AS b", "1L AS common")
+    facts = prefixes.select("id", "n", "m", "step", "tail").join(crowd.groupBy("id").agg(F.collect_list("gram").alias("crowd")), "id", "left")
+    pairs = stage(_near(stars.union(few).groupBy("a", "b").agg(F.sum("common").alias("common")), facts, percent), "pairs")
+    speakers, marks = marked(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    parts = slotted.mapInArrow(_parts(k, marks), "key binary, fragment int, part array<long>")
+    found = stage(_linked(pairs, speakers, parts, percent).selectExpr("a AS u", "b AS v"), "links")
+    marks.destroy()
     merged = stage(components(found), "first-components")
-    release(pairs, sets, found)
+    release(pairs, speakers, found)
 
     # Second pass: large buckets that hold several components still.
-    crowd = shared.where(f"rows > {SMALL_BUCKET}")
     told = crowd.join(merged.withColumnRenamed("node", "id"), "id", "left").selectExpr("id", "gram", "coalesce(component, id) AS c")
     open_ = told.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
     large = stage(told.join(open_, "gram"), "open")
@@ -370,11 +505,16 @@ def _grouped(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
         spread = large.select("id", "gram").join(placed.select("id", "block"), "id").select("gram", "block").distinct()
         both = spread.alias("x").join(spread.alias("y"), "gram").where("x.block <= y.block").selectExpr("x.block AS p", "y.block AS q").distinct()
         both = stage(both, "block-pairs")
-        close = stage(_by_blocks(both, placed.join(prefixes, "id"), _block_candidates(percent), "id long").distinct(), "close")
-        sets = sets_of(close)
-        more = stage(_by_blocks(both, placed.join(sets, "id"), _block_links(percent), "u long, v long"), "block-links")
+        held = placed.join(prefixes.drop("m"), "id")
+        asked = both.join(held, both.p == held.block).unionByName(both.where("p < q").join(held, both.q == held.block))
+        close = stage(_by_blocks(asked, _block_candidates(percent), "p long, q long, id long"), "close")
+        speakers, marks = marked(close.select("id").distinct())
+        sets = stage(of_speakers(slotted.mapInArrow(_sets(k, marks), "doc_id long, txt long, key binary, grams array<long>"), speakers), "sets")
+        marks.destroy()
+        # Sets go only where the prefixes of two blocks leave a link possible.
+        more = stage(_by_blocks(close.join(placed, "id").join(sets, "id"), _block_links(percent), "u long, v long"), "block-links")
         every = stage(components(more.union(merged.selectExpr("node AS u", "component AS v"))), "components")
-        release(sets, merged, placed, both, close, more)
+        release(speakers, sets, merged, placed, both, close, more)
     release(prefixes, large)
 
     placed = heads.join(every.withColumnRenamed("node", "id"), "id", "left").selectExpr("key", "least", "rep", "coalesce(component, id) AS component")
