@@ -40,6 +40,7 @@ from scoreloom.plans.staging import release, stage
 
 SKETCH_BITS = 22  # 4,194,304 counters: a broadcast of 4 MB at any size of the input
 SKETCH_PARTS = 64
+STEPS = 256  # of commonness, that the counters are told apart by
 FAN_IN = 32  # sketches added up by one task
 FRAGMENTS = 8  # of the global order, for counting pair by pair
 BLOCK = 256  # classes of a block
@@ -126,21 +127,32 @@ def _added(sketches: pd.DataFrame) -> pd.DataFrame:
 
 
 def _order(profile: DataFrame) -> np.ndarray:
-    """How common the n-grams of each sketch counter are, as a power of two; always 4 MB.
+    """How common the n-grams of each sketch counter are, in ``STEPS`` steps; always 4 MB.
 
-    The tasks' sketches are added in a tree: no task holds more than ``FAN_IN``
-    pieces of one part.
+    A step has about as many counters as any other. On a large input every counter
+    holds hundreds of n-grams, and a common one tells by little more than their
+    spread; powers of two would not tell it, and prefixes would be full of n-grams
+    that unrelated texts share. The tasks' sketches are added in a tree: no task
+    holds more than ``FAN_IN`` pieces of one part.
     """
     level = profile.where("part IS NOT NULL").select("task", "part", "counts")
     tasks = (level.agg(F.max("task")).first()[0] or 0) + 1
     while tasks > 1:
         level = level.groupBy(F.expr(f"task div {FAN_IN}"), "part").applyInPandas(_added, "task int, part int, counts binary")
         tasks = -(-tasks // FAN_IN)
-    steps = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint8)
+    totals = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.float32)
     for _, part, packed in level.collect():  # SKETCH_PARTS rows of fixed size
-        total = _unpacked(packed)
-        steps[part] = np.log2(np.maximum(total, 1).astype(np.float64)).astype(np.uint8)
-    return steps.reshape(-1)
+        totals[part] = _unpacked(packed)
+    return _steps(totals.reshape(-1))
+
+
+def _steps(totals: np.ndarray) -> np.ndarray:
+    found = np.sort(totals[totals > 0])
+    edges = np.unique(found[np.arange(1, STEPS) * len(found) // STEPS]) if len(found) else found
+    steps = np.zeros(len(totals), np.uint8)
+    for at in range(0, len(totals), DEALT):  # a few MB at a time
+        steps[at : at + DEALT] = np.searchsorted(edges, totals[at : at + DEALT])
+    return steps
 
 
 def _ordered(grams: np.ndarray, steps: np.ndarray) -> np.ndarray:
@@ -284,12 +296,17 @@ def _bits(part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [part["part"].iloc[0]], "bits": [np.packbits(marks, bitorder="little").tobytes()]})
 
 
+def _mark_rows(texts: DataFrame) -> DataFrame:
+    """A bit for the hash of every ``doc_id, txt``: 2 MB at any number of them, in 64 rows ``part, bits`` of fixed size at most."""
+    slots = texts.selectExpr(f"{_SLOT} AS slot").distinct().selectExpr("slot", f"slot div {1 << (MARK_BITS - MARK_PART_BITS)} AS part")
+    return slots.groupBy("part").applyInPandas(_bits, "part long, bits binary")
+
+
 def _marked(spoken: DataFrame) -> np.ndarray:
-    """A bit for the hash of every speaker ``doc_id, txt``: 2 MB at any number of them, in 64 rows of fixed size."""
-    slots = spoken.selectExpr(f"{_SLOT} AS slot").distinct().selectExpr("slot", f"slot div {1 << (MARK_BITS - MARK_PART_BITS)} AS part")
+    """The marks of the speakers as one array."""
     out = np.zeros(1 << (MARK_BITS - 3), np.uint8)
     size = len(out) >> MARK_PART_BITS
-    for part, bits in slots.groupBy("part").applyInPandas(_bits, "part long, bits binary").collect():
+    for part, bits in _mark_rows(spoken).collect():
         out[part * size : (part + 1) * size] = np.frombuffer(bits, np.uint8)
     return out
 
@@ -551,10 +568,18 @@ def without_similar(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     told = texts.join(named, "key").selectExpr("doc_id AS __id", "txt AS __t", "rows", "first.doc_id <=> doc_id AND first.txt = txt AS stays")
     told = stage(told.where("NOT stays OR rows > 1"), "told")
     marked = docs.selectExpr("*", "CAST(doc_id AS bigint) AS __did", "xxhash64(CAST(text AS string)) AS __txt")
+    # Most texts share no mark with one that goes: they stay where they are.
+    marks = stage(_mark_rows(told.toDF("doc_id", "txt", "rows", "stays")), "marks").toDF("__part", "__bits")
+    marked = marked.withColumn("__slot", F.expr(_SLOT.replace("doc_id", "__did").replace("txt", "__txt")))
+    marked = marked.join(F.broadcast(marks), F.expr(f"__slot div {1 << (MARK_BITS - MARK_PART_BITS)} = __part"), "left")
+    place = f"__slot % {1 << (MARK_BITS - MARK_PART_BITS)}"
+    byte = f"int(conv(hex(substring(__bits, int({place} div 8) + 1, 1)), 16, 10))"
+    marked = marked.withColumn("__mark", F.expr(f"coalesce(shiftright({byte}, int(__slot % 8)) & 1, 0) = 1"))
     same = F.col("__did").eqNullSafe(F.col("__id")) & (F.col("__txt") == F.col("__t"))
     columns = [f"`{c}`" for c in docs.columns]
-    # One plan at every size: texts and what goes meet by document.
-    kept = marked.join(told.hint("merge"), same, "left_anti").select(*columns)
+    apart, marked = marked.where("NOT __mark").select(*columns), marked.where("__mark").select(*columns, "__did", "__txt")
+    # One plan at every size: marked texts and what goes meet by document.
+    kept = apart.unionByName(marked.join(told.hint("merge"), same, "left_anti").select(*columns))
     if told.where("stays").isEmpty():
         return kept
     whole = F.struct(*columns)
